@@ -58,7 +58,8 @@ def medline_date(text: Column) -> Column:
 
     The year is the first run of four digits, the month the name at offset 5
     or the start of a named season, the day the first number after offset 9 if
-    it can be one; month and day fall back to 1.
+    it can be one and the text starts with the year; month and day fall back
+    to 1.
     """
     year = F.regexp_extract(text, r"(\d{4})", 1)
     season = F.regexp_extract(text, "(" + "|".join(SEASONS) + ")", 1)
@@ -66,7 +67,8 @@ def medline_date(text: Column) -> Column:
         _decode(F.substring(text, 6, 3), MONTHS), season_month(season), F.lit(1)
     )
     number = as_int(F.regexp_extract(F.substring(text, 10, 1 << 30), r"(\d+)", 1))
-    day = F.when(number.between(1, 31), number).otherwise(F.lit(1))
+    in_place = text.rlike(r"^\d{4}") & number.between(1, 31)
+    day = F.when(in_place, number).otherwise(F.lit(1))
     return ymd(F.when(year != "", year), month, day)
 
 

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from citeloom.functions.text import as_int
 
+# Forms of the names.
 GZ_SUFFIX = ".gz"
+CORPUS_NAME = r"(pubmed\d{2}n\d{4,}\.xml(?:\.gz)?)(?:/[^/]*)?$"
 
 
 def corpus_year(name: Column) -> Column:
@@ -22,6 +24,16 @@ def is_gz(name: Column) -> Column:
     return name.endswith(GZ_SUFFIX)
 
 
+def corpus_name(path: Column) -> Column:
+    """Corpus file a path belongs to.
+
+    A corpus file may also be a folder of that name holding its part, as Spark
+    writes it; any other path gives its last step.
+    """
+    named = F.regexp_extract(path, CORPUS_NAME, 1)
+    return F.when(named != "", named).otherwise(base_name(path))
+
+
 def base_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 

@@ -10,13 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.functions import ids
+from citeloom.functions import ids, record
 from citeloom.functions.text import own_text, strip
 
-MC = F.col("MedlineCitation")
-ART = MC["Article"]
-PD = F.col("PubmedData")
-
 
 def _obj(**fields: Column) -> Column:
     return F.struct(*[c.alias(n) for n, c in fields.items()])
@@ -67,7 +63,8 @@ def _pmid(p: Column) -> Column:
     return _maybe(p, _obj(Version=p["_Version"], Value=strip(p["_VALUE"])))
 
 
-def journal(j: Column = ART["Journal"]) -> Column:
+def journal() -> Column:
+    j = record.article()["Journal"]
     issue = j["JournalIssue"]
     date = issue["PubDate"]
     return _obj(
@@ -91,7 +88,8 @@ def journal(j: Column = ART["Journal"]) -> Column:
     )
 
 
-def abstract(a: Column = ART["Abstract"]) -> Column:
+def abstract() -> Column:
+    a = record.article()["Abstract"]
     return _maybe(
         a,
         _obj(
@@ -103,10 +101,10 @@ def abstract(a: Column = ART["Abstract"]) -> Column:
     )
 
 
-def author_list(people: Column = ART["AuthorList"]["Author"]) -> Column:
+def author_list() -> Column:
     """Authors with their identifiers and their first affiliation."""
     return _list(
-        people,
+        record.article()["AuthorList"]["Author"],
         lambda a: _obj(
             CollectiveName=_run(a["CollectiveName"]),
             **_person(a),
@@ -117,7 +115,7 @@ def author_list(people: Column = ART["AuthorList"]["Author"]) -> Column:
 
 
 def investigator_list() -> Column:
-    people = MC["InvestigatorList"]
+    people = record.citation()["InvestigatorList"]
     return _maybe(
         people,
         _list(
@@ -132,7 +130,8 @@ def investigator_list() -> Column:
     )
 
 
-def data_banks(b: Column = ART["DataBankList"]) -> Column:
+def data_banks() -> Column:
+    b = record.article()["DataBankList"]
     return _maybe(
         b,
         _obj(
@@ -150,7 +149,8 @@ def data_banks(b: Column = ART["DataBankList"]) -> Column:
     )
 
 
-def grants(g: Column = ART["GrantList"]) -> Column:
+def grants() -> Column:
+    g = record.article()["GrantList"]
     return _maybe(
         g,
         _obj(
@@ -169,10 +169,11 @@ def grants(g: Column = ART["GrantList"]) -> Column:
 
 
 def article() -> Column:
-    pages = ART["Pagination"]
+    art = record.article()
+    pages = art["Pagination"]
     return _obj(
         Journal=journal(),
-        ArticleTitle=_run(ART["ArticleTitle"]),
+        ArticleTitle=_run(art["ArticleTitle"]),
         Pagination=_maybe(
             pages,
             _obj(
@@ -180,23 +181,23 @@ def article() -> Column:
             ),
         ),
         ELocationIDs=_list(
-            ART["ELocationID"],
+            art["ELocationID"],
             lambda e: _obj(
                 ValidYN=e["_ValidYN"], EIdType=e["_EIdType"], Value=strip(e["_VALUE"])
             ),
         ),
         Abstract=abstract(),
         AuthorList=author_list(),
-        Language=_texts(ART["Language"]),
+        Language=_texts(art["Language"]),
         DataBankList=data_banks(),
         GrantList=grants(),
         PublicationTypeList=_list(
-            ART["PublicationTypeList"]["PublicationType"],
+            art["PublicationTypeList"]["PublicationType"],
             lambda p: _obj(UI=p["_UI"], Value=strip(p["_VALUE"])),
         ),
-        VernacularTitle=_run(ART["VernacularTitle"]),
+        VernacularTitle=_run(art["VernacularTitle"]),
         ArticleDates=_list(
-            ART["ArticleDate"],
+            art["ArticleDate"],
             lambda d: _obj(
                 Year=strip(d["Year"]),
                 Month=strip(d["Month"]),
@@ -213,7 +214,7 @@ def _term(t: Column) -> Column:
 
 def mesh_headings() -> Column:
     return _list(
-        MC["MeshHeadingList"]["MeshHeading"],
+        record.citation()["MeshHeadingList"]["MeshHeading"],
         lambda h: _obj(
             Descriptor=_maybe(h["DescriptorName"], _term(h["DescriptorName"])),
             Qualifiers=_list(h["QualifierName"], _term),
@@ -223,7 +224,7 @@ def mesh_headings() -> Column:
 
 def keyword_lists() -> Column:
     return _list(
-        MC["KeywordList"],
+        record.citation()["KeywordList"],
         lambda k: _obj(
             Owner=k["_Owner"],
             Keywords=_list(
@@ -245,12 +246,12 @@ def comments_corrections() -> Column:
             PMID=_maybe(p, _obj(Version=version, Value=strip(p["_VALUE"]))),
         )
 
-    return _list(MC["CommentsCorrectionsList"]["CommentsCorrections"], make)
+    return _list(record.citation()["CommentsCorrectionsList"]["CommentsCorrections"], make)
 
 
 def other_abstracts() -> Column:
     return _list(
-        MC["OtherAbstract"],
+        record.citation()["OtherAbstract"],
         lambda a: _obj(
             AbstractTexts=_list(
                 a["AbstractText"],
@@ -264,9 +265,10 @@ def other_abstracts() -> Column:
 
 
 def pubmed_data() -> Column:
-    id_list = PD["ArticleIdList"]["ArticleId"]
+    pd = record.pubmed_data()
+    id_list = pd["ArticleIdList"]["ArticleId"]
     refs = _list(
-        PD["ReferenceList"],
+        pd["ReferenceList"],
         lambda one: _obj(
             Title=strip(one["Title"]),
             References=_list(
@@ -282,20 +284,20 @@ def pubmed_data() -> Column:
         ),
     )
     objects = _list(
-        PD["ObjectList"]["Object"],
+        pd["ObjectList"]["Object"],
         lambda o: _obj(
             Type=o["_Type"],
             Params=_list(o["Param"], lambda p: _obj(Name=p["_Name"], Value=_run(p))),
         ),
     )
     return _maybe(
-        PD,
+        pd,
         _obj(
             **{
                 name: strip(F.coalesce(ids.first_id(id_list, name.lower()), F.lit("")))
                 for name in ("Doi", "Pii", "Pmcid")
             },
-            ObjectList=_maybe(PD["ObjectList"], objects),
+            ObjectList=_maybe(pd["ObjectList"], objects),
             ReferenceList=refs,
         ),
     )
@@ -303,30 +305,31 @@ def pubmed_data() -> Column:
 
 def documents(articles: DataFrame, keep=()) -> DataFrame:
     """Nested document columns of each article."""
-    info = MC["MedlineJournalInfo"]
-    genes = MC["GeneSymbolList"]
+    mc = record.citation()
+    info = mc["MedlineJournalInfo"]
+    genes = mc["GeneSymbolList"]
     fields = {
-        "Owner": MC["_Owner"],
-        "Status": MC["_Status"],
-        "VersionID": MC["_VersionID"],
-        "VersionDate": MC["_VersionDate"],
-        "IndexingMethod": MC["_IndexingMethod"],
+        "Owner": mc["_Owner"],
+        "Status": mc["_Status"],
+        "VersionID": mc["_VersionID"],
+        "VersionDate": mc["_VersionDate"],
+        "IndexingMethod": mc["_IndexingMethod"],
         "Article": article(),
         "ChemicalList": _list(
-            MC["ChemicalList"]["Chemical"],
+            mc["ChemicalList"]["Chemical"],
             lambda c: _obj(
                 RegistryNumber=strip(c["RegistryNumber"]),
                 NameOfSubstance=strip(c["NameOfSubstance"]["_VALUE"]),
                 UI=c["NameOfSubstance"]["_UI"],
             ),
         ),
-        "CitationSubsets": _texts(MC["CitationSubset"]),
-        "CoiStatement": _run(MC["CoiStatement"]),
+        "CitationSubsets": _texts(mc["CitationSubset"]),
+        "CoiStatement": _run(mc["CoiStatement"]),
         "CommentsCorrectionsList": comments_corrections(),
-        "DateCompleted": _date(MC["DateCompleted"]),
-        "DateRevised": _date(MC["DateRevised"]),
+        "DateCompleted": _date(mc["DateCompleted"]),
+        "DateRevised": _date(mc["DateRevised"]),
         "GeneralNotes": _list(
-            MC["GeneralNote"],
+            mc["GeneralNote"],
             lambda n: _obj(Owner=n["_Owner"], Value=strip(n["_VALUE"])),
         ),
         "GeneSymbolList": _maybe(genes, _texts(genes["GeneSymbol"])),
@@ -339,20 +342,20 @@ def documents(articles: DataFrame, keep=()) -> DataFrame:
             }
         ),
         "MeshHeadingList": mesh_headings(),
-        "NumberOfReferences": strip(MC["NumberOfReferences"]),
+        "NumberOfReferences": strip(mc["NumberOfReferences"]),
         "OtherAbstracts": other_abstracts(),
         "OtherIDs": _list(
-            MC["OtherID"],
+            mc["OtherID"],
             lambda o: _obj(Source=o["_Source"], Value=strip(o["_VALUE"])),
         ),
         "PersonalNameSubjectList": _list(
-            MC["PersonalNameSubjectList"]["PersonalNameSubject"],
+            mc["PersonalNameSubjectList"]["PersonalNameSubject"],
             lambda p: _obj(**_person(p)),
         ),
-        "PMID": _pmid(MC["PMID"]),
-        "SpaceFlightMissions": _texts(MC["SpaceFlightMission"]),
+        "PMID": _pmid(mc["PMID"]),
+        "SpaceFlightMissions": _texts(mc["SpaceFlightMission"]),
         "SupplMeshList": _list(
-            MC["SupplMeshList"]["SupplMeshName"],
+            mc["SupplMeshList"]["SupplMeshName"],
             lambda s: _obj(
                 Name=strip(s["_VALUE"]), Type=s["_Type"], UI=s["_UI"]
             ),

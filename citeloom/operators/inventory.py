@@ -19,7 +19,7 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
         .load(path)
     )
     return found.select(
-        files.base_name(F.col("path")).alias("file_name"), "path", "length"
+        files.corpus_name(F.col("path")).alias("file_name"), "path", "length"
     )
 
 

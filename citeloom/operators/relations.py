@@ -14,14 +14,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.functions import dates, ids
+from citeloom.functions import dates, ids, record
 from citeloom.functions.text import as_int, count_items, default, own_text, yes
 from citeloom.sources import schemas
 
-MC = F.col("MedlineCitation")
-ART = MC["Article"]
-PD = F.col("PubmedData")
-
 
 def _rows(items: Column, make: Callable[..., dict[str, Column]]) -> Column:
     """array<element> -> array<row>; `make` sees the element (and its index)."""
@@ -35,7 +31,7 @@ def _rows(items: Column, make: Callable[..., dict[str, Column]]) -> Column:
 
 
 def _open(articles: DataFrame, rows: Column, keep: Sequence[str]) -> DataFrame:
-    return articles.select(*keep, ids.pmid(MC).alias("pmid"), F.inline(rows))
+    return articles.select(*keep, ids.pmid(record.citation()).alias("pmid"), F.inline(rows))
 
 
 def main(
@@ -44,16 +40,17 @@ def main(
     text: str = "leading",
     free_text: str = "parsed",
 ) -> DataFrame:
-    journal = ART["Journal"]
+    mc, art, pd = record.citation(), record.article(), record.pubmed_data()
+    journal = art["Journal"]
     issue = journal["JournalIssue"]
-    keyword_lists = MC["KeywordList"]
+    keyword_lists = mc["KeywordList"]
     columns = {
-        "pmid": ids.pmid(MC),
-        "doi": ids.article_id(PD, "doi"),
-        "pii": ids.article_id(PD, "pii"),
-        "pmcid": ids.article_id(PD, "pmcid"),
-        "date_completed": dates.date_entry(MC["DateCompleted"]),
-        "date_revised": dates.date_entry(MC["DateRevised"]),
+        "pmid": ids.pmid(mc),
+        "doi": ids.article_id(pd, "doi"),
+        "pii": ids.article_id(pd, "pii"),
+        "pmcid": ids.article_id(pd, "pmcid"),
+        "date_completed": dates.date_entry(mc["DateCompleted"]),
+        "date_revised": dates.date_entry(mc["DateRevised"]),
         "issn_value": journal["ISSN"]["_VALUE"],
         "issn_type": journal["ISSN"]["_IssnType"],
         "journal_title": journal["Title"],
@@ -61,15 +58,15 @@ def main(
         "issue": issue["Issue"],
         "pub_date": dates.pub_date(issue["PubDate"], free_text),
         "iso_abbrev": journal["ISOAbbreviation"],
-        "title": own_text(ART["ArticleTitle"]["_VALUE"], text),
-        "vernacular_title": default(own_text(ART["VernacularTitle"]["_VALUE"], text)),
-        "pages": default(ART["Pagination"]["MedlinePgn"]),
-        "coi": own_text(MC["CoiStatement"]["_VALUE"], text),
-        "n_references": default(MC["NumberOfReferences"], "None"),
-        "n_chems": count_items(MC["ChemicalList"]["Chemical"]),
-        "n_supp_mesh": count_items(MC["SupplMeshList"]["SupplMeshName"]),
-        "n_mesh": count_items(MC["MeshHeadingList"]["MeshHeading"]),
-        "n_authors": count_items(ART["AuthorList"]["Author"]),
+        "title": own_text(art["ArticleTitle"]["_VALUE"], text),
+        "vernacular_title": default(own_text(art["VernacularTitle"]["_VALUE"], text)),
+        "pages": default(art["Pagination"]["MedlinePgn"]),
+        "coi": own_text(mc["CoiStatement"]["_VALUE"], text),
+        "n_references": default(mc["NumberOfReferences"], "None"),
+        "n_chems": count_items(mc["ChemicalList"]["Chemical"]),
+        "n_supp_mesh": count_items(mc["SupplMeshList"]["SupplMeshName"]),
+        "n_mesh": count_items(mc["MeshHeadingList"]["MeshHeading"]),
+        "n_authors": count_items(art["AuthorList"]["Author"]),
         "n_keyword_lists": count_items(keyword_lists),
         "n_keywords": count_items(
             F.flatten(F.filter(keyword_lists["Keyword"], lambda x: x.isNotNull()))
@@ -84,7 +81,7 @@ def abstract(
 ) -> DataFrame:
     """One `full` row per abstract, plus a row per part unless there is one part."""
     parts = F.coalesce(
-        ART["Abstract"]["AbstractText"], F.array().cast(schemas.ABSTRACT_TEXT)
+        record.article()["Abstract"]["AbstractText"], F.array().cast(schemas.ABSTRACT_TEXT)
     )
 
     def part_text(p: Column) -> Column:
@@ -115,7 +112,7 @@ def abstract(
     )
     only = own_text(F.get(parts, F.lit(0))["_VALUE"], text)
     rows = F.when(
-        ART["Abstract"].isNotNull(),
+        record.article()["Abstract"].isNotNull(),
         F.when(F.size(parts) == 1, F.array(full_row(only))).otherwise(
             F.concat(part_rows, F.array(full_row(together)))
         ),
@@ -126,7 +123,7 @@ def abstract(
 def authors(
     articles: DataFrame, keep: Sequence[str] = (), text: str = "leading"
 ) -> DataFrame:
-    people = ART["AuthorList"]["Author"]
+    people = record.article()["AuthorList"]["Author"]
 
     def make(a: Column, i: Column) -> dict[str, Column]:
         person = a["LastName"].isNotNull()
@@ -160,7 +157,7 @@ def authors(
 
 def chem(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     rows = _rows(
-        MC["ChemicalList"]["Chemical"],
+        record.citation()["ChemicalList"]["Chemical"],
         lambda c: {
             "registry_number": c["RegistryNumber"],
             "name": c["NameOfSubstance"]["_VALUE"],
@@ -172,7 +169,7 @@ def chem(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 def comments_corrections(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     rows = _rows(
-        MC["CommentsCorrectionsList"]["CommentsCorrections"],
+        record.citation()["CommentsCorrectionsList"]["CommentsCorrections"],
         lambda c: {
             "ref_type": c["_RefType"],
             "ref_source": c["RefSource"],
@@ -185,7 +182,7 @@ def comments_corrections(articles: DataFrame, keep: Sequence[str] = ()) -> DataF
 
 def data_bank(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """A row per accession number; a bank without a number list gives one row."""
-    banks = ART["DataBankList"]
+    banks = record.article()["DataBankList"]
     complete = yes(banks["_CompleteYN"])
 
     def bank_rows(b: Column) -> Column:
@@ -206,9 +203,9 @@ def data_bank(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def grants(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    complete = yes(ART["GrantList"]["_CompleteYN"])
+    complete = yes(record.article()["GrantList"]["_CompleteYN"])
     rows = _rows(
-        ART["GrantList"]["Grant"],
+        record.article()["GrantList"]["Grant"],
         lambda g: {
             "is_complete": complete,
             "grant_id": default(g["GrantID"]),
@@ -234,12 +231,12 @@ def keywords(
         )
 
     # a list without keywords must not turn the flattened array into NULL
-    lists = F.filter(MC["KeywordList"], lambda x: x["Keyword"].isNotNull())
+    lists = F.filter(record.citation()["KeywordList"], lambda x: x["Keyword"].isNotNull())
     return _open(articles, F.flatten(F.transform(lists, list_rows)), keep)
 
 
 def languages(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    return _open(articles, _rows(ART["Language"], lambda x: {"language": x}), keep)
+    return _open(articles, _rows(record.article()["Language"], lambda x: {"language": x}), keep)
 
 
 def mesh(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -260,20 +257,20 @@ def mesh(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
             ),
         )
 
-    headings = MC["MeshHeadingList"]["MeshHeading"]
+    headings = record.citation()["MeshHeadingList"]["MeshHeading"]
     return _open(articles, F.flatten(F.transform(headings, heading_rows)), keep)
 
 
 def notes(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     rows = _rows(
-        MC["GeneralNote"], lambda n: {"text": n["_VALUE"], "owner": n["_Owner"]}
+        record.citation()["GeneralNote"], lambda n: {"text": n["_VALUE"], "owner": n["_Owner"]}
     )
     return _open(articles, rows, keep)
 
 
 def personal_names(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     rows = _rows(
-        MC["PersonalNameSubjectList"]["PersonalNameSubject"],
+        record.citation()["PersonalNameSubjectList"]["PersonalNameSubject"],
         lambda p: {
             "last_name": p["LastName"],
             "fore_name": default(p["ForeName"]),
@@ -286,7 +283,7 @@ def personal_names(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 def pub_types(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     rows = _rows(
-        ART["PublicationTypeList"]["PublicationType"],
+        record.article()["PublicationTypeList"]["PublicationType"],
         lambda p: {"ui_id": p["_UI"], "value": p["_VALUE"]},
     )
     return _open(articles, rows, keep)
@@ -316,19 +313,19 @@ def refs(
 
     # the index counts every list, so empty ones are dropped after numbering
     lists = F.filter(
-        F.transform(PD["ReferenceList"], list_rows), lambda rows: rows.isNotNull()
+        F.transform(record.pubmed_data()["ReferenceList"], list_rows), lambda rows: rows.isNotNull()
     )
     return _open(articles, F.flatten(lists), keep)
 
 
 def space(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    rows = _rows(MC["SpaceFlightMission"], lambda x: {"mission": x})
+    rows = _rows(record.citation()["SpaceFlightMission"], lambda x: {"mission": x})
     return _open(articles, rows, keep)
 
 
 def supp_mesh(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     rows = _rows(
-        MC["SupplMeshList"]["SupplMeshName"],
+        record.citation()["SupplMeshList"]["SupplMeshName"],
         lambda s: {"type": s["_Type"], "ui_id": s["_UI"], "value": s["_VALUE"]},
     )
     return _open(articles, rows, keep)
@@ -362,11 +359,11 @@ def shred(articles: DataFrame, keep: Sequence[str] = ()) -> dict[str, DataFrame]
 
 def identifiers(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """The `ids` table: identifier pair and raw journal fields."""
-    journal = ART["Journal"]
+    journal = record.article()["Journal"]
     issue = journal["JournalIssue"]
     columns = {
-        "pmid": ids.pmid(MC),
-        "doi": ids.article_id(PD, "doi"),
+        "pmid": ids.pmid(record.citation()),
+        "doi": ids.article_id(record.pubmed_data(), "doi"),
         "journal_name": journal["Title"],
         "journal_volume": default(issue["Volume"]),
         "journal_year": as_int(default(issue["PubDate"]["Year"], "0")),
@@ -378,10 +375,10 @@ def identifiers(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 def identifier_pairs(articles: DataFrame) -> DataFrame:
     """PMID and DOI with the PMID taken from the identifier list when it can be."""
-    article = F.struct(MC.alias("MedlineCitation"), PD.alias("PubmedData"))
+    article = F.struct(record.citation().alias("MedlineCitation"), record.pubmed_data().alias("PubmedData"))
     return articles.select(
         ids.pmid_with_fallback(article).alias("pmid"),
-        ids.article_id(PD, "doi").alias("doi"),
+        ids.article_id(record.pubmed_data(), "doi").alias("doi"),
     )
 
 
@@ -406,8 +403,8 @@ def problems() -> Column:
     `kept = false` marks what keeps the article out of the tables; identifiers
     of an unknown source only lose that identifier.
     """
-    date = ART["Journal"]["JournalIssue"]["PubDate"]
-    people = ART["AuthorList"]["Author"]
+    date = record.article()["Journal"]["JournalIssue"]["PubDate"]
+    people = record.article()["AuthorList"]["Author"]
     none = F.array().cast("array<string>")
 
     def all_sources(identifiers) -> Column:
@@ -424,19 +421,19 @@ def problems() -> Column:
         at_first,
         lambda s: s.isNull() | ~s.isin("RINGGOLD", "ISNI", "GRID", "ORCID"),
     )
-    nested = F.exists(PD["ReferenceList"], lambda r: r["ReferenceList"].isNotNull())
+    nested = F.exists(record.pubmed_data()["ReferenceList"], lambda r: r["ReferenceList"].isNotNull())
     date_problem = dates.pub_date_problem(date)
 
     def bad_date(name: str) -> Column:
-        return MC[name].isNotNull() & dates.date_entry(MC[name]).isNull()
+        return record.citation()[name].isNotNull() & dates.date_entry(record.citation()[name]).isNull()
 
     return _problems(
         {
-            "bad_pmid": (ids.pmid(MC).isNull(), MC["PMID"]["_VALUE"], False),
+            "bad_pmid": (ids.pmid(record.citation()).isNull(), record.citation()["PMID"]["_VALUE"], False),
             "bad_pub_date": (date_problem.isNotNull(), date_problem, False),
             "nested_reference_list": (F.coalesce(nested, F.lit(False)), F.lit(None), False),
-            "bad_date_completed": (bad_date("DateCompleted"), F.to_json(MC["DateCompleted"]), True),
-            "bad_date_revised": (bad_date("DateRevised"), F.to_json(MC["DateRevised"]), True),
+            "bad_date_completed": (bad_date("DateCompleted"), F.to_json(record.citation()["DateCompleted"]), True),
+            "bad_date_revised": (bad_date("DateRevised"), F.to_json(record.citation()["DateRevised"]), True),
             "unknown_author_id_source": (
                 F.coalesce(F.size(unknown_own) > 0, F.lit(False)),
                 F.array_join(unknown_own, ",", "NULL"),

@@ -8,16 +8,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from citeloom.functions.files import corpus_name
+from citeloom.functions.ids import article_id
+from citeloom.functions.text import as_int
 from citeloom.sources import schemas
 
 CORRUPT = "_corrupt_record"
 MODES = ("FAILFAST", "PERMISSIVE")
 
 
+def _file_name() -> Column:
+    return corpus_name(F.col("_metadata.file_path")).alias("file_name")
+
+
 def _reader(source, tag: str, schema: T.StructType, mode: str):
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -50,16 +57,19 @@ def scan_articles(
 
 
 def _with_lineage(df: DataFrame, mode: str) -> DataFrame:
-    corrupt = F.col(CORRUPT).isNotNull() if mode == "PERMISSIVE" else F.lit(False)
     return df.select(
         "MedlineCitation",
         "PubmedData",
-        F.col("_metadata.file_name").alias("file_name"),
+        _file_name(),
         F.monotonically_increasing_id().alias("seq"),
-        corrupt.alias("is_corrupt"),
+        _is_corrupt(mode).alias("is_corrupt"),
     )
 
 
+def _is_corrupt(mode: str) -> Column:
+    return F.col(CORRUPT).isNotNull() if mode == "PERMISSIVE" else F.lit(False)
+
+
 def stream_articles(
     spark: SparkSession, path: str, max_files_per_trigger: int = 100
 ) -> DataFrame:
@@ -69,27 +79,34 @@ def stream_articles(
     )
     df = reader.option("maxFilesPerTrigger", max_files_per_trigger).load(path)
     return df.select(
-        "MedlineCitation", "PubmedData", F.col("_metadata.file_name").alias("file_name")
+        "MedlineCitation", "PubmedData", _file_name()
     )
 
 
-def _deletes(df: DataFrame) -> DataFrame:
-    return df.select(
-        F.posexplode("PMID._VALUE").alias("seq", "value"),
-        F.col("_metadata.file_name").alias("file_name"),
-    ).select(
-        F.col("value").try_cast("int").alias("pmid"),
+def _deletes(df: DataFrame, corrupt: Column) -> DataFrame:
+    opened = df.select(
+        F.posexplode_outer("PMID._VALUE").alias("seq", "value"),
+        _file_name(),
+        corrupt.alias("is_corrupt"),
+    )
+    return opened.select(
+        "value",
+        as_int(F.col("value")).alias("pmid"),
         "file_name",
         F.col("seq").cast("bigint").alias("seq"),
+        "is_corrupt",
     )
 
 
 def scan_deletes(
     spark: SparkSession, paths: str | Sequence[str], mode: str = "FAILFAST"
 ) -> DataFrame:
-    """Every PMID of the delete lists: (pmid, file_name, seq)."""
+    """Every PMID of the delete lists: (value, pmid, file_name, seq, is_corrupt).
+
+    `value` is the PMID as written, for those that are no number.
+    """
     df = _reader(spark.read, schemas.DELETE_TAG, schemas.DELETE_CITATION, mode).load(paths)
-    return _deletes(df)
+    return _deletes(df, _is_corrupt(mode))
 
 
 def stream_deletes(
@@ -98,13 +115,12 @@ def stream_deletes(
     reader = _reader(
         spark.readStream, schemas.DELETE_TAG, schemas.DELETE_CITATION, "FAILFAST"
     )
-    return _deletes(reader.option("maxFilesPerTrigger", max_files_per_trigger).load(path))
+    df = reader.option("maxFilesPerTrigger", max_files_per_trigger).load(path)
+    return _deletes(df, F.lit(False))
 
 
 def records_per_file(articles: DataFrame, deletes: DataFrame | None = None) -> DataFrame:
     """Records, records with a DOI and delete lists of each file."""
-    from citeloom.functions.ids import article_id
-
     counted = articles.select(
         "file_name",
         F.lit(1).alias("is_article"),
@@ -133,7 +149,7 @@ def count_books(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     df = _reader(spark.read, schemas.BOOK_TAG, schema, "PERMISSIVE").load(paths)
     return (
         df.filter(F.col(CORRUPT).isNull())
-        .select(F.col("_metadata.file_name").alias("file_name"))
+        .select(_file_name())
         .groupBy("file_name")
         .agg(F.count("*").alias("n_books"))
     )
