@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from citeloom.plans.scratch import spread
 from citeloom.sources import schemas
 
 
@@ -121,7 +122,8 @@ def bib_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     `labels` gives the optional PubmedData side.
     """
-    docs = table(spark, sf_dir, "documents")
+    # one CPU-heavy projection per text: use every core even for a single file
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
     labels = table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("label_id"), "quality", "toxic"
     )
