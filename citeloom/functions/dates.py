@@ -19,8 +19,8 @@ DATE_FORMAT = "%s-%02d-%02d"
 
 
 def _decode(key: Column, table: dict[str, int]) -> Column:
-    pairs = [F.lit(x) for item in table.items() for x in item]
-    return F.element_at(F.create_map(*pairs), F.coalesce(key, F.lit("")))
+    pairs = ", ".join(f"'{name}', {number}" for name, number in table.items())
+    return F.element_at(F.expr(f"map({pairs})"), F.coalesce(key, F.lit("")))
 
 
 def ymd(year: Column, month: Column, day: Column) -> Column:

@@ -14,5 +14,10 @@ def article() -> Column:
     return citation()["Article"]
 
 
+def at(path: str) -> Column:
+    """A field of the citation by its dotted path."""
+    return F.col("MedlineCitation." + path)
+
+
 def pubmed_data() -> Column:
     return F.col("PubmedData")

@@ -23,12 +23,11 @@ def _maybe(source: Column, value: Column) -> Column:
 
 
 def _list(items: Column, make) -> Column:
-    made = F.transform(items, make)
-    return F.coalesce(made, F.filter(F.array(make(F.get(items, F.lit(0)))), lambda _: F.lit(False)))
+    return F.coalesce(F.transform(items, make), F.array())
 
 
 def _texts(items: Column) -> Column:
-    return F.coalesce(F.transform(items, strip), F.array().cast("array<string>"))
+    return _list(items, strip)
 
 
 def _run(element: Column, text: str = "leading") -> Column:

@@ -40,38 +40,40 @@ def main(
     text: str = "leading",
     free_text: str = "parsed",
 ) -> DataFrame:
-    mc, art, pd = record.citation(), record.article(), record.pubmed_data()
-    journal = art["Journal"]
-    issue = journal["JournalIssue"]
-    keyword_lists = mc["KeywordList"]
+    mc, pd = record.citation(), record.pubmed_data()
+    issue = "Article.Journal.JournalIssue"
+    keyword_lists = record.at("KeywordList")
     columns = {
         "pmid": ids.pmid(mc),
         "doi": ids.article_id(pd, "doi"),
         "pii": ids.article_id(pd, "pii"),
         "pmcid": ids.article_id(pd, "pmcid"),
-        "date_completed": dates.date_entry(mc["DateCompleted"]),
-        "date_revised": dates.date_entry(mc["DateRevised"]),
-        "issn_value": journal["ISSN"]["_VALUE"],
-        "issn_type": journal["ISSN"]["_IssnType"],
-        "journal_title": journal["Title"],
-        "volume": issue["Volume"],
-        "issue": issue["Issue"],
-        "pub_date": dates.pub_date(issue["PubDate"], free_text),
-        "iso_abbrev": journal["ISOAbbreviation"],
-        "title": own_text(art["ArticleTitle"]["_VALUE"], text),
-        "vernacular_title": default(own_text(art["VernacularTitle"]["_VALUE"], text)),
-        "pages": default(art["Pagination"]["MedlinePgn"]),
-        "coi": own_text(mc["CoiStatement"]["_VALUE"], text),
-        "n_references": default(mc["NumberOfReferences"], "None"),
-        "n_chems": count_items(mc["ChemicalList"]["Chemical"]),
-        "n_supp_mesh": count_items(mc["SupplMeshList"]["SupplMeshName"]),
-        "n_mesh": count_items(mc["MeshHeadingList"]["MeshHeading"]),
-        "n_authors": count_items(art["AuthorList"]["Author"]),
+        "date_completed": dates.date_entry(record.at("DateCompleted")),
+        "date_revised": dates.date_entry(record.at("DateRevised")),
+        "issn_value": record.at("Article.Journal.ISSN._VALUE"),
+        "issn_type": record.at("Article.Journal.ISSN._IssnType"),
+        "journal_title": record.at("Article.Journal.Title"),
+        "volume": record.at(f"{issue}.Volume"),
+        "issue": record.at(f"{issue}.Issue"),
+        "pub_date": dates.pub_date(record.at(f"{issue}.PubDate"), free_text),
+        "iso_abbrev": record.at("Article.Journal.ISOAbbreviation"),
+        "title": own_text(record.at("Article.ArticleTitle._VALUE"), text),
+        "vernacular_title": default(own_text(record.at("Article.VernacularTitle._VALUE"), text)),
+        "pages": default(record.at("Article.Pagination.MedlinePgn")),
+        "coi": own_text(record.at("CoiStatement._VALUE"), text),
+        "n_references": default(record.at("NumberOfReferences"), "None"),
+        "n_chems": count_items(record.at("ChemicalList.Chemical")),
+        "n_supp_mesh": count_items(record.at("SupplMeshList.SupplMeshName")),
+        "n_mesh": count_items(record.at("MeshHeadingList.MeshHeading")),
+        "n_authors": count_items(record.at("Article.AuthorList.Author")),
         "n_keyword_lists": count_items(keyword_lists),
-        "n_keywords": count_items(
-            F.flatten(F.filter(keyword_lists["Keyword"], lambda x: x.isNotNull()))
+        "n_keywords": F.coalesce(
+            F.aggregate(
+                keyword_lists, F.lit(0), lambda n, x: n + count_items(x["Keyword"])
+            ),
+            F.lit(0),
         ),
-        "medline_date_raw": issue["PubDate"]["MedlineDate"],
+        "medline_date_raw": record.at(f"{issue}.PubDate.MedlineDate"),
     }
     return articles.select(*keep, *[c.alias(n) for n, c in columns.items()])
 
@@ -81,7 +83,7 @@ def abstract(
 ) -> DataFrame:
     """One `full` row per abstract, plus a row per part unless there is one part."""
     parts = F.coalesce(
-        record.article()["Abstract"]["AbstractText"], F.array().cast(schemas.ABSTRACT_TEXT)
+        record.at("Article.Abstract.AbstractText"), F.array().cast(schemas.ABSTRACT_TEXT)
     )
 
     def part_text(p: Column) -> Column:
@@ -112,7 +114,7 @@ def abstract(
     )
     only = own_text(F.get(parts, F.lit(0))["_VALUE"], text)
     rows = F.when(
-        record.article()["Abstract"].isNotNull(),
+        record.at("Article.Abstract").isNotNull(),
         F.when(F.size(parts) == 1, F.array(full_row(only))).otherwise(
             F.concat(part_rows, F.array(full_row(together)))
         ),
@@ -123,7 +125,7 @@ def abstract(
 def authors(
     articles: DataFrame, keep: Sequence[str] = (), text: str = "leading"
 ) -> DataFrame:
-    people = record.article()["AuthorList"]["Author"]
+    people = record.at("Article.AuthorList.Author")
 
     def make(a: Column, i: Column) -> dict[str, Column]:
         person = a["LastName"].isNotNull()
@@ -157,7 +159,7 @@ def authors(
 
 def chem(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     rows = _rows(
-        record.citation()["ChemicalList"]["Chemical"],
+        record.at("ChemicalList.Chemical"),
         lambda c: {
             "registry_number": c["RegistryNumber"],
             "name": c["NameOfSubstance"]["_VALUE"],
@@ -169,7 +171,7 @@ def chem(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 def comments_corrections(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     rows = _rows(
-        record.citation()["CommentsCorrectionsList"]["CommentsCorrections"],
+        record.at("CommentsCorrectionsList.CommentsCorrections"),
         lambda c: {
             "ref_type": c["_RefType"],
             "ref_source": c["RefSource"],
@@ -182,7 +184,7 @@ def comments_corrections(articles: DataFrame, keep: Sequence[str] = ()) -> DataF
 
 def data_bank(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """A row per accession number; a bank without a number list gives one row."""
-    banks = record.article()["DataBankList"]
+    banks = record.at("Article.DataBankList")
     complete = yes(banks["_CompleteYN"])
 
     def bank_rows(b: Column) -> Column:
@@ -203,9 +205,9 @@ def data_bank(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def grants(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    complete = yes(record.article()["GrantList"]["_CompleteYN"])
+    complete = yes(record.at("Article.GrantList._CompleteYN"))
     rows = _rows(
-        record.article()["GrantList"]["Grant"],
+        record.at("Article.GrantList.Grant"),
         lambda g: {
             "is_complete": complete,
             "grant_id": default(g["GrantID"]),
@@ -231,12 +233,12 @@ def keywords(
         )
 
     # a list without keywords must not turn the flattened array into NULL
-    lists = F.filter(record.citation()["KeywordList"], lambda x: x["Keyword"].isNotNull())
+    lists = F.filter(record.at("KeywordList"), lambda x: x["Keyword"].isNotNull())
     return _open(articles, F.flatten(F.transform(lists, list_rows)), keep)
 
 
 def languages(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    return _open(articles, _rows(record.article()["Language"], lambda x: {"language": x}), keep)
+    return _open(articles, _rows(record.at("Article.Language"), lambda x: {"language": x}), keep)
 
 
 def mesh(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -257,20 +259,20 @@ def mesh(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
             ),
         )
 
-    headings = record.citation()["MeshHeadingList"]["MeshHeading"]
+    headings = record.at("MeshHeadingList.MeshHeading")
     return _open(articles, F.flatten(F.transform(headings, heading_rows)), keep)
 
 
 def notes(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     rows = _rows(
-        record.citation()["GeneralNote"], lambda n: {"text": n["_VALUE"], "owner": n["_Owner"]}
+        record.at("GeneralNote"), lambda n: {"text": n["_VALUE"], "owner": n["_Owner"]}
     )
     return _open(articles, rows, keep)
 
 
 def personal_names(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     rows = _rows(
-        record.citation()["PersonalNameSubjectList"]["PersonalNameSubject"],
+        record.at("PersonalNameSubjectList.PersonalNameSubject"),
         lambda p: {
             "last_name": p["LastName"],
             "fore_name": default(p["ForeName"]),
@@ -283,7 +285,7 @@ def personal_names(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 def pub_types(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     rows = _rows(
-        record.article()["PublicationTypeList"]["PublicationType"],
+        record.at("Article.PublicationTypeList.PublicationType"),
         lambda p: {"ui_id": p["_UI"], "value": p["_VALUE"]},
     )
     return _open(articles, rows, keep)
@@ -313,19 +315,19 @@ def refs(
 
     # the index counts every list, so empty ones are dropped after numbering
     lists = F.filter(
-        F.transform(record.pubmed_data()["ReferenceList"], list_rows), lambda rows: rows.isNotNull()
+        F.transform(F.col("PubmedData.ReferenceList"), list_rows), lambda rows: rows.isNotNull()
     )
     return _open(articles, F.flatten(lists), keep)
 
 
 def space(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    rows = _rows(record.citation()["SpaceFlightMission"], lambda x: {"mission": x})
+    rows = _rows(record.at("SpaceFlightMission"), lambda x: {"mission": x})
     return _open(articles, rows, keep)
 
 
 def supp_mesh(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     rows = _rows(
-        record.citation()["SupplMeshList"]["SupplMeshName"],
+        record.at("SupplMeshList.SupplMeshName"),
         lambda s: {"type": s["_Type"], "ui_id": s["_UI"], "value": s["_VALUE"]},
     )
     return _open(articles, rows, keep)
@@ -359,7 +361,7 @@ def shred(articles: DataFrame, keep: Sequence[str] = ()) -> dict[str, DataFrame]
 
 def identifiers(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """The `ids` table: identifier pair and raw journal fields."""
-    journal = record.article()["Journal"]
+    journal = record.at("Article.Journal")
     issue = journal["JournalIssue"]
     columns = {
         "pmid": ids.pmid(record.citation()),
@@ -403,8 +405,8 @@ def problems() -> Column:
     `kept = false` marks what keeps the article out of the tables; identifiers
     of an unknown source only lose that identifier.
     """
-    date = record.article()["Journal"]["JournalIssue"]["PubDate"]
-    people = record.article()["AuthorList"]["Author"]
+    date = record.at("Article.Journal.JournalIssue.PubDate")
+    people = record.at("Article.AuthorList.Author")
     none = F.array().cast("array<string>")
 
     def all_sources(identifiers) -> Column:
@@ -421,7 +423,7 @@ def problems() -> Column:
         at_first,
         lambda s: s.isNull() | ~s.isin("RINGGOLD", "ISNI", "GRID", "ORCID"),
     )
-    nested = F.exists(record.pubmed_data()["ReferenceList"], lambda r: r["ReferenceList"].isNotNull())
+    nested = F.exists(F.col("PubmedData.ReferenceList"), lambda r: r["ReferenceList"].isNotNull())
     date_problem = dates.pub_date_problem(date)
 
     def bad_date(name: str) -> Column:
@@ -429,11 +431,11 @@ def problems() -> Column:
 
     return _problems(
         {
-            "bad_pmid": (ids.pmid(record.citation()).isNull(), record.citation()["PMID"]["_VALUE"], False),
+            "bad_pmid": (ids.pmid(record.citation()).isNull(), record.at("PMID._VALUE"), False),
             "bad_pub_date": (date_problem.isNotNull(), date_problem, False),
             "nested_reference_list": (F.coalesce(nested, F.lit(False)), F.lit(None), False),
-            "bad_date_completed": (bad_date("DateCompleted"), F.to_json(record.citation()["DateCompleted"]), True),
-            "bad_date_revised": (bad_date("DateRevised"), F.to_json(record.citation()["DateRevised"]), True),
+            "bad_date_completed": (bad_date("DateCompleted"), F.to_json(record.at("DateCompleted")), True),
+            "bad_date_revised": (bad_date("DateRevised"), F.to_json(record.at("DateRevised")), True),
             "unknown_author_id_source": (
                 F.coalesce(F.size(unknown_own) > 0, F.lit(False)),
                 F.array_join(unknown_own, ",", "NULL"),

@@ -117,11 +117,23 @@ def bib_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_PLANS: dict[tuple[str, str], DataFrame] = {}
+
+
 def bib_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as nested articles: lines and words become the children.
+    """Documents as nested articles; the unexecuted plan is kept for the session.
 
-    `labels` gives the optional PubmedData side.
+    Putting the few hundred expressions together takes seconds, so they are
+    built once.  No data is cached.
     """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PLANS:
+        _PLANS[key] = _articles(spark, sf_dir)
+    return _PLANS[key]
+
+
+def _articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and words become the children; `labels` gives the PubmedData side."""
     # one CPU-heavy projection per text: use every core even for a single file
     docs = spread(table(spark, sf_dir, "documents"), "doc_id")
     labels = table(spark, sf_dir, "labels").select(

@@ -11,7 +11,7 @@ from citeloom.functions import dates
 from citeloom.operators import changes, documents, inventory, lookup, ordinals, relations
 from citeloom.plans import driver_views as v
 from citeloom.plans.driver_corpus import write_corpus
-from citeloom.plans.scratch import new_path
+from citeloom.plans.scratch import new_path, spread
 from citeloom.plans.store import Store
 from citeloom.sources import schemas, tsv, xml
 from citeloom.streaming.ingest import ChangeLog, ingest
@@ -267,9 +267,10 @@ def _order_dates(spark, d) -> DataFrame:
         .when(form == 8, v.text(year, " ", season)),
     }
     t = schemas.ARTICLE["Journal"].dataType["JournalIssue"].dataType["PubDate"].dataType
-    return v.table(spark, d, "orders").select(
+    dated = v.table(spark, d, "orders").select(
         F.col("o_orderkey").alias("pmid"), form.alias("form"), v.build(t, date).alias("date")
     )
+    return spread(dated, "pmid")
 
 
 @query
@@ -541,10 +542,10 @@ def xml_store_snapshot(spark, d):
 
 @query
 def xml_stream_snapshot(spark, d):
-    """The same corpus applied by the streaming ingest, a third of it at a time."""
+    """The same corpus applied by the streaming ingest in two micro-batches."""
     corpus = _events_corpus(spark, d)
     store = Store(spark, new_path(spark, "store"))
-    ingest(store, corpus, new_path(spark, "stream"), 15).awaitTermination()
+    ingest(store, corpus, new_path(spark, "stream"), 15, ["ids"]).awaitTermination()
     return store.read("ids").select("pmid", "doi")
 
 

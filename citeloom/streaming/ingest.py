@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from citeloom.functions.files import GZ_SUFFIX
 from citeloom.operators import changes
-from citeloom.plans.store import Store
+from citeloom.plans.store import KEYED, Store
+
+
+BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def new_files(spark: SparkSession, path: str, max_files_per_trigger: int) -> DataFrame:
     """Stream of file paths; contents are not read here."""
     return (
         spark.readStream.format("binaryFile")
+        .schema(BINARY_FILE)
         .option("pathGlobFilter", "*" + GZ_SUFFIX)
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .load(path)
@@ -23,7 +29,11 @@ def new_files(spark: SparkSession, path: str, max_files_per_trigger: int) -> Dat
 
 
 def ingest(
-    store: Store, path: str, checkpoint: str, max_files_per_trigger: int = 100
+    store: Store,
+    path: str,
+    checkpoint: str,
+    max_files_per_trigger: int = 100,
+    tables: Iterable[str] = KEYED,
 ) -> StreamingQuery:
     """Apply every file once and stop when none is left.
 
@@ -35,7 +45,7 @@ def ingest(
         # at most `max_files_per_trigger` names
         paths = [r.path for r in batch.collect()]
         if paths:
-            store.apply(paths)
+            store.apply(paths, tables=tables)
 
     return (
         new_files(store.spark, path, max_files_per_trigger)
