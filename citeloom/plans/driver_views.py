@@ -49,7 +49,7 @@ def items(schema: T.ArrayType, source: Column, make) -> Column:
 def bib_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
-    pair = F.floor(key / F.lit(2)).cast("bigint")
+    pair = F.expr("o_orderkey div 2")
     return orders.select(
         key.alias("pmid"),
         F.when(key % 7 == 0, F.lit("")).otherwise(text("10.1000/X", pair)).alias("doi"),
