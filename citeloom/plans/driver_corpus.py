@@ -67,12 +67,17 @@ def write_corpus(rows: DataFrame, path: str) -> str:
         .otherwise(_article("PubmedArticle"))
         .alias("value"),
     )
+    return write_lines(records, path)
+
+
+def write_lines(records: DataFrame, path: str) -> str:
+    """Write (file, kind, seq, value) records, each file framed by its root tags."""
     frame = F.array(
         F.struct(F.lit(HEADER).alias("kind"), F.lit("<PubmedArticleSet>").alias("value")),
         F.struct(F.lit(FOOTER).alias("kind"), F.lit("</PubmedArticleSet>").alias("value")),
     )
-    files = rows.select(F.col("file_name").alias("file")).distinct()
-    ends = files.select("file", F.inline(frame)).withColumn("seq", F.lit(0).cast("bigint"))
+    ends = records.select("file").distinct()
+    ends = ends.select("file", F.inline(frame)).withColumn("seq", F.lit(0).cast("bigint"))
     lines = records.unionByName(ends)
     # one gzip file is one unit of work anyway, so one task writes it
     lines = lines.repartition("file").sortWithinPartitions("file", "kind", "seq")

@@ -27,6 +27,12 @@ winners AS (
              ORDER BY file_name DESC, (op = 'D') DESC, seq DESC) AS rn
     FROM changes) WHERE rn = 1)"""
 
+# the same order under the names of the XML corpus, which bound a file's rows
+XML_CHANGES = CHANGES.replace(
+    "lpad(CAST(day(ts) AS VARCHAR), 4, '0')",
+    "lpad(CAST(day(ts) AS VARCHAR), 2, '0') || lpad(CAST(event_id // 1000000 AS VARCHAR), 6, '0')",
+)
+
 CHILDREN = """
 children AS (
   SELECT l_orderkey AS pmid, l_linenumber, 'D' || l_partkey AS ui_id,
@@ -560,12 +566,13 @@ SELECT CAST(pmid AS INTEGER) AS pmid, doi, journal_name, journal_volume, journal
     "xml_records_per_file": _q(
         IDS,
         """
-SELECT 'pubmed' || substr(CAST(journal_year AS VARCHAR), 3, 2) || 'n0001.xml.gz' AS file_name,
+SELECT 'pubmed' || substr(CAST(journal_year AS VARCHAR), 3, 2) || 'n'
+         || lpad(CAST(pmid // 1000000 AS VARCHAR), 8, '0') || '.xml.gz' AS file_name,
        count(*) AS n_articles, count(*) FILTER (doi <> '') AS n_doi
-FROM ids GROUP BY journal_year""",
+FROM ids GROUP BY ALL""",
     ),
     "xml_deleted_log": _q(
-        CHANGES,
+        XML_CHANGES,
         "SELECT CAST(pmid AS INTEGER) AS pmid, file_name FROM changes WHERE op = 'D'",
     ),
     "stream_snapshot": _q(
@@ -575,12 +582,15 @@ FROM ids GROUP BY journal_year""",
 }
 
 STORE_SNAPSHOT = _q(
-    f"{CHANGES},{FILE_ORDER}",
+    f"{XML_CHANGES},{FILE_ORDER}",
     "SELECT CAST(pmid AS INTEGER) AS pmid, doi FROM winners WHERE op = 'U'",
 )
 ORACLE["xml_store_snapshot"] = STORE_SNAPSHOT
 ORACLE["xml_stream_snapshot"] = STORE_SNAPSHOT
 
+for _relation in ("author_rows", "abstract_rows"):
+    ORACLE[f"xml_{_relation}"] = ORACLE[_relation]
+
 # Tab separated files do not tell an empty text from a missing one.
 ORACLE["tsv_round_trip"] = (
     "SELECT pmid, element_id, nullif(label, '') AS label, nullif(category, '') AS category,"

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from citeloom.functions import dates
 from citeloom.operators import changes, documents, inventory, lookup, ordinals, relations
 from citeloom.plans import driver_views as v
-from citeloom.plans.driver_corpus import write_corpus
+from citeloom.plans.driver_corpus import ARTICLE, write_corpus, write_lines
 from citeloom.plans.scratch import new_path, spread
 from citeloom.plans.store import Store
 from citeloom.sources import schemas, tsv, xml
@@ -489,11 +489,25 @@ def tsv_main_round_trip(spark, d):
     )
 
 
+# Rows of one corpus file: a gzip file is one task, so its size is bounded.
+FILE_ROWS = 1_000_000
+FILE_DOCUMENTS = 1_000
+
+
+def _numbered(year, *number):
+    """Corpus file name whose number has eight digits, in lexical order."""
+    return v.text("pubmed", year, "n", *number, ".xml.gz")
+
+
 def _ids_corpus(spark, d) -> str:
-    """Identifiers of the orders as one XML corpus file per year."""
-    name = v.text("pubmed", F.substring(F.col("journal_year").cast("string"), 3, 2), "n0001.xml.gz")
+    """Identifiers of the orders as XML corpus files by year and key range."""
+    year = F.substring(F.col("journal_year").cast("string"), 3, 2)
+    part = F.lpad(F.expr(f"pmid div {FILE_ROWS}").cast("string"), 8, "0")
     rows = v.bib_ids(spark, d).select(
-        name.alias("file_name"), F.lit("U").alias("op"), F.col("pmid").alias("seq"), "*"
+        _numbered(year, part).alias("file_name"),
+        F.lit("U").alias("op"),
+        F.col("pmid").alias("seq"),
+        "*",
     )
     return write_corpus(rows, new_path(spark, "corpus"))
 
@@ -510,28 +524,59 @@ def xml_records_per_file(spark, d):
     return xml.records_per_file(articles).select("file_name", "n_articles", "n_doi")
 
 
-def _events_corpus(spark, d) -> str:
-    rows = v.bib_changes(spark, d).select(
+def _articles_corpus(spark, d, *parts: str) -> DataFrame:
+    """Documents written as XML articles with the given parts, and scanned again."""
+    pmid = F.col("MedlineCitation.PMID._VALUE").cast("bigint")
+    body = F.struct(*[F.col(f"MedlineCitation.Article.{p}").alias(p) for p in parts])
+    citation = F.struct(F.col("MedlineCitation.PMID").alias("PMID"), body.alias("Article"))
+    number = F.lpad(F.floor(pmid / FILE_DOCUMENTS).cast("string"), 8, "0")
+    records = v.bib_articles(spark, d).select(
+        _numbered("24", number).alias("file"),
+        F.lit(ARTICLE).alias("kind"),
+        pmid.alias("seq"),
+        F.to_xml(
+            F.struct(citation.alias("MedlineCitation")), {"rowTag": schemas.ARTICLE_TAG}
+        ).alias("value"),
+    )
+    return xml.scan_articles(spark, write_lines(records, new_path(spark, "corpus")))
+
+
+@query
+def xml_author_rows(spark, d):
+    return relations.authors(_articles_corpus(spark, d, "AuthorList"))
+
+
+@query
+def xml_abstract_rows(spark, d):
+    return relations.abstract(_articles_corpus(spark, d, "Abstract"))
+
+
+def _events_corpus(spark, d) -> tuple[str, DataFrame]:
+    """Change rows of the events as corpus files by day and sequence range."""
+    day = F.substring("file_name", 12, 2)
+    part = F.lpad(F.expr(f"seq div {FILE_ROWS}").cast("string"), 6, "0")
+    rows = v.bib_changes(spark, d).withColumn("file_name", _numbered("24", day, part))
+    rows = rows.select(
         "*",
         F.lit("J").alias("journal_name"),
         F.lit("1").alias("journal_volume"),
         F.lit(2024).alias("journal_year"),
         F.lit("1").alias("journal_month"),
     )
-    return write_corpus(rows, new_path(spark, "corpus"))
+    return write_corpus(rows, new_path(spark, "corpus")), rows.select("file_name").distinct()
 
 
 @query
 def xml_deleted_log(spark, d):
     """Delete lists of the corpus, one row per entry."""
-    return xml.scan_deletes(spark, _events_corpus(spark, d)).select("pmid", "file_name")
+    return xml.scan_deletes(spark, _events_corpus(spark, d)[0]).select("pmid", "file_name")
 
 
 @query
 def xml_store_snapshot(spark, d):
     """Corpus files applied by the batch loader in two calls, newer files first."""
-    corpus = _events_corpus(spark, d)
-    names = [r.file_name for r in v.bib_files(spark, d).orderBy("file_name").collect()]
+    corpus, files = _events_corpus(spark, d)
+    names = [r.file_name for r in files.orderBy("file_name").collect()]
     paths = [f"{corpus}/file={n}" for n in names]
     store = Store(spark, new_path(spark, "store"))
     half = len(paths) // 2
@@ -543,7 +588,7 @@ def xml_store_snapshot(spark, d):
 @query
 def xml_stream_snapshot(spark, d):
     """The same corpus applied by the streaming ingest in two micro-batches."""
-    corpus = _events_corpus(spark, d)
+    corpus, _ = _events_corpus(spark, d)
     store = Store(spark, new_path(spark, "store"))
     ingest(store, corpus, new_path(spark, "stream"), 15, ["ids"]).awaitTermination()
     return store.read("ids").select("pmid", "doi")
@@ -554,7 +599,8 @@ def stream_snapshot(spark, d):
     """Change rows arriving as files; the state is that of the whole log."""
     source = new_path(spark, "changes")
     rows = v.bib_changes(spark, d)
-    rows.repartition("file_name").write.partitionBy("file_name").parquet(source)
+    part = F.expr(f"seq div {FILE_ROWS}")
+    rows.repartition("file_name", part).write.partitionBy("file_name").parquet(source)
     stream = (
         spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 10).parquet(source)
     )

@@ -147,9 +147,10 @@ def count_books(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Book articles per file; they are counted, not shredded."""
     schema = T.StructType([T.StructField("BookDocument", T.StringType())])
     df = _reader(spark.read, schemas.BOOK_TAG, schema, "PERMISSIVE").load(paths)
+    # a malformed record has no document
     return (
-        df.filter(F.col(CORRUPT).isNull())
-        .select(_file_name())
+        df.select("BookDocument", _file_name())
         .groupBy("file_name")
-        .agg(F.count("*").alias("n_books"))
+        .agg(F.count("BookDocument").alias("n_books"))
+        .filter("n_books > 0")
     )
