@@ -75,8 +75,8 @@ def medline_date(text: Column) -> Column:
 def pub_date(date: Column, free_text: str = "parsed") -> Column:
     """Publication date of a journal issue.
 
-    `free_text="constant"` gives every free-text date the one constant value
-    that the tables of the original loader hold.
+    `free_text="constant"` gives every free-text date one constant value, for
+    tables that were loaded that way.
     """
     if free_text == "parsed":
         loose = medline_date(date["MedlineDate"])
