@@ -172,6 +172,16 @@ ORACLE: dict[str, str] = {
             for x in ("10.1000/x2", "10.1000/X3", "10.9/none")
         ),
     ),
+    "lookup_single_bodies": _q(
+        IDS,
+        """
+SELECT '{"status":0,"message":"success","doi":"' || doi || '"}' AS body FROM ids WHERE pmid = 5
+UNION ALL
+SELECT '{"status":0,"message":"success","pmid":' || min(pmid) || '}' FROM ids
+WHERE lower(doi) = '10.1000/x2'
+UNION ALL
+SELECT '{"status":2,"message":"doi value not found in database","pmid":null}'""",
+    ),
     "lookup_batch_pmid_doi": _q(
         f"{IDS}, {BY_PMID}, {_request(PMID_REQUEST)}",
         f"""
@@ -575,6 +585,14 @@ FROM ids GROUP BY ALL""",
         XML_CHANGES,
         "SELECT CAST(pmid AS INTEGER) AS pmid, file_name FROM changes WHERE op = 'D'",
     ),
+    "files_listed": _q(XML_CHANGES, "SELECT file_name FROM files"),
+    "store_statuses": _q(
+        XML_CHANGES,
+        """
+SELECT file_name, CAST(CASE WHEN row_number() OVER (ORDER BY file_name)
+         <= (SELECT count(*) FROM files) // 2 THEN 1 ELSE 2 END AS INTEGER) AS add_status
+FROM files""",
+    ),
     "stream_snapshot": _q(
         f"{CHANGES},{FILE_ORDER}",
         "SELECT pmid, op, file_name, seq, doi FROM winners WHERE op = 'U'",
@@ -591,6 +609,15 @@ ORACLE["xml_stream_snapshot"] = STORE_SNAPSHOT
 for _relation in ("author_rows", "abstract_rows"):
     ORACLE[f"xml_{_relation}"] = ORACLE[_relation]
 
+_TEXTS = (
+    "last_name fore_name initials suffix orcid affiliation ringgold_id isni_id grid_id"
+).split()
+ORACLE["tsv_fan_out"] = (
+    "SELECT pmid, auth_order, is_collective, is_first, is_last, "
+    + ", ".join(f"nullif({c}, '') AS {c}" for c in _TEXTS)
+    + f" FROM ({ORACLE['author_rows']})"
+)
+
 # Tab separated files do not tell an empty text from a missing one.
 ORACLE["tsv_round_trip"] = (
     "SELECT pmid, element_id, nullif(label, '') AS label, nullif(category, '') AS category,"

@@ -50,6 +50,16 @@ def lookup_doi_pmid(spark, d):
     return found
 
 
+@query
+def lookup_single_bodies(spark, d):
+    ids = v.bib_ids(spark, d)
+    doi = lookup.single_body(lookup.pmid_to_doi(ids, 5), "doi")
+    pmid = lookup.single_body(lookup.doi_to_pmid(ids, "10.1000/x2"), "pmid")
+    return doi.unionByName(pmid).unionByName(
+        lookup.single_body(lookup.doi_to_pmid(ids, "10.9/none"), "pmid")
+    )
+
+
 @query
 def lookup_batch_pmid_doi(spark, d):
     ids = v.bib_ids(spark, d)
@@ -499,6 +509,21 @@ def _numbered(year, *number):
     return v.text("pubmed", year, "n", *number, ".xml.gz")
 
 
+@query
+def tsv_fan_out(spark, d):
+    """Authors of all files out of the per-file folders of a fan-out write."""
+    number = F.lpad((F.floor(F.col("doc") / FILE_DOCUMENTS)).cast("string"), 8, "0")
+    articles = v.bib_articles(spark, d).select(
+        F.col("MedlineCitation.PMID._VALUE").cast("bigint").alias("doc"), "*"
+    )
+    staged = new_path(spark, "articles")
+    articles.withColumn("file_name", _numbered("24", number)).drop("doc").write.parquet(staged)
+    out = new_path(spark, "tsv")
+    wanted = ["main", "authors", "languages"]
+    tsv.write_fan_out(spark.read.parquet(staged), out, names=wanted)
+    return tsv.read_tsv(spark, "authors", f"{out}/relation=authors")
+
+
 def _ids_corpus(spark, d) -> str:
     """Identifiers of the orders as XML corpus files by year and key range."""
     year = F.substring(F.col("journal_year").cast("string"), 3, 2)
@@ -566,6 +591,13 @@ def _events_corpus(spark, d) -> tuple[str, DataFrame]:
     return write_corpus(rows, new_path(spark, "corpus")), rows.select("file_name").distinct()
 
 
+@query
+def files_listed(spark, d):
+    """The corpus folder as a sorted file listing; contents are not read."""
+    corpus, _ = _events_corpus(spark, d)
+    return inventory.gz_sorted(inventory.list_files(spark, corpus)).select("file_name")
+
+
 @query
 def xml_deleted_log(spark, d):
     """Delete lists of the corpus, one row per entry."""
@@ -585,6 +617,17 @@ def xml_store_snapshot(spark, d):
     return store.read("ids").select("pmid", "doi")
 
 
+@query
+def store_statuses(spark, d):
+    """Outcome of applying all files after half of them were applied."""
+    corpus, files = _events_corpus(spark, d)
+    names = [r.file_name for r in files.orderBy("file_name").collect()]
+    paths = [f"{corpus}/file={n}" for n in names]
+    store = Store(spark, new_path(spark, "store"))
+    store.apply(paths[: len(paths) // 2], tables=[])
+    return store.apply(paths, tables=[])
+
+
 @query
 def xml_stream_snapshot(spark, d):
     """The same corpus applied by the streaming ingest in two micro-batches."""
