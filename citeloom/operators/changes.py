@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from citeloom.operators.joins import join_keyed
+
 UPSERT, DELETE = "U", "D"
 
 
@@ -66,13 +68,13 @@ def article_changes(articles: DataFrame, deletes: DataFrame) -> DataFrame:
 
 def cascade(children: DataFrame, deleted: DataFrame, key: str = "pmid") -> DataFrame:
     """Children left after their parents' delete."""
-    return children.join(deleted.select(key), key, "left_anti")
+    return join_keyed(children, deleted.select(key), [key], "left_anti")
 
 
 def with_parent(children: DataFrame, parents: DataFrame, key: str = "pmid") -> DataFrame:
-    return children.join(parents.select(key), key, "left_semi")
+    return join_keyed(children, parents.select(key), [key], "left_semi")
 
 
 def orphans(children: DataFrame, parents: DataFrame, key: str = "pmid") -> DataFrame:
     """Children whose key no parent has."""
-    return children.join(parents.select(key), key, "left_anti")
+    return join_keyed(children, parents.select(key), [key], "left_anti")

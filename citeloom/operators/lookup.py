@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from citeloom.functions.ids import doi_key
 from citeloom.functions.text import split_ids
+from citeloom.operators.joins import join_keyed
 
 # Status codes, messages and the miss marker of the responses.
 FOUND, NOT_FOUND = 0, 2
@@ -85,13 +86,14 @@ def _batch(
 ) -> DataFrame:
     """Left join of requests carrying `_key` to the table's `key` column."""
     wanted = requests.select("_key").filter(F.col("_key").isNotNull()).distinct()
-    near = table.join(wanted, table[key] == wanted["_key"], "left_semi")
-    hits = near.groupBy(F.col(key).alias("_hit")).agg(
-        value.alias(name), F.count("*").alias("n_matches")
+    keyed = table.withColumn("_key", F.col(key))
+    hits = (
+        join_keyed(keyed, wanted, ["_key"], "left_semi")
+        .groupBy("_key")
+        .agg(value.alias(name), F.count("*").alias("n_matches"))
     )
-    out = requests.join(hits, requests["_key"] == hits["_hit"], "left")
-    found = F.col("_hit").isNotNull()
-    return out.select(
+    found = F.col("n_matches").isNotNull()
+    return join_keyed(requests, hits, ["_key"], "left").select(
         *[c for c in requests.columns if c != "_key"],
         name,
         F.when(found, F.lit(FOUND)).otherwise(F.lit(NOT_FOUND)).alias("status"),

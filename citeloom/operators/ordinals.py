@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from citeloom.operators.joins import join_keyed
 from citeloom.plans.scratch import checkpoint
 
 # A group above this many rows is split over tasks instead of sorted in one.
@@ -75,21 +76,21 @@ def edge_flags(df: DataFrame, key: str, order: str) -> DataFrame:
     The group's edges come from a small aggregate that is joined back, so no
     task holds a whole group.
     """
-    edges = df.groupBy(F.col(key).alias("_key")).agg(
+    edges = df.groupBy(key).agg(
         F.min(order).alias("_low"),
         F.max(order).alias("_high"),
         F.count("*").cast("int").alias("n_items"),
     )
-    joined = df.join(edges, df[key] == edges["_key"])
     return (
-        joined.withColumn("is_first", F.col(order) == F.col("_low"))
+        join_keyed(df, edges, [key], "inner")
+        .withColumn("is_first", F.col(order) == F.col("_low"))
         .withColumn("is_last", F.col(order) == F.col("_high"))
-        .drop("_key", "_low", "_high")
+        .drop("_low", "_high")
     )
 
 
 def child_counts(parents: DataFrame, children: DataFrame, key: str = "pmid") -> DataFrame:
     """Number of children of each parent, 0 when it has none."""
     counts = children.groupBy(key).agg(F.count("*").alias("n_children"))
-    joined = parents.select(key).join(counts, key, "left")
+    joined = join_keyed(parents.select(key), counts, [key], "left")
     return joined.select(key, F.coalesce("n_children", F.lit(0)).cast("int").alias("n_children"))
