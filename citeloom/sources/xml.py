@@ -50,7 +50,8 @@ def scan_articles(
     a re-run of the task gives the same order.  With `mode="PERMISSIVE"` a
     malformed file ends in a row whose `is_corrupt` is true and whose structs
     are NULL; what follows it in that file is lost, so callers should put the
-    whole file aside.
+    whole file aside.  Spark refuses to read `is_corrupt` without any other
+    column of the scan.
     """
     df = _reader(spark.read, schemas.ARTICLE_TAG, schemas.PUBMED_ARTICLE, mode).load(paths)
     return _with_lineage(df, mode)
