@@ -4,14 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citeloom.llm import byte_bpe
 from citeloom.llm.exact_dedup import exact_dedup
 from citeloom.llm.minhash_dedup import near_duplicates
+from citeloom.llm.packing import pack_documents
 from citeloom.llm.shared import documents
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    decoded = byte_bpe.decode(byte_bpe.encode(documents(spark, sf_dir), ranks, pattern), ranks, pattern)
+    return decoded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op5_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup(documents(spark, sf_dir))
     return found.select(
@@ -24,6 +42,8 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_byte_bpe": op2_byte_bpe,
+    "op5_best_two_fit": op5_best_two_fit,
     "op6_exact_dedup": op6_exact_dedup,
     "op10_minhash": op10_minhash,
 }
