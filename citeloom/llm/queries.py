@@ -8,13 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import byte_bpe
+from citeloom.llm import byte_bpe, kneser_ney
 from citeloom.llm.exact_dedup import exact_dedup
 from citeloom.llm.minhash_dedup import near_duplicates
 from citeloom.llm.packing import pack_documents
 from citeloom.llm.shared import documents
 
 
+def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False))
+    docs = documents(spark, sf_dir)
+    found = kneser_ney.score(docs, kneser_ney.train(docs.where(~held_out)))
+    return found.withColumn("held_out", held_out)
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     decoded = byte_bpe.decode(byte_bpe.encode(documents(spark, sf_dir), ranks, pattern), ranks, pattern)
@@ -42,6 +49,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_kneser_ney": op1_kneser_ney,
     "op2_byte_bpe": op2_byte_bpe,
     "op5_best_two_fit": op5_best_two_fit,
     "op6_exact_dedup": op6_exact_dedup,
