@@ -5,18 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import byte_bpe, kneser_ney
+from citeloom.llm import byte_bpe, kneser_ney, language_id
 from citeloom.llm.exact_dedup import exact_dedup
 from citeloom.llm.minhash_dedup import near_duplicates
 from citeloom.llm.packing import pack_documents
 from citeloom.llm.shared import documents
 
 
+def _remainder(of: int, value: int) -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % of == value, F.lit(False))
+
+
 def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False))
+    held_out = _remainder(5, 1)
     docs = documents(spark, sf_dir)
     found = kneser_ney.score(docs, kneser_ney.train(docs.where(~held_out)))
     return found.withColumn("held_out", held_out)
@@ -44,6 +48,12 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = _remainder(4, 2)
+    docs = documents(spark, sf_dir)
+    return language_id.predict(docs, language_id.train(docs.where(~held_out))).withColumn("held_out", held_out)
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
@@ -53,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op5_best_two_fit": op5_best_two_fit,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_language_mixture": op8_language_mixture,
     "op10_minhash": op10_minhash,
 }
 
