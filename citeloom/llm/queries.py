@@ -13,6 +13,7 @@ from citeloom.llm.exact_dedup import exact_dedup
 from citeloom.llm.minhash_dedup import near_duplicates
 from citeloom.llm.packing import pack_documents
 from citeloom.llm.shared import documents
+from citeloom.llm.substring_dedup import remove_repeated
 
 
 def _remainder(of: int, value: int) -> Column:
@@ -48,6 +49,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeated(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = _remainder(4, 2)
     docs = documents(spark, sf_dir)
@@ -63,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op5_best_two_fit": op5_best_two_fit,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_super_kmers": op7_super_kmers,
     "op8_language_mixture": op8_language_mixture,
     "op10_minhash": op10_minhash,
 }
@@ -76,6 +83,19 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, text_sha256
         FROM t WINDOW w AS (PARTITION BY text_sha256)""",
+    "op7_super_kmers": """
+        WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'),
+                                              lambda x: x <> '') AS w FROM documents),
+        s AS (SELECT doc_id, i, array_to_string(w[i:i+34], ' ') AS g
+              FROM d, unnest(range(1, greatest(len(w) - 33, 1))) AS r(i)),
+        again AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY g) AS c FROM s) WHERE c > 1),
+        gone AS (SELECT DISTINCT doc_id, i + j AS i FROM again, range(35) AS t(j)),
+        words AS (SELECT doc_id, i, w[i] AS x FROM d, unnest(range(1, len(w) + 1)) AS r(i)),
+        kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS kept, count(*) AS n
+                 FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+        SELECT doc_id, len(w)::BIGINT AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)""",
     "op10_minhash": f"""
         WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
         s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
