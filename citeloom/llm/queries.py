@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.llm import byte_bpe, kneser_ney, language_id
+from citeloom.llm.embedding_dedup import near_vectors
 from citeloom.llm.exact_dedup import exact_dedup
 from citeloom.llm.minhash_dedup import near_duplicates
 from citeloom.llm.packing import pack_documents
@@ -60,6 +61,10 @@ def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, language_id.train(docs.where(~held_out))).withColumn("held_out", held_out)
 
 
+def op9_small_world(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet")).withColumnRenamed("id", "vec_id")
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_super_kmers": op7_super_kmers,
     "op8_language_mixture": op8_language_mixture,
+    "op9_small_world": op9_small_world,
     "op10_minhash": op10_minhash,
 }
 
