@@ -15,6 +15,7 @@ from citeloom.llm.minhash_dedup import near_duplicates
 from citeloom.llm.packing import pack_documents
 from citeloom.llm.shared import documents
 from citeloom.llm.substring_dedup import remove_repeated
+from citeloom.llm.surrogates import replace_personal_data
 
 
 def _remainder(of: int, value: int) -> Column:
@@ -30,7 +31,7 @@ def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    decoded = byte_bpe.decode(byte_bpe.encode(documents(spark, sf_dir), ranks, pattern), ranks, pattern)
+    decoded = byte_bpe.decode(byte_bpe.encode(documents(spark, sf_dir), ranks, pattern), ranks)
     return decoded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
@@ -39,6 +40,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_personal_data(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op5_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -72,6 +77,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kneser_ney": op1_kneser_ney,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_surrogates": op3_surrogates,
     "op5_best_two_fit": op5_best_two_fit,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_super_kmers": op7_super_kmers,
