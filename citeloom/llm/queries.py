@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import byte_bpe, kneser_ney, language_id
+from citeloom.llm import byte_bpe, kneser_ney, language_id, quality
 from citeloom.llm.embedding_dedup import near_vectors
 from citeloom.llm.exact_dedup import exact_dedup
 from citeloom.llm.minhash_dedup import near_duplicates
@@ -44,6 +44,12 @@ def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replace_personal_data(documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def op4_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.with_quality(docs, model).select("row.doc_id", "score", "kept")
+
+
 def op5_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -78,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kneser_ney": op1_kneser_ney,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_surrogates": op3_surrogates,
+    "op4_co_training": op4_co_training,
     "op5_best_two_fit": op5_best_two_fit,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_super_kmers": op7_super_kmers,
