@@ -15,22 +15,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.llm.shared import arrow_stage, stored
+from citeloom.llm.shared import arrow_stage, identified, stored
 
 COUNTERS = 1024
 
 
 def text_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and SHA-256 of the text with A-Z lower-cased, in UTF-8; null counts as empty."""
-    types = pa.schema([("id", pa.int64()), ("digest", pa.binary())])
+    """id, row (a hash of id and text) and SHA-256 of the text with A-Z lower-cased, in UTF-8; null counts as empty."""
+    types = pa.schema([("id", pa.int64()), ("row", pa.int64()), ("digest", pa.binary())])
 
     def step(batch: pa.RecordBatch) -> Iterator[dict]:
-        texts = batch.column(1).cast(pa.large_binary())
+        texts = batch.column(2).cast(pa.large_binary())
         digests = [hashlib.sha256((t.as_buffer().to_pybytes() if t.is_valid else b"").lower()).digest() for t in texts]
-        yield {"id": batch.column(0), "digest": digests}
+        yield {"id": batch.column(0), "row": batch.column(1), "digest": digests}
 
-    source = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    return arrow_stage(source, step, "id bigint, digest binary", types)
+    return arrow_stage(identified(docs, id_col, text_col), step, "id bigint, row bigint, digest binary", types)
 
 
 def misra_gries(counts: dict, counters: int) -> dict:
@@ -70,7 +69,7 @@ def heavy_candidates(keys: DataFrame, counters: int = COUNTERS) -> DataFrame:
 
 
 def exact_groups(digests: DataFrame, counters: int = COUNTERS) -> DataFrame:
-    """Rows (id, digest) with keep_id, the largest id of the digest, and group_size.
+    """Rows (id, row, digest) with keep_id, the largest id of the digest, and group_size.
 
     Repeated rows each count and each come back.  A null id never wins, unless all ids of a group are null.
     """
@@ -85,17 +84,17 @@ def exact_groups(digests: DataFrame, counters: int = COUNTERS) -> DataFrame:
         F.broadcast(heavy.withColumnRenamed("digest", "heavy_digest")), F.col("digest") == F.col("heavy_digest"), "left"
     )
     hot = marked.where(F.col("heavy_digest").isNotNull()).drop("heavy_digest")
-    rest = marked.where(F.col("heavy_digest").isNull()).select("id", "digest")
+    rest = marked.where(F.col("heavy_digest").isNull()).select("id", "row", "digest")
     winners = rest.groupBy("digest").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    return hot.select("id", "digest", "keep_id", "group_size").unionByName(
-        rest.join(winners, "digest").select("id", "digest", "keep_id", "group_size")
+    return hot.select("id", "row", "digest", "keep_id", "group_size").unionByName(
+        rest.join(winners, "digest").select("id", "row", "digest", "keep_id", "group_size")
     )
 
 
 def exact_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS
 ) -> DataFrame:
-    """One row per row of docs: id, digest, keep_id, group_size, kept (id = keep_id).
+    """One row per row of docs: id, row (a hash of id and text), digest, keep_id, group_size, kept (id = keep_id).
 
     Texts are equal if they are identical after lower-casing A-Z; null is empty.  Of equal texts the largest id stays.
     Of repeated rows with the same id all are kept together.  Other columns of docs are not read; an empty table gives

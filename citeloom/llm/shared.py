@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from citeloom.plans.scratch import new_path
 
@@ -14,6 +15,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, row (a hash of both that tells rows of one id apart) and text."""
+    id_, text = F.col(f"`{id_col}`").cast("bigint"), F.col(f"`{text_col}`")
+    return docs.select(id_.alias("id"), F.xxhash64(id_, text).alias("row"), text.alias("text"))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: the rows as a Parquet table in the folder that executors share."""
     path = new_path(df.sparkSession, name)

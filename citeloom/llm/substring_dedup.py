@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.llm.shared import arrow_stage, stored
+from citeloom.llm.shared import arrow_stage, identified, stored
 from citeloom.llm.words import SPACE, Block, U, blocks, runs
 
 WINDOW = 35
@@ -82,12 +82,6 @@ _PACKED = pa.schema(
 )
 
 
-def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, a hash of the row that tells rows of one id apart, text."""
-    row = F.xxhash64(F.col(id_col), F.col(text_col))
-    return docs.select(F.col(id_col).cast("bigint").alias("id"), row.alias("row"), F.col(text_col).alias("text"))
-
-
 def minimiser_counts(docs: DataFrame, window: int, k: int, text_col: str) -> DataFrame:
     """minimiser and its number of packed strings, summed by each task first."""
 
@@ -141,7 +135,7 @@ def packed_strings(docs: DataFrame, hot: list[int], window: int, k: int, id_col:
             }
 
     kind = "id bigint, row bigint, first bigint, minimiser bigint, words binary, inner boolean, digest binary"
-    return arrow_stage(_source(docs, id_col, text_col), step, kind, _PACKED)
+    return arrow_stage(identified(docs, id_col, text_col), step, kind, _PACKED)
 
 
 def _joined_words(block: Block) -> tuple[bytes, np.ndarray]:
@@ -247,7 +241,7 @@ def remove_repeated(
     spans = stored(repeated_windows(docs, window, k, id_col, text_col), "repeated-windows")
     own = spans.groupBy("id", "row").agg(F.collect_list("first").alias("first"), F.collect_list("windows").alias("windows"))
     own = own.select(F.col("id").alias("span_id"), F.col("row").alias("span_row"), "first", "windows")
-    source = _source(docs, id_col, text_col)
+    source = identified(docs, id_col, text_col)
     same = source["row"].eqNullSafe(own["span_row"]) & source["id"].eqNullSafe(own["span_id"])
     types = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("text", pa.binary())])
 
