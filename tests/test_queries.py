@@ -5,6 +5,8 @@ import pytest
 from conftest import SF
 
 from __spark_entry__ import entry, oracle_sql, queries
+from citeloom.plans.oracle import ORACLE
+from citeloom.plans.queries import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -28,14 +30,16 @@ def ordered(values):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) <= set(queries())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     df = queries()[name](spark, SF)
     columns = sorted(df.columns)
