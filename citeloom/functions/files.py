@@ -9,6 +9,7 @@ from citeloom.functions.text import as_int
 
 # Forms of the names.
 GZ_SUFFIX = ".gz"
+CORPUS_PARTS = r"^pubmed(\d{2})n(\d+)\.xml(?:\.gz)?$"
 CORPUS_NAME = r"(pubmed\d{2}n\d{4,}\.xml(?:\.gz)?)(?:/[^/]*)?$"
 
 
@@ -17,7 +18,17 @@ def corpus_year(name: Column) -> Column:
 
 
 def corpus_number(name: Column) -> Column:
-    return as_int(F.substring(name, 10, 4))
+    """Number of a corpus file, however many digits it has; NULL for other names."""
+    return F.regexp_extract(name, CORPUS_PARTS, 2).try_cast("bigint")
+
+
+def file_rank(name: Column) -> Column:
+    """What files are ordered by: year, number, name.
+
+    Two-digit years are numbers (99 comes after 21).  Other names rank by name, before all corpus files.
+    """
+    year = F.regexp_extract(name, CORPUS_PARTS, 1).try_cast("int")
+    return F.struct(year.alias("year"), corpus_number(name).alias("number"), name.alias("name"))
 
 
 def is_gz(name: Column) -> Column:

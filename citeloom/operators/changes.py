@@ -1,7 +1,7 @@
 """Upserts and deletes by key: the last writer wins.
 
 A change row is (pmid, op, file_name, seq, ...) with op `U` or `D`.  Writers
-are ordered by file name, then deletes after upserts of the same file (the
+are ordered by file (year, number, name), then deletes after upserts of the same file (the
 delete list ends its file), then document order.  The order is a property of
 the rows, so changes may arrive in any order and any number of times.
 """
@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from citeloom.functions.files import file_rank
 from citeloom.operators.joins import join_keyed
 
 UPSERT, DELETE = "U", "D"
@@ -23,7 +24,7 @@ def is_delete() -> Column:
 
 
 def document_order() -> list[Column]:
-    return [F.col("file_name"), is_delete(), F.col("seq")]
+    return [file_rank(F.col("file_name")), is_delete(), F.col("seq")]
 
 
 def latest(

@@ -267,7 +267,7 @@ def pubmed_data() -> Column:
     pd = record.pubmed_data()
     id_list = pd["ArticleIdList"]["ArticleId"]
     refs = _list(
-        pd["ReferenceList"],
+        record.reference_lists(),
         lambda one: _obj(
             Title=strip(one["Title"]),
             References=_list(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +26,7 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def gz_sorted(listing: DataFrame) -> DataFrame:
-    return listing.filter(files.is_gz(F.col("file_name"))).orderBy("file_name")
+    return listing.filter(files.is_gz(F.col("file_name"))).orderBy(files.file_rank(F.col("file_name")))
 
 
 def combine(baseline: DataFrame, updates: DataFrame) -> DataFrame:
@@ -47,8 +49,11 @@ def unapplied(mirror: DataFrame, applied: DataFrame) -> DataFrame:
 
 
 def after(listing: DataFrame, key: str) -> DataFrame:
-    """Lexical lower bound, exclusive."""
-    return listing.filter(F.col("file_name") > F.lit(key))
+    """Lower bound, exclusive: by file order for a corpus file's name, else by name."""
+    name = F.col("file_name")
+    if re.search(files.CORPUS_PARTS, key):
+        return listing.filter(files.file_rank(name) > files.file_rank(F.lit(key)))
+    return listing.filter(name > F.lit(key))
 
 
 def file_kind(

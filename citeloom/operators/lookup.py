@@ -62,25 +62,18 @@ def _single(hits: DataFrame, value: Column, name: str, not_found: str) -> DataFr
 def pmid_to_doi(ids: DataFrame, pmid) -> DataFrame:
     """One row (status, message, doi, n_matches); junk is simply not found."""
     _require("pmid", pmid)
-    key = _int_or_none(pmid)
-    hits = ids.filter(F.lit(False) if key is None else F.col("pmid") == F.lit(key))
+    key = F.lit(str(pmid)).try_cast(ids.schema["pmid"].dataType)  # as in a batch
+    hits = ids.filter(F.col("pmid") == key)
     return _single(hits, F.min("doi"), "doi", PMID_NOT_FOUND)
 
 
 def doi_to_pmid(ids: DataFrame, doi) -> DataFrame:
     """One row (status, message, pmid, n_matches) with the smallest PMID."""
     _require("doi", doi)
-    hits = with_doi_key(ids).filter(F.col("doi_key") == F.lit(doi.lower()))
+    hits = with_doi_key(ids).filter(F.col("doi_key") == doi_key(F.lit(doi)))
     return _single(hits, F.min("pmid"), "pmid", DOI_NOT_FOUND)
 
 
-def _int_or_none(value) -> int | None:
-    try:
-        return int(str(value).strip())
-    except ValueError:
-        return None
-
-
 def _batch(
     requests: DataFrame, table: DataFrame, key: str, value: Column, name: str
 ) -> DataFrame:

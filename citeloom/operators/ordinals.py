@@ -11,40 +11,16 @@ from pyspark.sql.window import Window
 from citeloom.operators.joins import join_keyed
 from citeloom.plans.scratch import checkpoint
 
-# A group above this many rows is split over tasks instead of sorted in one.
-HOT_ROWS = 1_000_000
-
 
 def ordinal_within(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    name: str = "ordinal",
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "ordinal"
 ) -> DataFrame:
-    """Add the 0-based position of each row in its group.
+    """Add the 0-based position of each row in its group; NULL keys are a group.
 
-    Groups of up to `hot_rows` rows are ranked by a window.  Larger ones are
-    sorted across tasks, cut wherever the range partitioner likes, and each
-    piece is shifted by the size of the pieces before it.
+    All rows are sorted across tasks by key and order, cut wherever the range
+    partitioner likes, and each piece of a group is shifted by the size of the
+    pieces before it: a group of any size costs no task more than its share.
     """
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    hot = sizes.filter(F.col("_rows") > hot_rows).select(*keys)
-    if hot.isEmpty():
-        return _by_window(df, keys, order, name)
-    small = df.join(hot, list(keys), "left_anti")
-    large = df.join(hot, list(keys), "left_semi")
-    return _by_window(small, keys, order, name).unionByName(
-        _by_range(large, keys, order, name)
-    )
-
-
-def _by_window(df, keys, order, name) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(name, F.row_number().over(window) - 1)
-
-
-def _by_range(df, keys, order, name) -> DataFrame:
     placed = (
         df.repartitionByRange(*keys, *order)
         .sortWithinPartitions(*keys, *order)
@@ -62,12 +38,17 @@ def _by_range(df, keys, order, name) -> DataFrame:
         .orderBy("_piece")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    pieces = pieces.withColumn(
-        "_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))
-    ).drop("_rows")
-    shifted = placed.join(pieces, [*keys, "_piece"])
-    position = (F.col("_before") + F.col("_at") - F.col("_start")).cast("int")
-    return shifted.withColumn(name, position).drop("_piece", "_at", "_start", "_before")
+    pieces = pieces.select(
+        *[F.col(k).alias(f"_key_{k}") for k in keys],
+        F.col("_piece").alias("_own_piece"),
+        "_start",
+        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
+    )
+    same = F.col("_piece") == F.col("_own_piece")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    position = F.col("_before") + F.col("_at") - F.col("_start")
+    return placed.join(pieces, same).select(*df.columns, position.alias(name))
 
 
 def edge_flags(df: DataFrame, key: str, order: str) -> DataFrame:

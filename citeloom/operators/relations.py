@@ -315,7 +315,7 @@ def refs(
 
     # the index counts every list, so empty ones are dropped after numbering
     lists = F.filter(
-        F.transform(F.col("PubmedData.ReferenceList"), list_rows), lambda rows: rows.isNotNull()
+        F.transform(record.reference_lists(), list_rows), lambda rows: rows.isNotNull()
     )
     return _open(articles, F.flatten(lists), keep)
 
@@ -432,8 +432,8 @@ def problems() -> Column:
     return _problems(
         {
             "bad_pmid": (ids.pmid(record.citation()).isNull(), record.at("PMID._VALUE"), False),
-            "bad_pub_date": (date_problem.isNotNull(), date_problem, False),
-            "nested_reference_list": (F.coalesce(nested, F.lit(False)), F.lit(None), False),
+            "bad_pub_date": (date_problem.isNotNull(), date_problem, True),
+            "nested_reference_list": (F.coalesce(nested, F.lit(False)), F.lit(None), True),
             "bad_date_completed": (bad_date("DateCompleted"), F.to_json(record.at("DateCompleted")), True),
             "bad_date_revised": (bad_date("DateRevised"), F.to_json(record.at("DateRevised")), True),
             "unknown_author_id_source": (

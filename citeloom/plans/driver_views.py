@@ -136,8 +136,11 @@ def _articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines and words become the children; `labels` gives the PubmedData side."""
     # one CPU-heavy projection per text: use every core even for a single file
     docs = spread(table(spark, sf_dir, "documents"), "doc_id")
-    labels = table(spark, sf_dir, "labels").select(
-        F.col("doc_id").alias("label_id"), "quality", "toxic"
+    # one row a document: where no relation reads PubmedData, Spark leaves the join out
+    labels = (
+        table(spark, sf_dir, "labels")
+        .groupBy(F.col("doc_id").alias("label_id"))
+        .agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
     )
     d = F.col("doc_id")
     n = F.col("n_chars")

@@ -264,9 +264,9 @@ both_years AS (SELECT file_name FROM files
          UNION ALL SELECT replace(file_name, 'pubmed24', 'pubmed23') FROM files)""",
         """
 SELECT file_name, CAST(substr(file_name, 7, 2) AS INTEGER) AS file_year,
-       CAST(substr(file_name, 10, 4) AS INTEGER) AS file_number,
+       CAST(regexp_extract(file_name, 'n(\d+)\.xml', 1) AS BIGINT) AS file_number,
        CASE WHEN substr(file_name, 7, 2) <> '24' THEN 'reject'
-            WHEN CAST(substr(file_name, 10, 4) AS INTEGER) > 20 THEN 'update'
+            WHEN CAST(regexp_extract(file_name, 'n(\d+)\.xml', 1) AS BIGINT) > 20 THEN 'update'
             ELSE 'baseline' END AS kind
 FROM both_years""",
     ),
@@ -459,14 +459,14 @@ SELECT CAST(d AS INTEGER) AS pmid, CASE WHEN d % 3 <> 0 THEN {_ymd("d")} END AS
     "rejected_articles": _q(
         ORDER_DATES,
         """
-SELECT CAST(pmid AS VARCHAR) AS pmid, 'bad_pub_date' AS reason, problem AS detail, false AS kept
+SELECT CAST(pmid AS VARCHAR) AS pmid, 'bad_pub_date' AS reason, problem AS detail, true AS kept
 FROM dates WHERE problem IS NOT NULL""",
     ),
     "child_ordinals": """
 SELECT l_orderkey AS pmid, 'D' || l_partkey AS ui_id, l_returnflag || l_linestatus AS value,
   CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
     l_extendedprice, l_quantity, l_discount, l_tax, l_shipdate, l_returnflag, l_linestatus) - 1
-    AS INTEGER) AS ordinal
+    AS BIGINT) AS ordinal
 FROM lineitem""",
     "author_flags": """
 SELECT conv_id AS pmid, turn AS auth_order, role = 'system' AS is_collective,

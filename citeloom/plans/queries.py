@@ -512,7 +512,7 @@ def _numbered(year, *number):
 @query
 def tsv_fan_out(spark, d):
     """Authors of all files out of the per-file folders of a fan-out write."""
-    number = F.lpad((F.floor(F.col("doc") / FILE_DOCUMENTS)).cast("string"), 8, "0")
+    number = F.format_string("%08d", F.floor(F.col("doc") / FILE_DOCUMENTS))
     articles = v.bib_articles(spark, d).select(
         F.col("MedlineCitation.PMID._VALUE").cast("bigint").alias("doc"), "*"
     )
@@ -527,7 +527,7 @@ def tsv_fan_out(spark, d):
 def _ids_corpus(spark, d) -> str:
     """Identifiers of the orders as XML corpus files by year and key range."""
     year = F.substring(F.col("journal_year").cast("string"), 3, 2)
-    part = F.lpad(F.expr(f"pmid div {FILE_ROWS}").cast("string"), 8, "0")
+    part = F.format_string("%08d", F.expr(f"pmid div {FILE_ROWS}"))
     rows = v.bib_ids(spark, d).select(
         _numbered(year, part).alias("file_name"),
         F.lit("U").alias("op"),
@@ -554,7 +554,7 @@ def _articles_corpus(spark, d, *parts: str) -> DataFrame:
     pmid = F.col("MedlineCitation.PMID._VALUE").cast("bigint")
     body = F.struct(*[F.col(f"MedlineCitation.Article.{p}").alias(p) for p in parts])
     citation = F.struct(F.col("MedlineCitation.PMID").alias("PMID"), body.alias("Article"))
-    number = F.lpad(F.floor(pmid / FILE_DOCUMENTS).cast("string"), 8, "0")
+    number = F.format_string("%08d", F.floor(pmid / FILE_DOCUMENTS))
     records = v.bib_articles(spark, d).select(
         _numbered("24", number).alias("file"),
         F.lit(ARTICLE).alias("kind"),
@@ -579,7 +579,7 @@ def xml_abstract_rows(spark, d):
 def _events_corpus(spark, d) -> tuple[str, DataFrame]:
     """Change rows of the events as corpus files by day and sequence range."""
     day = F.substring("file_name", 12, 2)
-    part = F.lpad(F.expr(f"seq div {FILE_ROWS}").cast("string"), 6, "0")
+    part = F.format_string("%06d", F.expr(f"seq div {FILE_ROWS}"))
     rows = v.bib_changes(spark, d).withColumn("file_name", _numbered("24", day, part))
     rows = rows.select(
         "*",

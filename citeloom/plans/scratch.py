@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,19 +10,15 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints.
-
-    Only a session without one, as in local tests, gets a temporary folder.
-    """
+    """The folder the cluster names for checkpoints, else one in the session's warehouse."""
     named = spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     if named:
         return named.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="citeloom-"))
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    spark.sparkContext.setCheckpointDir(f"{warehouse}/citeloom-checkpoints")
     return spark.sparkContext.getCheckpointDir()
 
 

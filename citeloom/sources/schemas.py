@@ -150,8 +150,14 @@ PUBMED_DATA = _struct(
         _struct(
             Title=S,
             Reference=_list(_struct(Citation=MIXED, ArticleIdList=ARTICLE_IDS)),
-            # nested lists are only detected, so their raw markup is enough
-            ReferenceList=_list(S),
+            ReferenceList=_list(
+                _struct(
+                    Title=S,
+                    Reference=_list(_struct(Citation=MIXED, ArticleIdList=ARTICLE_IDS)),
+                    # lists nested deeper are only detected, so their raw markup is enough
+                    ReferenceList=_list(S),
+                )
+            ),
         )
     ),
 )

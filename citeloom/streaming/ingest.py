@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
@@ -13,6 +15,7 @@ from citeloom.operators import changes
 from citeloom.plans.store import KEYED, Store
 
 
+CHANGE_ROW = "pmid bigint, op string, file_name string, seq bigint"
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -60,18 +63,23 @@ class ChangeLog:
     """Change rows appended by a stream; state is read from the whole log.
 
     Rows carry their order, so arrival order does not matter.  A micro-batch
-    writes its own folder and overwrites it when run again, and is first
-    reduced to one row per key.
+    writes its own folder, named by its stream and epoch, overwrites it when
+    run again, and is first reduced to one row per key.  A stream's name comes
+    from its checkpoint: streams with other checkpoints write beside it.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.schema = None
 
     def start(self, stream: DataFrame, checkpoint: str) -> StreamingQuery:
+        name = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+        self.schema = stream.schema
+
         def append(batch: DataFrame, epoch: int) -> None:
             changes.latest(batch).write.mode("overwrite").parquet(
-                f"{self.root}/epoch={epoch}"
+                f"{self.root}/stream={name}/epoch={epoch}"
             )
 
         return (
@@ -82,7 +90,13 @@ class ChangeLog:
         )
 
     def snapshot(self) -> DataFrame:
-        log = self.spark.read.parquet(self.root).drop("epoch")
+        """Rows alive; none of a log without epochs, in the columns of a change row."""
+        try:
+            log = self.spark.read.parquet(self.root).drop("stream", "epoch")
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            log = self.spark.createDataFrame([], self.schema or CHANGE_ROW)
         return changes.snapshot(log)
 
 

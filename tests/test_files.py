@@ -64,7 +64,8 @@ def test_listing_and_gaps(spark, corpus):
 
 def test_file_kind(spark):
     listing = names(
-        spark, "pubmed21n1062.xml.gz", "pubmed21n1063.xml.gz", "pubmed22n0001.xml.gz", "odd.gz"
+        spark, "pubmed21n1062.xml.gz", "pubmed21n1063.xml.gz", "pubmed22n0001.xml.gz", "odd.gz",
+        "pubmed21n10000.xml.gz", "pubmed21n00001000.xml",
     )
     kinds = {r.file_name: r.kind for r in inventory.file_kind(listing).collect()}
     assert kinds == {
@@ -72,9 +73,20 @@ def test_file_kind(spark):
         "pubmed21n1063.xml.gz": "update",
         "pubmed22n0001.xml.gz": "reject",
         "odd.gz": "reject",
+        "pubmed21n10000.xml.gz": "update",
+        "pubmed21n00001000.xml": "baseline",
     }
 
 
+def test_files_are_ordered_by_number(spark):
+    """9999 comes before 10000, years are numbers (99 after 21), other names come first, by name."""
+    order = ["a.gz", "pubmed21n9999.xml.gz", "pubmed21n10000.xml.gz", "pubmed22n0001.xml.gz", "pubmed99n0001.xml.gz"]
+    listing = names(spark, *reversed(order))
+    assert [r[0] for r in inventory.unapplied(listing, names(spark, "none.gz")).collect()] == order
+    after = inventory.after(listing, "pubmed21n9999.xml.gz").collect()
+    assert sorted(r[0] for r in after) == order[2:]
+
+
 def test_names_of_paths(spark):
     paths = [
         ("file:/c/pubmed21n0001.xml.gz", "pubmed21n0001.xml.gz"),

@@ -98,3 +98,12 @@ def test_request_side_is_what_is_broadcast(spark, ids, tmp_path):
     assert "LeftSemi, BuildRight" in text and "SortMergeJoin" not in text
     single_plan = lookup.doi_to_pmid(table, "10.2/X")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(doi_key,10.2/x)" in single_plan
+
+
+def test_single_lookups_cast_as_batches_do(spark):
+    ids = spark.createDataFrame([(1000, "10.1/A")], "pmid int, doi string")
+    for junk in ("99999999999999999999", "1_000", "x", ""):
+        assert lookup.pmid_to_doi(ids, junk).first()["status"] == lookup.NOT_FOUND
+    assert lookup.pmid_to_doi(ids, " 1000 ").first()["doi"] == "10.1/A"
+    assert lookup.doi_to_pmid(ids, "10.1/a").first()["pmid"] == 1000
+    assert lookup.doi_to_pmid(ids, "").first()["status"] == lookup.NOT_FOUND

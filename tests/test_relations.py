@@ -133,6 +133,7 @@ def test_references(scan):
         (1, "", 2, 0, "C. ", "", "", "S1"),
         (1, "References", 0, 0, "A. 2001.", "12", "10.1/a", ""),
         (1, "References", 0, 1, "B. 2002.", "", "", ""),
+        (2, "", 1, 0, "D.", "", "", ""),
     ]
 
 
@@ -165,11 +166,11 @@ def test_dates_and_problems(scan):
         x._VALUE: [(p.reason, p.detail, p.kept) for p in x.p] for x in found.collect() if x.p
     }
     assert reasons == {
-        "8": [("bad_pub_date", "unknown_season", False)],
-        "9": [("bad_pub_date", "unknown_month", False)],
-        "10": [("bad_pub_date", "bad_day", False)],
-        "20": [("bad_pub_date", "missing_pub_date", False)],
-        "21": [("bad_pub_date", "missing_pub_date", False)],
+        "8": [("bad_pub_date", "unknown_season", True)],
+        "9": [("bad_pub_date", "unknown_month", True)],
+        "10": [("bad_pub_date", "bad_day", True)],
+        "20": [("bad_pub_date", "missing_pub_date", True)],
+        "21": [("bad_pub_date", "missing_pub_date", True)],
     }
 
 
@@ -188,4 +189,9 @@ def test_other_problems(scan):
             ("unknown_affiliation_id_source", "ROR", True),
         ]
     }
-    assert reasons("references.xml") == {"2": [("nested_reference_list", None, False)]}
+    assert reasons("references.xml") == {"2": [("nested_reference_list", None, True)]}
+
+
+def test_nested_reference_lists_are_flattened(scan):
+    found = r.refs(scan("references.xml")).filter("pmid = 2").collect()
+    assert [(x.list_index, x.ref_index, x.citation) for x in found] == [(1, 0, "D.")]

@@ -22,10 +22,12 @@ def test_ordinals_of_hot_groups(spark):
         groups.setdefault(k, []).append((a, b))
     for k, items in groups.items():
         expected += [(k, a, b, i) for i, (a, b) in enumerate(sorted(items))]
-    for limit in (10_000, 100):
-        got = ordinals.ordinal_within(df, ["pmid"], ["a", "b"], hot_rows=limit)
-        assert dict(got.dtypes)["ordinal"] == "int"
-        assert sorted(map(tuple, got.collect())) == sorted(expected)
+    got = ordinals.ordinal_within(df, ["pmid"], ["a", "b"])
+    assert dict(got.dtypes)["ordinal"] == "bigint"
+    assert sorted(map(tuple, got.collect())) == sorted(expected)
+    # the same with the hot key NULL
+    got = ordinals.ordinal_within(df.withColumn("pmid", F.expr("nullif(pmid, 1)")), ["pmid"], ["a", "b"])
+    assert sorted((1 if k is None else k, *x) for k, *x in got.collect()) == sorted(expected)
 
 
 def test_edge_flags(spark):

@@ -105,12 +105,15 @@ def test_rejected_articles_are_listed(spark, tmp_path):
     store.apply([str(FIXTURES / "dates.xml"), str(FIXTURES / "authors.xml")], tables=["main"])
     kept = rows(store.read("rejects").groupBy("reason", "kept").count())
     assert kept == [
-        ("bad_pub_date", False, 5),
+        ("bad_pub_date", True, 5),
         ("unknown_affiliation_id_source", True, 1),
         ("unknown_author_id_source", True, 1),
     ]
     # pmids 1-4 come from both files; the later file name wins
-    assert store.read("main").count() == 21 - 5
+    # a date that cannot be read leaves the article in every table
+    assert store.read("main").count() == 21
+    assert store.read("main").filter("pub_date IS NULL").count() == 5
+    assert store.read("ids").count() == 21
 
 
 def test_missing_parts_raise_nothing_on_an_empty_store(spark, tmp_path):

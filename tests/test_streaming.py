@@ -64,3 +64,15 @@ def test_change_log_ignores_arrival_order(spark, tmp_path):
 
 def test_files_are_named(corpus):
     assert len(FILES) == 4
+
+
+def test_two_streams_write_one_log(spark, tmp_path):
+    log = ChangeLog(spark, str(tmp_path / "log"))
+    assert log.snapshot().count() == 0
+    schema = "pmid bigint, op string, file_name string, seq bigint"
+    for k in (1, 2):
+        source = str(tmp_path / f"in{k}")
+        spark.createDataFrame([(k, "U", "pubmed21n0001.xml.gz", k)], schema).write.parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        log.start(stream, str(tmp_path / f"check{k}")).awaitTermination()
+    assert sorted(r["pmid"] for r in log.snapshot().collect()) == [1, 2]
