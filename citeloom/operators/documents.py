@@ -101,14 +101,14 @@ def abstract() -> Column:
 
 
 def author_list() -> Column:
-    """Authors with their identifiers and their first affiliation."""
+    """Authors with their identifiers and all their affiliations."""
     return _list(
         record.article()["AuthorList"]["Author"],
         lambda a: _obj(
             CollectiveName=_run(a["CollectiveName"]),
             **_person(a),
             Identifiers=_identifiers(a["Identifier"]),
-            Affiliations=_affiliations(F.slice(a["AffiliationInfo"], 1, 1)),
+            Affiliations=_affiliations(a["AffiliationInfo"]),
         ),
     )
 

@@ -264,9 +264,9 @@ both_years AS (SELECT file_name FROM files
          UNION ALL SELECT replace(file_name, 'pubmed24', 'pubmed23') FROM files)""",
         """
 SELECT file_name, CAST(substr(file_name, 7, 2) AS INTEGER) AS file_year,
-       CAST(regexp_extract(file_name, 'n(\d+)\.xml', 1) AS BIGINT) AS file_number,
+       CAST(regexp_extract(file_name, 'n([0-9]+)[.]xml', 1) AS BIGINT) AS file_number,
        CASE WHEN substr(file_name, 7, 2) <> '24' THEN 'reject'
-            WHEN CAST(regexp_extract(file_name, 'n(\d+)\.xml', 1) AS BIGINT) > 20 THEN 'update'
+            WHEN CAST(regexp_extract(file_name, 'n([0-9]+)[.]xml', 1) AS BIGINT) > 20 THEN 'update'
             ELSE 'baseline' END AS kind
 FROM both_years""",
     ),
@@ -462,6 +462,8 @@ SELECT CAST(d AS INTEGER) AS pmid, CASE WHEN d % 3 <> 0 THEN {_ymd("d")} END AS
 SELECT CAST(pmid AS VARCHAR) AS pmid, 'bad_pub_date' AS reason, problem AS detail, true AS kept
 FROM dates WHERE problem IS NOT NULL""",
     ),
+    "store_rejects_keep_ids":
+        "SELECT CAST(o_orderkey AS INTEGER) AS pmid, '10.9/' || o_orderkey AS doi FROM orders",
     "child_ordinals": """
 SELECT l_orderkey AS pmid, 'D' || l_partkey AS ui_id, l_returnflag || l_linestatus AS value,
   CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
@@ -503,7 +505,7 @@ per AS (
     string_agg(CASE WHEN i % 5 <> 4 THEN 'P' || (i + 1) ELSE '~' END || '/' || s, '|' ORDER BY i) AS parts,
     string_agg(s || '/' || CASE WHEN i % 2 = 0 THEN source ELSE '~' END || '/'
       || CASE WHEN i % 2 = 0 THEN 'ORCID/' || d || '-' || i || ',ORCID/' || i || '-' || d ELSE '' END || '/'
-      || CASE WHEN i % 3 <> 2 THEN '1/' || s ELSE '0/' END, '|' ORDER BY i) AS authors
+      || CASE WHEN i % 3 <> 2 THEN '2/' || s || ',second' ELSE '0/' END, '|' ORDER BY i) AS authors
   FROM trimmed GROUP BY d)""",
         """
 SELECT CAST(docs.d AS VARCHAR) AS pmid,

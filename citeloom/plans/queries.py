@@ -504,6 +504,28 @@ FILE_ROWS = 1_000_000
 FILE_DOCUMENTS = 1_000
 
 
+@query
+def store_rejects_keep_ids(spark, d):
+    """Orders in ten forms of dates as XML, applied: every readable PMID has its `ids` row."""
+    id_t = schemas.ARTICLE_IDS["ArticleId"].dataType.elementType
+    doi = v.build(id_t, {"_VALUE": v.text("10.9/", F.col("pmid")), "_IdType": F.lit("doi")})
+    journal = {"JournalIssue": {"PubDate": F.col("date")}}
+    citation = {"PMID": {"_VALUE": v.text(F.col("pmid"))}, "Article": {"Journal": journal}}
+    article = F.struct(
+        v.build(schemas.MEDLINE_CITATION, citation).alias("MedlineCitation"),
+        v.build(schemas.PUBMED_DATA, {"ArticleIdList": {"ArticleId": F.array(doi)}}).alias("PubmedData"),
+    )
+    records = _order_dates(spark, d).select(
+        _numbered("24", F.format_string("%08d", F.expr(f"pmid div {FILE_ROWS}"))).alias("file"),
+        F.lit(ARTICLE).alias("kind"),
+        F.col("pmid").cast("bigint").alias("seq"),
+        F.to_xml(article, {"rowTag": schemas.ARTICLE_TAG}).alias("value"),
+    )
+    store = Store(spark, new_path(spark, "store"))
+    store.update(write_lines(records, new_path(spark, "corpus")), tables=["ids"])
+    return store.read("ids").select("pmid", "doi")
+
+
 def _numbered(year, *number):
     """Corpus file name whose number has eight digits, in lexical order."""
     return v.text("pubmed", year, "n", *number, ".xml.gz")
