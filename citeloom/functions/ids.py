@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from citeloom.functions.text import as_int, default
+from citeloom.functions.text import as_key, default
 
 
 def _of_type(ids: Column, id_type: str) -> Column:
@@ -33,14 +33,14 @@ def last_of_source(identifiers: Column, source: str) -> Column:
 
 
 def pmid(medline_citation: Column) -> Column:
-    return as_int(medline_citation["PMID"]["_VALUE"])
+    return as_key(medline_citation["PMID"]["_VALUE"])
 
 
 def pmid_with_fallback(article: Column) -> Column:
     """PMID of the identifier list when it also has a DOI, else the citation's."""
     ids = article["PubmedData"]["ArticleIdList"]["ArticleId"]
     has_doi = F.exists(ids, lambda x: x["_IdType"] == F.lit("doi"))
-    listed = F.when(has_doi, as_int(first_id(ids, "pubmed")))
+    listed = F.when(has_doi, as_key(first_id(ids, "pubmed")))
     return F.coalesce(listed, pmid(article["MedlineCitation"]))
 
 

@@ -42,6 +42,11 @@ def as_int(value: Column) -> Column:
     return value.try_cast("int")
 
 
+def as_key(value: Column) -> Column:
+    """A key of articles; keys may pass 2**31."""
+    return value.try_cast("bigint")
+
+
 def split_ids(value: Column) -> Column:
     """Comma separated request text; blanks and empty items are kept."""
     return F.split(value, ",", -1)

@@ -278,7 +278,7 @@ FROM changes GROUP BY file_name""",
     "main_rows": _q(
         f"{DOCS},{DOC_DATE}",
         f"""
-SELECT CAST(d AS INTEGER) AS pmid, {DOI} AS doi,
+SELECT CAST(d AS BIGINT) AS pmid, {DOI} AS doi,
   CASE WHEN has_pd AND toxic = 1 THEN 'S' || d ELSE '' END AS pii,
   CASE WHEN has_pd THEN 'PMC' || d ELSE '' END AS pmcid,
   CASE WHEN d % 3 <> 0 THEN {_ymd("d")} END AS date_completed,
@@ -307,7 +307,7 @@ FROM dated""",
     "abstract_rows": _q(
         f"""{LINES},
 parts AS (
-  SELECT CAST(d AS INTEGER) AS pmid, i, n, line,
+  SELECT CAST(d AS BIGINT) AS pmid, i, n, line,
          CASE WHEN i % 5 <> 4 THEN 'P' || (i + 1) ELSE '' END AS label,
          CASE WHEN i % 3 <> 2 THEN 'RESULTS' ELSE '' END AS category
   FROM lines WHERE d % 11 <> 10)""",
@@ -322,7 +322,7 @@ FROM parts GROUP BY pmid""",
     "author_rows": _q(
         LINES,
         """
-SELECT CAST(d AS INTEGER) AS pmid, i AS auth_order, i % 4 = 3 AS is_collective,
+SELECT CAST(d AS BIGINT) AS pmid, i AS auth_order, i % 4 = 3 AS is_collective,
   i = 0 AS is_first, i = n - 1 AS is_last, line AS last_name,
   CASE WHEN i % 4 <> 3 AND i % 2 = 0 THEN source ELSE '' END AS fore_name,
   CASE WHEN i % 4 <> 3 THEN lang ELSE '' END AS initials,
@@ -336,12 +336,12 @@ FROM lines WHERE d % 13 <> 12""",
     ),
     "chem_rows": _q(
         LINES,
-        "SELECT CAST(d AS INTEGER) AS pmid, d || '-' || i AS registry_number, line AS name, 'C' || i AS ui_id FROM lines",
+        "SELECT CAST(d AS BIGINT) AS pmid, d || '-' || i AS registry_number, line AS name, 'C' || i AS ui_id FROM lines",
     ),
     "comments_corrections_rows": _q(
         LINES,
         """
-SELECT CAST(d AS INTEGER) AS pmid,
+SELECT CAST(d AS BIGINT) AS pmid,
   CASE WHEN i % 2 = 0 THEN 'CommentIn' ELSE 'ErratumIn' END AS ref_type, line AS ref_source,
   CASE WHEN i % 3 = 0 THEN 'note ' || i ELSE '' END AS note,
   CASE WHEN i % 2 = 0 THEN CAST(d + i AS VARCHAR) ELSE '0' END AS ref_pmid
@@ -350,7 +350,7 @@ FROM lines""",
     "data_bank_rows": _q(
         WORDS,
         """
-SELECT CAST(d AS INTEGER) AS pmid, d % 2 = 0 AS is_complete, 'B' || i AS name, word AS acc_number
+SELECT CAST(d AS BIGINT) AS pmid, d % 2 = 0 AS is_complete, 'B' || i AS name, word AS acc_number
 FROM words WHERE i % 2 = 0
 UNION ALL
 SELECT CAST(d AS INTEGER), d % 2 = 0, 'B' || i, '' FROM lines WHERE i % 2 = 1""",
@@ -358,7 +358,7 @@ SELECT CAST(d AS INTEGER), d % 2 = 0, 'B' || i, '' FROM lines WHERE i % 2 = 1"""
     "grants_rows": _q(
         LINES,
         """
-SELECT CAST(d AS INTEGER) AS pmid, d % 3 = 0 AS is_complete,
+SELECT CAST(d AS BIGINT) AS pmid, d % 3 = 0 AS is_complete,
   CASE WHEN i % 2 = 0 THEN 'G' || i ELSE '' END AS grant_id,
   CASE WHEN i % 3 <> 0 THEN 'A' || i ELSE '' END AS acronym, line AS agency, lang AS country
 FROM lines""",
@@ -366,67 +366,67 @@ FROM lines""",
     "keywords_rows": _q(
         WORDS,
         """
-SELECT CAST(d AS INTEGER) AS pmid, source || '-' || i AS owner, j % 2 = 0 AS is_major,
+SELECT CAST(d AS BIGINT) AS pmid, source || '-' || i AS owner, j % 2 = 0 AS is_major,
        word AS keyword
 FROM words WHERE d % 17 <> 16""",
     ),
     "languages_rows": _q(
         DOCS,
-        "SELECT CAST(d AS INTEGER) AS pmid, unnest([lang, 'und']) AS language FROM docs",
+        "SELECT CAST(d AS BIGINT) AS pmid, unnest([lang, 'und']) AS language FROM docs",
     ),
     "mesh_rows": _q(
         WORDS,
         """
-SELECT CAST(d AS INTEGER) AS pmid, i AS heading_id, i % 2 = 0 AS is_major, 'D' || i AS ui_id,
+SELECT CAST(d AS BIGINT) AS pmid, i AS heading_id, i % 2 = 0 AS is_major, 'D' || i AS ui_id,
        line AS value FROM lines
 UNION ALL
 SELECT CAST(d AS INTEGER), i, j % 3 = 0, 'Q' || j, word FROM words""",
     ),
     "notes_rows": _q(
         LINES,
-        "SELECT CAST(d AS INTEGER) AS pmid, line AS text, CASE WHEN i % 2 = 0 THEN 'NLM' ELSE 'KIE' END AS owner FROM lines",
+        "SELECT CAST(d AS BIGINT) AS pmid, line AS text, CASE WHEN i % 2 = 0 THEN 'NLM' ELSE 'KIE' END AS owner FROM lines",
     ),
     "personal_names_rows": _q(
         LINES,
         """
-SELECT CAST(d AS INTEGER) AS pmid, line AS last_name,
+SELECT CAST(d AS BIGINT) AS pmid, line AS last_name,
        CASE WHEN i % 2 = 0 THEN lang ELSE '' END AS fore_name, '' AS initials, '' AS suffix
 FROM lines""",
     ),
     "pub_types_rows": _q(
-        LINES, "SELECT CAST(d AS INTEGER) AS pmid, 'D' || i AS ui_id, line AS value FROM lines"
+        LINES, "SELECT CAST(d AS BIGINT) AS pmid, 'D' || i AS ui_id, line AS value FROM lines"
     ),
     "refs_rows": _q(
         WORDS,
         """
-SELECT CAST(d AS INTEGER) AS pmid, CASE WHEN i % 2 = 0 THEN 'T' || i ELSE '' END AS list_title,
+SELECT CAST(d AS BIGINT) AS pmid, CASE WHEN i % 2 = 0 THEN 'T' || i ELSE '' END AS list_title,
   i AS list_index, j AS ref_index, word AS citation,
   CASE WHEN j % 2 = 0 THEN CAST(j + 1 AS VARCHAR) ELSE '' END AS ref_pmid,
   CASE WHEN j % 2 = 0 THEN '10.3/' || word ELSE '' END AS ref_doi, '' AS ref_pii
 FROM words WHERE has_pd""",
     ),
-    "space_rows": _q(LINES, "SELECT CAST(d AS INTEGER) AS pmid, line AS mission FROM lines"),
+    "space_rows": _q(LINES, "SELECT CAST(d AS BIGINT) AS pmid, line AS mission FROM lines"),
     "supp_mesh_rows": _q(
         LINES,
         """
-SELECT CAST(d AS INTEGER) AS pmid, CASE WHEN i % 2 = 0 THEN 'Disease' ELSE 'Protocol' END AS type,
+SELECT CAST(d AS BIGINT) AS pmid, CASE WHEN i % 2 = 0 THEN 'Disease' ELSE 'Protocol' END AS type,
        'C' || i AS ui_id, line AS value FROM lines""",
     ),
     "ids_rows": _q(
         f"{DOCS},{DOC_DATE}",
         f"""
-SELECT CAST(d AS INTEGER) AS pmid, {DOI} AS doi, source AS journal_name,
+SELECT CAST(d AS BIGINT) AS pmid, {DOI} AS doi, source AS journal_name,
   CASE WHEN d % 6 <> 5 THEN CAST(n_chars AS VARCHAR) ELSE '' END AS journal_volume,
   CAST(CASE WHEN kind < 3 THEN y ELSE '0' END AS INTEGER) AS journal_year,
   CASE WHEN d % 5 <> 4 THEN CAST(d % 12 AS VARCHAR) ELSE '' END AS journal_issue,
   CASE kind WHEN 0 THEN CAST(d % 12 + 1 AS VARCHAR) WHEN 1 THEN mon ELSE '' END AS journal_month
 FROM dated""",
     ),
-    "id_pairs": _q(DOCS, f"SELECT CAST(d AS INTEGER) AS pmid, {DOI} AS doi FROM docs"),
+    "id_pairs": _q(DOCS, f"SELECT CAST(d AS BIGINT) AS pmid, {DOI} AS doi FROM docs"),
     "first_id_by_type": _q(
         DOCS,
         f"""
-SELECT CAST(d AS INTEGER) AS pmid, {DOI} AS doi,
+SELECT CAST(d AS BIGINT) AS pmid, {DOI} AS doi,
   CASE WHEN has_pd AND toxic = 1 THEN 'S' || d ELSE '' END AS pii,
   CASE WHEN has_pd THEN 'PMC' || d ELSE '' END AS pmcid FROM docs""",
     ),
@@ -438,7 +438,7 @@ whole AS (
          END AS t
   FROM lines WHERE d % 11 <> 10 GROUP BY d)""",
         """
-SELECT CAST(docs.d AS INTEGER) AS pmid, docs.text AS title,
+SELECT CAST(docs.d AS BIGINT) AS pmid, docs.text AS title,
        CASE WHEN docs.d % 2 = 0 THEN source || lang END AS coi, t AS text
 FROM docs LEFT JOIN whole ON docs.d = whole.d""",
     ),
@@ -453,7 +453,7 @@ FROM dates""",
     "date_entries": _q(
         DOCS,
         f"""
-SELECT CAST(d AS INTEGER) AS pmid, CASE WHEN d % 3 <> 0 THEN {_ymd("d")} END AS date_completed,
+SELECT CAST(d AS BIGINT) AS pmid, CASE WHEN d % 3 <> 0 THEN {_ymd("d")} END AS date_completed,
        CASE WHEN d % 5 <> 0 THEN {_ymd("n_chars")} END AS date_revised FROM docs""",
     ),
     "rejected_articles": _q(
@@ -463,7 +463,10 @@ SELECT CAST(pmid AS VARCHAR) AS pmid, 'bad_pub_date' AS reason, problem AS detai
 FROM dates WHERE problem IS NOT NULL""",
     ),
     "store_rejects_keep_ids":
-        "SELECT CAST(o_orderkey AS INTEGER) AS pmid, '10.9/' || o_orderkey AS doi FROM orders",
+        "SELECT CAST(o_orderkey AS BIGINT) AS pmid, '10.9/' || o_orderkey AS doi FROM orders",
+    "pmid_wide": """
+SELECT o_orderkey + 3000000000 AS pmid, '10.9/' || (o_orderkey + 3000000000) AS doi,
+  CAST(0 AS INTEGER) AS status, CAST(1 AS BIGINT) AS n_matches FROM orders""",
     "child_ordinals": """
 SELECT l_orderkey AS pmid, 'D' || l_partkey AS ui_id, l_returnflag || l_linestatus AS value,
   CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
@@ -572,7 +575,7 @@ SELECT CAST(d AS VARCHAR) AS pmid, source AS owner, source AS journal,
     "xml_round_trip": _q(
         IDS,
         """
-SELECT CAST(pmid AS INTEGER) AS pmid, doi, journal_name, journal_volume, journal_year,
+SELECT CAST(pmid AS BIGINT) AS pmid, doi, journal_name, journal_volume, journal_year,
        journal_month FROM ids""",
     ),
     "xml_records_per_file": _q(
@@ -585,7 +588,7 @@ FROM ids GROUP BY ALL""",
     ),
     "xml_deleted_log": _q(
         XML_CHANGES,
-        "SELECT CAST(pmid AS INTEGER) AS pmid, file_name FROM changes WHERE op = 'D'",
+        "SELECT CAST(pmid AS BIGINT) AS pmid, file_name FROM changes WHERE op = 'D'",
     ),
     "files_listed": _q(XML_CHANGES, "SELECT file_name FROM files"),
     "store_statuses": _q(
@@ -603,7 +606,7 @@ FROM files""",
 
 STORE_SNAPSHOT = _q(
     f"{XML_CHANGES},{FILE_ORDER}",
-    "SELECT CAST(pmid AS INTEGER) AS pmid, doi FROM winners WHERE op = 'U'",
+    "SELECT CAST(pmid AS BIGINT) AS pmid, doi FROM winners WHERE op = 'U'",
 )
 ORACLE["xml_store_snapshot"] = STORE_SNAPSHOT
 ORACLE["xml_stream_snapshot"] = STORE_SNAPSHOT

@@ -504,9 +504,8 @@ FILE_ROWS = 1_000_000
 FILE_DOCUMENTS = 1_000
 
 
-@query
-def store_rejects_keep_ids(spark, d):
-    """Orders in ten forms of dates as XML, applied: every readable PMID has its `ids` row."""
+def _dated_store(spark, dated) -> Store:
+    """Dated orders (pmid, date) written as XML with a DOI each, and applied."""
     id_t = schemas.ARTICLE_IDS["ArticleId"].dataType.elementType
     doi = v.build(id_t, {"_VALUE": v.text("10.9/", F.col("pmid")), "_IdType": F.lit("doi")})
     journal = {"JournalIssue": {"PubDate": F.col("date")}}
@@ -515,7 +514,7 @@ def store_rejects_keep_ids(spark, d):
         v.build(schemas.MEDLINE_CITATION, citation).alias("MedlineCitation"),
         v.build(schemas.PUBMED_DATA, {"ArticleIdList": {"ArticleId": F.array(doi)}}).alias("PubmedData"),
     )
-    records = _order_dates(spark, d).select(
+    records = dated.select(
         _numbered("24", F.format_string("%08d", F.expr(f"pmid div {FILE_ROWS}"))).alias("file"),
         F.lit(ARTICLE).alias("kind"),
         F.col("pmid").cast("bigint").alias("seq"),
@@ -523,7 +522,21 @@ def store_rejects_keep_ids(spark, d):
     )
     store = Store(spark, new_path(spark, "store"))
     store.update(write_lines(records, new_path(spark, "corpus")), tables=["ids"])
-    return store.read("ids").select("pmid", "doi")
+    return store
+
+
+@query
+def store_rejects_keep_ids(spark, d):
+    """Ten forms of dates, three of them unreadable: every readable PMID has its `ids` row."""
+    return _dated_store(spark, _order_dates(spark, d)).read("ids").select("pmid", "doi")
+
+
+@query
+def pmid_wide(spark, d):
+    """Keys above 2**31 through XML, store and lookup."""
+    dated = _order_dates(spark, d).withColumn("pmid", F.col("pmid") + 3_000_000_000)
+    ids = _dated_store(spark, dated).read("ids")
+    return lookup.pmids_to_dois(ids, dated.select("pmid"))
 
 
 def _numbered(year, *number):

@@ -173,7 +173,7 @@ DELETE_TAG = "DeleteCitation"
 # Relation and column names of the flat tables, in file order.
 RELATIONS: dict[str, str] = {
     "main": (
-        "pmid int, doi string, pii string, pmcid string, date_completed string, "
+        "pmid bigint, doi string, pii string, pmcid string, date_completed string, "
         "date_revised string, issn_value string, issn_type string, "
         "journal_title string, volume string, issue string, pub_date string, "
         "iso_abbrev string, title string, vernacular_title string, pages string, "
@@ -181,49 +181,49 @@ RELATIONS: dict[str, str] = {
         "n_authors int, n_keyword_lists int, n_keywords int, medline_date_raw string"
     ),
     "abstract": (
-        "pmid int, element_id int, label string, category string, text string"
+        "pmid bigint, element_id int, label string, category string, text string"
     ),
     "authors": (
-        "pmid int, auth_order int, is_collective boolean, is_first boolean, "
+        "pmid bigint, auth_order int, is_collective boolean, is_first boolean, "
         "is_last boolean, last_name string, fore_name string, initials string, "
         "suffix string, orcid string, affiliation string, ringgold_id string, "
         "isni_id string, grid_id string"
     ),
-    "chem": "pmid int, registry_number string, name string, ui_id string",
+    "chem": "pmid bigint, registry_number string, name string, ui_id string",
     "comments_corrections": (
-        "pmid int, ref_type string, ref_source string, note string, ref_pmid string"
+        "pmid bigint, ref_type string, ref_source string, note string, ref_pmid string"
     ),
-    "data_bank": "pmid int, is_complete boolean, name string, acc_number string",
+    "data_bank": "pmid bigint, is_complete boolean, name string, acc_number string",
     "grants": (
-        "pmid int, is_complete boolean, grant_id string, acronym string, "
+        "pmid bigint, is_complete boolean, grant_id string, acronym string, "
         "agency string, country string"
     ),
-    "keywords": "pmid int, owner string, is_major boolean, keyword string",
-    "languages": "pmid int, language string",
+    "keywords": "pmid bigint, owner string, is_major boolean, keyword string",
+    "languages": "pmid bigint, language string",
     "mesh": (
-        "pmid int, heading_id int, is_major boolean, ui_id string, value string"
+        "pmid bigint, heading_id int, is_major boolean, ui_id string, value string"
     ),
-    "notes": "pmid int, text string, owner string",
+    "notes": "pmid bigint, text string, owner string",
     "personal_names": (
-        "pmid int, last_name string, fore_name string, initials string, suffix string"
+        "pmid bigint, last_name string, fore_name string, initials string, suffix string"
     ),
-    "pub_types": "pmid int, ui_id string, value string",
+    "pub_types": "pmid bigint, ui_id string, value string",
     "refs": (
-        "pmid int, list_title string, list_index int, ref_index int, "
+        "pmid bigint, list_title string, list_index int, ref_index int, "
         "citation string, ref_pmid string, ref_doi string, ref_pii string"
     ),
-    "space": "pmid int, mission string",
-    "supp_mesh": "pmid int, type string, ui_id string, value string",
+    "space": "pmid bigint, mission string",
+    "supp_mesh": "pmid bigint, type string, ui_id string, value string",
 }
 
 IDS = (
-    "pmid int, doi string, journal_name string, journal_volume string, "
+    "pmid bigint, doi string, journal_name string, journal_volume string, "
     "journal_year int, journal_issue string, journal_month string"
 )
 UPDATES = "file_name string"
-DELETED = "pmid int, file_name string"
+DELETED = "pmid bigint, file_name string"
 REJECTS = "file_name string, pmid string, reason string, detail string, kept boolean"
-CHANGES = "pmid int, op string, file_name string, seq bigint"
+CHANGES = "pmid bigint, op string, file_name string, seq bigint"
 
 # Columns written to a tab separated file: the auto id comes first and is
 # empty; `n_keywords` holds the number of keyword lists there.

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from citeloom.functions.files import corpus_name
 from citeloom.functions.ids import article_id
-from citeloom.functions.text import as_int
+from citeloom.functions.text import as_key
 from citeloom.sources import schemas
 
 CORRUPT = "_corrupt_record"
@@ -92,7 +92,7 @@ def _deletes(df: DataFrame, corrupt: Column) -> DataFrame:
     )
     return opened.select(
         "value",
-        as_int(F.col("value")).alias("pmid"),
+        as_key(F.col("value")).alias("pmid"),
         "file_name",
         F.col("seq").cast("bigint").alias("seq"),
         "is_corrupt",
