@@ -23,10 +23,11 @@ from citeloom.llm.interning import intern, spell
 from citeloom.llm.shared import arrow_stage
 from citeloom.llm.words import Block, blocks, span_hashes
 
-KEPT_CHUNKS = 600_000
-QUERY_BYTES = 400_000
+KEPT_PIECES = 150_000
+QUERY_BYTES = 100_000
+BLOCK_BYTES = 2 << 20
 LONG_WORD = 64
-DECODE_IDS = 1 << 19
+DECODE_IDS = 1 << 17
 
 #: One contraction of each word a round; pos counts from 0 without gaps.  A word without pairs ends as done.
 _CONTRACT = """
@@ -87,14 +88,21 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-class Codec:
-    """The tables of one rank file in an in-memory DuckDB of one thread."""
+def _database() -> duckdb.DuckDBPyConnection:
+    return duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "100MB", "temp_directory": ""})
+
+
+class Encoder:
+    """The merge table of one rank file in an in-memory DuckDB of one thread, and the ids of pieces met lately.
+
+    Those are two generations of up to KEPT_PIECES: when the younger is full it becomes the older.
+    """
 
     def __init__(self, path: str, pattern: str) -> None:
         self.ranks = read_ranks(path)
         self.pattern = regex.compile(pattern)
-        self.pieces: dict[str, bytes] = {}
-        self.chunks: dict[bytes, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         left, right, merged = [], [], []
         for token, rank in self.ranks.items():
@@ -104,12 +112,10 @@ class Codec:
                     left.append(a), right.append(b), merged.append(rank)
         lowered = {x for x, m in zip(left, merged) if m < x} | {x for x, m in zip(right, merged) if m < x}
         merges = pa.table({"l": left, "r": right, "merged": merged, "safe": [m not in lowered for m in merged]})
-        names = pa.table({"id": list(self.ranks.values()), "hex": [t.hex() for t in self.ranks]})
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
+        self.db = _database()
         self.db.register("merges_in", merges)
-        self.db.register("names_in", names)
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merges_in")
-        self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM names_in")
+        self.db.unregister("merges_in")
 
     def _contract(self, words: list[bytes]) -> list[bytes]:
         data = np.frombuffer(b"".join(words), np.uint8)
@@ -124,16 +130,20 @@ class Codec:
         flat, at = ids.values.to_numpy().astype("<u4"), ids.offsets.to_numpy()
         return [flat[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
 
-    def _learn(self, pieces: set[str]) -> None:
-        """Ids of pieces not met before; a piece that is a token itself has that id."""
+    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
+        """The ids of pieces; one that is a token itself has that id."""
+        found: dict[str, bytes] = {}
         short: list[bytes] = []
         long: list[bytes] = []
         for piece in pieces:
+            if (ids := self.young.get(piece) or self.old.get(piece)) is not None:
+                found[piece] = ids
+                continue
             raw = piece.encode()
             if (rank := self.ranks.get(raw)) is not None:
-                self.pieces[piece] = np.array([rank], "<u4").tobytes()
-                continue
-            (long if len(raw) > LONG_WORD else short).append(raw)
+                found[piece] = np.array([rank], "<u4").tobytes()
+            else:
+                (long if len(raw) > LONG_WORD else short).append(raw)
         for words in (short, long):
             a = 0
             while a < len(words):
@@ -141,20 +151,30 @@ class Codec:
                 while b < len(words) and (b == a or size + len(words[b]) <= QUERY_BYTES):
                     size += len(words[b])
                     b += 1
-                self.pieces.update(zip((w.decode() for w in words[a:b]), self._contract(words[a:b])))
+                found.update(zip((w.decode() for w in words[a:b]), self._contract(words[a:b])))
                 a = b
+        for piece, ids in found.items():
+            if len(self.young) >= KEPT_PIECES:
+                self.young, self.old = {}, self.young
+            self.young[piece] = ids
+        return found
 
-    def encode_chunks(self, chunks: list[bytes]) -> list[bytes]:
+    def encode(self, chunks: list[bytes]) -> list[bytes]:
         """The ids of texts that are cut where the pattern cuts, as little-endian unsigned 32-bit integers."""
-        new = [c for c in chunks if c not in self.chunks]
-        if len(self.chunks) + len(new) > KEPT_CHUNKS:
-            self.chunks.clear()
-            self.pieces.clear()
-            new = chunks
-        split = [self.pattern.findall(c.decode()) for c in new]
-        self._learn({p for own in split for p in own} - self.pieces.keys())
-        self.chunks.update((c, b"".join([self.pieces[p] for p in own])) for c, own in zip(new, split))
-        return [self.chunks[c] for c in chunks]
+        split = [self.pattern.findall(c.decode()) for c in chunks]
+        ids = self._learn({p for own in split for p in own})
+        return [ids[own[0]] if len(own) == 1 else b"".join([ids[p] for p in own]) for own in split]
+
+
+class Decoder:
+    """The bytes of each id of one rank file, in an in-memory DuckDB of one thread."""
+
+    def __init__(self, path: str) -> None:
+        ranks = read_ranks(path)
+        self.db = _database()
+        self.db.register("names_in", pa.table({"id": list(ranks.values()), "hex": [t.hex() for t in ranks]}))
+        self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM names_in")
+        self.db.unregister("names_in")
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
         """The bytes of each list of ids, by an ordered aggregation over (list, position, id)."""
@@ -175,13 +195,19 @@ class Codec:
         return out
 
 
-_codecs: dict[tuple[str, str], Codec] = {}
+_open: dict[tuple, Encoder | Decoder] = {}
+
+
+def encoder(path: str, pattern: str) -> Encoder:
+    if (path, pattern) not in _open:
+        _open[path, pattern] = Encoder(path, pattern)
+    return _open[path, pattern]
 
 
-def codec(path: str, pattern: str) -> Codec:
-    if (path, pattern) not in _codecs:
-        _codecs[path, pattern] = Codec(path, pattern)
-    return _codecs[path, pattern]
+def decoder(path: str) -> Decoder:
+    if (path,) not in _open:
+        _open[path,] = Decoder(path)
+    return _open[path,]
 
 
 def _spans(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -220,7 +246,7 @@ _WIDE = np.zeros(256, bool)
 _WIDE[[0xE1, 0xE2, 0xE3]] = True
 
 
-def encode_block(codec: Codec, block: Block) -> Iterator[bytes]:
+def encode_block(codec: Encoder, block: Block) -> Iterator[bytes]:
     data = block.data
     wide = _WIDE[data] | ((data >= 0x1C) & (data <= 0x1F))
     wide[1:] |= (data[:-1] == 0xC2) & ((data[1:] == 0x85) | (data[1:] == 0xA0))
@@ -230,14 +256,12 @@ def encode_block(codec: Codec, block: Block) -> Iterator[bytes]:
         codes, kinds = intern(span_hashes(data, start, end))
         raw = data.tobytes()
         chunks = [raw[a:b] for a, b in zip(start[kinds].tolist(), end[kinds].tolist())]
-        ids, at = spell(codes, codec.encode_chunks(chunks), first, np.dtype("<u4"))
+        ids, at = spell(codes, codec.encode(chunks), first, np.dtype("<u4"))
     for i in range(len(block)):
         if block.at[i] == block.at[i + 1]:
             yield b""
         elif odd[i]:
-            text = data[block.at[i] : block.at[i + 1]].tobytes().decode()
-            codec._learn(set(codec.pattern.findall(text)) - codec.pieces.keys())
-            yield b"".join([codec.pieces[p] for p in codec.pattern.findall(text)])
+            yield codec.encode([data[block.at[i] : block.at[i + 1]].tobytes()])[0]
         else:
             yield ids[at[i] : at[i + 1]].tobytes()
 
@@ -253,17 +277,17 @@ def encode(
     types = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
 
     def step(batch: pa.RecordBatch) -> Iterator[dict]:
-        for block in blocks(batch.column(1)):
+        for block in blocks(batch.column(1), size=BLOCK_BYTES):
             yield {
                 "doc_id": batch.column(0).slice(block.row, len(block)),
-                "ids": list(encode_block(codec(path, pattern), block)),
+                "ids": list(encode_block(encoder(path, pattern), block)),
             }
 
     source = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     return arrow_stage(source, step, "doc_id bigint, ids binary", types)
 
 
-def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
+def decode(encoded: DataFrame, path: str) -> DataFrame:
     """doc_id, ids and decoded (binary) of rows of doc_id and ids."""
     types = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())])
 
@@ -272,7 +296,7 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
         for a in range(0, len(ids), 256):
             part = ids.slice(a, 256)
             lists = [np.frombuffer(x, "<u4") for x in part.fill_null(b"").to_pylist()]
-            decoded = codec(path, pattern).decode(lists)
+            decoded = decoder(path).decode(lists)
             yield {"doc_id": batch.column(0).slice(a, 256), "ids": part, "decoded": decoded}
 
     return arrow_stage(encoded.select("doc_id", "ids"), step, "doc_id bigint, ids binary, decoded binary", types)
