@@ -6,9 +6,11 @@ key with a probability of 0.999, of 0.8 with 0.9998.
 
 Texts with the same shingle set are one class, which stands for all its copies.  Per key the class that collides most
 (the hub, such as the original of a group of edited copies) is compared with all others first: linear in the size of a
-bucket.  Once those links have been joined to components, only pairs of different components that share a key are left,
-and each of them is compared.  A sketch (the 24 MinHashes, of which 9 must agree) drops chance collisions before the
-comparison of full sets, with a probability of 0.00002 of losing a pair of similarity 0.75.
+bucket.  There a sketch (the 24 MinHashes, of which 9 must agree) drops chance collisions before full sets are compared, with a
+probability below 0.0001 of losing a pair of similarity 0.75.  Once those links have been joined to components, only
+classes are open that share a key with another component.  Among them an exact join finds all other pairs of different
+components that can link: such pairs have one of their rarest shingles in common, and in a group of edited copies the
+rarest are the edits.
 """
 
 from __future__ import annotations
@@ -85,32 +87,55 @@ def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> Da
     return arrow_stage(source.join(ids, "id", "left_semi"), step, "id bigint, shingles binary", types)
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
-    types = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b, and the sizes of the intersection and the union of their full sets."""
+    types = pa.schema([(name, pa.int64()) for name in ("a", "b", "common", "all")])
 
     def step(batch: pa.RecordBatch) -> Iterator[dict]:
-        keep = []
+        common, every = [], []
         for x, y in zip(batch.column(2), batch.column(3)):
             x, y = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
             both = np.concatenate((x, y))
             both.sort(kind="stable")
-            common = int((both[1:] == both[:-1]).sum())
-            keep.append(100 * common >= percent * (len(x) + len(y) - common))
-        keep = pa.array(keep, pa.bool_())
-        yield {"a": batch.column(0).filter(keep), "b": batch.column(1).filter(keep)}
+            common.append(int((both[1:] == both[:-1]).sum()))
+            every.append(len(both) - common[-1])
+        yield {"a": batch.column(0), "b": batch.column(1), "common": common, "all": every}
 
     one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-    return arrow_stage(
-        pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y"), step, "a bigint, b bigint", types
-    )
+    both = pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y")
+    return arrow_stage(both, step, "a bigint, b bigint, common bigint, all bigint", types)
 
 
-def _promising(n: Column, m: Column, sketch: Column, other: Column, percent: int) -> Column:
-    agree = F.aggregate(
-        F.zip_with(sketch, other, lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x
-    )
+def rare_prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """Each set's rarest shingles: id, n, shingle, pos (from 0, rarest first).
+
+    Two sets of n and m shingles link only with at least (n + m) * percent / (100 + percent) in common, so the n less
+    that many, plus one, rarest of one and the same of the other have one in common.  The rows reach as far as any
+    partner can need.
+    """
+    types = pa.schema([("id", pa.int64()), ("shingle", pa.int64())])
+
+    def step(batch: pa.RecordBatch) -> Iterator[dict]:
+        for id_, own in zip(batch.column(0).to_pylist(), batch.column(1)):
+            values = np.frombuffer(own.as_buffer(), np.int64)
+            yield {"id": np.full(len(values), id_), "shingle": values}
+
+    every = arrow_stage(sets.select("id", "shingles"), step, "id bigint, shingle bigint", types)
+    many = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets"))
+    ranked = every.join(many, "shingle").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("sets", "shingle"))).alias("r"))
+    n = F.size("r")
+    need = (n - F.ceil(n * percent / 100) + 1).cast("int")
+    prefix = ranked.select("id", n.cast("bigint").alias("n"), F.posexplode(F.slice("r", F.lit(1), need)).alias("pos", "x"))
+    return prefix.where("x.sets > 1").select("id", "n", "pos", F.col("x.shingle").alias("shingle"))
+
+
+def _same(one: Column, two: Column) -> list[Column]:
+    return [one[i] == two[i] for i in range(HASHES)]
+
+
+def _promising(n: Column, m: Column, same: list[Column], percent: int) -> Column:
+    agree = sum((x.cast("int") for x in same), F.lit(0))
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (agree >= AGREE)
 
 
@@ -136,39 +161,48 @@ def near_duplicates(
     met = members.groupBy("id").agg(F.sum(F.col("size") - 1).alias("met"))
     known = stored(met.join(classes, "id").select("id", "met", "n", "sketch"), "met-classes")
     ranked = members.join(known.select("id", "met"), "id")
-    hubs = ranked.groupBy("key").agg(F.max_by("id", F.struct("met", "id")).alias("hub"))
+    hubs = stored(ranked.groupBy("key").agg(F.max_by("id", F.struct("met", "id")).alias("hub")), "hubs")
+    sets = stored(full_sets(docs, known.select("id"), id_col, text_col).dropDuplicates(["id"]), "full-sets")
+
+    # every class with the hubs of its buckets
     stars = (
         members.join(hubs, "key").where("id != hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
     )
     first = known.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
     second = known.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
-    hopeful = _promising(F.col("n_a"), F.col("n_b"), F.col("s_a"), F.col("s_b"), percent)
-    stars = stored(stars.join(first, "a").join(second, "b").where(hopeful).select("a", "b"), "star-pairs")
-    sets = stored(full_sets(docs, known.select("id"), id_col, text_col).dropDuplicates(["id"]), "full-sets")
-    links = stored(linked(stars, sets, percent), "star-links")
+    hopeful = _promising(F.col("n_a"), F.col("n_b"), _same(F.col("s_a"), F.col("s_b")), percent)
+    stars = stars.join(first, "a").join(second, "b").where(hopeful).select("a", "b")
+    stars = stored(compared(stars, sets), "star-pairs")
+    is_link = F.col("common") * 100 >= F.col("all") * percent
+    links = stars.where(is_link).select("a", "b")
 
     # what shares a key but no component yet
-    found = components(links)
     placed = (
-        members.join(found, "id", "left")
-        .join(hubs, "key")
-        .select("key", "id", F.coalesce("component", "id").alias("component"), (F.col("id") == F.col("hub")).alias("is_hub"))
+        members.join(components(links), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     )
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    open_ = stored(
-        placed.where("NOT is_hub").join(mixed.select("key"), "key").join(known.select("id", "n", "sketch"), "id"),
-        "open-members",
-    )
-    one = open_.select("key", *(F.col(c).alias(f"{c}_a") for c in ("id", "component", "n", "sketch")))
-    two = open_.select("key", *(F.col(c).alias(f"{c}_b") for c in ("id", "component", "n", "sketch")))
-    hopeful = _promising(F.col("n_a"), F.col("n_b"), F.col("sketch_a"), F.col("sketch_b"), percent)
-    left = (
-        one.join(two, "key")
-        .where((F.col("id_a") < F.col("id_b")) & (F.col("component_a") != F.col("component_b")) & hopeful)
-        .select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
-        .distinct()
+    open_ = stored(placed.join(mixed.select("key"), "key").groupBy("id").agg(F.min("component").alias("component")), "open")
+    prefixes = rare_prefixes(sets.join(open_.select("id"), "id", "left_semi"), percent).join(open_, "id")
+    prefixes = stored(prefixes, "prefixes")
+    sizes = prefixes.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("rows"))
+    largest = sizes.groupBy("shingle").agg(
+        F.max_by("component", F.struct("rows", "component")).alias("largest"), F.count(F.lit(1)).alias("components")
     )
-    more = stored(linked(left, sets, percent), "other-links")
+    shared = stored(prefixes.join(largest.where("components > 1"), "shingle").drop("components"), "shared-prefixes")
+    one = shared.where("component != largest")
+    one = one.select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("id", "n", "pos", "component")))
+    two = shared.select("shingle", "largest", *(F.col(c).alias(f"{c}_b") for c in ("id", "n", "pos", "component")))
+    need = F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100 + percent))
+    left = one.join(
+        two,
+        (one["shingle"] == two["shingle"])
+        & (F.col("component_a") != F.col("component_b"))
+        & ((F.col("component_b") == F.col("largest")) | (F.col("id_a") < F.col("id_b")))
+        & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+        & (F.col("pos_a") <= F.col("n_a") - need)
+        & (F.col("pos_b") <= F.col("n_b") - need),
+    ).select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
+    more = stored(compared(left, sets), "other-pairs").where(is_link).select("a", "b")
 
     found = components(links.unionByName(more))
     placed = (
