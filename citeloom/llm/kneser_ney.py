@@ -179,7 +179,7 @@ def _count(texts: DataFrame, order: int, shards: Shards, heavy_orders: int = 0)
 
         for batch in batches:
             for block in blocks(batch.column(0), lower=True):
-                token, contexts, at = tokens(block, max(order, heavy_orders))
+                token, contexts, at = tokens(block, max(order, heavy_orders + 1))
                 for c in contexts[:heavy_orders]:
                     values, n = np.unique(c, return_counts=True)
                     hot = n * 2 * shards.number > len(token)
