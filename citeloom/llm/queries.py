@@ -117,16 +117,16 @@ ORACLE: dict[str, str] = {
         FROM d LEFT JOIN kept USING (doc_id)""",
     "op10_minhash": f"""
         WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
-        s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-                     ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) END AS g
-              FROM d),
-        e AS (SELECT doc_id, unnest(g) AS g FROM s),
+        e AS (SELECT DISTINCT doc_id, hash(w[i:i+4]) AS g
+              FROM d, unnest(range(1, greatest(len(w) - 3, 2))) AS r(i) WHERE len(w) > 0),
+        s AS (SELECT doc_id, count(g) AS n FROM d LEFT JOIN e USING (doc_id) GROUP BY doc_id),
         p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM e a JOIN e b USING (g)
-              WHERE a.doc_id <> b.doc_id GROUP BY ALL),
-        l AS (SELECT a, b FROM p JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b
-              WHERE 100 * c >= 75 * (len(x.g) + len(y.g) - c)),
+              WHERE a.doc_id < b.doc_id GROUP BY ALL),
+        h AS (SELECT a, b FROM p JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b
+              WHERE 100 * c >= 75 * (x.n + y.n - c)),
+        l AS (SELECT a, b FROM h UNION ALL SELECT b, a FROM h),
         r(a, b) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
         m AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
-        SELECT s.doc_id, len(g)::BIGINT AS n_shingles, component_id, s.doc_id = component_id AS kept
+        SELECT s.doc_id, n AS n_shingles, component_id, s.doc_id = component_id AS kept
         FROM s JOIN m USING (doc_id)""",
 }
