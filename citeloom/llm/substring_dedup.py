@@ -5,7 +5,10 @@ it.  Consecutive windows with the same minimiser travel as one packed string of
 windows have equal minimisers, so a bucket sees all occurrences of its windows: it sorts the windows' words and counts
 them exactly.  A bucket of one packed string without a repeated window is done at once.
 
-A minimiser of very many packed strings (a passage in a third of all documents) is found by a first count.  Its windows
+A first count of the minimisers says which occur only once; their strings need not travel.  The map side knows that from
+a bit for each hash of a repeated minimiser, of FILTER_BITS bits at most: where many share a bit, more strings travel.
+
+A minimiser of very many packed strings (a passage in a third of all documents) is found by that count too.  Its windows
 travel one by one, as digests of 128 bits, to be counted by a shuffle that combines equal ones first.
 """
 
@@ -26,6 +29,7 @@ from citeloom.llm.words import SPACE, Block, U, blocks, runs
 WINDOW = 35
 MINIMISER = 5
 HOT_STRINGS = 20_000
+LEAST_BITS, FILTER_BITS = 1 << 20, 1 << 27
 _SALT = 301
 
 
@@ -95,9 +99,27 @@ def minimiser_counts(docs: DataFrame, window: int, k: int, text_col: str) -> Dat
     return counted.groupBy("minimiser").agg(F.sum("n").alias("n"))
 
 
-def packed_strings(docs: DataFrame, hot: list[int], window: int, k: int, id_col: str, text_col: str) -> DataFrame:
-    """Rows of the word strings of super-k-mers; for hot minimisers of the digests of windows instead."""
+def repeated_bits(repeated: DataFrame) -> np.ndarray:
+    """A bit for each repeated minimiser's hash, about sixteen for each up to FILTER_BITS, as 64-bit words."""
+    bits = LEAST_BITS
+    count = repeated.count()
+    while bits < FILTER_BITS and bits < 16 * count:
+        bits *= 2
+    bit = F.pmod("minimiser", F.lit(bits))
+    one = F.shiftright(bit, 6).alias("word"), F.expr("1L").alias("one"), F.pmod(bit, F.lit(64)).cast("int").alias("at")
+    words = repeated.select(*one).groupBy("word").agg(F.bit_or(F.expr("shiftleft(one, at)")).alias("bits"))
+    found = words.toArrow()  # at most FILTER_BITS / 64 rows
+    out = np.zeros(bits // 64, np.int64)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return out.view(U)
+
+
+def packed_strings(
+    docs: DataFrame, bits: np.ndarray, hot: list[int], window: int, k: int, id_col: str, text_col: str
+) -> DataFrame:
+    """Rows of the word strings of super-k-mers that may repeat; for hot minimisers of the digests of windows instead."""
     hot_keys = np.array(sorted(hot), np.int64)
+    shared_bits = docs.sparkSession.sparkContext.broadcast(bits)
 
     def step(batch: pa.RecordBatch) -> Iterator[dict]:
         for block in blocks(batch.column(2)):
@@ -107,7 +129,9 @@ def packed_strings(docs: DataFrame, hot: list[int], window: int, k: int, id_col:
             lo = block.first[found.doc] + found.first
             hi = lo + found.windows + window - 1  # the word after
             spread = np.isin(least, hot_keys)
-            calm = np.flatnonzero(~spread)
+            at = found.least & U(64 * len(shared_bits.value) - 1)
+            again = (shared_bits.value[at >> U(6)] >> (at & U(63))) & U(1) == 1
+            calm = np.flatnonzero(~spread & (again | found.inner))
             rows = pa.array(own[calm])
             yield {
                 "id": batch.column(0).take(rows),
@@ -177,9 +201,9 @@ def repeated_windows(
     docs: DataFrame, window: int = WINDOW, k: int = MINIMISER, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Runs of windows that also start elsewhere: id, row, first (the window's word in its document), windows."""
-    counts = minimiser_counts(docs, window, k, text_col)
-    hot = [r[0] for r in counts.where(F.col("n") > HOT_STRINGS).select("minimiser").collect()]
-    packed = packed_strings(docs, hot, window, k, id_col, text_col)
+    repeated = stored(minimiser_counts(docs, window, k, text_col).where("n > 1"), "repeated-minimisers")
+    hot = [r[0] for r in repeated.where(F.col("n") > HOT_STRINGS).select("minimiser").collect()]
+    packed = packed_strings(docs, repeated_bits(repeated), hot, window, k, id_col, text_col)
     names = ("id", "row", "first", "windows")
     types = pa.schema([(name, pa.int64()) for name in names])
 
