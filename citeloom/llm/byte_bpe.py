@@ -25,24 +25,26 @@ from citeloom.llm.words import Block, blocks, span_hashes
 
 KEPT_PIECES = 150_000
 QUERY_BYTES = 100_000
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 3 << 20
 LONG_WORD = 64
 DECODE_IDS = 1 << 17
 
-#: One contraction of each word a round; pos counts from 0 without gaps.  A word without pairs ends as done.
+#: One contraction of each word a round.  k is 65536 times the word plus the position, which counts from 0 without gaps;
+#: best is 65536 times the rank plus the position.  A word without pairs ends as done.
 _CONTRACT = """
-WITH RECURSIVE step(w, pos, tok, done) AS (
-    SELECT w, pos, tok, false FROM word_bytes
+WITH RECURSIVE step(k, tok, done) AS (
+    SELECT w * 65536 + pos, tok, false FROM word_bytes
   UNION ALL
-    SELECT w, pos - CASE WHEN pos > best % 65536 THEN 1 ELSE 0 END,
-           CASE WHEN pos = best % 65536 THEN best // 65536 ELSE tok END, best IS NULL
-    FROM (
-        SELECT s.w, s.pos, s.tok, min(m.merged * 65536 + s.pos) OVER (PARTITION BY s.w) AS best
-        FROM (SELECT *, lead(tok) OVER (PARTITION BY w ORDER BY pos) AS nxt FROM step WHERE NOT done) s
-        LEFT JOIN merges m ON m.l = s.tok AND m.r = s.nxt
-    ) WHERE best IS NULL OR pos <> best % 65536 + 1
+    SELECT s.k - CASE WHEN s.k & 65535 > b.best & 65535 THEN 1 ELSE 0 END,
+           CASE WHEN s.k & 65535 = b.best & 65535 THEN b.best >> 16 ELSE s.tok END, b.best IS NULL
+    FROM step s LEFT JOIN (
+        SELECT x.k >> 16 AS w, min(m.merged * 65536 + (x.k & 65535)) AS best
+        FROM step x JOIN step y ON y.k = x.k + 1 JOIN merges m ON m.l = x.tok AND m.r = y.tok
+        WHERE NOT x.done AND NOT y.done GROUP BY x.k >> 16
+    ) b ON b.w = s.k >> 16
+    WHERE NOT s.done AND (b.best IS NULL OR s.k & 65535 <> (b.best & 65535) + 1)
 )
-SELECT w, list(tok ORDER BY pos) AS ids FROM step WHERE done GROUP BY w ORDER BY w
+SELECT k >> 16 AS w, list(tok ORDER BY k) AS ids FROM step WHERE done GROUP BY k >> 16 ORDER BY w
 """
 
 #: For long words: every other pair of a run of least pairs in a round, where that comes to the same.
@@ -160,8 +162,10 @@ class Encoder:
         return found
 
     def encode(self, chunks: list[bytes]) -> list[bytes]:
-        """The ids of texts that are cut where the pattern cuts, as little-endian unsigned 32-bit integers."""
-        split = [self.pattern.findall(c.decode()) for c in chunks]
+        """The ids of spans of texts, as little-endian unsigned 32-bit integers; of ASCII without apostrophe they are pieces."""
+        split = [
+            [c.decode()] if c.isascii() and b"'" not in c else self.pattern.findall(c.decode()) for c in chunks
+        ]
         ids = self._learn({p for own in split for p in own})
         return [ids[own[0]] if len(own) == 1 else b"".join([ids[p] for p in own]) for own in split]
 
@@ -210,8 +214,16 @@ def decoder(path: str) -> Decoder:
     return _open[path,]
 
 
+#: Letters, digits and signs of ASCII; 0 for white space, apostrophes (of contractions) and all else.
+_KIND = np.zeros(256, np.int8)
+_KIND[33:127] = 3
+_KIND[48:58] = 2
+_KIND[65:91] = _KIND[97:123] = 1
+_KIND[39] = 0
+
+
 def _spans(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Where the pattern cuts at ASCII white space whatever stands beside it.
+    """Where the pattern cuts whatever stands beside it: at ASCII white space and between ASCII letters, digits and signs.
 
     A space before a word goes with the word; of other white space before a word the last character is a piece of its
     own, and so is what stands before that; white space at a document's end is one piece.
@@ -220,7 +232,10 @@ def _spans(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     own = block.start > np.repeat(at[:-1], np.diff(block.first))  # the word does not begin its document
     before = np.zeros(len(block.start), bool)
     before[own] = data[block.start[own] - 1] == 32
-    start, end = [block.start - before], [block.end]
+    kind = _KIND[data]
+    cut = np.flatnonzero((kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)) + 1
+    cut = cut[~np.isin(cut, at)]
+    start, end = [np.sort(np.append(block.start - before, cut))], [np.sort(np.append(block.end, cut))]
     # white space from a document's begin or a word's end to the next word or the document's end
     doc = np.repeat(np.arange(len(block)), np.diff(block.first))
     gap_from = np.concatenate((at[:-1], block.end))
@@ -261,7 +276,9 @@ def encode_block(codec: Encoder, block: Block) -> Iterator[bytes]:
         if block.at[i] == block.at[i + 1]:
             yield b""
         elif odd[i]:
-            yield codec.encode([data[block.at[i] : block.at[i + 1]].tobytes()])[0]
+            pieces = codec.pattern.findall(data[block.at[i] : block.at[i + 1]].tobytes().decode())
+            found = codec._learn(set(pieces))
+            yield b"".join([found[p] for p in pieces])
         else:
             yield ids[at[i] : at[i + 1]].tobytes()
 
