@@ -25,24 +25,45 @@ from citeloom.llm.words import LOWER, Block, blocks, span_hashes
 SEQUENCE = 2048
 END_ID = 0
 GROUP_PIECES = 65_536
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 200_000
 
-_models: dict[str, tuple] = {}
+class Words:
+    """A tokenizer and the ids of words met lately, in two generations of up to KEPT_WORDS."""
 
-
-def _model(path: str) -> tuple:
-    if path not in _models:
+    def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _models[path] = (Tokenizer.from_file(path), {})
-    return _models[path]
+        self.tokenizer = Tokenizer.from_file(path)
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+    def ids(self, words: list[bytes]) -> list[bytes]:
+        """The ids of different words."""
+        out = [self.young.get(w) or self.old.get(w) for w in words]
+        new = [i for i, ids in enumerate(out) if ids is None]
+        for a in range(0, len(new), 8192):
+            part = new[a : a + 8192]
+            for i, ids in zip(part, self.encode([words[i] for i in part])):
+                out[i] = ids
+        for word, ids in zip(words, out):
+            if len(self.young) >= KEPT_WORDS:
+                self.young, self.old = {}, self.young
+            self.young[word] = ids
+        return out
 
 
-def _encode(path: str, texts: list[bytes]) -> list[bytes]:
-    tokenizer, _ = _model(path)
-    found = tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
-    return [np.array(e.ids, "<u4").tobytes() for e in found]
+_models: dict[str, Words] = {}
+
+
+def _model(path: str) -> Words:
+    if path not in _models:
+        _models[path] = Words(path)
+    return _models[path]
 
 
 def token_ids(path: str, block: Block) -> Iterator[bytes]:
@@ -54,18 +75,12 @@ def token_ids(path: str, block: Block) -> Iterator[bytes]:
     codes, first = intern(span_hashes(data, block.start, block.end))
     raw = data.tobytes()
     words = [raw[a:b] for a, b in zip(block.start[first].tolist(), block.end[first].tolist())]
-    _, kept = _model(path)
-    new = [w for w in words if w not in kept]
-    if len(kept) + len(new) > KEPT_WORDS:
-        kept.clear()
-        new = words
-    for i in range(0, len(new), 8192):
-        kept.update(zip(new[i : i + 8192], _encode(path, new[i : i + 8192])))
-    ids, at = spell(codes, [kept[w] for w in words], block.first, np.dtype("<u4"))
+    model = _model(path)
+    ids, at = spell(codes, model.ids(words), block.first, np.dtype("<u4"))
     marks = b"<|" in raw  # names of special tokens count only as they are written
     for i in range(len(block)):
         text = block.data[block.at[i] : block.at[i + 1]].tobytes() if marks else b""
-        yield _encode(path, [text])[0] if b"<|" in text else ids[at[i] : at[i + 1]].tobytes()
+        yield model.encode([text])[0] if b"<|" in text else ids[at[i] : at[i + 1]].tobytes()
 
 
 def pieces(
