@@ -33,7 +33,7 @@ from citeloom.plans.scratch import new_path
 
 ORDER = 2
 SHARD_BYTES = 24 << 20
-TASK_GRAMS = 3_000_000
+TASK_GRAMS = 2_000_000
 END, BEGIN = U(0x5DEECE66D1234567), U(0x2545F4914F6CDD1D)
 _STEP, _KEY = U(0xD1342543DE82EF95), U(0xA0761D6478BD642F)
 
