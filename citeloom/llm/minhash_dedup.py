@@ -182,16 +182,22 @@ def near_duplicates(
     )
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     open_ = stored(placed.join(mixed.select("key"), "key").groupBy("id").agg(F.min("component").alias("component")), "open")
-    prefixes = rare_prefixes(sets.join(open_.select("id"), "id", "left_semi"), percent).join(open_, "id")
+    # each with the hub it was compared with that collides most, itself maybe, and what they have in common
+    rank = known.select(F.col("id").alias("b"), F.col("met"))
+    own = known.select(F.col("id").alias("a"), F.col("id").alias("b"), F.col("n").alias("common"))
+    homes = stars.select("a", "b", "common").unionByName(own).join(rank, "b").groupBy(F.col("a").alias("id"))
+    homes = homes.agg(F.max(F.struct("met", "b", "common")).alias("h")).select("id", F.col("h.b").alias("home"), F.col("h.common").alias("core"))
+    prefixes = rare_prefixes(sets.join(open_.select("id"), "id", "left_semi"), percent).join(open_, "id").join(homes, "id")
     prefixes = stored(prefixes, "prefixes")
     sizes = prefixes.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("rows"))
     largest = sizes.groupBy("shingle").agg(
         F.max_by("component", F.struct("rows", "component")).alias("largest"), F.count(F.lit(1)).alias("components")
     )
     shared = stored(prefixes.join(largest.where("components > 1"), "shingle").drop("components"), "shared-prefixes")
+    names = ("id", "n", "pos", "component", "home", "core")
     one = shared.where("component != largest")
-    one = one.select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("id", "n", "pos", "component")))
-    two = shared.select("shingle", "largest", *(F.col(c).alias(f"{c}_b") for c in ("id", "n", "pos", "component")))
+    one = one.select("shingle", *(F.col(c).alias(f"{c}_a") for c in names))
+    two = shared.select("shingle", "largest", *(F.col(c).alias(f"{c}_b") for c in names))
     need = F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100 + percent))
     left = one.join(
         two,
@@ -200,7 +206,12 @@ def near_duplicates(
         & ((F.col("component_b") == F.col("largest")) | (F.col("id_a") < F.col("id_b")))
         & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
         & (F.col("pos_a") <= F.col("n_a") - need)
-        & (F.col("pos_b") <= F.col("n_b") - need),
+        & (F.col("pos_b") <= F.col("n_b") - need)
+        # in common are at most the lesser share of the same home and the lesser rest
+        & (
+            (F.col("home_a") != F.col("home_b"))
+            | (F.least("core_a", "core_b") + F.least(F.col("n_a") - F.col("core_a"), F.col("n_b") - F.col("core_b")) >= need)
+        ),
     ).select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
     more = stored(compared(left, sets), "other-pairs").where(is_link).select("a", "b")
 
