@@ -1,9 +1,9 @@
 """Interpolated modified Kneser-Ney models, counted in Spark and kept as sorted hash arrays that workers map.
 
 Counting.  A first pass counts the words, a second one the n-grams: each task sums its own n-grams and sends them as
-packed blocks to the shard of their context; a shard merges its blocks, writes its arrays and passes on, for each
-different n-gram, its suffix, which the next lower order counts (continuation counts).  The shards of a model grow with
-the corpus, so a task never holds more than a shard.  A context that may hold more than half a shard (at most two for
+packed blocks (a list of their words and short codes into it) to the shard of their context; a shard merges its blocks,
+writes its arrays and passes on, for each different n-gram, its suffix, which the next lower order counts (continuation
+counts).  The shards of a model grow with the corpus and the order, so a task never holds more than a shard.  A context that may hold more than half a shard (at most two for
 each shard) is spread over all shards by its next word.
 
 Scoring.  Every worker maps the arrays and looks up a block of documents at once.  The model folder must be a path that
@@ -31,7 +31,7 @@ from citeloom.llm.shared import arrow_stage, stored
 from citeloom.llm.words import U, Block, blocks, mix
 from citeloom.plans.scratch import new_path
 
-ORDER = 2
+ORDER = 3
 SHARD_BYTES = 24 << 20
 TASK_GRAMS = 2_000_000
 END, BEGIN = U(0x5DEECE66D1234567), U(0x2545F4914F6CDD1D)
@@ -68,6 +68,16 @@ def tokens(block: Block, order: int) -> tuple[np.ndarray, list[np.ndarray], np.n
     return token, contexts, at
 
 
+def words_before(token: np.ndarray, at: np.ndarray, order: int) -> np.ndarray:
+    """The order - 1 words before each token, the farthest first; begins where the document has none."""
+    place = np.arange(len(token)) - np.repeat(at[:-1], np.diff(at))
+    before = np.full((len(token), order - 1), BEGIN, U)
+    for j in range(1, order):
+        own = np.flatnonzero(place >= j)
+        before[own, order - 1 - j] = token[own - j]
+    return before
+
+
 @dataclass(frozen=True)
 class Shards:
     """Where an n-gram belongs: by its context; for contexts of very many n-grams by the next word too."""
@@ -85,14 +95,21 @@ class Shards:
 
 @dataclass
 class Grams:
-    """n-grams: their contexts (longest first, one column each), the word, a count."""
+    """n-grams: the words before (the farthest first, one column each), the word, a count."""
 
-    contexts: np.ndarray  # (n, order - 1)
+    before: np.ndarray  # (n, order - 1)
     word: np.ndarray
     count: np.ndarray
 
+    def context(self) -> np.ndarray:
+        """The hash of the words before, as tokens() has it."""
+        found = np.zeros(len(self.word), U)
+        for j in range(self.before.shape[1]):
+            found = mix(found * _STEP + self.before[:, j])
+        return found
+
     def key(self) -> np.ndarray:
-        return gram_key(self.contexts[:, 0], self.word) if self.contexts.shape[1] else self.word
+        return gram_key(self.context(), self.word) if self.before.shape[1] else self.word
 
     def merged(self) -> tuple[Grams, np.ndarray]:
         """Each n-gram once, ordered by key; the keys."""
@@ -102,53 +119,70 @@ class Grams:
         new = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
         count = np.add.reduceat(self.count[order], new) if len(new) else self.count[:0]
         first = order[new]
-        return Grams(self.contexts[first], self.word[first], count), key[new]
+        return Grams(self.before[first], self.word[first], count), key[new]
 
     def suffixes(self) -> Grams:
-        return Grams(self.contexts[:, 1:], self.word, np.ones(len(self.word), np.int64)).merged()[0]
+        return Grams(self.before[:, 1:], self.word, np.ones(len(self.word), np.int64)).merged()[0]
 
     def packed(self, shards: Shards) -> Iterator[tuple[int, bytes]]:
-        lead = self.contexts[:, 0] if self.contexts.shape[1] else self.word
+        lead = self.context() if self.before.shape[1] else self.word
         shard = shards.of(lead, self.word)
         order = np.lexsort((lead, shard))
         ends = np.searchsorted(shard[order], np.arange(shards.number + 1))
         for s in range(shards.number):
             own = order[ends[s] : ends[s + 1]]
             if len(own):
-                yield s, pack_block(self.contexts[own], self.word[own], self.count[own])
+                yield s, pack_block(self.before[own], lead[own], self.word[own], self.count[own])
 
 
 def gram_key(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(context * _KEY + word)
 
 
-def pack_block(contexts: np.ndarray, word: np.ndarray, count: np.ndarray) -> bytes:
-    """A run of equal contexts is stored once; counts over 254 follow the counts of one byte."""
-    n, k = contexts.shape
-    new = np.flatnonzero(np.append(True, contexts[1:, 0] != contexts[:-1, 0])) if k else np.zeros(0, np.int64)
-    run = np.diff(np.append(new, n)).astype(np.uint32) if k else np.zeros(0, np.uint32)
+_CODES = (np.uint8, np.uint16, np.uint32, U)
+
+
+def _width(values: np.ndarray) -> int:
+    """The place in _CODES of the narrowest type that holds the values."""
+    most = int(values.max()) if len(values) else 0
+    return 0 if most < 1 << 8 else 1 if most < 1 << 16 else 2 if most < 1 << 32 else 3
+
+
+def pack_block(before: np.ndarray, context: np.ndarray, word: np.ndarray, count: np.ndarray) -> bytes:
+    """Each word's hash once and codes for it; a run of equal contexts once; counts over 254 follow those of one byte."""
+    n, k = before.shape
+    new = np.flatnonzero(np.append(True, context[1:] != context[:-1])) if k else np.zeros(0, np.int64)
+    run = np.diff(np.append(new, n)) if k else np.zeros(0, np.int64)
+    known, code = np.unique(np.concatenate([before[new].T.ravel(), word]), return_inverse=True)
     large = count > 254
-    head = np.array([n, k, len(new), large.sum()], np.int64)
-    parts = (head, contexts[new], run, word, np.where(large, 255, count).astype(np.uint8), count[large].astype(np.int64))
+    widths = _width(code), _width(run)
+    head = np.array([n, k, len(new), large.sum(), len(known), *widths], np.int64)
+    parts = (head, known, code.astype(_CODES[widths[0]]), run.astype(_CODES[widths[1]]))
+    parts += (np.where(large, 255, count).astype(np.uint8), count[large].astype(np.int64))
     return b"".join(np.ascontiguousarray(p).tobytes() for p in parts)
 
 
 def unpack_block(data: bytes) -> Grams:
-    n, k, runs, large = np.frombuffer(data, np.int64, 4).tolist()
-    at = 32
-    contexts = np.frombuffer(data, U, runs * k, at).reshape(runs, k)
-    at += 8 * runs * k
-    run = np.frombuffer(data, np.uint32, runs, at)
-    at += 4 * runs
-    word = np.frombuffer(data, U, n, at)
-    at += 8 * n
-    count = np.frombuffer(data, np.uint8, n, at).astype(np.int64)
-    count[count == 255] = np.frombuffer(data[at + n :], np.int64, large)
-    return Grams(np.repeat(contexts, run, axis=0) if k else np.zeros((n, 0), U), word, count)
+    n, k, runs, large, kinds, *widths = np.frombuffer(data, np.int64, 7).tolist()
+    at = 56
+
+    def take(kind: type, number: int) -> np.ndarray:
+        nonlocal at
+        found = np.frombuffer(data, np.uint8, number * np.dtype(kind).itemsize, at).view(kind)
+        at += found.nbytes
+        return found
+
+    known = take(U, kinds)
+    words = known[take(_CODES[widths[0]], runs * k + n)]
+    run = take(_CODES[widths[1]], runs).astype(np.int64)
+    count = take(np.uint8, n).astype(np.int64)
+    count[count == 255] = np.frombuffer(data[at:], np.int64, large)
+    before = words[: runs * k].reshape(k, runs).T
+    return Grams(np.repeat(before, run, axis=0) if k else np.zeros((n, 0), U), words[runs * k :], count)
 
 
 def joined(parts: list[Grams]) -> Grams:
-    return Grams(*(np.concatenate([getattr(p, name) for p in parts]) for name in ("contexts", "word", "count")))
+    return Grams(*(np.concatenate([getattr(p, name) for p in parts]) for name in ("before", "word", "count")))
 
 
 _BLOCKS = pa.schema([("shard", pa.int64()), ("block", pa.binary()), ("context", pa.int64()), ("n", pa.int64())])
@@ -179,14 +213,13 @@ def _count(texts: DataFrame, order: int, shards: Shards, heavy_orders: int = 0)
 
         for batch in batches:
             for block in blocks(batch.column(0), lower=True):
-                token, contexts, at = tokens(block, max(order, heavy_orders + 1))
+                token, contexts, at = tokens(block, heavy_orders + 1)
                 for c in contexts[:heavy_orders]:
                     values, n = np.unique(c, return_counts=True)
                     hot = n * 2 * shards.number > len(token)
                     none = [None] * int(hot.sum())
                     yield _rows([-1] * len(none), none, values[hot].view(np.int64), n[hot])
-                own = np.stack(contexts[order - 2 :: -1], axis=1) if order > 1 else np.zeros((len(token), 0), U)
-                held.append(Grams(own, token, np.ones(len(token), np.int64)))
+                held.append(Grams(words_before(token, at, order), token, np.ones(len(token), np.int64)))
                 size += len(token)
                 if size >= TASK_GRAMS:
                     yield from flush()
@@ -205,7 +238,7 @@ def _save(folder: str, name: str, array: np.ndarray) -> None:
 
 
 def _small(count: np.ndarray) -> np.ndarray:
-    return count.astype(np.uint32) if not len(count) or count.max() < 1 << 32 else count.astype(U)
+    return count.astype(_CODES[_width(count.ravel())])
 
 
 _SHARD_OUT = pa.schema(
@@ -226,7 +259,7 @@ def _build(counted: DataFrame, folder: str, order: int, name: str, shards: Shard
         kind = np.minimum(grams.count, 5)
         hot: list[list[int]] = []
         if order > 1:
-            context, which = np.unique(grams.contexts[:, 0], return_inverse=True)
+            context, which = np.unique(grams.context(), return_inverse=True)
             sums = [np.bincount(which, grams.count, len(context)).astype(np.int64)]
             sums += [np.bincount(which, sel, len(context)).astype(np.int64) for sel in (kind == 1, kind == 2, kind > 2)]
             spread = np.isin(context, np.array(shards.hot, U))
@@ -295,7 +328,7 @@ def train(texts: DataFrame, order: int = ORDER, shard_bytes: int = SHARD_BYTES)
     folder = local_path(new_path(spark, "lm"))
     texts = texts.select("text")
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = Shards(max(1, -(-total // shard_bytes)))
+    shards = Shards(max(1, -(-total * max(1, order - 1) // shard_bytes)))
     counted = stored(_count(texts, 1, shards, order - 1), "lm-words")
     words = Totals.read(_build(counted.where("shard >= 0"), folder, 1, "words", shards))
     hot = {}

@@ -93,6 +93,27 @@ def test_kneser_ney_hot_context_and_odd_rows(spark):
     assert kneser_ney.score(table(spark, []), model).count() == 0
 
 
+def test_kneser_ney_registered_order_reads_two_words_of_context(spark):
+    rows = [(i, text(i % 7, 20 + i)) for i in range(20)] + [(50, " ".join(words(text(3, 20), True)[::-1]))]
+    docs = table(spark, rows)
+    plain = Plain([t for _, t in rows], 3)
+    for r in kneser_ney.score(docs, kneser_ney.train(docs)).collect():
+        assert r["score"] == pytest.approx(plain.score(dict(rows)[r["doc_id"]]), rel=1e-9)
+
+
+@pytest.mark.parametrize("k", [0, 1, 2])
+def test_kneser_ney_blocks_come_back(k):
+    r = np.random.default_rng(k)
+    grams = kneser_ney.Grams(
+        r.integers(0, 40, (3000, k)).astype(kneser_ney.U) << kneser_ney.U(50),
+        r.integers(0, 400, 3000).astype(kneser_ney.U), r.integers(1, 300, 3000),
+    ).merged()[0]
+    parts = [kneser_ney.unpack_block(b) for _, b in grams.packed(kneser_ney.Shards(5))]
+    again = kneser_ney.joined(parts).merged()[0]
+    for name in ("before", "word", "count"):
+        assert np.array_equal(getattr(again, name), getattr(grams, name))
+
+
 def test_language_accuracy_and_mixture(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = language_id.train(docs.where("doc_id % 2 = 0"))
