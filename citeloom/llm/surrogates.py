@@ -4,7 +4,8 @@ Detected: e-mail addresses, IPv4 addresses, phone, card, social security and acc
 password=, token= and the like, and names after a title.  Every different entity (its kind and normal form, so that
 mentions that differ in case, spaces or punctuation are one) gets a surrogate drawn by a keyed hash.  A check over all
 entities of the corpus draws again where two entities of a kind have the same surrogate or a surrogate is itself an
-entity found, until all are distinct.  Each mention is then rewritten in its own format: digits stand where its digits
+entity found, until all are distinct.  Names are drawn and checked word by word, surnames apart from given names of men
+and of women, and put together from these: a surname has one surrogate in the corpus, whatever stands before it.  Each mention is then rewritten in its own format: digits stand where its digits
 stood, cards keep their checksum's validity, names keep script and the gender of the title.
 """
 
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 from citeloom.llm.shared import stored
 
 KEY = "replace this key"
+#: Syllables of a name before its ending, one more at each further attempt: 4 * 16**4 names of a kind at the first.
+NAME_SYLLABLES = 4
 
 # fixed values: titles by gender
 MALE = ("Mr", "Mister", "Herr", "Monsieur", "Señor", "Sr", "Господин")
@@ -138,9 +141,13 @@ def _card(normal: Column, stream: Column) -> Column:
     return F.concat(body, ((last + F.when(_checksum(normal) == 0, 0).otherwise(1)) % 10).cast("string"))
 
 
-def _name(word: Column, kind: str, stream: Column, script: Column, attempt: Column) -> Column:
+#: Kinds of words of names, and which endings theirs are.
+NAME_KINDS = {"surname": "s", "given-m": "m", "given-f": "f"}
+
+
+def _name(kind: str, stream: Column, script: Column, attempt: Column) -> Column:
     def of(s: str) -> Column:
-        length = F.lit(2 if kind != "s" else 1) + (attempt / 4).cast("int")
+        length = F.lit(NAME_SYLLABLES) + attempt
         stem = F.concat_ws("", F.transform(F.sequence(F.lit(1), length), lambda i: _pick(SYLLABLES[s], _number(stream, i, 16))))
         return F.initcap(F.concat(stem, _pick(ENDINGS[s, kind], _number(stream, 0, 4))))
 
@@ -156,15 +163,10 @@ def surrogate(kind: Column, normal: Column, attempt: Column, key: str) -> Column
     """The surrogate of an entity in its normal form."""
     stream = _stream(key, kind, normal, attempt.cast("string"))
     hexadecimal = normal.rlike("^[0-9a-f]+$")
-    local, names = F.substring_index(normal, "@", 1), F.split(F.element_at(F.split(normal, r"\|"), 2), " ")
+    local = F.substring_index(normal, "@", 1)
     octets = F.concat_ws(".", *((_number(stream, i, 254) + 1).cast("string") for i in range(4)))
-    script, female = _script(normal), normal.startswith("f|")
-
-    def word(w: Column, i: Column) -> Column:
-        # a name is drawn from the word alone: a surname keeps its surrogate beside any given name
-        own = _stream(key, F.lit("name"), w, attempt.cast("string"))
-        given = F.when(female, _name(w, "f", own, script, attempt)).otherwise(_name(w, "m", own, script, attempt))
-        return F.when(i == F.size(names) - 1, _name(w, "s", own, script, attempt)).otherwise(given)
+    script = _script(normal)
+    names = {k: F.lower(_name(ending, stream, script, attempt)) for k, ending in NAME_KINDS.items()}
 
     return (
         F.when(kind == "email", F.concat(_shaped(local, stream, F.lit(False)), F.lit("@"), _shaped(F.lit("mail"), F.substring(stream, F.lit(65), F.lit(64)), F.lit(False)), F.lit(".example.org")))
@@ -172,7 +174,9 @@ def surrogate(kind: Column, normal: Column, attempt: Column, key: str) -> Column
         .when(kind == "card", _card(normal, stream))
         .when(kind == "phone", F.concat(F.substring(normal, 1, 1), _shaped(F.substring(normal, F.lit(2), F.length(normal)), stream, F.lit(False))))
         .when(kind == "ssn", _shaped(normal, stream, F.lit(False)))
-        .when(kind == "person", F.concat(F.substring(normal, 1, 2), F.lower(F.concat_ws(" ", F.transform(names, word)))))
+        .when(kind == "surname", names["surname"])
+        .when(kind == "given-m", names["given-m"])
+        .when(kind == "given-f", names["given-f"])
         .when(kind == "account", _account(normal, stream))
         .otherwise(_shaped(normal, stream, hexadecimal))
     )
@@ -183,14 +187,20 @@ def _account(normal: Column, stream: Column) -> Column:
     return F.concat(F.substring(normal, F.lit(1), keep), _shaped(F.substring(normal, keep + 1, F.length(normal)), stream, F.lit(False)))
 
 
+def _realm(kind: Column) -> Column:
+    """Kinds whose entities no surrogate of the kind may be: a word of a name may be no word of any name found."""
+    return F.when(kind.isin(*NAME_KINDS), "name").otherwise(kind)
+
+
 def assign(entities: DataFrame, key: str) -> DataFrame:
     """kind, normal and surrogate of different entities (kind, normal), all surrogates of a kind distinct and new."""
     now = entities.select("kind", "normal", F.lit(0).alias("attempt"))
     while True:
         drawn = now.withColumn("surrogate", surrogate(F.col("kind"), F.col("normal"), F.col("attempt"), key))
         winners = drawn.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "normal")).alias("first"))
-        real = entities.select("kind", F.col("normal").alias("surrogate"), F.lit(True).alias("real"))
-        judged = drawn.join(winners, ["kind", "surrogate"]).join(real, ["kind", "surrogate"], "left")
+        real = entities.select(_realm(F.col("kind")).alias("realm"), F.col("normal").alias("surrogate")).distinct()
+        judged = drawn.join(winners, ["kind", "surrogate"]).withColumn("realm", _realm(F.col("kind")))
+        judged = judged.join(real.withColumn("real", F.lit(True)), ["realm", "surrogate"], "left")
         bad = (F.col("first.normal") != F.col("normal")) | F.col("real").isNotNull()
         judged = stored(judged.select("kind", "normal", "attempt", "surrogate", bad.alias("bad")), "surrogates")
         if judged.where("bad").isEmpty():
@@ -198,6 +208,28 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
         now = judged.select("kind", "normal", (F.col("attempt") + F.col("bad").cast("int")).alias("attempt"))
 
 
+def _name_words(persons: DataFrame) -> DataFrame:
+    """normal (of the person), pos, kind and word of the words of different persons: the last is the surname."""
+    words = F.split(F.substring("normal", 3, 1 << 20), " ")
+    rows = persons.select("normal", F.size(words).alias("size"), F.posexplode(words).alias("pos", "word"))
+    given = F.concat(F.lit("given-"), F.substring("normal", 1, 1))
+    kind = F.when(F.col("pos") == F.col("size") - 1, "surname").otherwise(given)
+    return rows.select("normal", "pos", kind.alias("kind"), "word")
+
+
+def assign_all(entities: DataFrame, key: str) -> DataFrame:
+    """kind, normal and surrogate of different entities (kind, normal); persons are put together from their words."""
+    words = stored(_name_words(entities.where("kind = 'person'")), "name-words")
+    others = entities.where("kind <> 'person'").select("kind", "normal")
+    single = stored(others.unionByName(words.select("kind", F.col("word").alias("normal")).distinct()), "single-entities")
+    chosen = assign(single, key)
+    own = words.join(chosen.withColumnRenamed("normal", "word"), ["kind", "word"])
+    own = own.groupBy("normal").agg(F.sort_array(F.collect_list(F.struct("pos", "surrogate"))).alias("w"))
+    name = F.concat(F.substring("normal", 1, 2), F.concat_ws(" ", F.transform("w", lambda x: x["surrogate"])))
+    persons = own.select(F.lit("person").alias("kind"), "normal", name.alias("surrogate"))
+    return chosen.where(~F.col("kind").isin(*NAME_KINDS)).unionByName(persons)
+
+
 def _written(kind: Column, lead: Column, own: Column, new: Column) -> Column:
     """A surrogate in the format of a mention."""
     def fill(values: Column) -> Column:
@@ -236,7 +268,7 @@ def replace_personal_data(docs: DataFrame, key: str = KEY, text_col: str = "text
         "uid", "pos", "kind", "m.lead", "m.own"
     )
     mentions = mentions.withColumn("normal", _normal(F.col("kind"), F.col("lead"), F.col("own")))
-    chosen = assign(stored(mentions.select("kind", "normal").distinct(), "entities"), key)
+    chosen = assign_all(stored(mentions.select("kind", "normal").distinct(), "entities"), key)
     written = mentions.join(chosen, ["kind", "normal"]).select(
         "uid", F.struct("pos", _written(F.col("kind"), F.col("lead"), F.col("own"), F.col("surrogate")).alias("text")).alias("w")
     )

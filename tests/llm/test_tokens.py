@@ -151,3 +151,19 @@ def test_surrogates_of_many(spark):
         assert ips.setdefault(old, new) == new
     assert len(set(ips.values())) == len(ips) and not set(ips) & set(ips.values())
     assert surrogates.replace_personal_data(table(spark, [])).count() == 0
+
+
+def test_surnames_of_thousands_keep_their_surrogate(spark):
+    """Each surname alone, with a given name of a man and with one of a woman: one surrogate, and all distinct."""
+    r = random.Random(5)
+    names = sorted({"".join(r.choice("bdfgklmnprstvz") + r.choice("aeiou") for _ in range(4)).title() for _ in range(3000)})
+    given = [f"{a}{b}" for a in "Jo Pe Hu Ka Lu".split() for b in "hn ter go rl kas mar".split()]
+    rows = [(i, f"Mr {n} or Mr {given[i % 30]} {n}, Mrs {given[i % 29]} {n}") for i, n in enumerate(names)]
+    found, men = {}, {}
+    for x in surrogates.replace_personal_data(table(spark, rows)).collect():
+        m = re.fullmatch(r"Mr (\w+) or Mr (\w+) (\w+), Mrs (\w+) (\w+)", x["text"]).groups()
+        assert m[0] == m[2] == m[4]
+        found[names[x["doc_id"]]] = m[0]
+        assert men.setdefault(given[x["doc_id"] % 30], m[1]) == m[1]
+    assert len(set(found.values())) == len(names) > 2500 and not set(found.values()) & set(names)
+    assert len(set(men.values())) == 30
