@@ -4,12 +4,15 @@ A task cuts its documents at white space, where the pattern always cuts too, spl
 and gives the pieces it has not met to a recursive query: rows of (word, position, token) join the merge table, each
 round contracts every word's leftmost pair of least rank, until no pair is left.  Where no merge of the file can lower
 the rank of a neighbouring pair (checked for each token when the file is read), the other pairs of that rank in the word
-are contracted in the same round, left to right, with the same result.
+are contracted in the same round, left to right, with the same result.  A piece of over LONG_PIECE bytes, which the
+database's memory might not hold, is contracted by a heap of its pairs, in memory in proportion to the piece.
 """
 
 from __future__ import annotations
 
 import base64
+import heapq
+from array import array
 from collections.abc import Iterator
 
 import duckdb
@@ -27,6 +30,7 @@ KEPT_PIECES = 150_000
 QUERY_BYTES = 100_000
 BLOCK_BYTES = 3 << 20
 LONG_WORD = 64
+LONG_PIECE = 20_000
 DECODE_IDS = 1 << 17
 
 #: One contraction of each word a round.  k is 65536 times the word plus the position, which counts from 0 without gaps;
@@ -118,6 +122,54 @@ class Encoder:
         self.db.register("merges_in", merges)
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merges_in")
         self.db.unregister("merges_in")
+        self.pairs: dict[int, int] = {}
+
+    def _long_pairs(self) -> dict[int, int]:
+        """The rank of each pair of tokens (left times 2**32 plus right), read when the first long piece comes."""
+        if not self.pairs:
+            rows = self.db.sql("SELECT (l << 32) | r, merged FROM merges").fetchnumpy()
+            self.pairs = dict(zip(*(x.tolist() for x in rows.values())))
+        return self.pairs
+
+    def _contract_long(self, word: bytes) -> bytes:
+        """The leftmost pair of least rank in turn, from the sorted first pairs and a heap of those that arise."""
+        pairs = self._long_pairs()
+        data, n = np.frombuffer(word, np.uint8), len(word)
+        first = np.array([pairs.get(int(a) << 32 | int(b), -1) for a in self.byte_ids for b in self.byte_ids], np.int64)
+        rank = first[data[:-1].astype(np.int64) * 256 + data[1:]]
+        at = np.flatnonzero(rank >= 0)
+        known = np.sort(rank[at] << 40 | at)
+        tok = array("i", self.byte_ids[data].astype(np.int32).tobytes())
+        after = array("i", np.arange(1, n + 1, dtype=np.int32).tobytes())
+        before = array("i", np.arange(-1, n - 1, dtype=np.int32).tobytes())
+        heap: list[int] = []
+        mask = (1 << 40) - 1
+
+        def least() -> Iterator[int]:
+            for a in range(0, len(known), 1 << 16):
+                for key in known[a : a + (1 << 16)].tolist():
+                    while heap and heap[0] < key:
+                        yield heapq.heappop(heap)
+                    yield key
+            while heap:
+                yield heapq.heappop(heap)
+
+        for key in least():
+            i, merged = key & mask, key >> 40
+            j = after[i]
+            if tok[i] < 0 or j >= n or pairs.get(tok[i] << 32 | tok[j]) != merged:
+                continue  # one of the two has gone into another token
+            tok[i], tok[j] = merged, -1
+            k, h = after[j], before[i]
+            after[i] = k
+            if k < n:
+                before[k] = i
+                if (own := pairs.get(merged << 32 | tok[k])) is not None:
+                    heapq.heappush(heap, own << 40 | i)
+            if h >= 0 and (own := pairs.get(tok[h] << 32 | merged)) is not None:
+                heapq.heappush(heap, own << 40 | h)
+        ids = np.frombuffer(tok, np.int32)
+        return ids[ids >= 0].astype("<u4").tobytes()
 
     def _contract(self, words: list[bytes]) -> list[bytes]:
         data = np.frombuffer(b"".join(words), np.uint8)
@@ -137,6 +189,7 @@ class Encoder:
         found: dict[str, bytes] = {}
         short: list[bytes] = []
         long: list[bytes] = []
+        huge: dict[str, bytes] = {}
         for piece in pieces:
             if (ids := self.young.get(piece) or self.old.get(piece)) is not None:
                 found[piece] = ids
@@ -144,6 +197,8 @@ class Encoder:
             raw = piece.encode()
             if (rank := self.ranks.get(raw)) is not None:
                 found[piece] = np.array([rank], "<u4").tobytes()
+            elif len(raw) > LONG_PIECE:
+                huge[piece] = self._contract_long(raw)
             else:
                 (long if len(raw) > LONG_WORD else short).append(raw)
         for words in (short, long):
@@ -159,7 +214,7 @@ class Encoder:
             if len(self.young) >= KEPT_PIECES:
                 self.young, self.old = {}, self.young
             self.young[piece] = ids
-        return found
+        return found | huge
 
     def encode(self, chunks: list[bytes]) -> list[bytes]:
         """The ids of spans of texts, as little-endian unsigned 32-bit integers; of ASCII without apostrophe they are pieces."""
