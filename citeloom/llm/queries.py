@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 from citeloom.llm import byte_bpe, kneser_ney, language_id, quality
 from citeloom.llm.embedding_dedup import near_vectors
 from citeloom.llm.exact_dedup import exact_dedup
+from citeloom.llm.lexical_search import ranked_search
 from citeloom.llm.minhash_dedup import near_duplicates
 from citeloom.llm.packing import pack_documents
 from citeloom.llm.shared import documents
 from citeloom.llm.substring_dedup import remove_repeated
 from citeloom.llm.surrogates import replace_personal_data
+from citeloom.llm.token_counts import token_counts
+from citeloom.llm.whitening import whiten
 
 
 def _remainder(of: int, value: int) -> Column:
@@ -80,6 +83,18 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kneser_ney": op1_kneser_ney,
     "op2_byte_bpe": op2_byte_bpe,
@@ -91,10 +106,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_mixture": op8_language_mixture,
     "op9_small_world": op9_small_world,
     "op10_minhash": op10_minhash,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_token_counts": op12_token_counts,
+    "op13_whitening": op13_whitening,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"list_filter(regexp_split_to_array({_LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+_TERMS = (
+    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+)
 
 ORACLE: dict[str, str] = {
     "op6_exact_dedup": f"""
@@ -129,4 +151,21 @@ ORACLE: dict[str, str] = {
         m AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
         SELECT s.doc_id, n AS n_shingles, component_id, s.doc_id = component_id AS kept
         FROM s JOIN m USING (doc_id)""",
+    "op11_lexical_search": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS t FROM documents),
+        c AS (SELECT r, any_value(doc_id) AS doc_id, len(any_value(t)) AS n FROM d WHERE len(t) > 0 GROUP BY r),
+        a AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM c),
+        f AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) GROUP BY ALL),
+        w AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+              FROM f, a GROUP BY term, docs),
+        q AS (SELECT item_id, term, count(*) AS q
+              FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+        s AS (SELECT item_id, r, sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms))))
+                     ::BIGINT AS score
+              FROM q JOIN w USING (term) JOIN f USING (term) JOIN c USING (r), a GROUP BY item_id, r)
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score
+        FROM (SELECT item_id, doc_id, score,
+                     row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+              FROM s JOIN c USING (r) WHERE score > 0)
+        WHERE rank <= 20""",
 }
