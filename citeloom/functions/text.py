@@ -8,17 +8,33 @@ from pyspark.sql import functions as F
 WHITESPACE = " \t\n\r\x0b\x0c"
 
 
-def own_text(runs: Column, text: str = "leading") -> Column:
-    """Text of a mixed-content element from its runs of own text.
+#: Signs (no characters of any text) around what was a tag inside mixed content.
+TAG_START, TAG_END = "\ufdd0", "\ufdd1"
+FORMS = ("complete", "leading", "markup")
 
-    `leading` is the text before the first child element, `full` joins every
-    run (text inside child elements is not part of either).
+
+def own_text(runs: Column, text: str = "complete") -> Column:
+    """Text of a mixed-content element from its runs.
+
+    `complete` is all of its text, that inside tags too; `leading` the text before the first tag, NULL where the element
+    starts with one; `markup` the content as XML, tags included.
     """
+    if text == "complete":
+        return F.regexp_replace(F.array_join(runs, ""), f"{TAG_START}[^{TAG_END}]*{TAG_END}", "")
     if text == "leading":
-        return F.get(runs, F.lit(0))
-    if text == "full":
-        return F.array_join(runs, "")
-    raise ValueError(f"text must be 'leading' or 'full', not {text!r}")
+        first = F.get(runs, F.lit(0))
+        return F.when(~first.startswith(TAG_START), F.substring_index(first, TAG_START, 1))
+    if text == "markup":
+        out = F.array_join(runs, "")
+        for sign, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), (TAG_START, "<"), (TAG_END, ">")):
+            out = F.replace(out, F.lit(sign), F.lit(name))
+        return out
+    raise ValueError(f"text must be one of {FORMS}, not {text!r}")
+
+
+def plain(value: Column) -> Column:
+    """A text without the tags marked in it."""
+    return own_text(F.array(value))
 
 
 def default(value: Column, fallback: str = "") -> Column:

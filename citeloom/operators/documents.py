@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.functions import ids, record
-from citeloom.functions.text import own_text, strip
+from citeloom.functions.text import own_text, plain, strip
 
 
 def _obj(**fields: Column) -> Column:
@@ -30,7 +30,7 @@ def _texts(items: Column) -> Column:
     return _list(items, strip)
 
 
-def _run(element: Column, text: str = "leading") -> Column:
+def _run(element: Column, text: str) -> Column:
     return strip(own_text(element["_VALUE"], text))
 
 
@@ -38,11 +38,11 @@ def _identifiers(items: Column) -> Column:
     return _list(items, lambda x: _obj(Source=x["_Source"], Value=strip(x["_VALUE"])))
 
 
-def _affiliations(items: Column) -> Column:
+def _affiliations(items: Column, text: str) -> Column:
     return _list(
         items,
         lambda a: _obj(
-            Affiliation=_run(a["Affiliation"]),
+            Affiliation=_run(a["Affiliation"], text),
             Identifiers=_identifiers(a["Identifier"]),
         ),
     )
@@ -55,7 +55,8 @@ def _date(d: Column) -> Column:
 
 
 def _person(p: Column) -> dict[str, Column]:
-    return {n: strip(p[n]) for n in ("LastName", "ForeName", "Initials", "Suffix")}
+    names = {n: strip(p[n]) for n in ("LastName", "ForeName", "Initials")}
+    return {**names, "Suffix": strip(plain(p["Suffix"]))}
 
 
 def _pmid(p: Column) -> Column:
@@ -87,33 +88,33 @@ def journal() -> Column:
     )
 
 
-def abstract() -> Column:
+def abstract(text: str = "complete") -> Column:
     a = record.article()["Abstract"]
     return _maybe(
         a,
         _obj(
             CopyrightInformation=strip(a["CopyrightInformation"]),
             Parts=_list(
-                a["AbstractText"], lambda p: _obj(Value=_run(p), Label=p["_Label"])
+                a["AbstractText"], lambda p: _obj(Value=_run(p, text), Label=p["_Label"])
             ),
         ),
     )
 
 
-def author_list() -> Column:
+def author_list(text: str = "complete") -> Column:
     """Authors with their identifiers and all their affiliations."""
     return _list(
         record.article()["AuthorList"]["Author"],
         lambda a: _obj(
-            CollectiveName=_run(a["CollectiveName"]),
+            CollectiveName=_run(a["CollectiveName"], text),
             **_person(a),
             Identifiers=_identifiers(a["Identifier"]),
-            Affiliations=_affiliations(a["AffiliationInfo"]),
+            Affiliations=_affiliations(a["AffiliationInfo"], text),
         ),
     )
 
 
-def investigator_list() -> Column:
+def investigator_list(text: str = "complete") -> Column:
     people = record.citation()["InvestigatorList"]
     return _maybe(
         people,
@@ -123,7 +124,7 @@ def investigator_list() -> Column:
                 ValidYN=p["_ValidYN"],
                 **_person(p),
                 Identifiers=_identifiers(p["Identifier"]),
-                AffiliationInfos=_affiliations(p["AffiliationInfo"]),
+                AffiliationInfos=_affiliations(p["AffiliationInfo"], text),
             ),
         ),
     )
@@ -167,12 +168,12 @@ def grants() -> Column:
     )
 
 
-def article() -> Column:
+def article(text: str = "complete") -> Column:
     art = record.article()
     pages = art["Pagination"]
     return _obj(
         Journal=journal(),
-        ArticleTitle=_run(art["ArticleTitle"]),
+        ArticleTitle=_run(art["ArticleTitle"], text),
         Pagination=_maybe(
             pages,
             _obj(
@@ -185,8 +186,8 @@ def article() -> Column:
                 ValidYN=e["_ValidYN"], EIdType=e["_EIdType"], Value=strip(e["_VALUE"])
             ),
         ),
-        Abstract=abstract(),
-        AuthorList=author_list(),
+        Abstract=abstract(text),
+        AuthorList=author_list(text),
         Language=_texts(art["Language"]),
         DataBankList=data_banks(),
         GrantList=grants(),
@@ -194,7 +195,7 @@ def article() -> Column:
             art["PublicationTypeList"]["PublicationType"],
             lambda p: _obj(UI=p["_UI"], Value=strip(p["_VALUE"])),
         ),
-        VernacularTitle=_run(art["VernacularTitle"]),
+        VernacularTitle=_run(art["VernacularTitle"], text),
         ArticleDates=_list(
             art["ArticleDate"],
             lambda d: _obj(
@@ -221,14 +222,14 @@ def mesh_headings() -> Column:
     )
 
 
-def keyword_lists() -> Column:
+def keyword_lists(text: str = "complete") -> Column:
     return _list(
         record.citation()["KeywordList"],
         lambda k: _obj(
             Owner=k["_Owner"],
             Keywords=_list(
                 k["Keyword"],
-                lambda w: _obj(MajorTopicYN=w["_MajorTopicYN"], Value=_run(w)),
+                lambda w: _obj(MajorTopicYN=w["_MajorTopicYN"], Value=_run(w, text)),
             ),
         ),
     )
@@ -248,14 +249,14 @@ def comments_corrections() -> Column:
     return _list(record.citation()["CommentsCorrectionsList"]["CommentsCorrections"], make)
 
 
-def other_abstracts() -> Column:
+def other_abstracts(text: str = "complete") -> Column:
     return _list(
         record.citation()["OtherAbstract"],
         lambda a: _obj(
             AbstractTexts=_list(
                 a["AbstractText"],
                 lambda t: _obj(
-                    Label=t["_Label"], NlmCategory=t["_NlmCategory"], Value=_run(t)
+                    Label=t["_Label"], NlmCategory=t["_NlmCategory"], Value=_run(t, text)
                 ),
             ),
             CopyrightInformation=strip(a["CopyrightInformation"]),
@@ -263,7 +264,7 @@ def other_abstracts() -> Column:
     )
 
 
-def pubmed_data() -> Column:
+def pubmed_data(text: str = "complete") -> Column:
     pd = record.pubmed_data()
     id_list = pd["ArticleIdList"]["ArticleId"]
     refs = _list(
@@ -273,7 +274,7 @@ def pubmed_data() -> Column:
             References=_list(
                 one["Reference"],
                 lambda r: _obj(
-                    Citation=_run(r["Citation"]),
+                    Citation=_run(r["Citation"], text),
                     Ids=_list(
                         r["ArticleIdList"]["ArticleId"],
                         lambda x: _obj(IdType=x["_IdType"], Value=strip(x["_VALUE"])),
@@ -286,7 +287,7 @@ def pubmed_data() -> Column:
         pd["ObjectList"]["Object"],
         lambda o: _obj(
             Type=o["_Type"],
-            Params=_list(o["Param"], lambda p: _obj(Name=p["_Name"], Value=_run(p))),
+            Params=_list(o["Param"], lambda p: _obj(Name=p["_Name"], Value=_run(p, text))),
         ),
     )
     return _maybe(
@@ -302,8 +303,8 @@ def pubmed_data() -> Column:
     )
 
 
-def documents(articles: DataFrame, keep=()) -> DataFrame:
-    """Nested document columns of each article."""
+def documents(articles: DataFrame, keep=(), text: str = "complete") -> DataFrame:
+    """Nested document columns of each article; `text` is the form of mixed content (functions/text.py)."""
     mc = record.citation()
     info = mc["MedlineJournalInfo"]
     genes = mc["GeneSymbolList"]
@@ -313,7 +314,7 @@ def documents(articles: DataFrame, keep=()) -> DataFrame:
         "VersionID": mc["_VersionID"],
         "VersionDate": mc["_VersionDate"],
         "IndexingMethod": mc["_IndexingMethod"],
-        "Article": article(),
+        "Article": article(text),
         "ChemicalList": _list(
             mc["ChemicalList"]["Chemical"],
             lambda c: _obj(
@@ -323,7 +324,7 @@ def documents(articles: DataFrame, keep=()) -> DataFrame:
             ),
         ),
         "CitationSubsets": _texts(mc["CitationSubset"]),
-        "CoiStatement": _run(mc["CoiStatement"]),
+        "CoiStatement": _run(mc["CoiStatement"], text),
         "CommentsCorrectionsList": comments_corrections(),
         "DateCompleted": _date(mc["DateCompleted"]),
         "DateRevised": _date(mc["DateRevised"]),
@@ -332,8 +333,8 @@ def documents(articles: DataFrame, keep=()) -> DataFrame:
             lambda n: _obj(Owner=n["_Owner"], Value=strip(n["_VALUE"])),
         ),
         "GeneSymbolList": _maybe(genes, _texts(genes["GeneSymbol"])),
-        "InvestigatorList": investigator_list(),
-        "KeywordLists": keyword_lists(),
+        "InvestigatorList": investigator_list(text),
+        "KeywordLists": keyword_lists(text),
         "MedlineJournalInfo": _obj(
             **{
                 n: strip(info[n])
@@ -342,7 +343,7 @@ def documents(articles: DataFrame, keep=()) -> DataFrame:
         ),
         "MeshHeadingList": mesh_headings(),
         "NumberOfReferences": strip(mc["NumberOfReferences"]),
-        "OtherAbstracts": other_abstracts(),
+        "OtherAbstracts": other_abstracts(text),
         "OtherIDs": _list(
             mc["OtherID"],
             lambda o: _obj(Source=o["_Source"], Value=strip(o["_VALUE"])),
@@ -359,7 +360,7 @@ def documents(articles: DataFrame, keep=()) -> DataFrame:
                 Name=strip(s["_VALUE"]), Type=s["_Type"], UI=s["_UI"]
             ),
         ),
-        "PubmedData": pubmed_data(),
+        "PubmedData": pubmed_data(text),
     }
     return articles.select(*keep, *[c.alias(n) for n, c in fields.items()])
 

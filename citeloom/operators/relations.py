@@ -10,12 +10,13 @@ the relation reads.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.functions import dates, ids, record
-from citeloom.functions.text import as_int, count_items, default, own_text, yes
+from citeloom.functions.text import as_int, count_items, default, own_text, plain, yes
 from citeloom.sources import schemas
 
 
@@ -30,16 +31,18 @@ def _rows(items: Column, make: Callable[..., dict[str, Column]]) -> Column:
     return F.transform(items, lambda x: row(x))
 
 
-def _open(articles: DataFrame, rows: Column, keep: Sequence[str]) -> DataFrame:
-    return articles.select(*keep, ids.pmid(record.citation()).alias("pmid"), F.inline(rows))
+def _relation(rows: Callable[..., Column]) -> Callable[..., DataFrame]:
+    """A relation out of the function that gives an article's rows; the function stays as its `rows`."""
 
+    @wraps(rows)
+    def relation(articles: DataFrame, keep: Sequence[str] = (), **form: str) -> DataFrame:
+        return articles.select(*keep, ids.pmid(record.citation()).alias("pmid"), F.inline(rows(**form)))
 
-def main(
-    articles: DataFrame,
-    keep: Sequence[str] = (),
-    text: str = "leading",
-    free_text: str = "parsed",
-) -> DataFrame:
+    relation.rows = rows
+    return relation
+
+
+def _main_columns(text: str = "complete", free_text: str = "parsed") -> list[Column]:
     mc, pd = record.citation(), record.pubmed_data()
     issue = "Article.Journal.JournalIssue"
     keyword_lists = record.at("KeywordList")
@@ -75,12 +78,20 @@ def main(
         ),
         "medline_date_raw": record.at(f"{issue}.PubDate.MedlineDate"),
     }
-    return articles.select(*keep, *[c.alias(n) for n, c in columns.items()])
+    return [c.alias(n) for n, c in columns.items()]
 
 
-def abstract(
-    articles: DataFrame, keep: Sequence[str] = (), text: str = "leading"
+def main(
+    articles: DataFrame,
+    keep: Sequence[str] = (),
+    text: str = "complete",
+    free_text: str = "parsed",
 ) -> DataFrame:
+    return articles.select(*keep, *_main_columns(text, free_text))
+
+
+@_relation
+def abstract(text: str = "complete") -> Column:
     """One `full` row per abstract, plus a row per part unless there is one part."""
     parts = F.coalesce(
         record.at("Article.Abstract.AbstractText"), F.array().cast(schemas.ABSTRACT_TEXT)
@@ -119,12 +130,11 @@ def abstract(
             F.concat(part_rows, F.array(full_row(together)))
         ),
     )
-    return _open(articles, rows, keep)
+    return rows
 
 
-def authors(
-    articles: DataFrame, keep: Sequence[str] = (), text: str = "leading"
-) -> DataFrame:
+@_relation
+def authors(text: str = "complete") -> Column:
     people = record.at("Article.AuthorList.Author")
 
     def make(a: Column, i: Column) -> dict[str, Column]:
@@ -144,7 +154,7 @@ def authors(
             ),
             "fore_name": part("ForeName"),
             "initials": part("Initials"),
-            "suffix": part("Suffix"),
+            "suffix": F.when(person, default(plain(a["Suffix"]))).otherwise(F.lit("")),
             "orcid": ids.last_of_source(a["Identifier"], "ORCID"),
             "affiliation": default(
                 own_text(affiliation["Affiliation"]["_VALUE"], text)
@@ -154,10 +164,34 @@ def authors(
             "grid_id": ids.last_of_source(affiliation["Identifier"], "GRID"),
         }
 
-    return _open(articles, _rows(people, make), keep)
+    return _rows(people, make)
 
 
-def chem(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+@_relation
+def affiliations(text: str = "complete") -> Column:
+    """Every affiliation of every author; `authors` has the first of each only."""
+    people = record.at("Article.AuthorList.Author")
+
+    def of(a: Column, i: Column) -> Column:
+        return F.transform(
+            a["AffiliationInfo"],
+            lambda x, j: F.struct(
+                i.alias("auth_order"),
+                j.alias("aff_order"),
+                default(own_text(x["Affiliation"]["_VALUE"], text)).alias("affiliation"),
+                *[
+                    ids.last_of_source(x["Identifier"], source).alias(name)
+                    for name, source in (("ringgold_id", "RINGGOLD"), ("isni_id", "ISNI"), ("grid_id", "GRID"))
+                ],
+            ),
+        )
+
+    rows = F.filter(F.transform(people, of), lambda x: x.isNotNull())
+    return F.flatten(rows)
+
+
+@_relation
+def chem() -> Column:
     rows = _rows(
         record.at("ChemicalList.Chemical"),
         lambda c: {
@@ -166,10 +200,11 @@ def chem(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
             "ui_id": c["NameOfSubstance"]["_UI"],
         },
     )
-    return _open(articles, rows, keep)
+    return rows
 
 
-def comments_corrections(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+@_relation
+def comments_corrections() -> Column:
     rows = _rows(
         record.at("CommentsCorrectionsList.CommentsCorrections"),
         lambda c: {
@@ -179,10 +214,11 @@ def comments_corrections(articles: DataFrame, keep: Sequence[str] = ()) -> DataF
             "ref_pmid": default(c["PMID"]["_VALUE"], "0"),
         },
     )
-    return _open(articles, rows, keep)
+    return rows
 
 
-def data_bank(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+@_relation
+def data_bank() -> Column:
     """A row per accession number; a bank without a number list gives one row."""
     banks = record.at("Article.DataBankList")
     complete = yes(banks["_CompleteYN"])
@@ -201,10 +237,11 @@ def data_bank(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         )
 
     rows = F.flatten(F.transform(banks["DataBank"], bank_rows))
-    return _open(articles, rows, keep)
+    return rows
 
 
-def grants(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+@_relation
+def grants() -> Column:
     complete = yes(record.at("Article.GrantList._CompleteYN"))
     rows = _rows(
         record.at("Article.GrantList.Grant"),
@@ -216,12 +253,11 @@ def grants(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
             "country": g["Country"],
         },
     )
-    return _open(articles, rows, keep)
+    return rows
 
 
-def keywords(
-    articles: DataFrame, keep: Sequence[str] = (), text: str = "leading"
-) -> DataFrame:
+@_relation
+def keywords(text: str = "complete") -> Column:
     def list_rows(owned: Column) -> Column:
         return F.transform(
             owned["Keyword"],
@@ -234,14 +270,16 @@ def keywords(
 
     # a list without keywords must not turn the flattened array into NULL
     lists = F.filter(record.at("KeywordList"), lambda x: x["Keyword"].isNotNull())
-    return _open(articles, F.flatten(F.transform(lists, list_rows)), keep)
+    return F.flatten(F.transform(lists, list_rows))
 
 
-def languages(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    return _open(articles, _rows(record.at("Article.Language"), lambda x: {"language": x}), keep)
+@_relation
+def languages() -> Column:
+    return _rows(record.at("Article.Language"), lambda x: {"language": x})
 
 
-def mesh(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+@_relation
+def mesh() -> Column:
     """Each heading's descriptor, then its qualifiers, under one heading id."""
 
     def heading_rows(h: Column, i: Column) -> Column:
@@ -260,40 +298,42 @@ def mesh(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         )
 
     headings = record.at("MeshHeadingList.MeshHeading")
-    return _open(articles, F.flatten(F.transform(headings, heading_rows)), keep)
+    return F.flatten(F.transform(headings, heading_rows))
 
 
-def notes(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+@_relation
+def notes() -> Column:
     rows = _rows(
         record.at("GeneralNote"), lambda n: {"text": n["_VALUE"], "owner": n["_Owner"]}
     )
-    return _open(articles, rows, keep)
+    return rows
 
 
-def personal_names(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+@_relation
+def personal_names() -> Column:
     rows = _rows(
         record.at("PersonalNameSubjectList.PersonalNameSubject"),
         lambda p: {
             "last_name": p["LastName"],
             "fore_name": default(p["ForeName"]),
             "initials": default(p["Initials"]),
-            "suffix": default(p["Suffix"]),
+            "suffix": default(plain(p["Suffix"])),
         },
     )
-    return _open(articles, rows, keep)
+    return rows
 
 
-def pub_types(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+@_relation
+def pub_types() -> Column:
     rows = _rows(
         record.at("Article.PublicationTypeList.PublicationType"),
         lambda p: {"ui_id": p["_UI"], "value": p["_VALUE"]},
     )
-    return _open(articles, rows, keep)
+    return rows
 
 
-def refs(
-    articles: DataFrame, keep: Sequence[str] = (), text: str = "leading"
-) -> DataFrame:
+@_relation
+def refs(text: str = "complete") -> Column:
     def list_rows(one: Column, i: Column) -> Column:
         return F.transform(
             one["Reference"],
@@ -317,20 +357,22 @@ def refs(
     lists = F.filter(
         F.transform(record.reference_lists(), list_rows), lambda rows: rows.isNotNull()
     )
-    return _open(articles, F.flatten(lists), keep)
+    return F.flatten(lists)
 
 
-def space(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+@_relation
+def space() -> Column:
     rows = _rows(record.at("SpaceFlightMission"), lambda x: {"mission": x})
-    return _open(articles, rows, keep)
+    return rows
 
 
-def supp_mesh(articles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+@_relation
+def supp_mesh() -> Column:
     rows = _rows(
         record.at("SupplMeshList.SupplMeshName"),
         lambda s: {"type": s["_Type"], "ui_id": s["_UI"], "value": s["_VALUE"]},
     )
-    return _open(articles, rows, keep)
+    return rows
 
 
 # Keep `main` first: it holds the keys the other relations refer to.
@@ -354,6 +396,17 @@ RELATIONS: dict[str, Callable[..., DataFrame]] = {
 }
 
 
+# Relations beside those of the file format.
+EXTRA: dict[str, Callable[..., DataFrame]] = {"affiliations": affiliations}
+
+
+def rows_of(name: str) -> Column:
+    """The rows of a relation an article gives, as array<struct>, its key among the columns of `main` only."""
+    if name == "main":
+        return F.array(F.struct(*_main_columns()))
+    return RELATIONS[name].rows()
+
+
 def shred(articles: DataFrame, keep: Sequence[str] = ()) -> dict[str, DataFrame]:
     """Every relation of the articles, by name."""
     return {name: make(articles, keep) for name, make in RELATIONS.items()}
@@ -423,7 +476,6 @@ def problems() -> Column:
         at_first,
         lambda s: s.isNull() | ~s.isin("RINGGOLD", "ISNI", "GRID", "ORCID"),
     )
-    nested = F.exists(F.col("PubmedData.ReferenceList"), lambda r: r["ReferenceList"].isNotNull())
     date_problem = dates.pub_date_problem(date)
 
     def bad_date(name: str) -> Column:
@@ -433,7 +485,6 @@ def problems() -> Column:
         {
             "bad_pmid": (ids.pmid(record.citation()).isNull(), record.at("PMID._VALUE"), False),
             "bad_pub_date": (date_problem.isNotNull(), date_problem, True),
-            "nested_reference_list": (F.coalesce(nested, F.lit(False)), F.lit(None), True),
             "bad_date_completed": (bad_date("DateCompleted"), F.to_json(record.at("DateCompleted")), True),
             "bad_date_revised": (bad_date("DateRevised"), F.to_json(record.at("DateRevised")), True),
             "unknown_author_id_source": (

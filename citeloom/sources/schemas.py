@@ -23,8 +23,14 @@ def _list(t: T.DataType) -> T.ArrayType:
     return T.ArrayType(t, True)
 
 
-# Mixed content: one array item per run of own text around inline markup.
+# Mixed content: an array item per run of own text.  The scan marks tags inside it as text (functions/text.py), which makes
+# one run of the whole content.
 MIXED = _struct(_VALUE=_list(S))
+# Elements of mixed content.
+MIXED_ELEMENTS = (
+    "ArticleTitle", "VernacularTitle", "AbstractText", "Affiliation", "Citation", "CoiStatement", "CollectiveName",
+    "Keyword", "Param", "Suffix",
+)
 DATE = _strings("Year", "Month", "Day")
 IDENTIFIERS = _list(_strings("_VALUE", "_Source"))
 ARTICLE_IDS = _struct(ArticleId=_list(_strings("_VALUE", "_IdType")))
@@ -154,8 +160,6 @@ PUBMED_DATA = _struct(
                 _struct(
                     Title=S,
                     Reference=_list(_struct(Citation=MIXED, ArticleIdList=ARTICLE_IDS)),
-                    # lists nested deeper are only detected, so their raw markup is enough
-                    ReferenceList=_list(S),
                 )
             ),
         )
@@ -165,6 +169,7 @@ PUBMED_DATA = _struct(
 PUBMED_ARTICLE = _struct(MedlineCitation=MEDLINE_CITATION, PubmedData=PUBMED_DATA)
 DELETE_CITATION = _struct(PMID=_list(_strings("_VALUE", "_Version")))
 
+ROOT_TAG = "PubmedArticleSet"
 ARTICLE_TAG = "PubmedArticle"
 BOOK_TAG = "PubmedBookArticle"
 DELETE_TAG = "DeleteCitation"
@@ -216,6 +221,9 @@ RELATIONS: dict[str, str] = {
     "supp_mesh": "pmid bigint, type string, ui_id string, value string",
 }
 
+AFFILIATION_ROWS = (
+    "pmid bigint, auth_order int, aff_order int, affiliation string, ringgold_id string, isni_id string, grid_id string"
+)
 IDS = (
     "pmid bigint, doi string, journal_name string, journal_volume string, "
     "journal_year int, journal_issue string, journal_month string"
@@ -245,6 +253,7 @@ def parse(ddl: str) -> T.StructType:
 
 TABLES: dict[str, T.StructType] = {
     **{name: parse(ddl) for name, ddl in RELATIONS.items()},
+    "affiliations": parse(AFFILIATION_ROWS),
     "ids": parse(IDS),
     "updates": parse(UPDATES),
     "deleted": parse(DELETED),

@@ -1,7 +1,9 @@
 """Scans of the citation XML corpus.
 
-A gzip file cannot be split, so one file is one task; the corpus is many files
-of moderate size, which is where the parallelism comes from.
+A file is read once, as text, in pieces that end with an article's end tag; each piece is opened into its records (articles,
+delete lists, book articles), told apart by their tags, and each record is parsed by itself.  So one scan gives articles and
+deletes, and a malformed record loses nothing but itself.  A gzip file cannot be split, so one file is one task; the corpus
+is many files of moderate size, which is where the parallelism comes from.  Files that are not compressed are split.
 """
 
 from __future__ import annotations
@@ -14,110 +16,175 @@ from pyspark.sql import types as T
 
 from citeloom.functions.files import corpus_name
 from citeloom.functions.ids import article_id
-from citeloom.functions.text import as_key
+from citeloom.functions.text import TAG_END, TAG_START, as_key
 from citeloom.sources import schemas
 
 CORRUPT = "_corrupt_record"
 MODES = ("FAILFAST", "PERMISSIVE")
+#: Kinds of records; END marks the piece that has a file's end tag.
+ARTICLE, DELETES, BOOK, END = "article", "deletes", "book", "end"
+PARSE = {
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": CORRUPT,
+    # the flat relations keep surrounding blanks; documents strip them later
+    "ignoreSurroundingSpaces": "false",
+}
+_MIXED = "|".join(schemas.MIXED_ELEMENTS)
+#: A tag inside an element of mixed content: it follows the element's start tag or another such tag, with text between.
+INLINE_TAG = (
+    rf"(\G(?!\A)|<(?:{_MIXED})(?:\s[^<>]*)?>)([^<]*)"
+    rf"<((?!/?(?:{_MIXED})[\s>/])/?[\w:.-]+(?:\s[^<>]*)?/?)>"
+)
+
+
+def _pieces(source, paths) -> DataFrame:
+    """Text up to each end tag of an article, in document order, with its file."""
+    text = source.format("text").option("lineSep", f"</{schemas.ARTICLE_TAG}>").load(paths)
+    return text.select("value", corpus_name(F.col("_metadata.file_path")).alias("file_name"))
+
+
+def _records(piece: Column) -> Column:
+    """array<kind, text> of a piece: what stands before the article, then the article.
+
+    An article whose end tag is missing runs into the start of the next one: a record of its own, which does not parse.
+    """
+    opened = F.split(piece, rf"<{schemas.ARTICLE_TAG}(?=[\s>])")
+    before = F.get(opened, F.lit(0))
+
+    def of(kind: str, texts: Column) -> Column:
+        return F.transform(texts, lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("text")))
+
+    def elements(tag: str) -> Column:
+        return F.regexp_extract_all(before, F.lit(rf"(?s)<{tag}(?:\s[^<>]*)?>.*?</{tag}>"), F.lit(0))
+
+    start, end = F.lit(f"<{schemas.ARTICLE_TAG}"), F.lit(f"</{schemas.ARTICLE_TAG}>")
+    articles = F.transform(F.slice(opened, 2, F.greatest(F.size(opened) - 1, F.lit(0))), lambda x: F.concat(start, x, end))
+    last = F.when(before.contains(f"</{schemas.ROOT_TAG}>"), F.array(F.lit("")))
+    return F.concat(
+        of(BOOK, elements(schemas.BOOK_TAG)),
+        of(DELETES, elements(schemas.DELETE_TAG)),
+        of(END, F.coalesce(last, F.array().cast("array<string>"))),
+        of(ARTICLE, articles),
+    )
 
 
-def _file_name() -> Column:
-    return corpus_name(F.col("_metadata.file_path")).alias("file_name")
+def prepared(article: Column) -> Column:
+    """An article's text ready to be parsed into `schemas.PUBMED_ARTICLE`.
 
+    Tags within mixed content become marked text, so that element is one string; reference lists inside a list are drawn
+    out to follow it, at any depth.  The format puts a list's own references before the lists in it, so document order stays.
+    """
+    flat = F.regexp_replace(article, r"(?:</ReferenceList>\s*){2,}", "</ReferenceList>")
+    flat = F.regexp_replace(
+        flat, r"(</Reference>|</Title>|<ReferenceList(?:\s[^<>]*)?>)\s*(?=<ReferenceList[\s>])", "$1</ReferenceList>"
+    )
+    return F.regexp_replace(flat, INLINE_TAG, f"$1$2{TAG_START}$3{TAG_END}")
+
+
+def _parsed(pieces: DataFrame) -> DataFrame:
+    """One row per record: kind, file_name, MedlineCitation, PubmedData, deletes, raw (of a record that does not parse)."""
+    records = pieces.select("file_name", F.inline(_records(F.col("value"))))
+    corrupt = T.StructField(CORRUPT, T.StringType())
+    article = T.StructType([*schemas.PUBMED_ARTICLE.fields, corrupt])
+    deletes = T.StructType([*schemas.DELETE_CITATION.fields, corrupt])
+    read = records.select(
+        "*",
+        F.when(F.col("kind") == ARTICLE, F.from_xml(prepared(F.col("text")), article, PARSE)).alias("a"),
+        F.when(F.col("kind") == DELETES, F.from_xml("text", deletes, PARSE)).alias("d"),
+    )
+    bad = F.coalesce(F.col(f"a.{CORRUPT}"), F.col(f"d.{CORRUPT}")).isNotNull()
+    return read.select(
+        "kind",
+        "file_name",
+        F.when(~bad, F.col("a.MedlineCitation")).alias("MedlineCitation"),
+        F.when(~bad, F.col("a.PubmedData")).alias("PubmedData"),
+        F.when(~bad, F.col("d.PMID._VALUE")).alias("deletes"),
+        bad.alias("is_corrupt"),
+        F.when(bad, F.col("text")).alias("raw"),
+    )
 
-def _reader(source, tag: str, schema: T.StructType, mode: str):
+
+def _checked(records: DataFrame, mode: str) -> DataFrame:
+    """With FAILFAST, reading anything of a malformed record fails."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     if mode == "PERMISSIVE":
-        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return (
-        source.format("xml")
-        .option("rowTag", tag)
-        .option("mode", mode)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        # the flat relations keep surrounding blanks; documents strip them later
-        .option("ignoreSurroundingSpaces", "false")
-        .schema(schema)
-    )
+        return records
+    message = F.concat(F.lit("malformed record in "), F.col("file_name"), F.lit(": "), F.substring("raw", 1, 200))
 
+    def guarded(field: T.StructField) -> Column:
+        failed = F.raise_error(message).cast(field.dataType)
+        return F.when(F.col("is_corrupt"), failed).otherwise(F.col(field.name)).alias(field.name)
 
-def scan_articles(
-    spark: SparkSession, paths: str | Sequence[str], mode: str = "FAILFAST"
-) -> DataFrame:
-    """Articles with `file_name` and `seq`, their document order in the file.
-
-    `seq` is taken at the scan, before any shuffle: it grows along a file, and
-    a re-run of the task gives the same order.  With `mode="PERMISSIVE"` a
-    malformed file ends in a row whose `is_corrupt` is true and whose structs
-    are NULL; what follows it in that file is lost, so callers should put the
-    whole file aside.  Spark refuses to read `is_corrupt` without any other
-    column of the scan.
-    """
-    df = _reader(spark.read, schemas.ARTICLE_TAG, schemas.PUBMED_ARTICLE, mode).load(paths)
-    return _with_lineage(df, mode)
+    names = ("MedlineCitation", "PubmedData", "deletes", "is_corrupt")
+    return records.select(*(guarded(f) if f.name in names else f.name for f in records.schema))
 
 
-def _with_lineage(df: DataFrame, mode: str) -> DataFrame:
-    return df.select(
-        "MedlineCitation",
-        "PubmedData",
-        _file_name(),
-        F.monotonically_increasing_id().alias("seq"),
-        _is_corrupt(mode).alias("is_corrupt"),
-    )
+def scan_records(spark: SparkSession, paths: str | Sequence[str], mode: str = "FAILFAST") -> DataFrame:
+    """Every record of the files in one scan: articles, delete lists, books, and the end of each file.
 
-
-def _is_corrupt(mode: str) -> Column:
-    return F.col(CORRUPT).isNotNull() if mode == "PERMISSIVE" else F.lit(False)
+    `seq` is the document order in the file: it grows along a file, and a re-run of the task gives the same order.  With
+    `mode="PERMISSIVE"` a malformed record is a row whose `is_corrupt` is true, whose structs are NULL and whose text is
+    in `raw`.  A file without an END row was cut off.
+    """
+    return _checked(_parsed(_pieces(spark.read, paths)), mode).withColumn("seq", F.monotonically_increasing_id())
 
 
-def stream_articles(
-    spark: SparkSession, path: str, max_files_per_trigger: int = 100
+def scan_articles(
+    spark: SparkSession, paths: str | Sequence[str], mode: str = "FAILFAST"
 ) -> DataFrame:
-    """Articles of new files as a stream, with their file name."""
-    reader = _reader(
-        spark.readStream, schemas.ARTICLE_TAG, schemas.PUBMED_ARTICLE, "FAILFAST"
-    )
-    df = reader.option("maxFilesPerTrigger", max_files_per_trigger).load(path)
-    return df.select(
-        "MedlineCitation", "PubmedData", _file_name()
-    )
+    """Articles with `file_name` and `seq`, their document order in the file."""
+    found = scan_records(spark, paths, mode).filter(F.col("kind") == ARTICLE)
+    return found.select("MedlineCitation", "PubmedData", "file_name", "seq", "is_corrupt", "raw")
+
 
+def deleted(records: DataFrame) -> DataFrame:
+    """Every PMID of the delete lists among records: (value, pmid, file_name, seq).
 
-def _deletes(df: DataFrame, corrupt: Column) -> DataFrame:
-    opened = df.select(
-        F.posexplode_outer("PMID._VALUE").alias("seq", "value"),
-        _file_name(),
-        corrupt.alias("is_corrupt"),
+    `value` is the PMID as written, for those that are no number.
+    """
+    opened = records.filter(F.col("kind") == DELETES).select(
+        F.posexplode("deletes").alias("at", "value"), "file_name", "seq"
     )
     return opened.select(
         "value",
         as_key(F.col("value")).alias("pmid"),
         "file_name",
-        F.col("seq").cast("bigint").alias("seq"),
-        "is_corrupt",
+        # lists may follow each other in a file
+        (F.col("seq") + F.col("at")).alias("seq"),
     )
 
 
 def scan_deletes(
     spark: SparkSession, paths: str | Sequence[str], mode: str = "FAILFAST"
 ) -> DataFrame:
-    """Every PMID of the delete lists: (value, pmid, file_name, seq, is_corrupt).
+    """Every PMID of the files' delete lists: (value, pmid, file_name, seq)."""
+    return deleted(scan_records(spark, paths, mode).filter("kind = 'deletes'"))
 
-    `value` is the PMID as written, for those that are no number.
-    """
-    df = _reader(spark.read, schemas.DELETE_TAG, schemas.DELETE_CITATION, mode).load(paths)
-    return _deletes(df, _is_corrupt(mode))
+
+def stream_records(spark: SparkSession, path: str, max_files_per_trigger: int = 100) -> DataFrame:
+    """Records of new files as a stream: kind, file_name, MedlineCitation, PubmedData, deletes, is_corrupt, raw."""
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
+    return _parsed(_pieces(reader, path))
+
+
+def stream_articles(
+    spark: SparkSession, path: str, max_files_per_trigger: int = 100
+) -> DataFrame:
+    """Articles of new files as a stream, with their file name; a malformed one fails the stream."""
+    records = _checked(stream_records(spark, path, max_files_per_trigger), "FAILFAST")
+    found = records.filter((F.col("kind") == ARTICLE) & ~F.col("is_corrupt"))
+    return found.select("MedlineCitation", "PubmedData", "file_name")
 
 
 def stream_deletes(
     spark: SparkSession, path: str, max_files_per_trigger: int = 100
 ) -> DataFrame:
-    reader = _reader(
-        spark.readStream, schemas.DELETE_TAG, schemas.DELETE_CITATION, "FAILFAST"
-    )
-    df = reader.option("maxFilesPerTrigger", max_files_per_trigger).load(path)
-    return _deletes(df, F.lit(False))
+    """(value, pmid, file_name) of the delete lists of new files as a stream."""
+    records = _checked(stream_records(spark, path, max_files_per_trigger), "FAILFAST")
+    opened = records.filter((F.col("kind") == DELETES) & ~F.col("is_corrupt"))
+    opened = opened.select(F.explode("deletes").alias("value"), "file_name")
+    return opened.select("value", as_key(F.col("value")).alias("pmid"), "file_name")
 
 
 def records_per_file(articles: DataFrame, deletes: DataFrame | None = None) -> DataFrame:
@@ -146,12 +213,5 @@ def records_per_file(articles: DataFrame, deletes: DataFrame | None = None) -> D
 
 def count_books(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Book articles per file; they are counted, not shredded."""
-    schema = T.StructType([T.StructField("BookDocument", T.StringType())])
-    df = _reader(spark.read, schemas.BOOK_TAG, schema, "PERMISSIVE").load(paths)
-    # a malformed record has no document
-    return (
-        df.select("BookDocument", _file_name())
-        .groupBy("file_name")
-        .agg(F.count("BookDocument").alias("n_books"))
-        .filter("n_books > 0")
-    )
+    books = scan_records(spark, paths, "PERMISSIVE").filter(F.col("kind") == BOOK)
+    return books.groupBy("file_name").agg(F.count(F.lit(1)).alias("n_books"))

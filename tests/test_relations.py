@@ -1,6 +1,8 @@
 from conftest import rows
 
+from citeloom.operators import documents
 from citeloom.operators import relations as r
+from citeloom.sources import xml
 from citeloom.sources import schemas
 
 
@@ -130,7 +132,7 @@ def test_children(scan):
 
 def test_references(scan):
     assert rows(r.refs(scan("references.xml"))) == [
-        (1, "", 2, 0, "C. ", "", "", "S1"),
+        (1, "", 2, 0, "C. J 2003.", "", "", "S1"),
         (1, "References", 0, 0, "A. 2001.", "12", "10.1/a", ""),
         (1, "References", 0, 1, "B. 2002.", "", "", ""),
         (2, "", 1, 0, "D.", "", "", ""),
@@ -138,16 +140,15 @@ def test_references(scan):
 
 
 def test_mixed_content(scan):
-    titles = {m.pmid: m.title for m in r.main(scan("mixed.xml")).collect()}
-    assert titles[1] == "To "
-    # a title that starts with a tag gives its first own text
-    assert titles[2] == " sapiens"
-    assert titles[3] == "Plain & <safe> text"
-    assert titles[4] == "a < b"
-    assert titles[5] == "Éçole α–\U0001F9EC"
-    assert titles[6] == "  padded  "
-    full = {m.pmid: m.title for m in r.main(scan("mixed.xml"), text="full").collect()}
-    assert full[1] == "To  go"
+    def titles(**form):
+        return {m.pmid: m.title for m in r.main(scan("mixed.xml"), **form).collect()}
+
+    plain = {3: "Plain & <safe> text", 4: "a < b", 5: "Éçole α–\U0001F9EC", 6: "  padded  "}
+    assert titles() == {1: "To x go", 2: "Homo sapiens", **plain}
+    assert titles(text="leading") == {1: "To ", 2: None, **plain}
+    markup = titles(text="markup")
+    assert markup[1] == "To <sub>x</sub> go" and markup[2] == "<i>Homo</i> sapiens"
+    assert markup[3] == "Plain &amp; &lt;safe&gt; text"
 
 
 def test_dates_and_problems(scan):
@@ -189,9 +190,62 @@ def test_other_problems(scan):
             ("unknown_affiliation_id_source", "ROR", True),
         ]
     }
-    assert reasons("references.xml") == {"2": [("nested_reference_list", None, True)]}
+    # nested lists are drawn out, nothing of them is lost
+    assert reasons("references.xml") == {}
 
 
 def test_nested_reference_lists_are_flattened(scan):
     found = r.refs(scan("references.xml")).filter("pmid = 2").collect()
     assert [(x.list_index, x.ref_index, x.citation) for x in found] == [(1, 0, "D.")]
+
+
+def test_reference_lists_of_any_depth(spark, tmp_path):
+    """Five levels, siblings after nested lists, empty lists: all in document order."""
+
+    def one(name, *inner):
+        refs = "".join(f"<Reference><Citation>{name}{i}</Citation></Reference>\n" for i in range(2))
+        return f"<ReferenceList>\n<Title>{name}</Title>\n{refs}{' '.join(inner)}</ReferenceList>\n"
+
+    lists = one("a", one("b", one("c", one("d", one("e"))), one("f")), "<ReferenceList>" + one("g") + "</ReferenceList>") + one("h")
+    text = (
+        "<PubmedArticleSet><PubmedArticle><MedlineCitation><PMID>1</PMID></MedlineCitation>"
+        f"<PubmedData><ArticleIdList><ArticleId IdType='doi'>10.1/x</ArticleId></ArticleIdList>{lists}</PubmedData>"
+        "</PubmedArticle></PubmedArticleSet>"
+    )
+    (tmp_path / "a.xml").write_text(text)
+    found = r.refs(xml.scan_articles(spark, str(tmp_path))).orderBy("list_index", "ref_index").collect()
+    assert [x.citation for x in found] == [f"{name}{i}" for name in "abcdefgh" for i in range(2)]
+    assert [x.list_title for x in found[::2]] == list("abcdefgh")
+
+
+def test_text_inside_tags_of_every_mixed_element(spark, tmp_path):
+    """Titles, abstracts, affiliations, group names, keywords, suffixes, citations; attributes and entities stay."""
+    rich = 'x <i>y <sub a="1&amp;2">&lt;z&gt;</sub></i><br/>&#945;'
+    body = (
+        f"<ArticleTitle>{rich}</ArticleTitle><Abstract><AbstractText Label='L' NlmCategory='C'>{rich}</AbstractText>"
+        f"</Abstract><AuthorList><Author><LastName>A</LastName><Suffix>2<sup>nd</sup></Suffix><AffiliationInfo>"
+        f"<Affiliation>{rich}</Affiliation></AffiliationInfo><AffiliationInfo><Affiliation>two</Affiliation></AffiliationInfo>"
+        f"</Author><Author><CollectiveName>{rich}</CollectiveName></Author></AuthorList><VernacularTitle>{rich}</VernacularTitle>"
+    )
+    text = (
+        f"<PubmedArticleSet><PubmedArticle><MedlineCitation><PMID>1</PMID><Article>{body}</Article><KeywordList Owner='O'>"
+        f"<Keyword MajorTopicYN='Y'>{rich}</Keyword></KeywordList><CoiStatement>{rich}</CoiStatement></MedlineCitation><PubmedData>"
+        f"<ReferenceList><Reference><Citation>{rich}</Citation></Reference></ReferenceList></PubmedData></PubmedArticle></PubmedArticleSet>"
+    )
+    (tmp_path / "a.xml").write_text(text)
+    a = xml.scan_articles(spark, str(tmp_path))
+    whole = "x y <z>α"
+    main = r.main(a).first()
+    assert (main.title, main.vernacular_title, main.coi) == (whole,) * 3
+    assert rows(r.abstract(a)) == [(1, 0, "full", "full", whole)]
+    people = r.authors(a).orderBy("auth_order").collect()
+    assert (people[0].affiliation, people[0].suffix, people[1].last_name) == (whole, "2nd", whole)
+    assert rows(r.affiliations(a)) == [(1, 0, 0, whole, "", "", ""), (1, 0, 1, "two", "", "", "")]
+    assert rows(r.keywords(a)) == [(1, "O", True, whole)]
+    assert r.refs(a).first().citation == whole
+    markup = r.main(a, text="markup").first().title
+    assert markup == 'x <i>y <sub a="1&amp;2">&lt;z&gt;</sub></i><br/>α'
+    assert r.main(a, text="leading").first().title == "x "
+    doc = documents.documents(a).first()
+    assert doc.Article.ArticleTitle == doc.Article.Abstract.Parts[0].Value == doc.KeywordLists[0].Keywords[0].Value == whole
+    assert documents.documents(a, text="leading").first().Article.ArticleTitle == "x"

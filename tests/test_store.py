@@ -92,12 +92,29 @@ def test_update_and_reset(spark, corpus, tmp_path):
     assert store.applied().count() == 0 and store.read("authors").count() == 0
 
 
-def test_malformed_file_is_left_out_as_a_whole(spark, corpus, tmp_path):
+def test_a_malformed_record_loses_only_itself(spark, corpus, tmp_path):
     store = Store(spark, str(tmp_path))
     status = store.apply([str(FIXTURES / "broken.xml"), f"{corpus}/{FILES[0]}"], tables=[])
-    assert rows(status) == [("broken.xml", None), (FILES[0], 2)]
-    assert [x[0] for x in rows(store.read("ids").select("pmid"))] == [101, 102, 103]
-    assert rows(store.read("rejects")) == [("broken.xml", None, "malformed_file", None, False)]
+    assert rows(status) == [("broken.xml", 2), (FILES[0], 2)]
+    assert [x[0] for x in rows(store.read("ids").select("pmid"))] == [1, 3, 101, 102, 103]
+    bad = '<PubmedArticle><MedlineCitation><PMID Version="1">2</PMID><Article></MedlineCitation></PubmedArticle>'
+    assert rows(store.read("rejects")) == [("broken.xml", "2", "malformed_record", bad, False)]
+
+
+def test_a_cut_off_file_gives_its_whole_records(spark, tmp_path):
+    text = (FIXTURES / "mixed.xml").read_text(encoding="utf-8")
+    short, whole = tmp_path / "in" / "pubmed21n0001.xml", tmp_path / "again" / "pubmed21n0001.xml"
+    for path, content in ((short, text[: text.index("<PMID Version=\"1\">3<")]), (whole, text)):
+        path.parent.mkdir()
+        path.write_text(content, encoding="utf-8")
+    store = Store(spark, str(tmp_path / "store"))
+    assert rows(store.apply([str(short)], tables=["ids"])) == [("pubmed21n0001.xml", None)]
+    assert [x[0] for x in rows(store.read("ids").select("pmid"))] == [1, 2]
+    found = rows(store.read("rejects").select("pmid", "reason", "kept"))
+    assert found == [(None, "cut_off_file", True), (None, "malformed_record", False)]
+    # the whole file can still be applied
+    assert rows(store.apply([str(whole)], tables=["ids"])) == [("pubmed21n0001.xml", 2)]
+    assert [x[0] for x in rows(store.read("ids").select("pmid"))] == [1, 2, 3, 4, 5, 6]
 
 
 def test_rejected_articles_are_listed(spark, tmp_path):
@@ -120,3 +137,46 @@ def test_missing_parts_raise_nothing_on_an_empty_store(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     assert store.applied().count() == 0
     assert store.read("ids").count() == 0
+
+
+def test_bulk_load_keeps_the_first_article(spark, corpus, tmp_path):
+    """101 and 104 come twice: the first stays in main, rows of children of both stay; deletes are only logged."""
+    from citeloom.sources import tsv, xml
+
+    out = str(tmp_path / "tsv")
+    tsv.write_fan_out(xml.scan_records(spark, corpus), out)
+    store = Store(spark, str(tmp_path / "store"))
+    store.load_tsv(out)
+    every = xml.scan_articles(spark, corpus).orderBy("file_name", "seq").collect()
+    first = {}
+    for a in every:
+        first.setdefault(int(a.MedlineCitation.PMID._VALUE), a.MedlineCitation.Article.ArticleTitle)
+    main = {x.pmid: x.title for x in store.read("main").collect()}
+    assert main == {k: t._VALUE[0] if t and t._VALUE else None for k, t in first.items()}
+    languages = spark.createDataFrame([(int(a.MedlineCitation.PMID._VALUE), x) for a in every for x in a.MedlineCitation.Article.Language or []], "a int, b string")
+    assert rows(store.read("languages")) == rows(languages)
+    assert rows(store.read("deleted")) == DELETED and [x[0] for x in rows(store.applied())] == FILES
+    assert rows(store.apply([f"{corpus}/{f}" for f in FILES])) == [(f, 1) for f in FILES]
+    import pytest
+
+    with pytest.raises(ValueError, match="empty store"):
+        store.load_tsv(out)
+
+
+def test_bulk_load_checks_parents_and_is_overridden_by_updates(spark, corpus, tmp_path):
+    from citeloom.sources import tsv, xml
+
+    out = tmp_path / "tsv"
+    first = xml.scan_records(spark, f"{corpus}/{FILES[0]}")
+    tsv.write_fan_out(first, str(out))
+    lost = spark.createDataFrame([(7, "eng")], "pmid bigint, language string")
+    tsv.write_tsv(lost, "languages", str(out / "relation=languages" / "root=pubmed21n0001"), "append")
+    store = Store(spark, str(tmp_path / "store"))
+    store.load_tsv(str(out))
+    assert rows(store.read("rejects")) == [(FILES[0], "7", "missing_parent", "languages", False)]
+    assert store.read("languages").filter("pmid = 7").count() == 0
+    store.apply([f"{corpus}/{f}" for f in FILES[1:]])
+    assert rows(store.read("ids").select("pmid", "doi")) == IDS
+    assert rows(store.read("authors").select("pmid", "auth_order", "last_name")) == AUTHORS
+    store.compact()
+    assert rows(store.read("main").select("pmid", "doi")) == IDS
