@@ -368,3 +368,13 @@ def documents(articles: DataFrame, keep=(), text: str = "complete") -> DataFrame
 def as_json(docs: DataFrame, keep=()) -> DataFrame:
     """Each document as one JSON text."""
     return docs.select(*keep, F.to_json(F.struct("*")).alias("document"))
+
+
+def as_variant(docs: DataFrame, keep=()) -> DataFrame:
+    """Each document as one VARIANT: stored whole, read by path (`variant_get`), whatever fields it has."""
+    return docs.select(*keep, F.to_variant_object(F.struct("*")).alias("document"))
+
+
+def write_json(docs: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Documents as lines of JSON, in compressed files of even size (AQE's advisory partition size)."""
+    docs.hint("rebalance").write.mode(mode).option("compression", "gzip").json(path)

@@ -42,7 +42,7 @@ def _relation(rows: Callable[..., Column]) -> Callable[..., DataFrame]:
     return relation
 
 
-def _main_columns(text: str = "complete", free_text: str = "parsed") -> list[Column]:
+def main_columns(text: str = "complete", free_text: str = "parsed") -> list[Column]:
     mc, pd = record.citation(), record.pubmed_data()
     issue = "Article.Journal.JournalIssue"
     keyword_lists = record.at("KeywordList")
@@ -87,7 +87,7 @@ def main(
     text: str = "complete",
     free_text: str = "parsed",
 ) -> DataFrame:
-    return articles.select(*keep, *_main_columns(text, free_text))
+    return articles.select(*keep, *main_columns(text, free_text))
 
 
 @_relation
@@ -400,11 +400,11 @@ RELATIONS: dict[str, Callable[..., DataFrame]] = {
 EXTRA: dict[str, Callable[..., DataFrame]] = {"affiliations": affiliations}
 
 
-def rows_of(name: str) -> Column:
+def rows_of(name: str, **form: str) -> Column:
     """The rows of a relation an article gives, as array<struct>, its key among the columns of `main` only."""
     if name == "main":
-        return F.array(F.struct(*_main_columns()))
-    return RELATIONS[name].rows()
+        return F.array(F.struct(*main_columns(**form)))
+    return RELATIONS[name].rows(**form)
 
 
 def shred(articles: DataFrame, keep: Sequence[str] = ()) -> dict[str, DataFrame]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from citeloom.sources import schemas
+
 IDS = """
 ids AS (
   SELECT o_orderkey AS pmid,
@@ -293,7 +295,7 @@ SELECT CAST(d AS BIGINT) AS pmid, {DOI} AS doi,
   lang AS iso_abbrev, text AS title,
   CASE WHEN lang <> 'en' THEN text ELSE '' END AS vernacular_title,
   CASE WHEN d % 3 <> 1 THEN n_chars || '-' || (n_chars + 5) ELSE '' END AS pages,
-  CASE WHEN d % 2 = 0 THEN source END AS coi,
+  CASE WHEN d % 2 = 0 THEN source || lang END AS coi,
   CASE WHEN d % 4 = 1 THEN CAST(len(ls) AS VARCHAR) ELSE 'None' END AS n_references,
   CAST(len(ls) AS INTEGER) AS n_chems, CAST(len(ls) AS INTEGER) AS n_supp_mesh,
   CAST(len(ls) AS INTEGER) AS n_mesh,
@@ -429,18 +431,6 @@ FROM dated""",
 SELECT CAST(d AS BIGINT) AS pmid, {DOI} AS doi,
   CASE WHEN has_pd AND toxic = 1 THEN 'S' || d ELSE '' END AS pii,
   CASE WHEN has_pd THEN 'PMC' || d ELSE '' END AS pmcid FROM docs""",
-    ),
-    "full_text_rows": _q(
-        f"""{LINES},
-whole AS (
-  SELECT d, CASE WHEN max(n) = 1 THEN max(line) ELSE
-         string_agg(CASE WHEN i % 5 <> 4 THEN 'P' || (i + 1) ELSE '' END || ': ' || line, chr(10) ORDER BY i)
-         END AS t
-  FROM lines WHERE d % 11 <> 10 GROUP BY d)""",
-        """
-SELECT CAST(docs.d AS BIGINT) AS pmid, docs.text AS title,
-       CASE WHEN docs.d % 2 = 0 THEN source || lang END AS coi, t AS text
-FROM docs LEFT JOIN whole ON docs.d = whole.d""",
     ),
     "pub_date_parse": _q(
         ORDER_DATES,
@@ -495,7 +485,7 @@ SELECT CAST(d AS VARCHAR) AS pmid, '1' AS pmid_version, source AS owner, 'MEDLIN
   source AS journal_title, lang AS country, CAST(d AS VARCHAR) AS nlm_id,
   CAST(NULL AS VARCHAR) AS issn_linking,
   CASE WHEN d % 4 = 1 THEN CAST(len(ls) AS VARCHAR) END AS n_references,
-  CASE WHEN d % 2 = 0 THEN source END AS coi, lang || ',' || source AS subsets,
+  CASE WHEN d % 2 = 0 THEN source || lang END AS coi, lang || ',' || source AS subsets,
   'NLM/' || d AS other_ids
 FROM dated""",
     ),
@@ -571,7 +561,6 @@ SELECT CAST(d AS VARCHAR) AS pmid, source AS owner, source AS journal,
        trim(text, chr(32) || chr(9) || chr(10) || chr(13)) AS title, lang AS first_language,
        source AS subset FROM docs""",
     ),
-    "tsv_main_round_trip": "",
     "xml_round_trip": _q(
         IDS,
         """
@@ -614,21 +603,96 @@ ORACLE["xml_stream_snapshot"] = STORE_SNAPSHOT
 for _relation in ("author_rows", "abstract_rows"):
     ORACLE[f"xml_{_relation}"] = ORACLE[_relation]
 
-_TEXTS = (
-    "last_name fore_name initials suffix orcid affiliation ringgold_id isni_id grid_id"
-).split()
-ORACLE["tsv_fan_out"] = (
-    "SELECT pmid, auth_order, is_collective, is_first, is_last, "
-    + ", ".join(f"nullif({c}, '') AS {c}" for c in _TEXTS)
-    + f" FROM ({ORACLE['author_rows']})"
-)
-
 # Tab separated files do not tell an empty text from a missing one.
 ORACLE["tsv_round_trip"] = (
     "SELECT pmid, element_id, nullif(label, '') AS label, nullif(category, '') AS category,"
     f" nullif(text, '') AS text FROM ({ORACLE['abstract_rows']})"
 )
+ORACLE["affiliation_rows"] = _q(
+    LINES,
+    """
+SELECT CAST(d AS BIGINT) AS pmid, i AS auth_order, CAST(k AS INTEGER) AS aff_order,
+  CASE WHEN k = 0 THEN line ELSE 'second' END AS affiliation, CASE WHEN k = 0 THEN 'r' || i ELSE '' END AS ringgold_id,
+  CASE WHEN k = 0 THEN 'i' || i ELSE '' END AS isni_id, CASE WHEN k = 0 THEN 'g' || i ELSE '' END AS grid_id
+FROM lines, range(2) AS r(k) WHERE d % 13 <> 12 AND i % 3 <> 2""",
+)
+
+
+def _fingerprint(name: str, sql: str, columns: list[str]) -> str:
+    values = ", '|', ".join(f"coalesce(nullif(CAST({c} AS VARCHAR), ''), '~')" for c in columns)
+    return (
+        f"SELECT '{name}' AS relation, count(*) AS n_rows, CAST(coalesce(sum(CAST('0x' || substr(md5(concat({values})), 1, 8) AS BIGINT)), 0)"
+        f" AS BIGINT) AS fingerprint FROM ({sql})"
+    )
+
+
+def _file_columns(relation: str) -> list[str]:
+    return sorted(c for c in schemas.columns(relation) if c not in schemas.TSV_DROPS.get(relation, ()))
+
+
 ORACLE["tsv_main_round_trip"] = (
-    "SELECT pmid, nullif(doi, '') AS doi, pub_date, nullif(title, '') AS title, coi,"
-    f" n_references, n_authors, n_keyword_lists FROM ({ORACLE['main_rows']})"
+    "SELECT "
+    + ", ".join(
+        f"nullif({c}, '') AS {c}" if schemas.TABLES["main"][c].dataType.simpleString() == "string" else c
+        for c in _file_columns("main")
+    )
+    + f" FROM ({ORACLE['main_rows']})"
+)
+_FILES = [
+    _fingerprint(r, ORACLE["author_rows" if r == "authors" else f"{r}_rows"], _file_columns(r)) for r in schemas.RELATIONS
+]
+ORACLE["tsv_fan_out"] = " UNION ALL ".join(
+    [
+        *_FILES,
+        _fingerprint(
+            "deleted",
+            "SELECT doc_id + 1 AS pmid, 'pubmed24n' || lpad(CAST(doc_id // 1000 AS VARCHAR), 8, '0') AS root FROM documents",
+            ["pmid", "root"],
+        ),
+    ]
+)
+ORACLE["store_load_tsv"] = " UNION ALL ".join(
+    [*_FILES, "SELECT 'rejects' AS relation, CAST(0 AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS fingerprint"]
+)
+ORACLE["bulk_first_wins"] = _q(
+    CHANGES,
+    """SELECT CAST(pmid AS BIGINT) AS pmid, doi, file_name
+FROM (SELECT *, row_number() OVER (PARTITION BY pmid ORDER BY file_name, seq) AS rn FROM changes) WHERE rn = 1""",
+)
+ORACLE["full_text_rows"] = """
+SELECT CAST(doc_id AS BIGINT) AS pmid, lang || ' ' || text || doc_id AS title, source || lang AS coi,
+  text || chr(945) || '<' AS text, CAST(NULL AS VARCHAR) AS leading_title, source AS leading_coi
+FROM documents WHERE text IS NOT NULL"""
+ORACLE["deep_reference_rows"] = _q(
+    LINES,
+    """SELECT CAST(d AS BIGINT) AS pmid, 'T' || i AS list_title, i AS list_index, CAST(0 AS INTEGER) AS ref_index,
+  line || i AS citation FROM lines""",
+)
+ORACLE["stream_state_snapshot"] = ORACLE["stream_snapshot"]
+ORACLE["stream_deletion_log"] = _q(
+    XML_CHANGES, "SELECT DISTINCT CAST(pmid AS BIGINT) AS pmid, file_name FROM changes WHERE op = 'D'"
+)
+ORACLE["stream_article_rows"] = ORACLE["xml_round_trip"]
+ORACLE["store_update"] = f"SELECT pmid, title, coi FROM ({ORACLE['full_text_rows']})"
+ORACLE["store_compact"] = (
+    "SELECT pmid, CAST(0 AS INTEGER) AS element_id, 'full' AS label, 'full' AS category, text"
+    f" FROM ({ORACLE['full_text_rows']})"
+)
+ORACLE["store_documents"] = """
+SELECT CAST(doc_id AS VARCHAR) AS pmid, source || lang AS coi, CAST(len(string_split(text, chr(10))) AS INTEGER) AS n_lists
+FROM documents WHERE text IS NOT NULL"""
+ORACLE["store_reset"] = """
+SELECT unnest(['updates', 'ids', 'main']) AS relation, CAST(0 AS BIGINT) AS n_rows
+UNION ALL SELECT 'again', count(DISTINCT doc_id // 1000) FROM documents WHERE text IS NOT NULL"""
+ORACLE["document_sink"] = " UNION ALL ".join(
+    _fingerprint(name, ORACLE[name], sorted(columns.split(), key=lambda c: c.strip('"')))
+    for name, columns in {
+        "nested_citation": """pmid pmid_version owner status version_id version_date completed_month revised_day issn_type
+            season medline_date journal_title country nlm_id issn_linking n_references coi subsets other_ids""",
+        "nested_article": "pmid title pages locations dates copyright parts authors languages vernacular_title",
+        "nested_terms": "pmid mesh keywords corrections chemicals supplements",
+        "nested_lists": """pmid other_abstracts genes investigators notes missions banks grants pub_types names objects
+            "references" """,
+    }.items()
 )
+ORACLE["document_variant"] = ORACLE["nested_json"]

@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.functions import dates
+from citeloom.functions.files import corpus_name
 from citeloom.operators import changes, documents, inventory, lookup, ordinals, relations
+from citeloom.plans import bulk
 from citeloom.plans import driver_views as v
 from citeloom.plans.driver_corpus import ARTICLE, write_corpus, write_lines
 from citeloom.plans.scratch import new_path, spread
 from citeloom.plans.store import Store
 from citeloom.sources import schemas, tsv, xml
-from citeloom.streaming.ingest import ChangeLog, ingest
+from citeloom.streaming.ingest import ChangeLog, ChangeState, deletion_log_once, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -222,6 +224,11 @@ def _register_relations() -> None:
 _register_relations()
 
 
+@query
+def affiliation_rows(spark, d):
+    return relations.affiliations(v.bib_articles(spark, d))
+
+
 @query
 def ids_rows(spark, d):
     return relations.identifiers(v.bib_articles(spark, d))
@@ -237,15 +244,6 @@ def first_id_by_type(spark, d):
     return relations.main(v.bib_articles(spark, d)).select("pmid", "doi", "pii", "pmcid")
 
 
-@query
-def full_text_rows(spark, d):
-    """Abstracts and titles with all runs of their own text joined."""
-    articles = v.bib_articles(spark, d)
-    titles = relations.main(articles, text="full").select("pmid", "title", "coi")
-    abstracts = relations.abstract(articles, text="full").filter("element_id = 0")
-    return titles.join(abstracts.select("pmid", "text"), "pmid", "left")
-
-
 @query
 def pub_date_parse(spark, d):
     """Order dates written in every form of the format, and odd ones, parsed back."""
@@ -351,10 +349,9 @@ def _joined(items, *paths: str, sep: str = "|"):
     return F.array_join(F.transform(items, one), sep)
 
 
-@query
-def nested_citation(spark, d):
+def _citation_part(docs: DataFrame) -> DataFrame:
     journal = "Article.Journal"
-    return _docs(spark, d).select(
+    return docs.select(
         F.col("PMID.Value").alias("pmid"),
         F.col("PMID.Version").alias("pmid_version"),
         F.col("Owner").alias("owner"),
@@ -378,7 +375,11 @@ def nested_citation(spark, d):
 
 
 @query
-def nested_article(spark, d):
+def nested_citation(spark, d):
+    return _citation_part(_docs(spark, d))
+
+
+def _article_part(docs: DataFrame) -> DataFrame:
     a = F.col("Article")
     authors = F.transform(
         a["AuthorList"],
@@ -391,7 +392,7 @@ def nested_article(spark, d):
             _joined(x["Affiliations"], "Affiliation", sep=","),
         ),
     )
-    return _docs(spark, d).select(
+    return docs.select(
         F.col("PMID.Value").alias("pmid"),
         a["ArticleTitle"].alias("title"),
         a["Pagination"]["MedlinePgn"].alias("pages"),
@@ -406,7 +407,11 @@ def nested_article(spark, d):
 
 
 @query
-def nested_terms(spark, d):
+def nested_article(spark, d):
+    return _article_part(_docs(spark, d))
+
+
+def _terms_part(docs: DataFrame) -> DataFrame:
     mesh = F.transform(
         F.col("MeshHeadingList"),
         lambda h: F.concat_ws(
@@ -417,7 +422,7 @@ def nested_terms(spark, d):
         F.col("KeywordLists"),
         lambda k: F.concat_ws("=", k["Owner"], _joined(k["Keywords"], "Value", sep=" ")),
     )
-    return _docs(spark, d).select(
+    return docs.select(
         F.col("PMID.Value").alias("pmid"),
         F.array_join(mesh, "|").alias("mesh"),
         F.array_join(keywords, "|").alias("keywords"),
@@ -428,7 +433,11 @@ def nested_terms(spark, d):
 
 
 @query
-def nested_lists(spark, d):
+def nested_terms(spark, d):
+    return _terms_part(_docs(spark, d))
+
+
+def _lists_part(docs: DataFrame) -> DataFrame:
     other = F.transform(
         F.col("OtherAbstracts"), lambda a: _joined(a["AbstractTexts"], "Label", "Value")
     )
@@ -444,7 +453,7 @@ def nested_lists(spark, d):
         F.col("PubmedData.ReferenceList"),
         lambda r: F.concat_ws("=", r["Title"], _joined(r["References"], "Citation", sep=" ")),
     )
-    return _docs(spark, d).select(
+    return docs.select(
         F.col("PMID.Value").alias("pmid"),
         F.array_join(other, "#").alias("other_abstracts"),
         F.array_join("GeneSymbolList", "|").alias("genes"),
@@ -460,11 +469,15 @@ def nested_lists(spark, d):
     )
 
 
+@query
+def nested_lists(spark, d):
+    return _lists_part(_docs(spark, d))
+
+
 @query
 def nested_json(spark, d):
-    """Documents as JSON texts, read back by path."""
-    docs = _docs(spark, d).select("PMID", "Owner", "Article", "CitationSubsets")
-    texts = documents.as_json(docs)
+    """Whole documents as JSON texts, read back by path."""
+    texts = documents.as_json(_docs(spark, d))
     return texts.select(
         *[
             F.get_json_object("document", path).alias(name)
@@ -494,16 +507,35 @@ def tsv_round_trip(spark, d):
 def tsv_main_round_trip(spark, d):
     path = new_path(spark, "tsv")
     tsv.write_tsv(relations.main(v.bib_articles(spark, d)), "main", path)
-    return tsv.read_tsv(spark, "main", path).select(
-        "pmid", "doi", "pub_date", "title", "coi", "n_references", "n_authors", "n_keyword_lists"
-    )
+    return tsv.read_tsv(spark, "main", path)
 
 
 # Rows of one corpus file: a gzip file is one task, so its size is bounded.
 FILE_ROWS = 1_000_000
+FILE_ARTICLES = 30_000
 FILE_DOCUMENTS = 1_000
 
 
+def _fingerprint(df: DataFrame, name: str, columns: list[str] | None = None) -> DataFrame:
+    """(relation, n_rows, fingerprint): a sum of hashes of whole rows, empty texts counting as missing ones."""
+    values = [
+        F.coalesce(F.nullif(F.col(c).cast("string"), F.lit("")), F.lit("~")) for c in columns or sorted(df.columns)
+    ]
+    digits = F.substring(F.md5(F.concat_ws("|", *values)), 1, 8)
+    return df.agg(
+        F.lit(name).alias("relation"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.coalesce(F.sum(F.conv(digits, 16, 10).cast("bigint")), F.lit(0)).alias("fingerprint"),
+    )
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def _dated_store(spark, dated) -> Store:
     """Dated orders (pmid, date) written as XML with a DOI each, and applied."""
     id_t = schemas.ARTICLE_IDS["ArticleId"].dataType.elementType
@@ -515,7 +547,7 @@ def _dated_store(spark, dated) -> Store:
         v.build(schemas.PUBMED_DATA, {"ArticleIdList": {"ArticleId": F.array(doi)}}).alias("PubmedData"),
     )
     records = dated.select(
-        _numbered("24", F.format_string("%08d", F.expr(f"pmid div {FILE_ROWS}"))).alias("file"),
+        _numbered("24", F.format_string("%08d", F.expr(f"pmid div {FILE_ARTICLES}"))).alias("file"),
         F.lit(ARTICLE).alias("kind"),
         F.col("pmid").cast("bigint").alias("seq"),
         F.to_xml(article, {"rowTag": schemas.ARTICLE_TAG}).alias("value"),
@@ -544,19 +576,53 @@ def _numbered(year, *number):
     return v.text("pubmed", year, "n", *number, ".xml.gz")
 
 
+def _fanned_out(spark, d) -> str:
+    """All relations of the documents, and a deletion list, as the folders of a fan-out."""
+    doc = F.col("MedlineCitation.PMID._VALUE").cast("bigint")
+    number = F.format_string("%08d", F.floor(doc / FILE_DOCUMENTS))
+    records = v.bib_articles(spark, d).select(
+        "*", _numbered("24", number).alias("file_name"), F.array(v.text(doc + 1), F.lit("no number")).alias("deletes")
+    )
+    out = new_path(spark, "tsv")
+    tsv.write_fan_out(records, out)
+    return out
+
+
+def _file_columns(relation: str) -> list[str]:
+    return sorted(c for c in schemas.columns(relation) if c not in schemas.TSV_DROPS.get(relation, ()))
+
+
 @query
 def tsv_fan_out(spark, d):
-    """Authors of all files out of the per-file folders of a fan-out write."""
-    number = F.format_string("%08d", F.floor(F.col("doc") / FILE_DOCUMENTS))
-    articles = v.bib_articles(spark, d).select(
-        F.col("MedlineCitation.PMID._VALUE").cast("bigint").alias("doc"), "*"
-    )
-    staged = new_path(spark, "articles")
-    articles.withColumn("file_name", _numbered("24", number)).drop("doc").write.parquet(staged)
+    """Rows and a hash over all columns of every relation, and of the deletion list, out of a fan-out's folders."""
+    out = _fanned_out(spark, d)
+    parts = [
+        _fingerprint(tsv.read_tsv(spark, r, f"{out}/relation={r}"), r, _file_columns(r)) for r in schemas.RELATIONS
+    ]
+    return _union([*parts, _fingerprint(tsv.read_deleted(spark, out), "deleted")])
+
+
+@query
+def store_load_tsv(spark, d):
+    """The same files loaded into a store in bulk, all its tables read."""
+    store = Store(spark, new_path(spark, "store"))
+    store.load_tsv(_fanned_out(spark, d))
+    parts = [_fingerprint(store.read(r), r, _file_columns(r)) for r in schemas.RELATIONS]
+    return _union([*parts, _fingerprint(store.read("rejects"), "rejects")])
+
+
+@query
+def bulk_first_wins(spark, d):
+    """Change rows as files of `main`: the first row of each article stays."""
+    rows = v.bib_changes(spark, d).select("file_name", "seq", "pmid", "doi")
     out = new_path(spark, "tsv")
-    wanted = ["main", "authors", "languages"]
-    tsv.write_fan_out(spark.read.parquet(staged), out, names=wanted)
-    return tsv.read_tsv(spark, "authors", f"{out}/relation=authors")
+    columns = [F.col(c) if c in rows.columns else F.lit(None).alias(c) for c in schemas.columns("main")]
+    lines = rows.repartition("file_name").sortWithinPartitions("file_name", "seq")
+    root = F.regexp_replace("file_name", r"\.xml\.gz$", "").alias("root")
+    lines = lines.select(root, *columns)
+    fields = tsv.to_rows(lines, "main", keep=["root"])
+    fields.write.partitionBy("root").options(**tsv.WRITE).csv(f"{out}/relation=main")
+    return bulk.first_wins(bulk.read(spark, "main", out)).select("pmid", "doi", "file_name")
 
 
 def _ids_corpus(spark, d) -> str:
@@ -611,6 +677,57 @@ def xml_abstract_rows(spark, d):
     return relations.abstract(_articles_corpus(spark, d, "Abstract"))
 
 
+def _escaped(value):
+    for sign, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        value = F.replace(value, F.lit(sign), F.lit(name))
+    return value
+
+
+def _marked_up_corpus(spark, d) -> str:
+    """Documents as XML whose titles, abstracts and references have tags inside; every list of references in the one before."""
+    doc, text = F.col("doc_id"), _escaped(F.col("text"))
+    lines = F.split(text, "\n")
+    listed = F.transform(
+        lines, lambda x, i: v.text("<ReferenceList><Title>T", i, "</Title><Reference><Citation>", x, "<b>", i, "</b></Citation></Reference>")
+    )
+    value = v.text(
+        "<PubmedArticle><MedlineCitation><PMID>", doc, "</PMID><Article><ArticleTitle><i>", F.col("lang"), "</i> ", text,
+        "<sub>", doc, "</sub></ArticleTitle><Abstract><AbstractText Label='L' NlmCategory='RESULTS'>", text,
+        "<mml:math xmlns:mml='http://x'><mml:mi>&#945;&lt;</mml:mi></mml:math></AbstractText></Abstract></Article><CoiStatement>",
+        F.col("source"), "<sup>", F.col("lang"), "</sup></CoiStatement></MedlineCitation><PubmedData>",
+        F.array_join(listed, ""), F.repeat(F.lit("</ReferenceList>"), F.size(lines)), "</PubmedData></PubmedArticle>",
+    )
+    number = F.format_string("%08d", F.floor(doc / FILE_DOCUMENTS))
+    records = v.table(spark, d, "documents").where("text IS NOT NULL").select(
+        _numbered("24", number).alias("file"), F.lit(ARTICLE).alias("kind"), doc.alias("seq"), value.alias("value")
+    )
+    return write_lines(records, new_path(spark, "corpus"))
+
+
+@query
+def full_text_rows(spark, d):
+    """Titles, abstracts and statements with tags inside, out of XML in one projection: whole, and up to the first tag."""
+    articles = xml.scan_articles(spark, _marked_up_corpus(spark, d))
+    whole = relations.rows_of("main")[0], relations.rows_of("abstract")[0]
+    leading = relations.rows_of("main", text="leading")[0]
+    return articles.select(
+        whole[0]["pmid"].alias("pmid"),
+        whole[0]["title"].alias("title"),
+        whole[0]["coi"].alias("coi"),
+        whole[1]["text"].alias("text"),
+        leading["title"].alias("leading_title"),
+        leading["coi"].alias("leading_coi"),
+    )
+
+
+@query
+def deep_reference_rows(spark, d):
+    """Reference lists nested as deep as a document has lines, in document order."""
+    return relations.refs(xml.scan_articles(spark, _marked_up_corpus(spark, d))).select(
+        "pmid", "list_title", "list_index", "ref_index", "citation"
+    )
+
+
 def _events_corpus(spark, d) -> tuple[str, DataFrame]:
     """Change rows of the events as corpus files by day and sequence range."""
     day = F.substring("file_name", 12, 2)
@@ -685,3 +802,118 @@ def stream_snapshot(spark, d):
     log = ChangeLog(spark, new_path(spark, "log"))
     log.start(stream.select(rows.columns), new_path(spark, "stream")).awaitTermination()
     return log.snapshot()
+
+
+@query
+def stream_state_snapshot(spark, d):
+    """Newer change rows first, older ones after a restart; the winners are kept in the stream's state."""
+    source, check = new_path(spark, "changes"), new_path(spark, "stream")
+    rows = v.bib_changes(spark, d)
+    late = F.dayofmonth("ts") > 15
+    arrivals = v.table(spark, d, "events").select(F.col("event_id").alias("seq"), late.alias("_first"))
+    rows = rows.join(arrivals, "seq").select(*rows.columns, "_first")
+    state = ChangeState(spark, new_path(spark, "state"))
+    for first in (True, False):
+        part = rows.where(F.col("_first") == first).drop("_first")
+        part.repartition("file_name").write.partitionBy("file_name").mode("append").parquet(source)
+        stream = spark.readStream.schema(part.schema).option("maxFilesPerTrigger", 40).parquet(source)
+        state.start(stream.select(part.columns), check).awaitTermination()
+    return state.snapshot()
+
+
+@query
+def stream_deletion_log(spark, d):
+    """Delete lists of the corpus as a stream, each file delivered twice: no entry is logged twice."""
+    corpus, _ = _events_corpus(spark, d)
+    again = spark.read.text(corpus, recursiveFileLookup=True).select("value", corpus_name(F.col("_metadata.file_path")).alias("file"))
+    source = new_path(spark, "delivered")
+    for k in (1, 2):
+        again.repartition("file").write.mode("append").partitionBy("file").option("compression", "gzip").text(source)
+    log = deletion_log_once(xml.stream_deletes(spark, f"{source}/file=*", 40))
+    out = new_path(spark, "log")
+    write = log.writeStream.format("parquet").option("checkpointLocation", new_path(spark, "stream"))
+    write.trigger(availableNow=True).start(out).awaitTermination()
+    return spark.read.parquet(out)
+
+
+@query
+def stream_article_rows(spark, d):
+    """Articles of the corpus as a stream of rows."""
+    out = new_path(spark, "rows")
+    articles = xml.stream_articles(spark, f"{_ids_corpus(spark, d)}/file=*", 3)
+    write = relations.identifiers(articles).writeStream.format("parquet")
+    write = write.option("checkpointLocation", new_path(spark, "stream")).trigger(availableNow=True)
+    write.start(out).awaitTermination()
+    return spark.read.parquet(out).drop("journal_issue")
+
+
+def _document_store(spark, d) -> Store:
+    """The documents' articles applied by `update`, a few files at a time."""
+    store = Store(spark, new_path(spark, "store"))
+    store.reset()
+    store.update(_marked_up_corpus(spark, d), max_files=40, tables=["main", "abstract", "refs"])
+    return store
+
+
+@query
+def store_update(spark, d):
+    return _document_store(spark, d).read("main").select("pmid", "title", "coi")
+
+
+@query
+def store_compact(spark, d):
+    """The same after the deltas were folded into a new base."""
+    store = _document_store(spark, d)
+    store.compact()
+    return store.read("abstract")
+
+
+@query
+def store_documents(spark, d):
+    found = _document_store(spark, d).documents()
+    return found.select(
+        F.col("PMID.Value").alias("pmid"), F.col("CoiStatement").alias("coi"), F.size("PubmedData.ReferenceList").alias("n_lists")
+    )
+
+
+@query
+def store_reset(spark, d):
+    """Tables after a reset: none of the rows and files applied before, and applying them again works."""
+    corpus = _marked_up_corpus(spark, d)
+    store = Store(spark, new_path(spark, "store"))
+    store.update(corpus, tables=["ids"])
+    before = store.applied()
+    store.reset()
+    parts = [store.read(t).agg(F.lit(t).alias("relation"), F.count(F.lit(1)).alias("n_rows")) for t in ("updates", "ids", "main")]
+    gone = _union(parts)
+    store.update(corpus, tables=["ids"])
+    again = store.applied().join(before, "file_name", "left_semi")
+    return gone.unionByName(again.agg(F.lit("again").alias("relation"), F.count(F.lit(1)).alias("n_rows")))
+
+
+PARTS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "nested_citation": _citation_part, "nested_article": _article_part, "nested_terms": _terms_part, "nested_lists": _lists_part,
+}
+
+
+@query
+def document_sink(spark, d):
+    """Whole documents written as JSON in parts of even size, read back with their schema: a hash over all fields."""
+    docs = _docs(spark, d)
+    out = new_path(spark, "documents")
+    documents.write_json(docs, out)
+    back = spark.read.schema(docs.schema).json(out)
+    return _union([_fingerprint(part(back), name) for name, part in PARTS.items()])
+
+
+@query
+def document_variant(spark, d):
+    """Whole documents stored as VARIANT, read by path."""
+    out = new_path(spark, "documents")
+    documents.as_variant(_docs(spark, d)).write.parquet(out)
+    at = {
+        "pmid": "$.PMID.Value", "owner": "$.Owner", "journal": "$.Article.Journal.Title", "title": "$.Article.ArticleTitle",
+        "first_language": "$.Article.Language[0]", "subset": "$.CitationSubsets[1]",
+    }
+    found = spark.read.parquet(out)
+    return found.select(*(F.try_variant_get("document", path, "string").alias(name) for name, path in at.items()))

@@ -74,7 +74,7 @@ def prepared(article: Column) -> Column:
     Tags within mixed content become marked text, so that element is one string; reference lists inside a list are drawn
     out to follow it, at any depth.  The format puts a list's own references before the lists in it, so document order stays.
     """
-    flat = F.regexp_replace(article, r"(?:</ReferenceList>\s*){2,}", "</ReferenceList>")
+    flat = F.regexp_replace(article, r"</ReferenceList>\s*(?=</ReferenceList>)", "")
     flat = F.regexp_replace(
         flat, r"(</Reference>|</Title>|<ReferenceList(?:\s[^<>]*)?>)\s*(?=<ReferenceList[\s>])", "$1</ReferenceList>"
     )

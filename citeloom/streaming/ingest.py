@@ -37,11 +37,14 @@ def ingest(
     checkpoint: str,
     max_files_per_trigger: int = 100,
     tables: Iterable[str] = KEYED,
+    compact_after: int = 50,
 ) -> StreamingQuery:
     """Apply every file once and stop when none is left.
 
     The checkpoint says which files a micro-batch has, the store's ledger
-    which are applied: a micro-batch that is run again does nothing.
+    which are applied: a micro-batch that is run again does nothing.  After
+    `compact_after` deltas they are folded into a new base, so that neither
+    commits nor paths grow with the number of micro-batches.
     """
 
     def apply(batch: DataFrame, epoch: int) -> None:
@@ -49,6 +52,7 @@ def ingest(
         paths = [r.path for r in batch.collect()]
         if paths:
             store.apply(paths, tables=tables)
+            store.compact(compact_after)
 
     return (
         new_files(store.spark, path, max_files_per_trigger)
@@ -100,6 +104,56 @@ class ChangeLog:
         return changes.snapshot(log)
 
 
+class ChangeState:
+    """The winning change of every key as the state of a stream, deletes kept as tombstones.
+
+    The state has one row per key, and survives restarts with the checkpoint.  Late rows of older files reach it and
+    change nothing.  Each micro-batch writes the winners of the keys it touched, in a folder of its epoch that is written
+    anew when the epoch is run again; ranks only grow, so a key's greatest row is its newest.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.schema = None
+
+    def start(self, stream: DataFrame, checkpoint: str) -> StreamingQuery:
+        self.schema = stream.schema
+
+        def put(winners: DataFrame, epoch: int) -> None:
+            winners.write.mode("overwrite").parquet(f"{self.root}/epoch={epoch}")
+
+        return (
+            changes.latest(stream)
+            .writeStream.outputMode("update")
+            .foreachBatch(put)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+
+    def winners(self) -> DataFrame:
+        try:
+            rows = self.spark.read.parquet(self.root).drop("epoch")
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            rows = self.spark.createDataFrame([], self.schema or CHANGE_ROW)
+        return changes.latest(rows)
+
+    def snapshot(self) -> DataFrame:
+        """Rows alive."""
+        return self.winners().filter(~changes.is_delete())
+
+
+def deletion_log_once(deletes: DataFrame) -> DataFrame:
+    """(pmid, file_name) of a stream of delete lists, each entry once however often its file is delivered.
+
+    The state holds a key per entry, which is as much as the log itself.
+    """
+    return deletes.filter(F.col("pmid").isNotNull()).select("pmid", "file_name").dropDuplicates()
+
+
 def deletion_log_stream(stream: DataFrame) -> DataFrame:
     """Delete entries of a change stream."""
     return stream.filter(changes.is_delete()).select(

@@ -1,10 +1,12 @@
+from pathlib import Path
+
 from conftest import rows
 from test_store import FILES, check
 
 from citeloom.operators import changes
 from citeloom.plans.store import Store
 from citeloom.sources import xml
-from citeloom.streaming.ingest import ChangeLog, deletion_log_stream, ingest
+from citeloom.streaming.ingest import ChangeLog, ChangeState, deletion_log_once, deletion_log_stream, ingest
 
 
 def test_ingest_equals_batch_and_runs_once(spark, corpus, tmp_path):
@@ -76,3 +78,46 @@ def test_two_streams_write_one_log(spark, tmp_path):
         stream = spark.readStream.schema(schema).parquet(source)
         log.start(stream, str(tmp_path / f"check{k}")).awaitTermination()
     assert sorted(r["pmid"] for r in log.snapshot().collect()) == [1, 2]
+
+
+def test_state_survives_restarts_and_late_files(spark, tmp_path):
+    """Winners of three triggers with a restart before each are those of all rows; tombstones stay."""
+    schema = "pmid bigint, op string, file_name string, seq bigint, doi string"
+    f = "pubmed21n000{}.xml.gz".format
+    parts = [
+        [(1, "U", f(3), 5, "c"), (2, "D", f(3), 0, None), (None, "U", f(3), 6, "no key")],
+        [(1, "U", f(1), 0, "a"), (2, "U", f(2), 9, "late"), (3, "U", f(2), 1, "x"), (1, "U", f(3), 5, "c")],
+        [(3, "D", f(4), 0, None), (1, "U", f(4), 2, "d")],
+    ]
+    state, source = ChangeState(spark, str(tmp_path / "state")), str(tmp_path / "in")
+    assert state.snapshot().count() == 0
+    for part in parts:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(source)
+        state.start(spark.readStream.schema(schema).parquet(source), str(tmp_path / "cp")).awaitTermination()
+    every = spark.read.schema(schema).parquet(source)
+    assert rows(state.winners()) == rows(changes.latest(every))
+    assert rows(state.snapshot().where("pmid IS NOT NULL")) == [(1, "U", f(4), 2, "d")]
+    # a late row wins nothing: what the second epoch wrote for 1 and 2 are the winners of before
+    second = spark.read.parquet(str(tmp_path / "state" / "epoch=1")).where("pmid < 3")
+    assert rows(second.select("pmid", "op", "file_name")) == [(1, "U", f(3)), (2, "D", f(3))]
+
+
+def test_a_redelivered_file_logs_nothing(spark, corpus, tmp_path):
+    source, out, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
+    source.mkdir()
+    for name in ("pubmed21n0002.xml.gz", "pubmed21n0004.xml.gz"):
+        for folder in ("a", "b"):
+            (source / folder).mkdir(exist_ok=True)
+            (source / folder / name).write_bytes((Path(corpus) / name).read_bytes())
+            log = deletion_log_once(xml.stream_deletes(spark, f"{source}/*", 1))
+            q = log.writeStream.format("parquet").option("checkpointLocation", check).trigger(availableNow=True).start(out)
+            q.awaitTermination()
+    assert [r[0] for r in rows(spark.read.parquet(out))] == [102, 103, 104, 999]
+
+
+def test_ingest_compacts(spark, corpus, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    ingest(store, corpus, str(tmp_path / "cp"), 1, ["ids"], compact_after=2).awaitTermination()
+    live = store._live()
+    assert live.base and len(live.deltas) < 2
+    assert [r.pmid for r in store.read("ids").orderBy("pmid").collect()] == [101, 103]
