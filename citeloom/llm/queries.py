@@ -16,7 +16,7 @@ from citeloom.llm.minhash_dedup import near_duplicates
 from citeloom.llm.packing import pack_documents
 from citeloom.llm.shared import documents
 from citeloom.llm.substring_dedup import remove_repeated
-from citeloom.llm.surrogates import replace_personal_data
+from citeloom.llm.surrogates import replace_personal_data, session_key
 from citeloom.llm.token_counts import token_counts
 from citeloom.llm.whitening import whiten
 
@@ -44,7 +44,7 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replace_personal_data(documents(spark, sf_dir).select("doc_id", "text"))
+    return replace_personal_data(documents(spark, sf_dir).select("doc_id", "text"), session_key(spark))
 
 
 def op4_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:

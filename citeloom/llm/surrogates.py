@@ -20,12 +20,15 @@ stood, cards keep their checksum's validity, names keep script and the gender of
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import secrets
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.llm.shared import stored
 
-KEY = "replace this key"
+#: The Spark setting of the key for `session_key`.
+KEY_SETTING = "spark.citeloom.surrogates.key"
 #: Syllables of a name before its ending, one more at each further attempt: 4 * 16**4 names of a kind at the first.
 NAME_SYLLABLES = 4
 
@@ -46,7 +49,13 @@ ENDINGS = {
     ("greek", "m"): "ς ος ης ας".split(), ("greek", "f"): "να ρα λη νη".split(), ("greek", "s"): "δης ρος λης νος".split(),
 }
 
-_EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}"
+_LABEL = r"[\p{L}\p{N}-]"
+#: A group that repeats without bound is possessive: any other takes a frame of the stack at each turn.  A domain of any
+#: length is taken whole if its last label has letters only, else as far as a label of letters, of which 128 are looked at.
+_EMAIL = (
+    rf"(?<![\p{{L}}\p{{N}}._%+-])[\p{{L}}\p{{N}}._%+-]{{1,64}}+@"
+    rf"(?:{_LABEL}++(?:\.{_LABEL}++)*+(?<=\.\p{{L}}{{2,63}})|{_LABEL}+(?:\.{_LABEL}+){{0,126}}\.\p{{L}}{{2,}})"
+)
 _IP = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)"
 _V4 = r"(?:\d{1,3}\.){3}\d{1,3}"
 _HEX = "[0-9A-Fa-f]{1,4}"
@@ -58,8 +67,8 @@ _IPV6 = (
 _DIGIT = rf"(?:(?:\.|[ .\-/()\u00a0\u202f]{{1,2}}(?!{_V4}(?!\d)))\d|\d)"
 #: What follows the first 0 of a date.
 _DATE = r"\d[./-]\d{1,2}[./-](?:\d{4}|\d{2})(?![\d./ -]{0,2}\d)"
-#: Further groups of a number written in thousands.
-_THOUSANDS = r"(?<=\d )\d{3}(?: \d{3})+(?! ?\d)"
+#: Further groups of a number written in thousands, up to six more (a chain without end would be read again at each group).
+_THOUSANDS = r"(?<=\d )\d{3}(?: \d{3}){1,6}(?! ?\d)"
 _PHONE = (
     r"(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3}[ .-]?\d{4}(?![ .-]?\d)"
     r"|(?<![\d+])\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
@@ -77,7 +86,7 @@ _LONG_CARD = (
 _KEY_LEAD = (
     r"(?:ASIA|gh[pousr]_|github_pat_|glpat-|npm_|hf_|sk-|[spr]k_(?:live|test)_|AIza|xox[abeprs]-|ya29\.|SG\.|eyJ)"
 )
-_KEY = rf"(?<![A-Za-z0-9_-])(?=[AESghnspraxy]){_KEY_LEAD}[A-Za-z0-9_-]{{16,}}+(?:\.[A-Za-z0-9_-]+)*"
+_KEY = rf"(?<![A-Za-z0-9_-])(?=[AESghnspraxy]){_KEY_LEAD}[A-Za-z0-9_-]{{16,}}+(?:\.[A-Za-z0-9_-]++)*+"
 _IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 _ACCESS = r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"
 _SECRET_LEAD = r"""(?i:(?<!\p{L})(?:token|password|passwd|pwd|secret|api[_-]?key)["']?\s{0,3}[=:]\s{0,3}["']?)"""
@@ -320,9 +329,19 @@ def _written(kind: Column, lead: Column, own: Column, new: Column) -> Column:
     return F.concat(lead, text)
 
 
-def replace_personal_data(docs: DataFrame, key: str = KEY, text_col: str = "text") -> DataFrame:
+_drawn: dict[str, str] = {}
+
+
+def session_key(spark: SparkSession) -> str:
+    """The key that the setting names, or else one drawn at random for this application: keys are secrets, none is built in."""
+    key = spark.conf.get(KEY_SETTING, None)
+    return key or _drawn.setdefault(spark.sparkContext.applicationId, secrets.token_hex(32))
+
+
+def replace_personal_data(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """The rows of docs, text with all detected entities replaced; n_entities is added unless docs has that column.
 
+    Who has the key can tell which surrogate stands for a given entity; the same key gives the same surrogates.
     Null and empty texts and texts without entities stay as they are; repeated rows get the same surrogates; all other
     columns pass through.
     """

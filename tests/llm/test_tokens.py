@@ -106,7 +106,7 @@ def luhn(digits):
 
 def test_surrogates(spark):
     docs = table(spark, list(enumerate(TEXTS)) + [(0, TEXTS[0])])
-    rows = surrogates.replace_personal_data(docs).collect()
+    rows = surrogates.replace_personal_data(docs, "key").collect()
     assert len(rows) == len(TEXTS) + 1 and rows[0].asDict().keys() == set(docs.columns) | {"n_entities"}
     got = {r["doc_id"]: r["text"] for r in rows}
     assert got[7] is None and got[8] == "" and got[9] == TEXTS[9]
@@ -143,14 +143,14 @@ def test_surrogates_stay_distinct(spark, monkeypatch):
 def test_surrogates_of_many(spark):
     r = random.Random(3)
     rows = [(i, f"to user{i}@mail{r.randrange(9)}.example.com from 10.{i % 7}.{i % 11}.{i % 13}") for i in range(300)]
-    got = surrogates.replace_personal_data(table(spark, rows)).collect()
+    got = surrogates.replace_personal_data(table(spark, rows), "key").collect()
     assert len({re.search(r"\S+@\S+", x["text"])[0] for x in got}) == 300
     ips = {}
     for x in got:
         old, new = re.search(r"\S+$", rows[x["doc_id"]][1])[0], re.search(r"\S+$", x["text"])[0]
         assert ips.setdefault(old, new) == new
     assert len(set(ips.values())) == len(ips) and not set(ips) & set(ips.values())
-    assert surrogates.replace_personal_data(table(spark, [])).count() == 0
+    assert surrogates.replace_personal_data(table(spark, []), "key").count() == 0
 
 
 def test_surnames_of_thousands_keep_their_surrogate(spark):
@@ -160,7 +160,7 @@ def test_surnames_of_thousands_keep_their_surrogate(spark):
     given = [f"{a}{b}" for a in "Jo Pe Hu Ka Lu".split() for b in "hn ter go rl kas mar".split()]
     rows = [(i, f"Mr {n} or Mr {given[i % 30]} {n}, Mrs {given[i % 29]} {n}") for i, n in enumerate(names)]
     found, men = {}, {}
-    for x in surrogates.replace_personal_data(table(spark, rows)).collect():
+    for x in surrogates.replace_personal_data(table(spark, rows), "key").collect():
         m = re.fullmatch(r"Mr (\w+) or Mr (\w+) (\w+), Mrs (\w+) (\w+)", x["text"]).groups()
         assert m[0] == m[2] == m[4]
         found[names[x["doc_id"]]] = m[0]
