@@ -26,6 +26,8 @@ SEQUENCE = 2048
 END_ID = 0
 GROUP_PIECES = 65_536
 KEPT_WORDS = 200_000
+#: Text tokenised at a time: the larger, the more often a word is met again.
+BLOCK_BYTES = 4 << 20
 
 class Words:
     """A tokenizer and the ids of words met lately, in two generations of up to KEPT_WORDS."""
@@ -96,7 +98,7 @@ def pieces(
     end = np.array([END_ID], "<u4").tobytes()
 
     def step(batch: pa.RecordBatch) -> Iterator[dict]:
-        for block in blocks(batch.column(1)):
+        for block in blocks(batch.column(1), size=BLOCK_BYTES):
             names = [name for name, _ in fields]
             out: dict[str, list] = {name: [] for name in names}
             for key, ids in zip(batch.column(0).slice(block.row, len(block)).to_pylist(), token_ids(path, block)):
