@@ -20,8 +20,10 @@ from citeloom.llm.shared import arrow_stage, identified, stored
 COUNTERS = 1024
 
 
-def text_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, row (a hash of id and text) and SHA-256 of the text with A-Z lower-cased, in UTF-8; null counts as empty."""
+def text_digests(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None
+) -> DataFrame:
+    """id, row (row_col, or else a hash of id and text) and SHA-256 of the text with A-Z lower-cased, in UTF-8; null counts as empty."""
     types = pa.schema([("id", pa.int64()), ("row", pa.int64()), ("digest", pa.binary())])
 
     def step(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -29,7 +31,12 @@ def text_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         digests = [hashlib.sha256((t.as_buffer().to_pybytes() if t.is_valid else b"").lower()).digest() for t in texts]
         yield {"id": batch.column(0), "row": batch.column(1), "digest": digests}
 
-    return arrow_stage(identified(docs, id_col, text_col), step, "id bigint, row bigint, digest binary", types)
+    source = identified(docs, id_col, text_col)
+    if row_col:
+        source = docs.select(
+            F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{row_col}`").alias("row"), F.col(f"`{text_col}`").alias("text")
+        )
+    return arrow_stage(source, step, "id bigint, row bigint, digest binary", types)
 
 
 def misra_gries(counts: dict, counters: int) -> dict:
@@ -92,13 +99,13 @@ def exact_groups(digests: DataFrame, counters: int = COUNTERS) -> DataFrame:
 
 
 def exact_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS, row_col: str | None = None
 ) -> DataFrame:
-    """One row per row of docs: id, row (a hash of id and text), digest, keep_id, group_size, kept (id = keep_id).
+    """One row per row of docs: id, row (the bigint row_col, or else a hash of id and text), digest, keep_id, group_size, kept (id = keep_id).
 
     Texts are equal if they are identical after lower-casing A-Z; null is empty.  Of equal texts the largest id stays.
     Of repeated rows with the same id all are kept together.  Other columns of docs are not read; an empty table gives
     no rows.
     """
-    digests = stored(text_digests(docs, id_col, text_col), "text-digests")
+    digests = stored(text_digests(docs, id_col, text_col, row_col), "text-digests")
     return exact_groups(digests, counters).withColumn("kept", F.col("id").eqNullSafe(F.col("keep_id")))

@@ -1,9 +1,11 @@
 """Embedding near-duplicates by brute force, the pipeline and the registered queries."""
 
+import re
+
 import duckdb
 import numpy as np
 import pytest
-from helpers import ROOT, odd_texts, table, text
+from helpers import ROOT, odd_texts, table, text, words
 from test_dedup import plain_components
 
 import corpus_pipeline
@@ -49,20 +51,48 @@ def test_vectors(spark, monkeypatch, shard_rows):
     assert got[None]["kept"] and near_vectors(df.limit(0)).count() == 0
 
 
+def plain_near(rows):
+    """(number, id) of the row that stays of each group of rows whose shingle sets reach 0.75."""
+    def shingles(t):
+        w = words(t, True)
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    sets = [shingles(t) for _, t in rows]
+    links = [
+        (a, b) for a in range(len(rows)) for b in range(a) if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])
+    ]
+    groups = {}
+    for n, c in plain_components(list(range(len(rows))), links).items():
+        groups.setdefault(c, []).append((rows[n][0] is None, rows[n][0] or 0))
+    return sorted(min(g) for g in groups.values())
+
+
 def test_pipeline_stages(spark):
-    labels = f"{SF}/labels.parquet"
+    """Rows, not ids, go: repeated ids with other texts, rows repeated whole, rows without id, clashing names."""
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "near_dedup", "personal_data", "packing"]
-    docs = table(spark).select("doc_id", "text", "lang", "source", "n_chars")
-    assert spark.read.parquet(labels).count() > 0
+    near_copy = text(1, 120).replace("der", "zzz", 1)
+    rows = [(10 + 3 * i, t) for i, t in enumerate(odd_texts())]
+    rows += [rows[6], (None, "no id here"), (None, "no id here"), (5, near_copy), (5, "unrelated words of a text " * 3), (5, text(3, 20))]
+    docs = table(spark, rows).withColumnRenamed("digest", "_gone").withColumnRenamed("row", "component").withColumnRenamed("n", "kept2")
     exact = corpus_pipeline.exact_stage(spark, docs, SF)
-    kept = {r["doc_id"] for r in exact.collect()}
-    assert kept == {10 + 3 * i for i in range(21)} - {10, 22, 28} | {None}
-    near = corpus_pipeline.near_stage(spark, docs, SF)
-    assert near.columns == docs.columns and near.where("doc_id IN (28, 34)").select("doc_id").distinct().count() == 1
+    best = {}
+    for key, t in rows:
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+        best[low] = max(best.get(low, (False, 0)), (key is not None, key or 0))
+    got = exact.select("doc_id", "text", "_gone", "component", "kept2").collect()
+    assert exact.columns == docs.columns and sorted((r[0] is not None, r[0] or 0) for r in got) == sorted(best.values())
+    assert all(r["_gone"] == "d" and r["component"] == "r" and r["kept2"] == 7 for r in got)
+    kept = [(r["doc_id"], r["text"]) for r in got]
+    near = corpus_pipeline.near_stage(spark, exact, SF)
+    left = [(r["doc_id"], r["text"]) for r in near.collect()]
+    assert near.columns == docs.columns and sorted((k is None, k or 0) for k, _ in left) == plain_near(kept)
+    assert (5, "unrelated words of a text " * 3) in left and set(left) <= set(kept)
     private = corpus_pipeline.private_stage(spark, table(spark, [(1, "to a.b@c.example.com"), (2, None), (3, text(1, 5))]), SF)
     rows = {r["doc_id"]: r for r in private.collect()}
     assert rows[1]["n_chars"] == len(rows[1]["text"]) and rows[3]["text"] == text(1, 5) and rows[2]["text"] is None
     assert private.columns == table(spark).columns
+    bare = corpus_pipeline.private_stage(spark, table(spark, [(1, "to a.b@c.example.com")]).select("doc_id", "text"), SF)
+    assert bare.columns == ["doc_id", "text"] and bare.count() == 1
 
 
 def test_pipeline_runs(spark, tmp_path):
