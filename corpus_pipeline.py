@@ -17,7 +17,7 @@ from citeloom.llm.exact_dedup import exact_dedup
 from citeloom.llm.minhash_dedup import near_duplicates
 from citeloom.llm.packing import pack_documents
 from citeloom.llm.shared import documents, stored
-from citeloom.llm.surrogates import replace_personal_data
+from citeloom.llm.surrogates import replace_personal_data, session_key
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,24 +26,44 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.with_quality(docs, model).where("kept").select("row.*")
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """Every row of docs as row, with a number of its own, its id and its text; written, so that numbers stay."""
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    id_ = F.col("doc_id").cast("bigint").alias("id")
+    return stored(docs.select(F.monotonically_increasing_id().alias("n"), id_, "text", row), "numbered")
+
+
+def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows whose number is none of those of gone, in the columns they came with."""
+    return rows.join(gone.select("n"), "n", "left_anti").select("row.*")
+
+
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one of the largest doc_id stays."""
-    gone = exact_dedup(docs).where("NOT kept").select(F.col("row").alias("_gone"))
-    return docs.join(gone, F.xxhash64(F.col("doc_id").cast("bigint"), "text") == F.col("_gone"), "left_anti")
+    """Of equal texts one row stays, one of the largest doc_id."""
+    rows = _numbered(docs)
+    found = stored(exact_dedup(rows, "id", "text", row_col="n").select(F.col("row").alias("n"), "digest", "kept"), "exact-groups")
+    first = found.where("kept").groupBy("digest").agg(F.min("n").alias("n"))
+    return _without(rows, found.join(first.select("n"), "n", "left_anti"))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the one of the smallest doc_id stays."""
-    gone = near_duplicates(docs).where("NOT kept").select(F.col("id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """Of each group of near duplicates one row stays, one of the smallest doc_id; rows without an id come last."""
+    rows = _numbered(docs)
+    found = near_duplicates(rows, "n", "text").select(F.col("id").alias("n"), F.col("component_id").alias("component"))
+    found = stored(found.join(rows.select("n", "id"), "n"), "near-groups")
+    rank = F.struct(F.col("id").isNull(), "id", "n")
+    first = found.groupBy("component").agg(F.min_by("n", rank).alias("n"))
+    return _without(rows, found.join(first.select("n"), "n", "left_anti"))
 
 
 def private_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data becomes surrogates; n_chars follows the text where that changed."""
+    """Personal data becomes surrogates; n_chars, where there is one, follows the text where that changed."""
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    bare = replace_personal_data(docs.select("text", row))
-    size = F.when(F.col("n_entities") > 0, F.char_length("text")).otherwise(F.col("row.n_chars")).cast("bigint")
-    new = {"text": F.col("text"), "n_chars": size}
+    bare = replace_personal_data(docs.select("text", row), session_key(spark))
+    new = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        size = F.when(F.col("n_entities") > 0, F.char_length("text")).otherwise(F.col("row.n_chars"))
+        new["n_chars"] = size.cast("bigint")
     return bare.select(*(new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
 
 
