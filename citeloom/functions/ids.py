@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,6 +46,24 @@ def pmid_with_fallback(article: Column) -> Column:
     return F.coalesce(listed, pmid(article["MedlineCitation"]))
 
 
+def _folds() -> tuple[str, str]:
+    """Letters that are a letter of ASCII with marks, and that letter; by rule, from the characters' decompositions."""
+    found = {}
+    for code in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)):
+        bare = "".join(c for c in unicodedata.normalize("NFD", chr(code)) if not unicodedata.combining(c))
+        if len(bare) == 1 and bare.isascii():
+            found[chr(code)] = bare.lower()
+    return "".join(found), "".join(found.values())
+
+
+_FOLDED, _BARE = _folds()
+
+
+def doi_fold(doi: Column) -> Column:
+    """Comparison form of a DOI in which neither case nor accents count; `''` matches nothing."""
+    return F.translate(F.regexp_replace(doi_key(doi), r"\p{Mn}+", ""), _FOLDED, _BARE)
+
+
 def doi_key(doi: Column) -> Column:
     """Comparison form of a DOI: case does not count, `''` matches nothing."""
     return F.lower(F.when(doi != "", doi))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.functions.ids import doi_key
+from citeloom.functions.ids import doi_fold, doi_key
 from citeloom.functions.text import split_ids
 from citeloom.operators.joins import join_keyed
 
@@ -32,11 +32,21 @@ def _require(name: str, value) -> None:
         raise ValueError(f'"{name}" parameter missing from request')
 
 
+#: How DOIs are compared: the column of the comparison form, which the store keeps sorted out by Bloom filters.
+#: `case` ignores case, `accents` case and accents (as accent-insensitive database collations do).
+FORMS = {"case": ("doi_key", doi_key), "accents": ("doi_fold", doi_fold)}
+
+
+def _form(ignore: str):
+    if ignore not in FORMS:
+        raise ValueError(f"ignore must be one of {sorted(FORMS)}, not {ignore!r}")
+    return FORMS[ignore]
+
+
 def with_doi_key(ids: DataFrame) -> DataFrame:
-    """Add the comparison form of the DOI unless the table stores it already."""
-    if "doi_key" in ids.columns:
-        return ids
-    return ids.withColumn("doi_key", doi_key(F.col("doi")))
+    """Add the comparison forms of the DOI that the table does not store already."""
+    missing = {name: make(F.col("doi")) for name, make in FORMS.values() if name not in ids.columns}
+    return ids.withColumns(missing) if missing else ids
 
 
 def requests(spark: SparkSession, values: str | list, name: str) -> DataFrame:
@@ -67,10 +77,11 @@ def pmid_to_doi(ids: DataFrame, pmid) -> DataFrame:
     return _single(hits, F.min("doi"), "doi", PMID_NOT_FOUND)
 
 
-def doi_to_pmid(ids: DataFrame, doi) -> DataFrame:
+def doi_to_pmid(ids: DataFrame, doi, ignore: str = "case") -> DataFrame:
     """One row (status, message, pmid, n_matches) with the smallest PMID."""
     _require("doi", doi)
-    hits = with_doi_key(ids).filter(F.col("doi_key") == doi_key(F.lit(doi)))
+    name, make = _form(ignore)
+    hits = with_doi_key(ids).filter(F.col(name) == make(F.lit(doi)))
     return _single(hits, F.min("pmid"), "pmid", DOI_NOT_FOUND)
 
 
@@ -107,13 +118,14 @@ def pmids_to_dois(ids: DataFrame, requests: DataFrame) -> DataFrame:
     return _batch(keyed, ids, "pmid", F.min("doi"), "doi")
 
 
-def dois_to_pmids(ids: DataFrame, requests: DataFrame) -> DataFrame:
+def dois_to_pmids(ids: DataFrame, requests: DataFrame, ignore: str = "case") -> DataFrame:
     """Smallest PMID per requested DOI; the empty DOI never matches."""
     if "doi" not in requests.columns:
         raise ValueError('"dois" parameter missing from request')
-    keyed = requests.withColumn("_key", doi_key(F.col("doi")))
-    table = with_doi_key(ids).filter(F.col("doi_key").isNotNull())
-    return _batch(keyed, table, "doi_key", F.min("pmid"), "pmid")
+    name, make = _form(ignore)
+    keyed = requests.withColumn("_key", make(F.col("doi")))
+    table = with_doi_key(ids).filter(F.col(name).isNotNull())
+    return _batch(keyed, table, name, F.min("pmid"), "pmid")
 
 
 def compat(result: DataFrame, name: str) -> DataFrame:

@@ -696,3 +696,20 @@ ORACLE["document_sink"] = " UNION ALL ".join(
     }.items()
 )
 ORACLE["document_variant"] = ORACLE["nested_json"]
+
+
+def _collated(form: str, key: str) -> str:
+    return f"""SELECT l.pos, l.doi, min(i.pmid) AS pmid, CAST(CASE WHEN count(i.pmid) > 0 THEN 0 ELSE 2 END AS INTEGER) AS status,
+  count(i.pmid) AS n_matches, '{form}' AS ignore
+FROM lines l LEFT JOIN accented i ON i.doi <> '' AND {key.format("i.doi")} = {key.format("l.doi")} GROUP BY l.n, l.pos, l.doi"""
+
+
+ORACLE["lookup_collated"] = _q(
+    f"""{IDS},
+marks AS (SELECT ['É', 'e', 'Ê', 'E' || chr(769)] AS m),
+accented AS (SELECT pmid, CASE WHEN doi = '' THEN '' ELSE '10.1000/' || m[pmid // 2 % 4 + 1] || 'X' || (pmid // 2) END AS doi
+             FROM ids, marks),
+lines AS (SELECT row_number() OVER () AS n, l_partkey AS pos,
+                 '10.1000/' || lower(m[l_linenumber % 4 + 1]) || 'x' || l_orderkey AS doi FROM lineitem, marks)""",
+    _collated("case", "lower({})") + " UNION ALL " + _collated("accents", "strip_accents(lower({}))"),
+)

@@ -94,6 +94,22 @@ def lookup_table_doi_pmid(spark, d):
     return lookup.dois_to_pmids(v.bib_ids(spark, d), lines)
 
 
+@query
+def lookup_collated(spark, d):
+    """DOIs with accents, asked for by every line item in other case and with other accents, per form of comparison."""
+    marks = F.array(*map(F.lit, ("É", "e", "Ê", "E\u0301")))
+    number = F.expr("pmid div 2")
+    ids = v.bib_ids(spark, d).select(
+        "pmid", F.when(F.col("doi") == "", "").otherwise(v.text("10.1000/", marks[(number % 4).cast("int")], "X", number)).alias("doi")
+    )
+    asked = marks[(F.col("l_linenumber") % 4).cast("int")]
+    lines = v.table(spark, d, "lineitem").select(
+        F.col("l_partkey").alias("pos"), v.text("10.1000/", F.lower(asked), "x", F.col("l_orderkey")).alias("doi")
+    )
+    parts = [lookup.dois_to_pmids(ids, lines, form).withColumn("ignore", F.lit(form)) for form in lookup.FORMS]
+    return _union(parts)
+
+
 def _customer_requests(spark, d, prefix: str) -> DataFrame:
     key = F.col("c_custkey")
     texts = [v.text(prefix, k) for k in (key, key * 40, key, key + 1)]

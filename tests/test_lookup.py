@@ -107,3 +107,26 @@ def test_single_lookups_cast_as_batches_do(spark):
     assert lookup.pmid_to_doi(ids, " 1000 ").first()["doi"] == "10.1/A"
     assert lookup.doi_to_pmid(ids, "10.1/a").first()["pmid"] == 1000
     assert lookup.doi_to_pmid(ids, "").first()["status"] == lookup.NOT_FOUND
+
+
+def test_accents_and_case(spark, tmp_path):
+    """Each form of comparison, letters with marks composed or not, and a stored form that the scan filters by."""
+    from citeloom.plans.store import Store
+
+    dois = ["10.1/Émile", "10.1/EMILE", "10.1/émile", "10.1/émile", "10.1/ømile", "10.1/ǟ", ""]
+    ids = spark.createDataFrame(list(enumerate(dois)), "pmid bigint, doi string")
+
+    def found(doi, ignore):
+        row = lookup.doi_to_pmid(ids, doi, ignore).first()
+        return row.pmid, row.n_matches
+
+    assert found("10.1/ÉMILE", "case") == (0, 2) and found("10.1/émîlé", "case") == (None, 0)
+    assert found("10.1/ÉMILE", "accents") == (0, 4) and found("10.1/émîlé", "accents") == (0, 4)
+    assert found("10.1/omile", "accents") == (None, 0) and found("10.1/A", "accents") == (5, 1)
+    assert found("", "accents") == (None, 0)
+    with pytest.raises(ValueError):
+        lookup.doi_to_pmid(ids, "x", "spaces")
+    store = Store(spark, str(tmp_path))
+    store.reset()
+    plan = lookup.doi_to_pmid(store.read("ids"), "10.1/É", "accents")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(doi_fold,10.1/e)" in plan
