@@ -27,10 +27,10 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """Every row of docs as row, with a number of its own, its id and its text; written, so that numbers stay."""
+    """Every row of docs as row, with a number of its own, its id and its text; written once, so that numbers stay."""
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    id_ = F.col("doc_id").cast("bigint").alias("id")
-    return stored(docs.select(F.monotonically_increasing_id().alias("n"), id_, "text", row), "numbered")
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("n"), row), "numbered")
+    return rows.select("n", F.col("row.doc_id").cast("bigint").alias("id"), F.col("row.text").alias("text"), "row")
 
 
 def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
