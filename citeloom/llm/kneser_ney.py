@@ -1,7 +1,7 @@
 """Interpolated modified Kneser-Ney models, counted in Spark and kept as sorted hash arrays that workers map.
 
 Counting.  A first pass counts the words, a second one the n-grams: each task sums its own n-grams and sends them as
-packed blocks (a list of their words and short codes into it) to the shard of their context; a shard merges its blocks,
+packed blocks (a list of their words and sorted codes into it, compressed) to the shard of their context; a shard merges its blocks,
 writes its arrays and passes on, for each different n-gram, its suffix, which the next lower order counts (continuation
 counts).  The shards of a model grow with the corpus and the order, so a task never holds more than a shard.  A context that may hold more than half a shard (at most two for
 each shard) is spread over all shards by its next word.
@@ -127,58 +127,68 @@ class Grams:
     def packed(self, shards: Shards) -> Iterator[tuple[int, bytes]]:
         lead = self.context() if self.before.shape[1] else self.word
         shard = shards.of(lead, self.word)
-        order = np.lexsort((lead, shard))
+        order = np.argsort(shard, kind="stable")
         ends = np.searchsorted(shard[order], np.arange(shards.number + 1))
         for s in range(shards.number):
             own = order[ends[s] : ends[s + 1]]
             if len(own):
-                yield s, pack_block(self.before[own], lead[own], self.word[own], self.count[own])
+                yield s, pack_block(self.before[own], self.word[own], self.count[own])
 
 
 def gram_key(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(context * _KEY + word)
 
 
-_CODES = (np.uint8, np.uint16, np.uint32, U)
+def _planes(values: np.ndarray) -> bytes:
+    """All first bytes, then all second bytes and so on, which compresses well where most values are small."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
 
 
-def _width(values: np.ndarray) -> int:
-    """The place in _CODES of the narrowest type that holds the values."""
-    most = int(values.max()) if len(values) else 0
-    return 0 if most < 1 << 8 else 1 if most < 1 << 16 else 2 if most < 1 << 32 else 3
+def pack_block(before: np.ndarray, word: np.ndarray, count: np.ndarray) -> bytes:
+    """The hash of each word once, then the n-grams sorted by the places of their words in that list, compressed.
 
-
-def pack_block(before: np.ndarray, context: np.ndarray, word: np.ndarray, count: np.ndarray) -> bytes:
-    """Each word's hash once and codes for it; a run of equal contexts once; counts over 254 follow those of one byte."""
+    Of a sorted column stand the differences, afresh wherever a column before it changes; counts over 254 follow those
+    of one byte.
+    """
     n, k = before.shape
-    new = np.flatnonzero(np.append(True, context[1:] != context[:-1])) if k else np.zeros(0, np.int64)
-    run = np.diff(np.append(new, n)) if k else np.zeros(0, np.int64)
-    known, code = np.unique(np.concatenate([before[new].T.ravel(), word]), return_inverse=True)
+    code, known = pd.factorize(np.concatenate([before.T.ravel(), word]))
+    columns = code.astype(np.uint32).reshape(k + 1, n)
+    order = np.lexsort(columns[::-1])
+    columns, count = columns[:, order], count[order]
+    new = np.zeros(n, bool)
+    new[:1] = True
+    steps = []
+    for column in columns:
+        step = column.copy()
+        step[1:] -= np.where(new[1:], np.uint32(0), column[:-1])
+        steps.append(_planes(step))
+        new |= np.append(True, column[1:] != column[:-1])[:n]
     large = count > 254
-    widths = _width(code), _width(run)
-    head = np.array([n, k, len(new), large.sum(), len(known), *widths], np.int64)
-    parts = (head, known, code.astype(_CODES[widths[0]]), run.astype(_CODES[widths[1]]))
-    parts += (np.where(large, 255, count).astype(np.uint8), count[large].astype(np.int64))
-    return b"".join(np.ascontiguousarray(p).tobytes() for p in parts)
+    steps += [np.where(large, 255, count).astype(np.uint8).tobytes(), count[large].astype(np.int64).tobytes()]
+    packed = b"".join(steps)
+    head = np.array([n, k, len(known), large.sum(), len(packed)], np.int64)
+    return head.tobytes() + known.astype(U).tobytes() + pa.compress(packed, "zstd", asbytes=True)
 
 
 def unpack_block(data: bytes) -> Grams:
-    n, k, runs, large, kinds, *widths = np.frombuffer(data, np.int64, 7).tolist()
-    at = 56
-
-    def take(kind: type, number: int) -> np.ndarray:
-        nonlocal at
-        found = np.frombuffer(data, np.uint8, number * np.dtype(kind).itemsize, at).view(kind)
-        at += found.nbytes
-        return found
-
-    known = take(U, kinds)
-    words = known[take(_CODES[widths[0]], runs * k + n)]
-    run = take(_CODES[widths[1]], runs).astype(np.int64)
-    count = take(np.uint8, n).astype(np.int64)
-    count[count == 255] = np.frombuffer(data[at:], np.int64, large)
-    before = words[: runs * k].reshape(k, runs).T
-    return Grams(np.repeat(before, run, axis=0) if k else np.zeros((n, 0), U), words[runs * k :], count)
+    n, k, kinds, large, size = np.frombuffer(data, np.int64, 5).tolist()
+    known = np.frombuffer(data, U, kinds, 40)
+    raw = np.frombuffer(pa.decompress(data[40 + 8 * kinds :], size, "zstd", asbytes=True), np.uint8)
+    new = np.zeros(n, bool)
+    new[:1] = True
+    words = np.empty((k + 1, n), U)
+    for j in range(k + 1):
+        planes = raw[4 * n * j : 4 * n * (j + 1)].reshape(4, n)
+        step = np.ascontiguousarray(planes.T).view(np.uint32).ravel().astype(np.int64)
+        start = np.flatnonzero(new)
+        code = np.cumsum(step)
+        code -= np.repeat(code[start] - step[start], np.diff(np.append(start, n)))
+        words[j] = known[code]
+        new |= np.append(True, code[1:] != code[:-1])[:n]
+    at = 4 * n * (k + 1)
+    count = raw[at : at + n].astype(np.int64)
+    count[count == 255] = np.frombuffer(raw[at + n :].tobytes(), np.int64, large)
+    return Grams(words[:k].T, words[k], count)
 
 
 def joined(parts: list[Grams]) -> Grams:
@@ -237,8 +247,30 @@ def _save(folder: str, name: str, array: np.ndarray) -> None:
     os.replace(own, f"{folder}/{name}.npy")
 
 
-def _small(count: np.ndarray) -> np.ndarray:
-    return count.astype(_CODES[_width(count.ravel())])
+def _unit(width: int) -> np.ndarray:
+    """What a row of a table is that was seen once: a count of 1, or a context's sums 1, 1, 0, 0."""
+    return (np.arange(width) < 2).astype(np.int64)
+
+
+def _save_table(folder: str, name: str, keys: np.ndarray, values: np.ndarray) -> None:
+    """One file of three sorted arrays of keys: those seen once, without values, those of one-byte values, the others."""
+    once = (values == _unit(values.shape[1])).all(axis=1)
+    small = ~once & (values.max(axis=1) < 256)
+    large = ~once & ~small
+    head = np.array([once.sum(), small.sum(), large.sum(), values.shape[1]], np.int64)
+    parts = [head, keys[once], keys[small], keys[large], values[large].astype(np.int64), values[small].astype(np.uint8)]
+    _save(folder, name, np.frombuffer(b"".join(np.ascontiguousarray(p).tobytes() for p in parts), np.uint8))
+
+
+def _load_table(path: str) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The arrays of keys of one mapped file, each with its values."""
+    raw = np.load(path, mmap_mode="r")
+    once, small, large, width = raw[:32].view(np.int64).tolist()
+    ends = np.cumsum([4, once, small, large, large * width]) * 8
+    keys = [raw[a:b].view(U) for a, b in zip(ends[:3], ends[1:4])]
+    wide = raw[ends[3] : ends[4]].view(np.int64).reshape(large, width)
+    narrow = raw[ends[4] :].reshape(small, width)
+    return list(zip(keys, (np.broadcast_to(_unit(width), (once, width)), narrow, wide)))
 
 
 _SHARD_OUT = pa.schema(
@@ -254,8 +286,7 @@ def _build(counted: DataFrame, folder: str, order: int, name: str, shards: Shard
         shard = table.column("shard")[0].as_py()
         grams, key = joined([unpack_block(b.as_py()) for b in table.column("block")]).merged()
         place = f"{folder}/{name}-{shard}"
-        _save(place, "key", key)
-        _save(place, "count", _small(grams.count))
+        _save_table(place, "grams", key, grams.count[:, None])
         kind = np.minimum(grams.count, 5)
         hot: list[list[int]] = []
         if order > 1:
@@ -264,8 +295,7 @@ def _build(counted: DataFrame, folder: str, order: int, name: str, shards: Shard
             sums += [np.bincount(which, sel, len(context)).astype(np.int64) for sel in (kind == 1, kind == 2, kind > 2)]
             spread = np.isin(context, np.array(shards.hot, U))
             hot = np.column_stack([context.view(np.int64), *sums])[spread].tolist()
-            _save(place, "context", context[~spread])
-            _save(place, "sums", _small(np.column_stack(sums)[~spread]))
+            _save_table(place, "contexts", context[~spread], np.column_stack(sums)[~spread])
         lower = list(grams.suffixes().packed(shards)) if order > 1 else []
         own = {
             "shard": [-1] + [s for s, _ in lower],
@@ -353,16 +383,16 @@ class Mapped:
 
     def __init__(self, model: Model) -> None:
         self.model = model
-        self.arrays: dict[tuple[str, int, str], np.ndarray] = {}
+        self.tables: dict[tuple[str, int, str], list[tuple[np.ndarray, np.ndarray]]] = {}
 
-    def array(self, name: str, shard: int, what: str) -> np.ndarray | None:
+    def table(self, name: str, shard: int, what: str) -> list[tuple[np.ndarray, np.ndarray]]:
         key = (name, shard, what)
-        if key not in self.arrays:
+        if key not in self.tables:
             path = f"{self.model.folder}/{name}-{shard}/{what}.npy"
-            self.arrays[key] = np.load(path, mmap_mode="r") if os.path.exists(path) else None
-        return self.arrays[key]
+            self.tables[key] = _load_table(path) if os.path.exists(path) else []
+        return self.tables[key]
 
-    def find(self, name: str, keys: str, values: str, shard: np.ndarray, key: np.ndarray, width: int) -> np.ndarray:
+    def find(self, name: str, what: str, shard: np.ndarray, key: np.ndarray, width: int) -> np.ndarray:
         """The values stored under each key, 0 where there is none."""
         codes, kinds = pd.factorize(key)
         first = np.empty(len(kinds), np.int64)
@@ -373,23 +403,23 @@ class Mapped:
         ends = np.searchsorted(shard[order], np.arange(self.model.shards.number + 1))
         for s in np.flatnonzero(np.diff(ends)):
             own = order[ends[s] : ends[s + 1]]
-            stored_keys, stored_values = self.array(name, s, keys), self.array(name, s, values)
-            if stored_keys is None or not len(stored_keys):
-                continue
-            at = np.minimum(np.searchsorted(stored_keys, kinds[own]), len(stored_keys) - 1)
-            hit = stored_keys[at] == kinds[own]
-            out[own[hit]] = stored_values[at[hit]].reshape(-1, width)
+            for keys, values in self.table(name, s, what):
+                if len(keys):
+                    at = np.minimum(np.searchsorted(keys, kinds[own]), len(keys) - 1)
+                    hit = keys[at] == kinds[own]
+                    out[own[hit]] = values[at[hit]]
+                    own = own[~hit]
         return out[codes]
 
     def word_counts(self, token: np.ndarray) -> np.ndarray:
-        return self.find("words", "key", "count", self.model.shards.of(token, token), token, 1)[:, 0]
+        return self.find("words", "grams", self.model.shards.of(token, token), token, 1)[:, 0]
 
     def probabilities(self, token: np.ndarray, contexts: list[np.ndarray]) -> np.ndarray:
         """The interpolated probability of each token after its contexts (1 token, 2 tokens, ...)."""
         model = self.model
         low = model.orders[1]
         found = "words" if model.order == 1 else "grams1"
-        count = self.find(found, "key", "count", model.shards.of(token, token), token, 1)[:, 0]
+        count = self.find(found, "grams", model.shards.of(token, token), token, 1)[:, 0]
         discount = np.append(0.0, _discounts(low.of_counts[1:5]))
         p = np.full(len(token), 1.0 / (model.words.kinds + 1))
         if low.total:
@@ -399,8 +429,8 @@ class Mapped:
         for k in range(2, model.order + 1):
             context, own = contexts[k - 2], model.orders[k]
             shard = model.shards.of(context, token)
-            count = self.find(f"grams{k}", "key", "count", shard, gram_key(context, token), 1)[:, 0]
-            sums = self.find(f"grams{k}", "context", "sums", (context % U(model.shards.number)).astype(np.int64), context, 4)
+            count = self.find(f"grams{k}", "grams", shard, gram_key(context, token), 1)[:, 0]
+            sums = self.find(f"grams{k}", "contexts", (context % U(model.shards.number)).astype(np.int64), context, 4)
             if len(own.hot):
                 keys = own.hot[:, 0].view(U)
                 at = np.minimum(np.searchsorted(keys, context), len(keys) - 1)
