@@ -1,7 +1,7 @@
 """Interpolated modified Kneser-Ney models, counted in Spark and kept as sorted hash arrays that workers map.
 
 Counting.  A first pass counts the words, a second one the n-grams: each task sums its own n-grams and sends them as
-packed blocks (a list of their words and sorted codes into it, compressed) to the shard of their context; a shard merges its blocks,
+packed blocks (a list of their words' numbers and sorted places in it, compressed) to the shard of their context; a shard merges its blocks,
 writes its arrays and passes on, for each different n-gram, its suffix, which the next lower order counts (continuation
 counts).  The shards of a model grow with the corpus and the order, so a task never holds more than a shard.  A context that may hold more than half a shard (at most two for
 each shard) is spread over all shards by its next word.
@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from urllib.parse import urlparse
 
@@ -93,6 +93,109 @@ class Shards:
         return shard.astype(np.int64)
 
 
+def _save(folder: str, name: str, array: np.ndarray) -> None:
+    """Write whole or not at all: a task that runs again puts the same file in place."""
+    os.makedirs(folder, exist_ok=True)
+    own = f"{folder}/.{name}.{uuid.uuid4().hex}"
+    with open(own, "wb") as out:
+        np.save(out, array)
+    os.replace(own, f"{folder}/{name}.npy")
+
+
+def _unit(width: int) -> np.ndarray:
+    """What a row of a table is that was seen once: a count of 1, or a context's sums 1, 1, 0, 0."""
+    return (np.arange(width) < 2).astype(np.int64)
+
+
+def _save_table(folder: str, name: str, keys: np.ndarray, values: np.ndarray) -> None:
+    """One file of three sorted arrays of keys: those of large values, of one-byte values, and seen once, without values."""
+    once = (values == _unit(values.shape[1])).all(axis=1)
+    small = ~once & (values.max(axis=1) < 256)
+    large = ~once & ~small
+    head = np.array([large.sum(), small.sum(), once.sum(), values.shape[1]], np.int64)
+    parts = [head, keys[large], keys[small], keys[once], values[large].astype(np.int64), values[small].astype(np.uint8)]
+    _save(folder, name, np.frombuffer(b"".join(np.ascontiguousarray(p).tobytes() for p in parts), np.uint8))
+
+
+def _load_table(path: str) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The arrays of keys of one mapped file, each with its values."""
+    raw = np.load(path, mmap_mode="r")
+    large, small, once, width = raw[:32].view(np.int64).tolist()
+    ends = np.cumsum([4, large, small, once, large * width]) * 8
+    keys = [raw[a:b].view(U) for a, b in zip(ends[:3], ends[1:4])]
+    wide = raw[ends[3] : ends[4]].view(np.int64).reshape(large, width)
+    narrow = raw[ends[4] :].reshape(small, width)
+    return list(zip(keys, (wide, narrow, np.broadcast_to(_unit(width), (once, width)))))
+
+
+class Words:
+    """Numbers for the words of the text, by their places in the mapped tables of words; frequent words have small ones.
+
+    A number is 1 plus the shard plus the shards' number times the place; 0 is the begin.
+    """
+
+    def __init__(self, folder: str, number: int) -> None:
+        self.folder, self.number = folder, number
+        self.known: dict[int, list[np.ndarray]] = {}
+
+    def _keys(self, shard: int) -> list[np.ndarray]:
+        if shard not in self.known:
+            self.known[shard] = [keys for keys, _ in _load_table(f"{self.folder}/words-{shard}/grams.npy")]
+        return self.known[shard]
+
+    def _by_shard(self, shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        order = np.argsort(shard, kind="stable")
+        new = np.flatnonzero(np.append(True, np.diff(shard[order]) != 0)[: len(order)])
+        for own in np.split(order, new[1:]) if len(order) else ():
+            yield int(shard[own[0]]), own
+
+    def codes(self, word: np.ndarray) -> np.ndarray:
+        code = np.zeros(len(word), np.int64)
+        text = np.flatnonzero(word != BEGIN)
+        for shard, own in self._by_shard((word[text] % U(self.number)).astype(np.int64)):
+            own, base = text[own], 0
+            for keys in self._keys(shard):
+                if len(keys):
+                    at = np.minimum(np.searchsorted(keys, word[own]), len(keys) - 1)
+                    hit = keys[at] == word[own]
+                    code[own[hit]] = 1 + shard + self.number * (base + at[hit])
+                    own = own[~hit]
+                base += len(keys)
+        return code
+
+    def words(self, code: np.ndarray) -> np.ndarray:
+        word = np.full(len(code), BEGIN, U)
+        text = np.flatnonzero(code)
+        place, of = np.divmod(code[text].astype(np.int64) - 1, self.number)
+        for shard, own in self._by_shard(of):
+            base = 0
+            for keys in self._keys(shard):
+                hit = own[(place[own] >= base) & (place[own] < base + len(keys))]
+                word[text[hit]] = keys[place[hit] - base]
+                base += len(keys)
+        return word
+
+    def exchange(self, grams: Grams, by: Callable[[np.ndarray], np.ndarray]) -> Grams:
+        """n-grams with numbers for words or words for numbers, each different one of a column looked up once."""
+        before, word = np.empty(grams.before.shape, U), np.empty(len(grams.word), U)
+        columns = [(before[:, j], grams.before[:, j]) for j in range(before.shape[1])]
+        for out, column in [*columns, (word, grams.word)]:
+            codes, kinds = pd.factorize(column)
+            out[:] = by(kinds).astype(U)[codes]
+        return Grams(before, word, grams.count)
+
+
+_dictionary: dict[str, Words] = {}
+
+
+def _words(folder: str | None, shards: Shards) -> Words | None:
+    """This worker's numbers of a model's words; None while the words are counted."""
+    if folder is not None and folder not in _dictionary:
+        _dictionary.clear()
+        _dictionary[folder] = Words(folder, shards.number)
+    return _dictionary.get(folder) if folder is not None else None
+
+
 @dataclass
 class Grams:
     """n-grams: the words before (the farthest first, one column each), the word, a count."""
@@ -124,15 +227,16 @@ class Grams:
     def suffixes(self) -> Grams:
         return Grams(self.before[:, 1:], self.word, np.ones(len(self.word), np.int64)).merged()[0]
 
-    def packed(self, shards: Shards) -> Iterator[tuple[int, bytes]]:
+    def packed(self, shards: Shards, words: Words | None = None) -> Iterator[tuple[int, bytes]]:
         lead = self.context() if self.before.shape[1] else self.word
         shard = shards.of(lead, self.word)
         order = np.argsort(shard, kind="stable")
         ends = np.searchsorted(shard[order], np.arange(shards.number + 1))
+        sent = words.exchange(self, words.codes) if words else self
         for s in range(shards.number):
             own = order[ends[s] : ends[s + 1]]
             if len(own):
-                yield s, pack_block(self.before[own], self.word[own], self.count[own])
+                yield s, pack_block(sent.before[own], sent.word[own], sent.count[own])
 
 
 def gram_key(context: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -145,19 +249,23 @@ def _planes(values: np.ndarray) -> bytes:
 
 
 def pack_block(before: np.ndarray, word: np.ndarray, count: np.ndarray) -> bytes:
-    """The hash of each word once, then the n-grams sorted by the places of their words in that list, compressed.
+    """Each word (its number or hash) once, then the n-grams sorted by the places of their words in that list, compressed.
 
     Of a sorted column stand the differences, afresh wherever a column before it changes; counts over 254 follow those
     of one byte.
     """
     n, k = before.shape
-    code, known = pd.factorize(np.concatenate([before.T.ravel(), word]))
-    columns = code.astype(np.uint32).reshape(k + 1, n)
+    code, known = pd.factorize(np.concatenate([before.T.ravel(), word]).astype(U))
+    rank = np.argsort(known)
+    place = np.empty(len(rank), np.uint32)
+    place[rank] = np.arange(len(rank))
+    code, known = place[code], np.diff(known[rank], prepend=U(0))
+    columns = code.reshape(k + 1, n)
     order = np.lexsort(columns[::-1])
     columns, count = columns[:, order], count[order]
     new = np.zeros(n, bool)
     new[:1] = True
-    steps = []
+    steps = [_planes(known)]
     for column in columns:
         step = column.copy()
         step[1:] -= np.where(new[1:], np.uint32(0), column[:-1])
@@ -167,28 +275,29 @@ def pack_block(before: np.ndarray, word: np.ndarray, count: np.ndarray) -> bytes
     steps += [np.where(large, 255, count).astype(np.uint8).tobytes(), count[large].astype(np.int64).tobytes()]
     packed = b"".join(steps)
     head = np.array([n, k, len(known), large.sum(), len(packed)], np.int64)
-    return head.tobytes() + known.astype(U).tobytes() + pa.compress(packed, "zstd", asbytes=True)
+    return head.tobytes() + pa.compress(packed, "zstd", asbytes=True)
 
 
 def unpack_block(data: bytes) -> Grams:
     n, k, kinds, large, size = np.frombuffer(data, np.int64, 5).tolist()
-    known = np.frombuffer(data, U, kinds, 40)
-    raw = np.frombuffer(pa.decompress(data[40 + 8 * kinds :], size, "zstd", asbytes=True), np.uint8)
+    raw = np.frombuffer(pa.decompress(data[40:], size, "zstd", asbytes=True), np.uint8)
+    known = np.cumsum(np.ascontiguousarray(raw[: 8 * kinds].reshape(8, kinds).T).view(U).ravel())
+    raw = raw[8 * kinds :]
     new = np.zeros(n, bool)
     new[:1] = True
-    words = np.empty((k + 1, n), U)
+    found = np.empty((k + 1, n), U)
     for j in range(k + 1):
         planes = raw[4 * n * j : 4 * n * (j + 1)].reshape(4, n)
         step = np.ascontiguousarray(planes.T).view(np.uint32).ravel().astype(np.int64)
         start = np.flatnonzero(new)
         code = np.cumsum(step)
         code -= np.repeat(code[start] - step[start], np.diff(np.append(start, n)))
-        words[j] = known[code]
+        found[j] = known[code]
         new |= np.append(True, code[1:] != code[:-1])[:n]
     at = 4 * n * (k + 1)
     count = raw[at : at + n].astype(np.int64)
     count[count == 255] = np.frombuffer(raw[at + n :].tobytes(), np.int64, large)
-    return Grams(words[:k].T, words[k], count)
+    return Grams(found[:k].T, found[k], count)
 
 
 def joined(parts: list[Grams]) -> Grams:
@@ -202,9 +311,11 @@ def _rows(shard: list, block: list, context: list, n: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((shard, block, context, n), _BLOCKS.types)], schema=_BLOCKS)
 
 
-def _count(texts: DataFrame, order: int, shards: Shards, heavy_orders: int = 0) -> DataFrame:
+def _count(texts: DataFrame, order: int, shards: Shards, heavy_orders: int = 0, folder: str | None = None) -> DataFrame:
     """Packed n-grams of one order as (shard, block); with heavy_orders also rows of contexts that may be hot.
 
+    With the folder of a model whose words have been built, blocks hold numbers of words.
+
     Those rows have shard -1, a context with more than a half of a shard's part of what the task read, and how often.
     """
 
@@ -216,7 +327,7 @@ def _count(texts: DataFrame, order: int, shards: Shards, heavy_orders: int = 0)
             nonlocal held, size
             if held:
                 grams = joined(held)
-                rows = list(grams.merged()[0].packed(shards))
+                rows = list(grams.merged()[0].packed(shards, _words(folder, shards)))
                 none = [None] * len(rows)
                 yield _rows([s for s, _ in rows], [b for _, b in rows], none, none)
             held, size = [], 0
@@ -238,41 +349,6 @@ def _count(texts: DataFrame, order: int, shards: Shards, heavy_orders: int = 0)
     return texts.mapInArrow(run, "shard bigint, block binary, context bigint, n bigint")
 
 
-def _save(folder: str, name: str, array: np.ndarray) -> None:
-    """Write whole or not at all: a task that runs again puts the same file in place."""
-    os.makedirs(folder, exist_ok=True)
-    own = f"{folder}/.{name}.{uuid.uuid4().hex}"
-    with open(own, "wb") as out:
-        np.save(out, array)
-    os.replace(own, f"{folder}/{name}.npy")
-
-
-def _unit(width: int) -> np.ndarray:
-    """What a row of a table is that was seen once: a count of 1, or a context's sums 1, 1, 0, 0."""
-    return (np.arange(width) < 2).astype(np.int64)
-
-
-def _save_table(folder: str, name: str, keys: np.ndarray, values: np.ndarray) -> None:
-    """One file of three sorted arrays of keys: those seen once, without values, those of one-byte values, the others."""
-    once = (values == _unit(values.shape[1])).all(axis=1)
-    small = ~once & (values.max(axis=1) < 256)
-    large = ~once & ~small
-    head = np.array([once.sum(), small.sum(), large.sum(), values.shape[1]], np.int64)
-    parts = [head, keys[once], keys[small], keys[large], values[large].astype(np.int64), values[small].astype(np.uint8)]
-    _save(folder, name, np.frombuffer(b"".join(np.ascontiguousarray(p).tobytes() for p in parts), np.uint8))
-
-
-def _load_table(path: str) -> list[tuple[np.ndarray, np.ndarray]]:
-    """The arrays of keys of one mapped file, each with its values."""
-    raw = np.load(path, mmap_mode="r")
-    once, small, large, width = raw[:32].view(np.int64).tolist()
-    ends = np.cumsum([4, once, small, large, large * width]) * 8
-    keys = [raw[a:b].view(U) for a, b in zip(ends[:3], ends[1:4])]
-    wide = raw[ends[3] : ends[4]].view(np.int64).reshape(large, width)
-    narrow = raw[ends[4] :].reshape(small, width)
-    return list(zip(keys, (np.broadcast_to(_unit(width), (once, width)), narrow, wide)))
-
-
 _SHARD_OUT = pa.schema(
     [("shard", pa.int64()), ("block", pa.binary()), ("kinds", pa.int64()), ("total", pa.int64())]
     + [("of_counts", pa.list_(pa.int64())), ("hot", pa.list_(pa.list_(pa.int64())))]
@@ -284,7 +360,9 @@ def _build(counted: DataFrame, folder: str, order: int, name: str, shards: Shard
 
     def merge(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
-        grams, key = joined([unpack_block(b.as_py()) for b in table.column("block")]).merged()
+        numbers = _words(folder if name != "words" else None, shards)
+        grams = joined([unpack_block(b.as_py()) for b in table.column("block")])
+        grams, key = (numbers.exchange(grams, numbers.words) if numbers else grams).merged()
         place = f"{folder}/{name}-{shard}"
         _save_table(place, "grams", key, grams.count[:, None])
         kind = np.minimum(grams.count, 5)
@@ -296,7 +374,7 @@ def _build(counted: DataFrame, folder: str, order: int, name: str, shards: Shard
             spread = np.isin(context, np.array(shards.hot, U))
             hot = np.column_stack([context.view(np.int64), *sums])[spread].tolist()
             _save_table(place, "contexts", context[~spread], np.column_stack(sums)[~spread])
-        lower = list(grams.suffixes().packed(shards)) if order > 1 else []
+        lower = list(grams.suffixes().packed(shards, numbers)) if order > 1 else []
         own = {
             "shard": [-1] + [s for s, _ in lower],
             "block": [None] + [b for _, b in lower],
@@ -368,7 +446,7 @@ def train(texts: DataFrame, order: int = ORDER, shard_bytes: int = SHARD_BYTES)
     shards = Shards(shards.number, tuple(sorted(r[0] % (1 << 64) for r in hot)))
     orders: dict[int, Totals] = {}
     if order > 1:
-        source = _count(texts, order, shards)
+        source = _count(texts, order, shards, folder=folder)
         for k in range(order, 0, -1):
             built = _build(source, folder, k, f"grams{k}", shards)
             orders[k] = Totals.read(built)
