@@ -202,6 +202,7 @@ class Encoder:
             else:
                 (long if len(raw) > LONG_WORD else short).append(raw)
         for words in (short, long):
+            words.sort(key=len)  # those that need as many rounds together
             a = 0
             while a < len(words):
                 b, size = a, 0
