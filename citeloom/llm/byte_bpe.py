@@ -26,9 +26,9 @@ from citeloom.llm.interning import intern, spell
 from citeloom.llm.shared import arrow_stage
 from citeloom.llm.words import Block, blocks, span_hashes
 
-KEPT_PIECES = 150_000
+KEPT_PIECES = 100_000
 QUERY_BYTES = 100_000
-BLOCK_BYTES = 3 << 20
+BLOCK_BYTES = 2 << 20
 LONG_WORD = 64
 LONG_PIECE = 20_000
 DECODE_IDS = 1 << 17
