@@ -197,3 +197,40 @@ def test_surrounding_blanks_are_written(spark, tmp_path):
     df = spark.createDataFrame([(1, "  padded  ", "\tNLM\t")], "pmid int, text string, owner string")
     tsv.write_tsv(df, "notes", str(tmp_path / "x"))
     assert rows(tsv.read_tsv(spark, "notes", str(tmp_path / "x"))) == [(1, "  padded  ", "\tNLM\t")]
+
+
+def test_variants_are_stored_in_small_row_groups(spark, scan, tmp_path):
+    """A reader's batch is a row group at most, so whole documents need no more memory than one has."""
+    import pyarrow.parquet as pq
+
+    from citeloom.operators import documents
+
+    one = documents.documents(scan("children.xml")).limit(1)
+    noise = F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(300)), lambda i: F.sha2(F.concat_ws("-", "id", i), 256)))
+    many = one.drop("CoiStatement").crossJoin(spark.range(0, 2000, 1, 1)).withColumn("CoiStatement", noise).drop("id")
+    documents.write_variant(many, str(tmp_path / "v"))
+    groups = 0
+    for file in glob.glob(f"{tmp_path}/v/part-*"):
+        meta = pq.ParquetFile(file).metadata
+        sizes = [meta.row_group(i).total_byte_size for i in range(meta.num_row_groups)]
+        assert max(sizes) < 16 << 20
+        groups += len(sizes)
+    assert groups > 1
+    back = spark.read.parquet(str(tmp_path / "v"))
+    assert back.select(F.expr("variant_get(document, '$.CoiStatement', 'string')").alias("c")).distinct().count() == 2000
+
+
+def test_documents_are_written_without_a_shuffle(spark, scan, tmp_path):
+    """Neither JSON documents nor a fan-out's lines are shuffled: each task's rows end in its own files."""
+    from citeloom.operators import documents
+
+    four = spark.range(0, 40, 1, 4)
+    docs = four.crossJoin(F.broadcast(documents.documents(scan("children.xml")))).drop("id")
+    documents.write_json(docs, str(tmp_path / "json"))
+    assert len(glob.glob(f"{tmp_path}/json/part-*")) == docs.rdd.getNumPartitions() == 4
+    assert spark.read.schema(docs.schema).json(str(tmp_path / "json")).count() == docs.count()
+    records = four.crossJoin(F.broadcast(xml.scan_records(spark, str(FIXTURES / "children.xml")))).drop("id")
+    tsv.write_fan_out(records, str(tmp_path / "tsv"), compression="gzip")
+    files = glob.glob(f"{tmp_path}/tsv/relation=main/root=*/part-*")
+    assert len(files) == 4 and all(f.endswith(".gz") for f in files)
+    assert tsv.read_tsv(spark, "main", str(tmp_path / "tsv/relation=main")).count() == records.where("kind = 'article'").count()
