@@ -180,3 +180,16 @@ def test_bulk_load_checks_parents_and_is_overridden_by_updates(spark, corpus, tm
     assert rows(store.read("authors").select("pmid", "auth_order", "last_name")) == AUTHORS
     store.compact()
     assert rows(store.read("main").select("pmid", "doi")) == IDS
+
+
+def test_bulk_load_shuffles_keys_not_rows(spark):
+    """Orphans are found by key; with them at hand the other rows are kept without a shuffle, null keys being orphans."""
+    from citeloom.plans import bulk
+
+    columns = "pmid bigint, language string, file_name string"
+    found = spark.createDataFrame([(1, "eng", "f"), (2, "ger", "f"), (None, "fre", "f"), (2, "ger", "f")], columns)
+    main = spark.createDataFrame([(1,)], "pmid bigint")
+    lost = bulk.lost(found, main)
+    assert lost.columns == ["pmid", "file_name"] and sorted(lost.collect(), key=str) == [(2, "f"), (2, "f"), (None, "f")]
+    few = spark.createDataFrame([(2, "f"), (None, "f")], "pmid bigint, file_name string")
+    assert rows(bulk.kept(found, few)) == [(1, "eng", "f")]
