@@ -128,3 +128,24 @@ def test_snapshot_is_the_replay_in_order(spark, log):
             state[pmid] = (pmid, op, file_name, seq)
     df = spark.createDataFrame(log, "pmid int, op string, file_name string, seq int")
     assert rows(changes.snapshot(df)) == sorted(state.values())
+
+
+def test_parts_of_an_article_give_the_rows_of_the_whole(spark):
+    """A scan that parses only what a relation reads gives what the whole article gives."""
+    from conftest import FIXTURES
+
+    from citeloom.operators import relations
+    from citeloom.sources import schemas, xml
+
+    names = [str(FIXTURES / f"{n}.xml") for n in ("children", "authors", "references", "mixed", "pubmed21n0001")]
+    cases = {
+        "ids": (relations.identifiers, schemas.IDS_ARTICLE),
+        "authors": (relations.authors, schemas.article_of("MedlineCitation.Article.AuthorList")),
+        "refs": (relations.refs, schemas.article_of("PubmedData.ReferenceList")),
+        "main": (relations.main, schemas.article_of("MedlineCitation")),
+    }
+    for make, schema in cases.values():
+        whole, part = (make(xml.scan_articles(spark, names, schema=s)) for s in (schemas.PUBMED_ARTICLE, schema))
+        assert sorted(map(str, part.collect())) == sorted(map(str, whole.collect()))
+    assert schemas.article_of()["MedlineCitation"].dataType.fieldNames() == ["PMID"]
+    assert schemas.article_of()["PubmedData"].dataType.fieldNames() == ["ArticleIdList"]

@@ -121,3 +121,29 @@ def test_ingest_compacts(spark, corpus, tmp_path):
     live = store._live()
     assert live.base and len(live.deltas) < 2
     assert [r.pmid for r in store.read("ids").orderBy("pmid").collect()] == [101, 103]
+
+
+def test_stream_parses_a_record_once_and_on_all_cores(spark, corpus, tmp_path):
+    """The filter of a stream's records asks for nothing parsed; few files are dealt to all cores before they are parsed."""
+    write = xml.stream_articles(spark, corpus, 1).selectExpr("MedlineCitation.PMID._VALUE AS pmid").writeStream
+    q = write.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(str(tmp_path / "o"))
+    q.awaitTermination()
+    plan = q._jsq.explainInternal(False)
+    filters = [line for line in plan.split("\n") if "Filter" in line]
+    assert filters and not any("from_xml" in line for line in filters)
+    assert "Exchange hashpartitioning(value" in plan
+
+
+def test_malformed_article_still_fails_the_stream(spark, tmp_path):
+    import gzip
+
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    (tmp_path / "in").mkdir()
+    with gzip.open(tmp_path / "in" / "pubmed21n0009.xml.gz", "wt") as out:
+        out.write("<PubmedArticleSet><PubmedArticle><MedlineCitation><PMID>1</PMID></PubmedArticle></PubmedArticleSet>")
+    articles = xml.stream_articles(spark, str(tmp_path / "in"), 1).selectExpr("MedlineCitation.PMID._VALUE AS pmid")
+    write = articles.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True)
+    with pytest.raises(StreamingQueryException, match="malformed record"):
+        write.start(str(tmp_path / "out")).awaitTermination()
