@@ -494,18 +494,19 @@ def nested_lists(spark, d):
 def nested_json(spark, d):
     """Whole documents as JSON texts, read back by path."""
     texts = documents.as_json(_docs(spark, d))
-    return texts.select(
-        *[
-            F.get_json_object("document", path).alias(name)
-            for name, path in (
-                ("pmid", "$.PMID.Value"),
-                ("owner", "$.Owner"),
-                ("journal", "$.Article.Journal.Title"),
-                ("title", "$.Article.ArticleTitle"),
-                ("first_language", "$.Article.Language[0]"),
-                ("subset", "$.CitationSubsets[1]"),
-            )
-        ]
+    # one reading of a text, not one per path
+    fields = (
+        "Owner string, PMID struct<Value: string>, CitationSubsets array<string>, "
+        "Article struct<Journal: struct<Title: string>, ArticleTitle: string, Language: array<string>>"
+    )
+    found = texts.select(F.from_json("document", fields).alias("x"))
+    return found.select(
+        F.col("x.PMID.Value").alias("pmid"),
+        F.col("x.Owner").alias("owner"),
+        F.col("x.Article.Journal.Title").alias("journal"),
+        F.col("x.Article.ArticleTitle").alias("title"),
+        F.get("x.Article.Language", F.lit(0)).alias("first_language"),
+        F.get("x.CitationSubsets", F.lit(1)).alias("subset"),
     )
 
 

@@ -234,3 +234,13 @@ def test_documents_are_written_without_a_shuffle(spark, scan, tmp_path):
     files = glob.glob(f"{tmp_path}/tsv/relation=main/root=*/part-*")
     assert len(files) == 4 and all(f.endswith(".gz") for f in files)
     assert tsv.read_tsv(spark, "main", str(tmp_path / "tsv/relation=main")).count() == records.where("kind = 'article'").count()
+
+
+def test_json_of_documents_is_read_once(spark):
+    """All paths of a text come from one reading."""
+    from conftest import SF
+
+    from __spark_entry__ import queries
+
+    plan = queries()["nested_json"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "get_json_object" not in plan and plan.count("from_json") == 1
