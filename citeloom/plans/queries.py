@@ -500,13 +500,18 @@ def nested_json(spark, d):
         "Article struct<Journal: struct<Title: string>, ArticleTitle: string, Language: array<string>>"
     )
     found = texts.select(F.from_json("document", fields).alias("x"))
+
+    def item(path: str, i: int):
+        """An item as `get_json_object` gives it: the text `null` for one that is there without a value."""
+        return F.when(F.size(path) > i, F.coalesce(F.get(path, F.lit(i)), F.lit("null")))
+
     return found.select(
         F.col("x.PMID.Value").alias("pmid"),
         F.col("x.Owner").alias("owner"),
         F.col("x.Article.Journal.Title").alias("journal"),
         F.col("x.Article.ArticleTitle").alias("title"),
-        F.get("x.Article.Language", F.lit(0)).alias("first_language"),
-        F.get("x.CitationSubsets", F.lit(1)).alias("subset"),
+        item("x.Article.Language", 0).alias("first_language"),
+        item("x.CitationSubsets", 1).alias("subset"),
     )
 
 

@@ -244,3 +244,16 @@ def test_json_of_documents_is_read_once(spark):
 
     plan = queries()["nested_json"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "get_json_object" not in plan and plan.count("from_json") == 1
+
+
+def test_json_items_without_a_value_are_the_text_null(spark, tmp_path):
+    from __spark_entry__ import queries
+
+    docs = spark.createDataFrame(
+        [(1, "one\ntwo", None, "s"), (2, "three", "en", None)], "doc_id bigint, text string, lang string, source string"
+    )
+    docs.withColumn("n_chars", F.length("text").cast("bigint")).write.parquet(str(tmp_path / "documents.parquet"))
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id bigint, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    found = queries()["nested_json"](spark, str(tmp_path)).select("pmid", "owner", "first_language", "subset")
+    assert rows(found, "pmid") == [("1", "s", "null", "s"), ("2", None, "en", "null")]
