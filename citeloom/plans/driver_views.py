@@ -7,6 +7,8 @@ tables; nothing is filtered, capped or cut.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,7 +39,8 @@ def build(schema: T.DataType, value) -> Column:
     if value is None:
         return F.lit(None).cast(schema)
     if isinstance(value, Column):
-        return value.cast(schema)
+        # nested values are built with their type; a cast that changes no more than nullability would copy every item
+        return value if isinstance(schema, T.StructType | T.ArrayType) else value.cast(schema)
     return F.lit(value).cast(schema)
 
 
@@ -117,25 +120,35 @@ def bib_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_PLANS: dict[tuple[str, str, int | None], DataFrame] = {}
+#: After a list's name in `only`: the number of its items is read (of key words, and of those in each list), not what they hold.
+SIZE = "#"
+
+_PLANS: dict[tuple, DataFrame] = {}
 
 
-def bib_articles(spark: SparkSession, sf_dir: str, per_file: int | None = None) -> DataFrame:
+def bib_articles(
+    spark: SparkSession, sf_dir: str, per_file: int | None = None, only: Collection[str] | None = None
+) -> DataFrame:
     """Documents as nested articles; the unexecuted plan is kept for the session.
 
     `per_file` clusters them by `doc_id` in ranges of that size, while they are still documents: articles are many times
-    their text.
+    their text.  `only` names the fields of the citation, its article and the PubmedData that a query reads, the others are
+    NULL: a scan prunes what is not read of a nested column, a projection that Spark does not merge with its reader cannot.
 
     Putting the few hundred expressions together takes seconds, so they are
     built once.  No data is cached.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, per_file)
+    key = (spark.sparkContext.applicationId, sf_dir, per_file, None if only is None else frozenset(only))
     if key not in _PLANS:
-        _PLANS[key] = _articles(spark, sf_dir, per_file)
+        _PLANS[key] = _articles(spark, sf_dir, per_file, only)
     return _PLANS[key]
 
 
-def _articles(spark: SparkSession, sf_dir: str, per_file: int | None) -> DataFrame:
+def _pruned(value: dict, only: Collection[str] | None) -> dict:
+    return value if only is None else {name: v for name, v in value.items() if name in only or name + SIZE in only}
+
+
+def _articles(spark: SparkSession, sf_dir: str, per_file: int | None, only: Collection[str] | None) -> DataFrame:
     """Lines and words become the children; `labels` gives the PubmedData side."""
     docs = table(spark, sf_dir, "documents")
     if per_file is None:
@@ -162,6 +175,10 @@ def _articles(spark: SparkSession, sf_dir: str, per_file: int | None) -> DataFra
             t = t[name].dataType
         return t
 
+    def read(name: str, make):
+        """`make`, or items without values where only their number is read."""
+        return make if only is None or name + SIZE not in only else lambda x, i: {}
+
     def words(line: Column) -> Column:
         return F.split(line, " ")
 
@@ -263,7 +280,7 @@ def _articles(spark: SparkSession, sf_dir: str, per_file: int | None) -> DataFra
             "Keyword": items(
                 word_t,
                 words(line),
-                lambda w, j: {"_VALUE": F.array(w), "_MajorTopicYN": yn(j % 2 == 0)},
+                read("KeywordList", lambda w, j: {"_VALUE": F.array(w), "_MajorTopicYN": yn(j % 2 == 0)}),
             ),
         }
 
@@ -310,7 +327,7 @@ def _articles(spark: SparkSession, sf_dir: str, per_file: int | None) -> DataFra
         """A list element around one item per line."""
         container = inner(struct, *path[:-1])
         array_t = container[path[-1]].dataType
-        return build(container, {path[-1]: items(array_t, lines, make), **(extra or {})})
+        return build(container, {path[-1]: items(array_t, lines, read(path[0], make)), **(extra or {})})
 
     issn_t = inner(a, "Journal", "ISSN")
     issn = build(
@@ -387,7 +404,7 @@ def _articles(spark: SparkSession, sf_dir: str, per_file: int | None) -> DataFra
         "PMID": {"_VALUE": text(d), "_Version": "1"},
         "DateCompleted": F.when(d % 3 != 0, date(d)),
         "DateRevised": F.when(d % 5 != 0, date(n)),
-        "Article": article,
+        "Article": _pruned(article, only),
         "MedlineJournalInfo": {"Country": lang, "MedlineTA": source, "NlmUniqueID": text(d)},
         "ChemicalList": per_line(
             mc, "ChemicalList", "Chemical",
@@ -465,34 +482,31 @@ def _articles(spark: SparkSession, sf_dir: str, per_file: int | None) -> DataFra
         lambda x: x.isNotNull(),
     )
     object_t = inner(pd, "ObjectList", "Object")
-    data = build(
-        pd,
-        {
-            "ArticleIdList": {"ArticleId": article_ids},
-            "ObjectList": {
-                "Object": items(
-                    object_t,
-                    lines,
-                    lambda x, i: {
-                        "_Type": text("K", i),
-                        "Param": F.array(
-                            build(
-                                object_t.elementType["Param"].dataType.elementType,
-                                {"_Name": "id", "_VALUE": F.array(x)},
-                            )
-                        ),
-                    },
-                )
-            },
-            "ReferenceList": items(pd["ReferenceList"].dataType, lines, reference_list),
+    data = {
+        "ArticleIdList": {"ArticleId": article_ids},
+        "ObjectList": {
+            "Object": items(
+                object_t,
+                lines,
+                lambda x, i: {
+                    "_Type": text("K", i),
+                    "Param": F.array(
+                        build(
+                            object_t.elementType["Param"].dataType.elementType,
+                            {"_Name": "id", "_VALUE": F.array(x)},
+                        )
+                    ),
+                },
+            )
         },
-    )
+        "ReferenceList": items(pd["ReferenceList"].dataType, lines, reference_list),
+    }
     joined = docs.join(labels, docs["doc_id"] == labels["label_id"], "left")
     if per_file is not None:
         # a number of its own: tasks by the size of the texts would be too few for what becomes of them
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         joined = joined.repartition(parts, F.floor(d / per_file))
     return joined.select(
-        build(mc, citation).alias("MedlineCitation"),
-        F.when(F.col("label_id").isNotNull(), data).alias("PubmedData"),
+        build(mc, _pruned(citation, only)).alias("MedlineCitation"),
+        F.when(F.col("label_id").isNotNull(), build(pd, _pruned(data, only))).alias("PubmedData"),
     )

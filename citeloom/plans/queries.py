@@ -229,12 +229,21 @@ def records_per_file(spark, d):
 
 # ---- flat relations --------------------------------------------------
 
+# What queries read of an article (`driver_views.bib_articles`).
+IDENTIFIERS = ("PMID", "ArticleIdList")
+MAIN = (
+    *IDENTIFIERS, "DateCompleted", "DateRevised", "Article", "Journal", "ArticleTitle", "VernacularTitle", "Pagination",
+    "CoiStatement", "NumberOfReferences",
+    *(name + v.SIZE for name in ("AuthorList", "ChemicalList", "SupplMeshList", "MeshHeadingList", "KeywordList")),
+)
+
 
 def _register_relations() -> None:
     names = {"authors": "author_rows"}
     for relation, make in relations.RELATIONS.items():
         name = names.get(relation, f"{relation}_rows")
-        QUERIES[name] = lambda spark, d, make=make: make(v.bib_articles(spark, d))
+        only = MAIN if relation == "main" else None
+        QUERIES[name] = lambda spark, d, make=make, only=only: make(v.bib_articles(spark, d, only=only))
 
 
 _register_relations()
@@ -257,7 +266,7 @@ def id_pairs(spark, d):
 
 @query
 def first_id_by_type(spark, d):
-    return relations.main(v.bib_articles(spark, d)).select("pmid", "doi", "pii", "pmcid")
+    return relations.main(v.bib_articles(spark, d, only=IDENTIFIERS)).select("pmid", "doi", "pii", "pmcid")
 
 
 @query
@@ -346,8 +355,9 @@ def child_counts(spark, d):
 # ---- nested documents ------------------------------------------------
 
 
-def _docs(spark, d) -> DataFrame:
-    return documents.documents(v.bib_articles(spark, d))
+def _docs(spark, d, *only: str) -> DataFrame:
+    """Documents of the articles, with all parts or those named."""
+    return documents.documents(v.bib_articles(spark, d, only=only or None))
 
 
 def _joined(items, *paths: str, sep: str = "|"):
@@ -392,7 +402,10 @@ def _citation_part(docs: DataFrame) -> DataFrame:
 
 @query
 def nested_citation(spark, d):
-    return _citation_part(_docs(spark, d))
+    return _citation_part(_docs(
+        spark, d, "PMID", "_Owner", "_Status", "_VersionID", "_VersionDate", "DateCompleted", "DateRevised", "Article", "Journal",
+        "MedlineJournalInfo", "NumberOfReferences", "CoiStatement", "CitationSubset", "OtherID",
+    ))
 
 
 def _article_part(docs: DataFrame) -> DataFrame:
@@ -424,7 +437,10 @@ def _article_part(docs: DataFrame) -> DataFrame:
 
 @query
 def nested_article(spark, d):
-    return _article_part(_docs(spark, d))
+    return _article_part(_docs(
+        spark, d, "PMID", "Article", "ArticleTitle", "Pagination", "ELocationID", "ArticleDate", "Abstract", "AuthorList", "Language",
+        "VernacularTitle",
+    ))
 
 
 def _terms_part(docs: DataFrame) -> DataFrame:
@@ -450,7 +466,9 @@ def _terms_part(docs: DataFrame) -> DataFrame:
 
 @query
 def nested_terms(spark, d):
-    return _terms_part(_docs(spark, d))
+    return _terms_part(_docs(
+        spark, d, "PMID", "MeshHeadingList", "KeywordList", "CommentsCorrectionsList", "ChemicalList", "SupplMeshList",
+    ))
 
 
 def _lists_part(docs: DataFrame) -> DataFrame:
@@ -487,7 +505,10 @@ def _lists_part(docs: DataFrame) -> DataFrame:
 
 @query
 def nested_lists(spark, d):
-    return _lists_part(_docs(spark, d))
+    return _lists_part(_docs(
+        spark, d, "PMID", "OtherAbstract", "GeneSymbolList", "InvestigatorList", "GeneralNote", "SpaceFlightMission", "Article",
+        "DataBankList", "GrantList", "PublicationTypeList", "PersonalNameSubjectList", "ObjectList", "ReferenceList",
+    ))
 
 
 @query
@@ -528,7 +549,7 @@ def tsv_round_trip(spark, d):
 @query
 def tsv_main_round_trip(spark, d):
     path = new_path(spark, "tsv")
-    tsv.write_tsv(relations.main(v.bib_articles(spark, d)), "main", path)
+    tsv.write_tsv(relations.main(v.bib_articles(spark, d, only=MAIN)), "main", path)
     return tsv.read_tsv(spark, "main", path)
 
 
