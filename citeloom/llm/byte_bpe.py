@@ -22,13 +22,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.llm.interning import intern, spell
+from citeloom.llm.interning import Kept, intern, spell
 from citeloom.llm.shared import arrow_stage
-from citeloom.llm.words import Block, blocks, span_hashes
+from citeloom.llm.words import Block, blocks, kinds, span_hashes
 
-KEPT_PIECES = 100_000
+KEPT_CHUNKS = 200_000
 QUERY_BYTES = 100_000
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 LONG_WORD = 64
 LONG_PIECE = 20_000
 DECODE_IDS = 1 << 17
@@ -43,7 +43,7 @@ WITH RECURSIVE step(k, tok, done) AS (
            CASE WHEN s.k & 65535 = b.best & 65535 THEN b.best >> 16 ELSE s.tok END, b.best IS NULL
     FROM step s LEFT JOIN (
         SELECT x.k >> 16 AS w, min(m.merged * 65536 + (x.k & 65535)) AS best
-        FROM step x JOIN step y ON y.k = x.k + 1 JOIN merges m ON m.l = x.tok AND m.r = y.tok
+        FROM step x JOIN step y ON y.k = x.k + 1 JOIN merges m ON m.pair = (x.tok << 32) | y.tok
         WHERE NOT x.done AND NOT y.done GROUP BY x.k >> 16
     ) b ON b.w = s.k >> 16
     WHERE NOT s.done AND (b.best IS NULL OR s.k & 65535 <> (b.best & 65535) + 1)
@@ -99,16 +99,12 @@ def _database() -> duckdb.DuckDBPyConnection:
 
 
 class Encoder:
-    """The merge table of one rank file in an in-memory DuckDB of one thread, and the ids of pieces met lately.
-
-    Those are two generations of up to KEPT_PIECES: when the younger is full it becomes the older.
-    """
+    """The merge table of one rank file in an in-memory DuckDB of one thread, and the ids of chunks met lately."""
 
     def __init__(self, path: str, pattern: str) -> None:
         self.ranks = read_ranks(path)
         self.pattern = regex.compile(pattern)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.kept = Kept(KEPT_CHUNKS)
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         left, right, merged = [], [], []
         for token, rank in self.ranks.items():
@@ -120,14 +116,14 @@ class Encoder:
         merges = pa.table({"l": left, "r": right, "merged": merged, "safe": [m not in lowered for m in merged]})
         self.db = _database()
         self.db.register("merges_in", merges)
-        self.db.execute("CREATE TABLE merges AS SELECT * FROM merges_in")
+        self.db.execute("CREATE TABLE merges AS SELECT *, (l << 32) | r AS pair FROM merges_in")
         self.db.unregister("merges_in")
         self.pairs: dict[int, int] = {}
 
     def _long_pairs(self) -> dict[int, int]:
         """The rank of each pair of tokens (left times 2**32 plus right), read when the first long piece comes."""
         if not self.pairs:
-            rows = self.db.sql("SELECT (l << 32) | r, merged FROM merges").fetchnumpy()
+            rows = self.db.sql("SELECT pair, merged FROM merges").fetchnumpy()
             self.pairs = dict(zip(*(x.tolist() for x in rows.values())))
         return self.pairs
 
@@ -184,23 +180,18 @@ class Encoder:
         flat, at = ids.values.to_numpy().astype("<u4"), ids.offsets.to_numpy()
         return [flat[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
 
-    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
+    def _learn(self, pieces: set[bytes]) -> dict[bytes, bytes]:
         """The ids of pieces; one that is a token itself has that id."""
-        found: dict[str, bytes] = {}
+        found: dict[bytes, bytes] = {}
         short: list[bytes] = []
         long: list[bytes] = []
-        huge: dict[str, bytes] = {}
         for piece in pieces:
-            if (ids := self.young.get(piece) or self.old.get(piece)) is not None:
-                found[piece] = ids
-                continue
-            raw = piece.encode()
-            if (rank := self.ranks.get(raw)) is not None:
-                found[piece] = np.array([rank], "<u4").tobytes()
-            elif len(raw) > LONG_PIECE:
-                huge[piece] = self._contract_long(raw)
+            if (rank := self.ranks.get(piece)) is not None:
+                found[piece] = rank.to_bytes(4, "little")
+            elif len(piece) > LONG_PIECE:
+                found[piece] = self._contract_long(piece)
             else:
-                (long if len(raw) > LONG_WORD else short).append(raw)
+                (long if len(piece) > LONG_WORD else short).append(piece)
         for words in (short, long):
             words.sort(key=len)  # those that need as many rounds together
             a = 0
@@ -209,21 +200,18 @@ class Encoder:
                 while b < len(words) and (b == a or size + len(words[b]) <= QUERY_BYTES):
                     size += len(words[b])
                     b += 1
-                found.update(zip((w.decode() for w in words[a:b]), self._contract(words[a:b])))
+                found.update(zip(words[a:b], self._contract(words[a:b])))
                 a = b
-        for piece, ids in found.items():
-            if len(self.young) >= KEPT_PIECES:
-                self.young, self.old = {}, self.young
-            self.young[piece] = ids
-        return found | huge
-
-    def encode(self, chunks: list[bytes]) -> list[bytes]:
-        """The ids of spans of texts, as little-endian unsigned 32-bit integers; of ASCII without apostrophe they are pieces."""
+        return found
+
+    def encode(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of spans of texts in a row, and how many each has; of ASCII without apostrophe they are pieces."""
         split = [
-            [c.decode()] if c.isascii() and b"'" not in c else self.pattern.findall(c.decode()) for c in chunks
+            [c] if c.isascii() and b"'" not in c else [p.encode() for p in self.pattern.findall(c.decode())] for c in chunks
         ]
         ids = self._learn({p for own in split for p in own})
-        return [ids[own[0]] if len(own) == 1 else b"".join([ids[p] for p in own]) for own in split]
+        found = [ids[own[0]] if len(own) == 1 else b"".join([ids[p] for p in own]) for own in split]
+        return np.frombuffer(b"".join(found), "<u4"), np.array([len(x) for x in found], np.int64) // 4
 
 
 class Decoder:
@@ -270,16 +258,8 @@ def decoder(path: str) -> Decoder:
     return _open[path,]
 
 
-#: Letters, digits and signs of ASCII; 0 for white space, apostrophes (of contractions) and all else.
-_KIND = np.zeros(256, np.int8)
-_KIND[33:127] = 3
-_KIND[48:58] = 2
-_KIND[65:91] = _KIND[97:123] = 1
-_KIND[39] = 0
-
-
 def _spans(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Where the pattern cuts whatever stands beside it: at ASCII white space and between ASCII letters, digits and signs.
+    """Where the pattern cuts whatever stands beside it: at ASCII white space and between letters, digits and signs (see kinds).
 
     A space before a word goes with the word; of other white space before a word the last character is a piece of its
     own, and so is what stands before that; white space at a document's end is one piece.
@@ -288,7 +268,7 @@ def _spans(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     own = block.start > np.repeat(at[:-1], np.diff(block.first))  # the word does not begin its document
     before = np.zeros(len(block.start), bool)
     before[own] = data[block.start[own] - 1] == 32
-    kind = _KIND[data]
+    kind = kinds(data)
     cut = np.flatnonzero((kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)) + 1
     cut = cut[~np.isin(cut, at)]
     start, end = [np.sort(np.append(block.start - before, cut))], [np.sort(np.append(block.end, cut))]
@@ -318,25 +298,33 @@ _WIDE[[0xE1, 0xE2, 0xE3]] = True
 
 
 def encode_block(codec: Encoder, block: Block) -> Iterator[bytes]:
-    data = block.data
+    data, at = block.data, block.at
     wide = _WIDE[data] | ((data >= 0x1C) & (data <= 0x1F))
     wide[1:] |= (data[:-1] == 0xC2) & ((data[1:] == 0x85) | (data[1:] == 0xA0))
-    odd = np.add.reduceat(np.append(wide, False).astype(np.int64), block.at[:-1]) if len(block) else wide
+    odd = np.diff(np.concatenate(([0], np.cumsum(wide)))[at]) > 0
     start, end, first = _spans(block)
-    if len(start):
-        codes, kinds = intern(span_hashes(data, start, end))
-        raw = data.tobytes()
-        chunks = [raw[a:b] for a, b in zip(start[kinds].tolist(), end[kinds].tolist())]
-        ids, at = spell(codes, codec.encode(chunks), first, np.dtype("<u4"))
-    for i in range(len(block)):
-        if block.at[i] == block.at[i + 1]:
-            yield b""
-        elif odd[i]:
-            pieces = codec.pattern.findall(data[block.at[i] : block.at[i + 1]].tobytes().decode())
-            found = codec._learn(set(pieces))
-            yield b"".join([found[p] for p in pieces])
-        else:
-            yield ids[at[i] : at[i + 1]].tobytes()
+    if odd.any():
+        plain = ~np.repeat(odd, np.diff(first))
+        starts, ends = [start[plain]], [end[plain]]
+        for i in np.flatnonzero(odd):
+            pieces = codec.pattern.findall(data[at[i] : at[i + 1]].tobytes().decode())
+            size = np.array([len(p.encode()) for p in pieces], np.int64)
+            ends.append(at[i] + np.cumsum(size))
+            starts.append(ends[-1] - size)
+        start, end = np.concatenate(starts), np.concatenate(ends)
+        order = np.argsort(start, kind="stable")
+        start, end = start[order], end[order]
+        first = np.searchsorted(start, at)
+    hashes = span_hashes(data, start, end)
+    codes, sample = intern(hashes)
+    raw = data.tobytes()
+
+    def learn(new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return codec.encode([raw[a:b] for a, b in zip(start[sample[new]].tolist(), end[sample[new]].tolist())])
+
+    ids, where = spell(codes, *codec.kept.values(hashes[sample], learn), first)
+    for a, b in zip(where[:-1], where[1:]):
+        yield ids[a:b].tobytes()
 
 
 def encode(

@@ -1,16 +1,19 @@
 """Packing of tokenised documents into sequences by best-two-fit.
 
-Documents are tokenised word by word: no token spans white space, so each worker keeps the ids of words it has met.  Only
-pieces' lengths are packed.  Pieces are dealt by a hash into groups of about GROUP_PIECES, enough for a close packing,
+Documents are tokenised part by part, so each worker keeps the ids of parts it has met: words, as no token spans white
+space, and for tokenizers known to cut there (token_counts.can_cut) their letters, digits and signs.  Only pieces'
+lengths are packed.  Pieces are dealt by a hash into groups of about GROUP_PIECES, enough for a close packing,
 and each group is packed by itself: a sequence is filled greedily with the longest piece that fits; then its smallest
 piece is replaced by two unpacked ones whose lengths fit the gap more tightly, as long as that closes the gap further.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -18,71 +21,82 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.llm.interning import intern, spell
+from citeloom.llm.interning import Kept, intern, spell
 from citeloom.llm.shared import arrow_stage, stored
-from citeloom.llm.words import LOWER, Block, blocks, span_hashes
+from citeloom.llm.token_counts import can_cut
+from citeloom.llm.words import LOWER, Block, blocks, kinds, span_hashes
 
 SEQUENCE = 2048
 END_ID = 0
 GROUP_PIECES = 65_536
-KEPT_WORDS = 200_000
-#: Text tokenised at a time: the larger, the more often a word is met again.
-BLOCK_BYTES = 4 << 20
+KEPT_PARTS = 300_000
+CALL_PARTS = 2048
+BLOCK_BYTES = 1 << 20
 
-class Words:
-    """A tokenizer and the ids of words met lately, in two generations of up to KEPT_WORDS."""
+
+class Parts:
+    """A tokenizer and the ids of parts met lately."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def ids(self, words: list[bytes]) -> list[bytes]:
-        """The ids of different words."""
-        out = [self.young.get(w) or self.old.get(w) for w in words]
-        new = [i for i, ids in enumerate(out) if ids is None]
-        for a in range(0, len(new), 8192):
-            part = new[a : a + 8192]
-            for i, ids in zip(part, self.encode([words[i] for i in part])):
-                out[i] = ids
-        for word, ids in zip(words, out):
-            if len(self.young) >= KEPT_WORDS:
-                self.young, self.old = {}, self.young
-            self.young[word] = ids
-        return out
-
-
-_models: dict[str, Words] = {}
-
-
-def _model(path: str) -> Words:
+        with open(path, encoding="utf-8") as file:
+            self.cuts = can_cut(json.load(file))
+        self.kept = Kept(KEPT_PARTS)
+
+    def spans(self, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the parts of a block start and end, and where each document's begin.
+
+        Letters and signs are cut apart where both are known (not beside apostrophes, which begin tokens like 's, and not
+        before characters that may join the one before them), and every digit from what stands before it.
+        """
+        if not self.cuts:
+            return block.start, block.end, block.first
+        kind = kinds(block.data)
+        cut = np.flatnonzero((kind[1:] > 0) & (kind[:-1] > 0) & ((kind[1:] != kind[:-1]) | (kind[1:] == 2))) + 1
+        cut = cut[~np.isin(cut, block.at)]
+        start, end = np.sort(np.append(block.start, cut)), np.sort(np.append(block.end, cut))
+        return start, end, np.searchsorted(start, block.at)
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts in a row, and how many each has."""
+        flat, length = [np.zeros(0, "<u4")], []
+        for a in range(0, len(texts), CALL_PARTS):
+            found = self.tokenizer.encode_batch_fast([t.decode() for t in texts[a : a + CALL_PARTS]], add_special_tokens=False)
+            ids = [e.ids for e in found]
+            length += map(len, ids)
+            flat.append(np.fromiter(chain.from_iterable(ids), "<u4"))
+        return np.concatenate(flat), np.array(length, np.int64)
+
+
+_models: dict[str, Parts] = {}
+
+
+def _model(path: str) -> Parts:
     if path not in _models:
-        _models[path] = Words(path)
+        _models[path] = Parts(path)
     return _models[path]
 
 
 def token_ids(path: str, block: Block) -> Iterator[bytes]:
     """Each document's ids as little-endian unsigned 32-bit integers."""
-    if not len(block.start):
-        yield from (b"" for _ in range(len(block)))
-        return
+    model = _model(path)
+    start, end, first = model.spans(block)
     data = LOWER[block.data]  # the tokenizer lower-cases
-    codes, first = intern(span_hashes(data, block.start, block.end))
+    hashes = span_hashes(data, start, end)
+    codes, sample = intern(hashes)
     raw = data.tobytes()
-    words = [raw[a:b] for a, b in zip(block.start[first].tolist(), block.end[first].tolist())]
-    model = _model(path)
-    ids, at = spell(codes, model.ids(words), block.first, np.dtype("<u4"))
+
+    def learn(new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return model.encode([raw[a:b] for a, b in zip(start[sample[new]].tolist(), end[sample[new]].tolist())])
+
+    ids, at = spell(codes, *model.kept.values(hashes[sample], learn), first)
     marks = b"<|" in raw  # names of special tokens count only as they are written
     for i in range(len(block)):
         text = block.data[block.at[i] : block.at[i + 1]].tobytes() if marks else b""
-        yield model.encode([text])[0] if b"<|" in text else ids[at[i] : at[i + 1]].tobytes()
+        yield (model.encode([text])[0] if b"<|" in text else ids[at[i] : at[i + 1]]).tobytes()
 
 
 def pieces(

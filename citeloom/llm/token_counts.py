@@ -32,7 +32,7 @@ _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
 
 
-def _can_cut(spec: dict) -> bool:
+def can_cut(spec: dict) -> bool:
     """Whether texts may be cut after white space and before digits.
 
     They may where the pre-tokenizer splits by CUTTING_PATTERN, and no special string has white space or a digit in it.
@@ -72,7 +72,7 @@ class Counter:
             tokenizer.no_truncation()
             tokenizer.no_padding()
             with open(path, encoding="utf-8") as file:
-                self.cuts = _can_cut(json.load(file))
+                self.cuts = can_cut(json.load(file))
             self.encode = lambda texts: tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         self.young: dict[int, int] = {}
         self.old: dict[int, int] = {}
@@ -133,7 +133,7 @@ def token_counts(
     path is a tokenizer's file on every worker: .json for the tokenizers library, .model for sentencepiece.  Nothing is
     added before or after a text, nothing is cut off; special strings inside a text count as the library counts them.
     Null and empty texts have 0 bytes and 0 tokens.  Repeated rows and rows without an id are counted each; other columns
-    are not read; an empty table gives no rows.  Where no safe boundary is known (see _can_cut), whole texts are encoded.
+    are not read; an empty table gives no rows.  Where no safe boundary is known (see can_cut), whole texts are encoded.
     """
 
     @F.arrow_udf("bigint")

@@ -19,6 +19,11 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 BASE = 0x9E3779B97F4A7C15
 BLOCK_BYTES = 2 << 20
+_KIND = np.zeros(256, np.int8)
+_KIND[33:127] = 3
+_KIND[48:58] = 2
+_KIND[65:91] = _KIND[97:123] = 1
+_KIND[39] = 0
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -78,6 +83,15 @@ class Block:
         return self._hash
 
 
+def kinds(data: np.ndarray) -> np.ndarray:
+    """1 for bytes of letters of Latin-1, 2 for ASCII digits, 3 for ASCII signs; 0 for white space, apostrophes and all else."""
+    kind = _KIND[data]
+    after = data[1:]
+    letter = np.flatnonzero((data[:-1] == 0xC3) & (after != 0x97) & (after != 0xB7))
+    kind[letter] = kind[letter + 1] = 1
+    return kind
+
+
 def find_words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = len(data)
     if not n:
