@@ -10,7 +10,8 @@ bucket.  There a sketch (the 24 MinHashes, of which 9 must agree) drops chance c
 probability below 0.0001 of losing a pair of similarity 0.75.  Once those links have been joined to components, only
 classes are open that share a key with another component.  Among them an exact join finds all other pairs of different
 components that can link: such pairs have one of their rarest shingles in common, and in a group of edited copies the
-rarest are the edits.
+rarest are the edits.  Copies with the same edit but too many others are told apart there by parities: each set's shingles
+are counted modulo 2 in BITS bins, and two sets differ by at least as many shingles as bins.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ LEFT, RIGHT = 9, 6
 HASHES = 2 * LEFT + RIGHT
 AGREE = 9
 PERCENT = 75
+BITS = 1024
 _MUL = constants(HASHES, 7)[:, None]
 _ADD = constants(HASHES, 8)[:, None]
 
@@ -76,15 +78,22 @@ def tensored_keys(sketch: Column) -> Column:
     )
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """BITS bins, each the parity of the number of its shingles, as integers of 64 bits."""
+    bins = ((hashes * U(0x9E3779B97F4A7C15)) >> U(32)) % U(BITS)
+    return np.packbits((np.bincount(bins.astype(np.int64), minlength=BITS) & 1).astype(np.uint8)).view(np.int64)
+
+
 def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The sets of some documents as sorted 64-bit hashes."""
-    types = pa.schema([("id", pa.int64()), ("shingles", pa.binary())])
+    """The sets of some documents as sorted 64-bit hashes, and their parities."""
+    types = pa.schema([("id", pa.int64()), ("shingles", pa.binary()), ("bits", pa.list_(pa.int64()))])
 
     def step(batch: pa.RecordBatch) -> Iterator[dict]:
-        yield {"id": batch.column(0), "shingles": [s.tobytes() for s in shingle_sets(batch.column(1))]}
+        sets = list(shingle_sets(batch.column(1)))
+        yield {"id": batch.column(0), "shingles": [s.tobytes() for s in sets], "bits": [parities(s) for s in sets]}
 
     source = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    return arrow_stage(source.join(ids, "id", "left_semi"), step, "id bigint, shingles binary", types)
+    return arrow_stage(source.join(ids, "id", "left_semi"), step, "id bigint, shingles binary, bits array<bigint>", types)
 
 
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -188,17 +197,18 @@ def near_duplicates(
     homes = stars.select("a", "b", "common").unionByName(own).join(rank, "b").groupBy(F.col("a").alias("id"))
     homes = homes.agg(F.max(F.struct("met", "b", "common")).alias("h")).select("id", F.col("h.b").alias("home"), F.col("h.common").alias("core"))
     prefixes = rare_prefixes(sets.join(open_.select("id"), "id", "left_semi"), percent).join(open_, "id").join(homes, "id")
-    prefixes = stored(prefixes, "prefixes")
+    prefixes = stored(prefixes.join(sets.select("id", "bits"), "id"), "prefixes")
     sizes = prefixes.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("rows"))
     largest = sizes.groupBy("shingle").agg(
         F.max_by("component", F.struct("rows", "component")).alias("largest"), F.count(F.lit(1)).alias("components")
     )
     shared = stored(prefixes.join(largest.where("components > 1"), "shingle").drop("components"), "shared-prefixes")
-    names = ("id", "n", "pos", "component", "home", "core")
+    names = ("id", "n", "pos", "component", "home", "core", "bits")
     one = shared.where("component != largest")
     one = one.select("shingle", *(F.col(c).alias(f"{c}_a") for c in names))
     two = shared.select("shingle", "largest", *(F.col(c).alias(f"{c}_b") for c in names))
     need = F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100 + percent))
+    differ = sum((F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(BITS // 64)), F.lit(0))
     left = one.join(
         two,
         (one["shingle"] == two["shingle"])
@@ -211,7 +221,8 @@ def near_duplicates(
         & (
             (F.col("home_a") != F.col("home_b"))
             | (F.least("core_a", "core_b") + F.least(F.col("n_a") - F.col("core_a"), F.col("n_b") - F.col("core_b")) >= need)
-        ),
+        )
+        & (F.col("n_a") + F.col("n_b") - differ >= 2 * need),
     ).select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
     more = stored(compared(left, sets), "other-pairs").where(is_link).select("a", "b")
 
