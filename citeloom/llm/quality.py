@@ -29,6 +29,7 @@ ADDED = 2_000
 KEEP = 0.5
 RIDGE = 1.0
 _HELD = 5
+_BLOCK = 2_048
 
 # classes of bytes: small and capital letters, digits, space, line end, full stop and comma, ! and ?, signs, the rest, not ASCII
 _CLASS = np.full(256, 8, np.int64)
@@ -91,14 +92,18 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = RIDGE) -> np.ndarray:
     """Weights of a logistic regression with a bias at the end, by Newton's method."""
-    x = np.hstack((x, np.ones((len(x), 1)))).astype(np.float64)
-    w = np.zeros(x.shape[1])
+    w = np.zeros(x.shape[1] + 1)
     penalty = np.full(len(w), ridge)
     penalty[-1] = 1e-6
     for _ in range(25):
-        p = _sigmoid(x @ w)
-        gradient = x.T @ (weight * (p - y)) + penalty * w
-        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(penalty) + 1e-9 * np.eye(len(w))
+        gradient = penalty * w
+        hessian = np.diag(penalty) + 1e-9 * np.eye(len(w))
+        for i in range(0, len(x), _BLOCK):  # only a block at a time in double precision
+            part = np.ones((len(x[i : i + _BLOCK]), len(w)))
+            part[:, :-1] = x[i : i + _BLOCK]
+            p, own = _sigmoid(part @ w), weight[i : i + _BLOCK]
+            gradient += part.T @ (own * (p - y[i : i + _BLOCK]))
+            hessian += (part * (own * p * (1 - p))[:, None]).T @ part
         step = np.linalg.solve(hessian, gradient)
         w -= step * min(1.0, 5.0 / (np.abs(step).max() + 1e-12))
         if np.abs(step).max() < 1e-6:
@@ -199,12 +204,26 @@ def train(
         features, "id bigint, quality int, x binary"
     )
     got = got.groupBy("id").agg(F.min("quality").alias("quality"), F.min("x").alias("x"))  # a repeated id counts once
-    table = sorted(got.collect(), key=lambda r: (zlib.crc32(str(r[0]).encode()), r[0]))
-    x = np.frombuffer(b"".join(r[2] for r in table), np.float32).reshape(len(table), TEXT_FEATURES + META_FEATURES)
-    quality = np.array([-1 if r[1] is None else r[1] for r in table], np.int64)
-    text, meta = x[:, :TEXT_FEATURES], x[:, TEXT_FEATURES:]
+    # as Arrow, copied batch by batch into its place: rows of Python would be several times as large
+    table = got.toArrow()
+    ids = table.column("id").to_pylist()
+    order = np.array(sorted(range(len(ids)), key=lambda i: (zlib.crc32(str(ids[i]).encode()), ids[i])), np.int64)
+    quality = np.array([-1 if q is None else q for q in table.column("quality").to_pylist()], np.int64)[order]
+    place = np.empty(len(ids), np.int64)
+    place[order] = np.arange(len(ids))
+    x = np.empty((len(ids), TEXT_FEATURES + META_FEATURES), np.float32)
+    at = 0
+    for chunk in table.column("x").chunks:
+        found = np.frombuffer(b"".join(chunk.to_pylist()), np.float32)
+        x[place[at : at + len(chunk)]] = found.reshape(len(chunk), x.shape[1])
+        at += len(chunk)
     own = quality >= 0
-    return co_train((text[own], meta[own]), quality[own], (text[~own], meta[~own]))
+    known_x, pool_x = x[own], x[~own]
+    del table, x
+    split = TEXT_FEATURES
+    return co_train(
+        (known_x[:, :split], known_x[:, split:]), quality[own], (pool_x[:, :split], pool_x[:, split:])
+    )
 
 
 def scorer(model: QualityModel) -> Callable[..., Column]:

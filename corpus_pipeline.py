@@ -9,7 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from citeloom.llm import quality
@@ -19,6 +20,9 @@ from citeloom.llm.packing import pack_documents
 from citeloom.llm.shared import documents, stored
 from citeloom.llm.surrogates import replace_personal_data, session_key
 
+#: Of a row's number, the bits for its place in a file.
+FILE_BITS = 40
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier rejects go."""
@@ -26,16 +30,61 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.with_quality(docs, model).where("kept").select("row.*")
 
 
+def _placed(docs: DataFrame) -> DataFrame | None:
+    """Rows of Parquet files with their places: row and n, file number and row in the file.
+
+    None where docs are not whole files: the numbers would not tell their rows apart.
+    """
+    try:
+        placed = docs.select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.row_index").alias("at"),
+            F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        )
+    except AnalysisException:
+        return None
+    # one row per file; rows 0 to rows - 1 have these sums
+    files = placed.groupBy("file").agg(
+        F.count("at").alias("rows"), F.max("at").alias("last"), F.sum("at").alias("sum"),
+        F.sum(F.col("at").cast("decimal(20,0)") * F.col("at")).alias("squares"), F.count(F.lit(1)).alias("all"),
+    )
+    numbers = F.row_number().over(Window.orderBy("file")).cast("bigint")
+    files = stored(files.withColumn("number", numbers), "files")
+    last = F.col("rows").cast("decimal(20,0)") - 1
+    whole = (
+        F.col("file").isNotNull() & (F.col("rows") == F.col("all")) & (F.col("last") == last)
+        & (F.col("sum") * 2 == F.col("rows") * last) & (F.col("squares") * 6 == F.col("rows") * last * (2 * last + 1))
+    )
+    if not files.where(~F.coalesce(whole, F.lit(False))).isEmpty():
+        return None
+    number = F.shiftleft("number", FILE_BITS) + F.col("at")
+    return placed.join(F.broadcast(files.select("file", "number")), "file").select(number.alias("n"), "row")
+
+
 def _numbered(docs: DataFrame) -> DataFrame:
-    """Every row of docs as row, with a number of its own, its id and its text; written once, so that numbers stay."""
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    rows = stored(docs.select(F.monotonically_increasing_id().alias("n"), row), "numbered")
+    """Every row of docs as row, with a number of its own, its id and its text.
+
+    Rows of files are numbered by their places in them; others are written once, so that numbers stay.
+    """
+    rows = _placed(docs)
+    if rows is None:
+        row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+        rows = stored(docs.select(F.monotonically_increasing_id().alias("n"), row), "numbered")
     return rows.select("n", F.col("row.doc_id").cast("bigint").alias("id"), F.col("row.text").alias("text"), "row")
 
 
 def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
-    """The rows whose number is none of those of gone, in the columns they came with."""
-    return rows.join(gone.select("n"), "n", "left_anti").select("row.*")
+    """The rows whose number is none of those of gone, in the columns they came with.
+
+    The numbers travel as bitmaps, a bit per row, so that no text is shuffled.
+    """
+    bucket = F.bitmap_bucket_number("n")
+    bits = stored(gone.groupBy(bucket.alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("n")).alias("bits")), "gone")
+    marked = rows.withColumn("bucket", bucket).join(F.broadcast(bits), "bucket", "left")
+    at = F.bitmap_bit_position("n")
+    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_gone = F.getbit(byte, (at % 8).cast("int")) == 1
+    return marked.where(F.col("bits").isNull() | ~is_gone).select("row.*")
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
