@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.llm.graph import components
-from citeloom.llm.shared import arrow_stage, stored
+from citeloom.llm.shared import arrow_stage, sorted_join, stored
 from citeloom.llm.shingles import shingle_sets
 from citeloom.llm.words import U, constants
 
@@ -132,7 +132,7 @@ def rare_prefixes(sets: DataFrame, percent: int) -> DataFrame:
 
     every = arrow_stage(sets.select("id", "shingles"), step, "id bigint, shingle bigint", types)
     many = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets"))
-    ranked = every.join(many, "shingle").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("sets", "shingle"))).alias("r"))
+    ranked = sorted_join(every, many, "shingle").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("sets", "shingle"))).alias("r"))
     n = F.size("r")
     need = (n - F.ceil(n * percent / 100) + 1).cast("int")
     prefix = ranked.select("id", n.cast("bigint").alias("n"), F.posexplode(F.slice("r", F.lit(1), need)).alias("pos", "x"))
@@ -165,7 +165,7 @@ def near_duplicates(
     )
     keys = classes.select("id", F.explode(tensored_keys(F.col("sketch"))).alias("key"))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = stored(keys.join(shared, "key"), "bucket-members")
+    members = stored(sorted_join(keys, shared, "key"), "bucket-members")
 
     met = members.groupBy("id").agg(F.sum(F.col("size") - 1).alias("met"))
     known = stored(met.join(classes, "id").select("id", "met", "n", "sketch"), "met-classes")
@@ -209,7 +209,8 @@ def near_duplicates(
     two = shared.select("shingle", "largest", *(F.col(c).alias(f"{c}_b") for c in names))
     need = F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100 + percent))
     differ = sum((F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(BITS // 64)), F.lit(0))
-    left = one.join(
+    left = sorted_join(
+        one,
         two,
         (one["shingle"] == two["shingle"])
         & (F.col("component_a") != F.col("component_b"))

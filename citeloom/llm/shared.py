@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.plans.scratch import new_path
@@ -28,6 +28,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sorted_join(left: DataFrame, right: DataFrame, on: str | Column) -> DataFrame:
+    """An inner join that broadcasts neither side.
+
+    For sides that were opened from arrays, or whose files hold long values that repeat: Spark takes such rows for no larger
+    than those they came from, or than their files, and would send many times its broadcast threshold through the driver.
+    """
+    return left.join(right.hint("merge"), on)
+
+
 def arrow_stage(
     df: DataFrame, step: Callable[[pa.RecordBatch], Iterator[dict]], schema: str, types: pa.Schema
 ) -> DataFrame:
