@@ -202,7 +202,8 @@ def near_duplicates(
     largest = sizes.groupBy("shingle").agg(
         F.max_by("component", F.struct("rows", "component")).alias("largest"), F.count(F.lit(1)).alias("components")
     )
-    shared = stored(prefixes.join(largest.where("components > 1"), "shingle").drop("components"), "shared-prefixes")
+    mixed = largest.where("components > 1").drop("components")
+    shared = stored(sorted_join(prefixes, mixed, "shingle"), "shared-prefixes")
     names = ("id", "n", "pos", "component", "home", "core", "bits")
     one = shared.where("component != largest")
     one = one.select("shingle", *(F.col(c).alias(f"{c}_a") for c in names))
