@@ -1,8 +1,9 @@
 """Near-duplicate embeddings by small-world graphs, one for each shard.
 
 Equal vectors are one class.  Classes are dealt by a hash into shards of up to SHARD_ROWS, each with its own graph, and
-every class is searched in every shard.  A query's beam is doubled as long as its worst member is still close to the
-threshold, so that large clusters are found whole.  Each task also compares AUDITED of its queries with all vectors of
+every class is searched in every shard.  A graph travels as one row per node and queries follow it row by row, so that a
+task holds one graph and some queries, and Spark no large value.  A query's beam is doubled as long as its worst member is still close to the
+threshold, so that large clusters are found whole.  Of every QUERY_ROWS queries AUDITED are also compared with all vectors of
 the shard, and starts again with twice the beam until RECALL of their links are found; at the end of that stands the
 comparison with all vectors.  Found pairs are verified in double precision.
 """
@@ -19,16 +20,20 @@ from pyspark.sql import functions as F
 
 from citeloom.llm import hnsw
 from citeloom.llm.graph import components
-from citeloom.llm.shared import arrow_stage, stored
+from citeloom.llm.shared import arrow_stage, sorted_join, stored
 
 THRESHOLD = 0.95
 SHARD_ROWS = 65_536
 LEAST_SHARDS = 8
 QUERY_ROWS = 16_384
+RANGE_BLOCKS = 4
+LEAST_CELLS = 32
 BEAM = 32
 MARGIN = 0.02
 AUDITED = 64
 RECALL = 0.99
+COMPARED = 1 << 20
+EMITTED = 1 << 16
 
 
 def unit_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -59,9 +64,10 @@ def shard_links(graph: hnsw.Graph, exact: np.ndarray, queries: np.ndarray, thres
     def beamed(rows: np.ndarray, beam: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         while len(rows):
             if 2 * beam >= len(exact):
-                for a in range(0, len(rows), 64):
-                    q, v = np.nonzero(single[rows[a : a + 64]] @ graph.vectors.T >= loose)
-                    yield rows[a : a + 64][q], v
+                step = max(1, COMPARED // len(exact))
+                for a in range(0, len(rows), step):
+                    q, v = np.nonzero(single[rows[a : a + step]] @ graph.vectors.T >= loose)
+                    yield rows[a : a + step][q], v
                 return
             wide = []
             for a in range(0, len(rows), 256):
@@ -73,22 +79,130 @@ def shard_links(graph: hnsw.Graph, exact: np.ndarray, queries: np.ndarray, thres
                 yield part[q], ids[q, k]
             rows, beam = np.concatenate(wide), 2 * beam
 
-    def found(rows: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        parts = list(beamed(rows, beam))
-        q, v = (np.concatenate([p[i] for p in parts] or [np.zeros(0, np.int64)]) for i in (0, 1))
-        good = np.zeros(len(q), bool)
-        for a in range(0, len(q), 65_536):
-            s = slice(a, a + 65_536)
-            good[s] = np.einsum("qd,qd->q", queries[q[s]], exact[v[s]]) >= threshold
-        return q[good], v[good]
+    def found(rows: np.ndarray, beam: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for q, v in beamed(rows, beam):
+            good = np.zeros(len(q), bool)
+            for a in range(0, len(q), 16_384):
+                s = slice(a, a + 16_384)
+                good[s] = np.einsum("qd,qd->q", queries[q[s]], exact[v[s]]) >= threshold
+            yield q[good], v[good]
 
     audit = np.unique(np.linspace(0, len(queries) - 1, min(AUDITED, len(queries))).astype(np.int64))
-    truth = int((queries[audit] @ exact.T >= threshold).sum())
+    truth = sum(int((queries[audit[a : a + 16]] @ exact.T >= threshold).sum()) for a in range(0, len(audit), 16))
     beam = BEAM
-    while 2 * beam < len(exact) and len(found(audit, beam)[0]) < RECALL * truth:
+    while 2 * beam < len(exact) and sum(len(q) for q, _ in found(audit, beam)) < RECALL * truth:
         beam *= 2
-    for a in range(0, len(queries), 4096):
-        yield found(np.arange(a, min(a + 4096, len(queries))), beam)
+    yield from found(np.arange(len(queries)), beam)
+
+
+def matrix(values: pa.Array) -> np.ndarray:
+    """Binary values of one length as rows of double precision, without a copy."""
+    values = values.cast(pa.large_binary())
+    _, where, body = values.buffers()
+    at = np.frombuffer(where, np.int64)[values.offset : values.offset + len(values) + 1]
+    return np.frombuffer(body, np.uint8)[at[0] : at[-1]].view(np.float64).reshape(len(values), -1)
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Pieces of batches, sorted by their first columns, in which these have one value."""
+    for batch in batches:
+        if not len(batch):
+            continue
+        same = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(keys)])
+        cut = np.flatnonzero((same[:, 1:] != same[:, :-1]).any(axis=0)) + 1
+        for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(batch)]):
+            yield tuple(same[:, a].tolist()), batch.slice(a, b - a)
+
+
+def graph_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (shard, size, id, unit) sorted by shard and size to those of each graph: shard, size, no, id, unit, links."""
+    types = pa.schema(
+        [("shard", pa.int64()), ("size", pa.int32()), ("no", pa.int32())]
+        + [("id", pa.int64()), ("unit", pa.binary()), ("links", pa.binary())]
+    )
+
+    def nodes(key: tuple, parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        graph = hnsw.build(np.concatenate([matrix(p.column(3)).astype(np.float32) for p in parts]))
+        links, first = hnsw.packed(graph), 0
+        for p in parts:
+            n = len(p)
+            own = links[first : first + n]
+            columns = [np.full(n, key[0]), np.full(n, key[1]), np.arange(first, first + n), p.column(2), p.column(3), own]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, types)], schema=types)
+            first += n
+
+    now: tuple | None = None
+    parts: list[pa.RecordBatch] = []
+    for key, part in runs(batches, 2):
+        if key != now and parts:
+            yield from nodes(now, parts)
+            parts = []
+        now = key
+        parts.append(part)
+    if parts:
+        yield from nodes(now, parts)
+
+
+class Cell:
+    """A shard's graph as it comes in rows, and the queries that wait for it."""
+
+    def __init__(self, threshold: float) -> None:
+        self.threshold = threshold
+        self.nodes: list[pa.RecordBatch] = []
+        self.graph: hnsw.Graph | None = None
+        self.waiting: list[pa.RecordBatch] = []
+
+    def _load(self) -> None:
+        """One graph of all nodes, which go."""
+        self.ids = np.concatenate([p.column(5).to_numpy() for p in self.nodes])
+        self.exact = np.concatenate([matrix(p.column(6)) for p in self.nodes])
+        links = [x for p in self.nodes for x in p.column(7).to_pylist()]
+        self.nodes = []
+        self.graph = hnsw.unpacked(self.exact, links)
+
+    def links(self, last: bool = False) -> Iterator[np.ndarray]:
+        """Pairs of ids of the queries that wait, the lesser first, once there are enough or they are the last."""
+        if self.waiting and (last or sum(map(len, self.waiting)) >= QUERY_ROWS):
+            if self.nodes:
+                self._load()
+            if self.graph is not None:
+                own = np.concatenate([p.column(5).to_numpy() for p in self.waiting])
+                queries = np.concatenate([matrix(p.column(6)) for p in self.waiting])
+                for q, v in shard_links(self.graph, self.exact, queries, self.threshold):
+                    pair = np.stack((own[q], self.ids[v]), axis=1)
+                    yield np.sort(pair[pair[:, 0] != pair[:, 1]], axis=1)
+            self.waiting = []
+
+
+def cell_links(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of rows (shard, part, size, asked, no, id, unit, links), sorted: a graph's nodes before their queries."""
+    types = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def pairs() -> Iterator[np.ndarray]:
+        now, cell = None, Cell(threshold)
+        for key, part in runs(batches, 4):
+            if key[:3] != now:
+                yield from cell.links(last=True)
+                now, cell = key[:3], Cell(threshold)
+            if key[3]:
+                cell.waiting.append(part)
+                yield from cell.links()
+            else:
+                cell.nodes.append(part)
+        yield from cell.links(last=True)
+
+    def batch(out: list[np.ndarray]) -> pa.RecordBatch:
+        found = np.unique(np.concatenate(out), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], schema=types)
+
+    out: list[np.ndarray] = []
+    for pair in pairs():
+        out.append(pair)
+        if sum(map(len, out)) >= EMITTED:
+            yield batch(out)
+            out = []
+    if out:
+        yield batch(out)
 
 
 def near_vectors(
@@ -110,62 +224,27 @@ def near_vectors(
     classes = stored(classes.withColumn("size", F.octet_length("unit")), "vector-classes")
     count = classes.count()
     shards = max(LEAST_SHARDS, -(-count // SHARD_ROWS))
-    ranges = max(1, -(-count // QUERY_ROWS))
+    ranges = max(-(-count // (RANGE_BLOCKS * QUERY_ROWS)), -(-LEAST_CELLS // shards))
     spot = F.xxhash64("digest")
-    placed = classes.select("id", "unit", "size", F.pmod(spot, F.lit(shards)).alias("shard"))
+    placed = classes.select(F.pmod(spot, F.lit(shards)).alias("shard"), "size", "id", "unit")
     asked = classes.select("id", "unit", "size", F.pmod(F.shiftright(spot, 20), F.lit(ranges)).alias("part"))
 
-    def matrix(values: pa.ChunkedArray) -> np.ndarray:
-        raw = values.to_pylist()
-        return np.frombuffer(b"".join(raw), np.float64).reshape(len(raw), -1) if raw else np.zeros((0, 1))
-
-    graph_types = pa.schema(
-        [("shard", pa.int64()), ("size", pa.int32()), ("ids", pa.binary()), ("units", pa.binary())]
-        + [("links", pa.list_(pa.binary())), ("entry", pa.int64())]
-    )
-
-    def build(table: pa.Table) -> pa.Table:
-        exact = matrix(table.column("unit"))
-        graph = hnsw.build(exact)
-        row = {
-            "shard": [table.column("shard")[0].as_py()],
-            "size": [table.column("size")[0].as_py()],
-            "ids": [table.column("id").to_numpy().astype(np.int64).tobytes()],
-            "units": [exact.tobytes()],
-            "links": [[x.astype(np.int32).tobytes() for x in graph.links]],
-            "entry": [graph.entry],
-        }
-        return pa.table([pa.array(row[f.name], f.type) for f in graph_types], schema=graph_types)
-
-    kind = "shard bigint, size int, ids binary, units binary, links array<binary>, entry bigint"
-    graphs = stored(placed.groupBy("shard", "size").applyInArrow(build, kind), "graphs")
-    link_types = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-    def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        """One graph and one range of queries; pairs are given with the lesser id first."""
-        out = [np.zeros((0, 2), np.int64)]
-        if len(left) and len(right):
-            g = left.to_pylist()[0]
-            ids = np.frombuffer(g["ids"], np.int64)
-            exact = np.frombuffer(g["units"], np.float64).reshape(len(ids), -1)
-            links = [np.frombuffer(x, np.int32).reshape(len(ids), -1).astype(np.int64) for x in g["links"]]
-            graph = hnsw.Graph(exact.astype(np.float32), links, g["entry"])
-            own = right.column("id").to_numpy()
-            for q, v in shard_links(graph, exact, matrix(right.column("unit")), threshold):
-                pair = np.stack((own[q], ids[v]), axis=1)
-                out.append(np.sort(pair[pair[:, 0] != pair[:, 1]], axis=1))
-        found = np.unique(np.concatenate(out), axis=0)
-        return pa.table([pa.array(found[:, 0]), pa.array(found[:, 1])], schema=link_types)
+    placed = placed.repartition("shard", "size").sortWithinPartitions("shard", "size")
+    kind = "shard bigint, size int, no int, id bigint, unit binary, links binary"
+    graphs = stored(placed.mapInArrow(graph_nodes, kind), "graphs")
 
-    every_range = graphs.withColumn("part", F.explode(F.expr(f"sequence(0L, {ranges - 1}L)")))
-    every_shard = asked.withColumn("shard", F.explode(F.expr(f"sequence(0L, {shards - 1}L)")))
-    keys = ("shard", "part", "size")
-    found = every_range.groupBy(*keys).cogroup(every_shard.groupBy(*keys)).applyInArrow(search, "a bigint, b bigint")
+    names = ("shard", "part", "size", "asked", "no", "id", "unit", "links")
+    every_range = graphs.withColumn("part", F.explode(F.expr(f"sequence(0L, {ranges - 1}L)"))).withColumn("asked", F.lit(False))
+    every_shard = asked.withColumn("shard", F.explode(F.expr(f"sequence(0L, {shards - 1}L)"))).withColumn("asked", F.lit(True))
+    every_shard = every_shard.withColumn("no", F.lit(0)).withColumn("links", F.lit(None).cast("binary"))
+    cells = every_range.select(*names).unionByName(every_shard.select(*names)).repartition("shard", "part", "size")
+    cells = cells.sortWithinPartitions("shard", "part", "size", "asked", "no")
+    found = cells.mapInArrow(lambda batches: cell_links(batches, threshold), "a bigint, b bigint")
     links = stored(found.distinct(), "vector-links")
 
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     copies = classes.select(F.col("id").alias("b"), "copies")
-    linked = both.join(copies, "b").groupBy(F.col("a").alias("id")).agg(F.sum("copies").alias("others"))
+    linked = sorted_join(both, copies, "b").groupBy(F.col("a").alias("id")).agg(F.sum("copies").alias("others"))
     known = (
         classes.select("digest", "id", "copies")
         .join(linked, "id", "left")

@@ -127,6 +127,15 @@ class Graph:
             links[hit[part], kept.shape[1] :] = -1
 
 
+def _unlinked(n: int, top: int) -> list[np.ndarray]:
+    return [np.full((n, 2 * LINKS if k == 0 else LINKS), -1, np.int32) for k in range(top + 1)]
+
+
+def _entry(level: np.ndarray) -> int:
+    """The first node of the highest level."""
+    return int(np.argmax(level))
+
+
 def build(vectors: np.ndarray) -> Graph:
     """A graph over unit vectors."""
     n = len(vectors)
@@ -135,9 +144,9 @@ def build(vectors: np.ndarray) -> Graph:
         return graph
     level = levels(n)
     top = int(level.max())
-    graph.links = [np.full((n, 2 * LINKS if k == 0 else LINKS), -1) for k in range(top + 1)]
+    graph.links = _unlinked(n, top)
     order = np.argsort(-level, kind="stable")  # upper levels first: all nodes of a level are there before the lower ones
-    graph.entry = int(order[0])
+    graph.entry = _entry(level)
     done = 1
     while done < n:
         nodes = order[done : done + min(BATCH, done)]
@@ -161,3 +170,23 @@ def build(vectors: np.ndarray) -> Graph:
             graph._connect(nodes[here], all_ids[rows, best], all_cos[rows, best], k)
         done += len(nodes)
     return graph
+
+
+def packed(graph: Graph) -> list[bytes]:
+    """Each node's neighbours, from the lowest level to its own."""
+    level = levels(len(graph.vectors))
+    return [b"".join(graph.links[k][i].tobytes() for k in range(n + 1)) for i, n in enumerate(level.tolist())]
+
+
+def unpacked(vectors: np.ndarray, packs: list[bytes]) -> Graph:
+    """The graph of vectors that packed gave."""
+    level = levels(len(vectors))
+    graph = Graph(np.ascontiguousarray(vectors, np.float32), _unlinked(len(vectors), int(level.max())), _entry(level))
+    flat = np.frombuffer(b"".join(packs), np.int32)
+    first = np.cumsum([0, *map(len, packs)])[:-1] // 4
+    for k, links in enumerate(graph.links):
+        own = np.flatnonzero(level >= k)
+        start = first[own] + (LINKS * (k + 1) if k else 0)
+        for a in range(0, len(own), 4096):
+            links[own[a : a + 4096]] = flat[start[a : a + 4096, None] + np.arange(links.shape[1])]
+    return graph
