@@ -866,14 +866,22 @@ def stream_state_snapshot(spark, d):
     return state.snapshot()
 
 
+def _deliver(spark, corpus: str, source: str) -> None:
+    """The files of a corpus written once more, one file each, their lines in order."""
+    name, at = corpus_name(F.col("_metadata.file_path")).alias("file"), F.monotonically_increasing_id().alias("at")
+    lines = spark.read.text(corpus, recursiveFileLookup=True).select("value", name, at)
+    # a sort by file alone, which the writer adds, mixes a file's lines when it spills
+    lines = lines.repartition("file").sortWithinPartitions("file", "at").select("value", "file")
+    lines.write.mode("append").partitionBy("file").option("compression", "gzip").text(source)
+
+
 @query
 def stream_deletion_log(spark, d):
     """Delete lists of the corpus as a stream, each file delivered twice: no entry is logged twice."""
     corpus, _ = _events_corpus(spark, d)
-    again = spark.read.text(corpus, recursiveFileLookup=True).select("value", corpus_name(F.col("_metadata.file_path")).alias("file"))
     source = new_path(spark, "delivered")
     for k in (1, 2):
-        again.repartition("file").write.mode("append").partitionBy("file").option("compression", "gzip").text(source)
+        _deliver(spark, corpus, source)
     log = deletion_log_once(xml.stream_deletes(spark, f"{source}/file=*", 40))
     out = new_path(spark, "log")
     write = log.writeStream.format("parquet").option("checkpointLocation", new_path(spark, "stream"))

@@ -147,3 +147,27 @@ def test_malformed_article_still_fails_the_stream(spark, tmp_path):
     write = articles.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True)
     with pytest.raises(StreamingQueryException, match="malformed record"):
         write.start(str(tmp_path / "out")).awaitTermination()
+
+
+def test_delivered_files_keep_their_lines_in_order(spark, tmp_path):
+    import gzip
+
+    from citeloom.plans.queries import _deliver
+
+    lines = {f"pubmed24n000{k}.xml.gz": [f"{k} line {i * 7919 % 4001}" for i in range(4000)] for k in (1, 2, 3)}
+    for name, own in lines.items():
+        folder = tmp_path / "corpus" / f"file={name}"
+        folder.mkdir(parents=True)
+        with gzip.open(folder / "part-0.txt.gz", "wt") as out:
+            out.write("\n".join(own) + "\n")
+    conf = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().conf()
+    setting = "spark.shuffle.spill.numElementsForceSpillThreshold"
+    conf.set(setting, "500")  # a sort of more rows spills, as one of a large file does
+    try:
+        _deliver(spark, str(tmp_path / "corpus"), str(tmp_path / "again"))
+    finally:
+        conf.remove(setting)
+    for name, own in lines.items():
+        (part,) = (tmp_path / "again" / f"file={name}").glob("*.gz")
+        with gzip.open(part, "rt") as back:
+            assert back.read().split("\n")[:-1] == own
