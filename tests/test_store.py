@@ -193,3 +193,15 @@ def test_bulk_load_shuffles_keys_not_rows(spark):
     assert lost.columns == ["pmid", "file_name"] and sorted(lost.collect(), key=str) == [(2, "f"), (2, "f"), (None, "f")]
     few = spark.createDataFrame([(2, "f"), (None, "f")], "pmid bigint, file_name string")
     assert rows(bulk.kept(found, few)) == [(1, "eng", "f")]
+
+
+def test_tables_are_compressed_well(spark, corpus, tmp_path):
+    import pyarrow.parquet as pq
+
+    store = Store(spark, str(tmp_path))
+    store.apply([f"{corpus}/{f}" for f in FILES], tables=["main"])
+    for table in ("articles", "main"):
+        files = list(tmp_path.glob(f"batches/*/table={table}/*.parquet"))
+        groups = [pq.ParquetFile(f).metadata for f in files]
+        used = {g.row_group(0).column(0).compression for g in groups if g.num_row_groups}
+        assert used == {"ZSTD"}, (table, used)
